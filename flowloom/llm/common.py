@@ -7,6 +7,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -19,6 +19,7 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
