@@ -7,6 +7,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowloom.session import ship
+
 _MODULES = {
     "op6_byte_level_bpe": "byte_bpe",
     "op7_token_counts": "piece_counts",
@@ -15,7 +17,10 @@ _MODULES = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: import_module(f"flowloom.llm.{module}").query for name, module in _MODULES.items()}
+    def run(module: str) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: import_module(f"flowloom.llm.{module}").query(ship(spark), sf_dir)
+
+    return {name: run(module) for name, module in _MODULES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
