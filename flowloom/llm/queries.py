@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from flowloom.session import ship
 
 _MODULES = {
+    "op1_quality_classifier": "attention_quality",
+    "op4_document_fingerprints": "iblt_fingerprints",
     "op6_byte_level_bpe": "byte_bpe",
     "op7_token_counts": "piece_counts",
     "op10_secret_scans": "secret_scan",
