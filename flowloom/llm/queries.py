@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowloom.session import ship
 
 _MODULES = {
+    "op3_ngram_jaccard_join": "parity_join",
     "op1_quality_classifier": "attention_quality",
     "op4_document_fingerprints": "iblt_fingerprints",
     "op6_byte_level_bpe": "byte_bpe",
