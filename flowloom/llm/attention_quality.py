@@ -147,9 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
     return fit(np.concatenate(x).astype(np.float32), np.array([len(p) for p in x]), np.array([r["label"] for r in found], np.float32))
 
 
-def score(df: DataFrame, model: AttentionModel | None) -> DataFrame:
-    """df with score, the probability of label 1, for every row's whole text."""
-    at, schema = df.columns.index("text"), df.select("*", F.lit(0.0).alias("score")).schema
+def score(df: DataFrame, model: AttentionModel | None, name: str = "score") -> DataFrame:
+    """df with the probability of label 1, under that name, for every row's whole text."""
+    at, schema = df.columns.index("text"), df.select("*", F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -157,7 +157,7 @@ def score(df: DataFrame, model: AttentionModel | None) -> DataFrame:
                 batch = whole.slice(i, 500)
                 texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
                 scores = np.full(len(texts), 0.5) if model is None else model.forward(*encode_passages(texts))["score"]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(scores, np.float64))], names=[*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(scores, np.float64))], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 
