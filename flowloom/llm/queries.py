@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowloom.session import ship
 
 _MODULES = {
+    "op9_substring_dedup": "cover_dedup",
     "op8_benchmark_decontamination": "qgram_decontam",
     "op3_ngram_jaccard_join": "parity_join",
     "op1_quality_classifier": "attention_quality",
