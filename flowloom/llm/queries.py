@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowloom.session import ship
 
 _MODULES = {
+    "op2_lm_scoring": "nce_language_model",
     "op5_suffix_array_dedup": "suffix_dedup",
     "op9_substring_dedup": "cover_dedup",
     "op8_benchmark_decontamination": "qgram_decontam",
