@@ -12,16 +12,17 @@ and a set with more empty ones also gives those. A bit sketch, one bit flipped b
 each shingle, bounds the difference from below: pairs further apart go unverified.
 The rest is verified on whole sets.
 
-Equal sets are one class. Candidates come in two rounds. First, everyone who shares
-a segment is paired with the class of the least id there; verified links give
-components. Then only segments that still hold several components give pairs, of
-classes in different components. So links inside a component are not all listed,
-but no two linked documents end in different components.
+Documents of equal sets link to the least of them, which alone is compared.
+Candidates come in two rounds. First, everyone who shares a segment is paired with
+the least id there; verified links give components. Then only segments of three or
+more documents that still hold several components give pairs, of documents in
+different components. So links inside a component are not all listed, but no two
+linked documents end in different components.
 
 Null and empty texts, and texts without words, have no shingles and no links; a
 text with fewer words than a shingle has one, of all its words. Rows without doc_id
-link with nothing and have a null component. Repeated rows are one class; a doc_id
-with several texts links as each of them. Hashes are of 64 bits.
+link with nothing and have a null component. Repeated rows are one document; a
+doc_id with several texts links as each of them. Hashes are of 64 bits.
 """
 
 from __future__ import annotations
@@ -37,22 +38,22 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import checkpointed, documents, slices
 from flowloom.llm.components import components
+from flowloom.llm.dealing import MEET, PACKED, bucket_count, packed, split_by
 from flowloom.llm.words import mix, windows, words_of
 
-_ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("node", "<i8")])
+_ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8")])
 _EDGE = np.dtype([("u", "<i8"), ("v", "<i8")])
 
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """shingle: words; threshold: hundredths. slack: segments beyond the difference; sketch_bits: of the bit sketch; bucket: segments gathered in one step of a task, on average; broadcast: ids sent to all tasks at most, more are joined."""
+    """shingle: words; threshold: hundredths. slack: segments beyond the difference; sketch_bits: of the bit sketch; broadcast: ids or segments sent to all tasks at most, more are joined."""
 
     shingle: int = 5
     threshold: int = 80
     slack: int = 3
     sketch_bits: int = 2048
-    bucket: int = 400_000
-    broadcast: int = 500_000
+    broadcast: int = 1_000_000
 
     def differ(self, a, b):
         return (a + b) * (100 - self.threshold) // (100 + self.threshold)
@@ -112,150 +113,178 @@ def bit_sketch(s: np.ndarray, bits: int) -> bytes:
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
-def sets_of(df: DataFrame, join: JaccardJoin, sketched: bool = True) -> DataFrame:
-    """doc_id, n_shingles, node (class of equal sets) and, if sketched, keys and sketch; else the set's hashes."""
-    bands = join.edges_of_bands(1 << 32)
+def sets_of(df: DataFrame, join: JaccardJoin) -> DataFrame:
+    """doc_id, n_shingles and node (what equal sets share) of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             sets = shingle_sets(texts, join.shingle)
-            marks = [identity(s) for s in sets]
-            node = mix(np.array([m[0] for m in marks], np.int64).view(np.uint64) ^ mix(np.array([m[1] for m in marks], np.int64).view(np.uint64))).view(np.int64)
-            columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node)]
-            if sketched:
-                columns.append(pa.array([segment_keys(s, join, bands).tobytes() if len(s) else None for s in sets], pa.binary()))
-                columns.append(pa.array([bit_sketch(s, join.sketch_bits) if len(s) else None for s in sets], pa.binary()))
-            else:
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "keys", "sketch"][: 5 if sketched else 3] + ([] if sketched else ["hashes"]))
-
-    return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long, " + ("keys binary, sketch binary" if sketched else "hashes binary"))
-
-
-def _stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entries sorted by (key, id, node) to the first entry of each key, and edges from the others to it."""
-    entries = np.sort(entries, order=("key", "id", "node"))
+            marks = np.array([identity(s) for s in sets], np.int64).reshape(-1, 2).view(np.uint64)
+            node = mix(marks[:, 0] ^ mix(marks[:, 1])).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(node)], names=["doc_id", "n_shingles", "node"])
+
+    return df.mapInArrow(run, "doc_id long, n_shingles long, node long")
+
+
+def _stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries sorted by key and document: the first of each key, how many it has, and edges from the others to it."""
+    entries = np.sort(entries, order=("key", "doc"))
     first = np.ones(len(entries), bool)
     first[1:] = entries["key"][1:] != entries["key"][:-1]
-    heads = entries[first]
-    pivot = heads["node"][np.cumsum(first) - 1]
-    differ = entries["node"] != pivot
+    starts = np.flatnonzero(first)
+    pivot = entries["doc"][starts][np.cumsum(first) - 1]
+    differ = entries["doc"] != pivot
     edges = np.empty(int(differ.sum()), _EDGE)
-    edges["u"], edges["v"] = entries["node"][differ], pivot[differ]
-    return heads, np.unique(edges)
+    edges["u"], edges["v"] = entries["doc"][differ], pivot[differ]
+    return entries[starts], np.diff(starts, append=len(entries)), np.unique(edges)
+
+
+#: Kinds of rows that star_candidates() makes.
+EDGE, CROWDED = 0, 1
+
 
+def _found(kind: int, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind, np.int32)), pa.array(np.ascontiguousarray(u)), pa.array(np.ascontiguousarray(v))], names=["kind", "u", "v"])
 
-def star_candidates(classes: DataFrame, buckets: int) -> DataFrame:
-    """Edges (u, v) from every class to the class of least id in each segment it shares. A batch of classes pairs its own first and passes one entry a segment on, so a segment that many share stays small."""
+
+def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFrame:
+    """EDGE rows (u, v): from every document to the one of least id in each segment it shares; CROWDED rows (u, 0): keys of segments that three or more share. A batch pairs its own documents first and passes one entry a segment on (twice if several share it), so a segment that many share stays small."""
+    bands = join.edges_of_bands(1 << 32)
 
     def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 4000):
-                batch = whole.slice(at, 4000)
-                keys = [np.frombuffer(k, np.uint64) for k in batch.column(2).to_pylist()]
-                if not keys:
-                    continue
-                sizes = [len(k) for k in keys]
-                entries = np.empty(sum(sizes), _ENTRY)
-                entries["key"] = np.concatenate(keys)
-                entries["node"] = np.repeat(batch.column(0).to_numpy(), sizes)
-                entries["id"] = np.repeat(batch.column(1).to_numpy(), sizes)
-                heads, edges = _stars(entries)
-                to = (heads["key"] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                heads, to = heads[order], to[order]
-                full, first = np.unique(to, return_index=True)
-                ends = [*first[1:], len(heads)]
-                rows = [(int(b), 0, heads[i:j].tobytes()) for b, i, j in zip(full, first, ends, strict=True)]
-                if len(edges):
-                    rows.append((int(edges["u"][0]) % buckets, 1, edges.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "payload"])
+        for part, texts in slices(batches, chars=8_000_000):
+            keys = [segment_keys(s, join, bands) if len(s) else np.empty(0, np.uint64) for s in shingle_sets(texts, join.shingle)]
+            sizes = [len(k) for k in keys]
+            entries = np.empty(sum(sizes), _ENTRY)
+            entries["key"], entries["doc"] = np.concatenate(keys), np.repeat(part.column(0).to_numpy(), sizes)
+            heads, many, edges = _stars(entries)
+            crowded = heads["key"][many > 2]
+            heads = np.repeat(heads, np.minimum(many, 2))
+            rows = split_by(heads, (heads["key"] % np.uint64(buckets)).astype(np.int64), MEET)
+            if len(edges):
+                rows.append((int(edges["u"][0]) % buckets, _EDGES, edges.tobytes()))
+            if len(crowded):
+                rows.append((int(crowded[0] % np.uint64(buckets)), _KEYS, crowded.tobytes()))
+            if rows:
+                yield packed(rows)
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
 
         def settle() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                edges = _stars(np.concatenate(held))[1]
-                if len(edges):
-                    yield pa.RecordBatch.from_arrays([pa.array(edges["u"].copy()), pa.array(edges["v"].copy())], names=["u", "v"])
-            held.clear()
+            if held:
+                heads, many, edges = _stars(np.concatenate(held))
+                yield _found(EDGE, edges["u"], edges["v"])
+                crowded = heads["key"][many > 2].view(np.int64)
+                yield _found(CROWDED, crowded, np.zeros_like(crowded))
+                held.clear()
 
         for batch in batches:
             for bucket, kind, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind:
+                if kind == _EDGES:
                     edges = np.frombuffer(payload, _EDGE)
-                    yield pa.RecordBatch.from_arrays([pa.array(edges["u"].copy()), pa.array(edges["v"].copy())], names=["u", "v"])
-                    continue
-                if bucket != of:
-                    yield from settle()
-                    of = bucket
-                held.append(np.frombuffer(payload, _ENTRY))
+                    yield _found(EDGE, edges["u"], edges["v"])
+                elif kind == _KEYS:
+                    crowded = np.frombuffer(payload, np.int64)
+                    yield _found(CROWDED, crowded, np.zeros_like(crowded))
+                else:
+                    if bucket != of:
+                        yield from settle()
+                        of = bucket
+                    held.append(np.frombuffer(payload, _ENTRY))
         yield from settle()
 
-    dealt = classes.select("node", "id", "keys").mapInArrow(near, "bucket int, kind int, payload binary").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "u long, v long").distinct()
+    dealt = docs.mapInArrow(near, PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(meet, "kind int, u long, v long").distinct()
+
+
+_EDGES, _KEYS = 2, 3
 
 
-def _hamming(a: str, b: str):
-    """Bits in which two sketches differ; they are compared in 8-byte words as hex."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
+def bounded(df: DataFrame, join: JaccardJoin) -> DataFrame:
+    """df (checkpointed), to be sent to all tasks if it is small enough."""
+    return F.broadcast(df) if df.count() <= join.broadcast else df
+
+
+def sketches_of(docs: DataFrame, join: JaccardJoin) -> DataFrame:
+    """id, n_shingles and the bit sketch, as an array of 64-bit words, of docs (doc_id, text)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            sets = shingle_sets(texts, join.shingle)
+            words = b"".join([bit_sketch(s, join.sketch_bits) for s in sets])
+            width = join.sketch_bits // 64
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * width), pa.array(np.frombuffer(words, np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), flat], names=["id", "n_shingles", "words"])
+
+    return docs.mapInArrow(run, "id long, n_shingles long, words array<long>")
 
 
 def near_enough(pairs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> DataFrame:
     """Pairs (u, v) whose sizes and sketches allow a link."""
-    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("words").alias(f"s_{x}"))
+    side = lambda x: sketches.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("words").alias(f"s_{x}"))
+    hamming = F.aggregate(F.zip_with("s_u", "s_v", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
     most = F.floor((F.col("n_u") + F.col("n_v")) * F.lit(100 - join.threshold) / F.lit(100 + join.threshold) + F.lit(1e-9))
-    joined = pairs.join(side("u"), "u").where("u <> v").join(side("v"), "v")
-    return joined.where((F.abs(F.col("n_u") - F.col("n_v")) <= most) & (_hamming("s_u", "s_v") <= most)).select("u", "v")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs (u, v) that link, by their whole sets. A pair goes to v's part of the data, salted by how many pairs v has; v's set is sent once to each part."""
-    spark = docs.sparkSession
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    ids = checkpointed(classes.join(nodes, "node").select(F.col("id").alias("doc_id"), F.col("node").alias("wanted")))
-    few = ids.count() <= join.broadcast
-    wanted = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if few else ids, "doc_id")
-    sets = sets_of(wanted, join, sketched=False).select("node", "n_shingles", "hashes").join(F.broadcast(nodes) if few else nodes, "node").dropDuplicates(["node"])
-    sets = checkpointed(sets)
+    joined = pairs.join(side("u"), "u").join(side("v"), "v")
+    return joined.where((F.abs(F.col("n_u") - F.col("n_v")) <= most) & (hamming <= most)).select("u", "v").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
+    """Pairs (u, v) of documents that link, by their whole sets. A pair goes to v's part of the data, salted by how many pairs v has; v's set is sent once to each part."""
+    ids = checkpointed(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct())
+    wanted = docs.join(bounded(ids, join), "doc_id").select("doc_id", "text")
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in shingle_sets(texts, join.shingle)], pa.binary())], names=["u", "hashes"])
+
+    sets = wanted.mapInArrow(hashed, "u long, hashes binary")
     parts = pairs.groupBy("v").agg(F.ceil(F.count("*") / 2000).cast("int").alias("parts"))
     left = pairs.join(parts, "v").withColumn("part", F.pmod(F.xxhash64("u"), "parts").cast("int"))
-    left = left.join(sets.withColumnRenamed("node", "u"), "u").select("v", "part", F.lit(1).alias("kind"), "u", "hashes")
-    right = parts.join(sets.withColumnRenamed("node", "v"), "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("v", "part", F.lit(0).alias("kind"), F.col("v").alias("u"), "hashes")
+    left = sets.join(left, "u").select("v", "part", F.lit(1).alias("kind"), "hashes", "u")
+    right = sets.withColumnRenamed("u", "v").join(parts, "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("v", "part", F.lit(0).alias("kind"), "hashes", F.col("v").alias("u"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, mine = None, np.empty(0, np.uint64)
+        of, mine = None, []
         for batch in batches:
             links = []
-            for v, part, kind, u, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for v, part, kind, hashes, u in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 other = np.frombuffer(hashes, np.uint64)
                 if kind == 0:
-                    of, mine = (v, part), other
-                elif of == (v, part):
-                    at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
-                    both = int((mine[at] == other).sum())
-                    if 100 * both >= join.threshold * (len(mine) + len(other) - both):
-                        links.append((u, v))
+                    mine = [*mine, other] if of == (v, part) else [other]  # a doc_id can have several texts
+                    of = (v, part)
+                elif len(other):
+                    for own in mine:
+                        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                        both = int((own[at] == other).sum()) if len(own) else 0
+                        if 100 * both >= join.threshold * (len(own) + len(other) - both):
+                            links.append((u, v))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
 
-    del spark
-    return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long")
-
+    return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
 
-def contested_candidates(classes: DataFrame, labels: DataFrame, touched: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a segment in which several components meet."""
 
-    def exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 4000):
-                batch = whole.slice(at, 4000)
-                keys = [np.frombuffer(k, np.int64) for k in batch.column(2).to_pylist()]
-                if keys:
-                    sizes = [len(k) for k in keys]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.repeat(batch.column(1).to_numpy(), sizes))], names=["key", "node", "component"])
+def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, join: JaccardJoin) -> DataFrame:
+    """Pairs of docs of different components that share a crowded segment. The keys of crowded segments go to all tasks if they are few."""
+    bands = join.edges_of_bands(1 << 32)
+    keys = crowded.count()
+    few = keys <= join.broadcast
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(crowded.toPandas()["key"].to_numpy()) if few else None)
 
-    rows = classes.join(touched, "node").join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "keys").mapInArrow(exploded, "key long, node long, component long")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in slices(batches):
+            found = [segment_keys(s, join, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in shingle_sets(texts, join.shingle)]
+            sizes = [len(f) for f in found]
+            key, doc = np.concatenate(found), np.repeat(part.column(0).to_numpy(), sizes)
+            if few:
+                at = np.minimum(np.searchsorted(sent.value, key), max(0, len(sent.value) - 1))
+                keep = sent.value[at] == key if len(sent.value) else np.zeros(len(key), bool)
+                key, doc = key[keep], doc[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc)], names=["key", "node"])
+
+    rows = docs.mapInArrow(run, "key long, node long")
+    rows = rows if few else rows.join(crowded, "key")
+    rows = rows.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     held = checkpointed(rows.join(several, "key"))
     a, b = held.select("key", F.col("node").alias("u"), F.col("component").alias("c")), held.select("key", F.col("node").alias("v"), F.col("component").alias("d"))
@@ -264,38 +293,44 @@ def contested_candidates(classes: DataFrame, labels: DataFrame, touched: DataFra
 
 def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) for every row of docs (doc_id, text)."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    with_id = docs.where("doc_id is not null")
     rows = checkpointed(sets_of(docs, join))
-    with_id = rows.where("doc_id is not null and n_shingles > 0")
-    classes = with_id.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-    classes = checkpointed(classes)
-    size = classes.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
-    words = join.sketch_bits // 64
-    sketches = classes.select("node", "n_shingles", F.array(*[F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("long") for i in range(words)]).alias("words"))
-    stars = checkpointed(star_candidates(classes, max(64, int(size) // join.bucket)))
-    tested = checkpointed(near_enough(stars, sketches, join))
-    links = checkpointed(verified(tested, docs, classes, join))
+    worded = rows.where("doc_id is not null and n_shingles > 0")
+    # equal sets: all but the least id are members of its class
+    classes = worded.groupBy("node").agg(F.min("doc_id").alias("id"))
+    members = checkpointed(worded.select("doc_id", "node").distinct().join(classes, "node").where("doc_id <> id").select("doc_id", "id").distinct())
+    only_once = members.groupBy("doc_id").agg(F.min("id").alias("id"))
+    stars = checkpointed(star_candidates(with_id, join, bucket_count(docs.sparkSession)))
+    to = lambda x: only_once.select(F.col("doc_id").alias(x), F.col("id").alias(f"{x}_id"))
+    pairs = stars.where(F.col("kind") == EDGE).join(to("u"), "u", "left").join(to("v"), "v", "left").select(F.coalesce("u_id", "u").alias("u"), F.coalesce("v_id", "v").alias("v"))
+    pairs = checkpointed(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    touched = checkpointed(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct())
+    near = with_id.join(bounded(touched, join), "doc_id").select("doc_id", "text")
+    sketches = checkpointed(sketches_of(near, join))
+    tested = checkpointed(near_enough(pairs, sketches, join))
+    known = members.select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
+    links = checkpointed(known.union(verified(tested, with_id, join)))
     labels = checkpointed(components(links))
-    touched = stars.select(F.col("u").alias("node")).union(stars.select(F.col("v").alias("node"))).distinct()
-    more = contested_candidates(classes, labels, touched)
-    seen = tested.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    more = checkpointed(near_enough(more.join(seen, ["u", "v"], "left_anti"), sketches, join))
+    crowded = stars.where(F.col("kind") == CROWDED).select(F.col("u").alias("key"))
+    more = contested_candidates(near, crowded, labels, join).join(tested, ["u", "v"], "left_anti")
+    more = checkpointed(near_enough(more, sketches, join))
     if not more.isEmpty():
-        links = links.union(verified(more, docs, classes, join))
-        labels = checkpointed(components(links))
-    labelled = classes.select("node", "id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_node = labelled.join(least, "component").select("node", "component_id")
-    linked = with_id.select("doc_id", "n_shingles", "node").join(by_node, "node").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("component_id"))
-    return linked.union(alone)
+        labels = checkpointed(components(links.union(verified(more, with_id, join))))
+    labelled = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return labelled.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """docs without those that reach a lesser doc_id by links; of repeated rows of a kept id one stays; rows without doc_id stay."""
-    found = jaccard_components(docs.select("doc_id", "text"), join).where("doc_id is not null")
-    keep = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
-    with_id = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return with_id.join(keep, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id is null"))
+    """docs without those that reach a lesser doc_id by links; of rows that share a kept id one stays; rows without doc_id stay."""
+    found = checkpointed(jaccard_components(docs, join).where("doc_id > component_id").select(F.col("doc_id").alias("_copy")).distinct())
+    kept = docs.where("doc_id is not null").join(bounded(found, join), F.col("doc_id").cast("long") == F.col("_copy"), "left_anti")
+    repeated = checkpointed(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again"))
+    if not repeated.isEmpty():
+        again = bounded(repeated, join)
+        once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+        kept = once.unionByName(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
