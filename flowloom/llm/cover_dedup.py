@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm.common import documents, slices
-from flowloom.llm.dealing import DECIDED, ENTRY, MEET, PACKED, PLACE, bucket_count, met, packed, split_by, with_places
+from flowloom.llm.dealing import DECIDED, ENTRY, MEET, PACKED, PLACE, bucket_count, met, packed, split_by, unpack, with_places
 from flowloom.llm.words import Words, windows, words_of
 
 WINDOW, ANCHOR, PERIOD = 20, 8, 13
@@ -116,7 +116,7 @@ def repeated_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """Places, packed by document, of the windows whose words also start earlier."""
     def settled(find):
         def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
-            places = find(np.concatenate([np.frombuffer(p, ENTRY) for p in payloads[MEET]]))
+            places = find(np.concatenate([unpack(p, ENTRY) for p in payloads[MEET]]))
             return split_by(places, places["doc"] % buckets, DECIDED)
 
         return settle

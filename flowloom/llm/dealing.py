@@ -7,24 +7,41 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from flowloom.llm.common import slices
 
 #: A place: a document and a position in it.
 PLACE = np.dtype([("doc", "<i8"), ("pos", "<i4")])
 ENTRY = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 #: Rows of packed arrays: entries still to be met by bucket of their hash, or places already decided.
 PACKED = "bucket int, kind int, payload binary"
-MEET, DECIDED = 0, 1
+MEET, DECIDED = 0, 1  # of a document's rows the decided come before its text
 
 
 def bucket_count(spark: SparkSession) -> int:
     """Buckets: some for each shuffle partition, a prime number so that doc_id modulo it is even."""
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
+    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
     while any(n % d == 0 for d in range(3, int(n**0.5) + 1, 2)):
         n += 2
     return n
 
 
+def pack(values: np.ndarray) -> bytes:
+    """The fields of a structured array one after the other, compressed."""
+    raw = b"".join([np.ascontiguousarray(values[f]).tobytes() for f in values.dtype.names])
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unpack(payload: bytes, dtype: np.dtype) -> np.ndarray:
+    n = int.from_bytes(payload[:8], "little")
+    raw, at, out = pa.Codec("zstd").decompress(payload[8:], n * dtype.itemsize, asbytes=True), 0, np.empty(n, dtype)
+    for f in dtype.names:
+        size = dtype[f].itemsize
+        out[f] = np.frombuffer(raw, dtype[f], n, at)
+        at += n * size
+    return out
+
+
 def split_by(values: np.ndarray, bucket: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
     """Rows of PACKED, one a bucket."""
     if not len(values):
@@ -32,7 +49,7 @@ def split_by(values: np.ndarray, bucket: np.ndarray, kind: int) -> list[tuple[in
     order = np.argsort(bucket, kind="stable")
     values, bucket = values[order], bucket[order]
     full, first = np.unique(bucket, return_index=True)
-    return [(int(b), kind, values[i:j].tobytes()) for b, i, j in zip(full, first, [*first[1:], len(values)], strict=True)]
+    return [(int(b), kind, pack(values[i:j])) for b, i, j in zip(full, first, [*first[1:], len(values)], strict=True)]
 
 
 def packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -64,38 +81,70 @@ def met(df: DataFrame, settle: Callable[[dict[int, list[bytes]]], list[tuple[int
     return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PACKED)
 
 
+#: Kind of rows that hold documents: ids and texts as an Arrow stream, compressed, since texts are most of what is dealt.
+_TEXTS = 2
+
+
+def _dealt_texts(docs: DataFrame, buckets: int) -> DataFrame:
+    """PACKED rows of the documents, by bucket of doc_id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=3)
+        for part, _ in slices(batches, chars=12_000_000):
+            part = part.select(["doc_id", "text"])
+            bucket = np.mod(part.column(0).to_numpy(), buckets)
+            order = np.argsort(bucket, kind="stable")
+            full, first = np.unique(bucket[order], return_index=True)
+            rows = []
+            for b, i, j in zip(full.tolist(), first, [*first[1:], len(order)], strict=True):
+                sink = pa.BufferOutputStream()
+                some = part.take(pa.array(order[i:j]))
+                with pa.ipc.new_stream(sink, some.schema) as writer:
+                    writer.write_batch(some)
+                raw = sink.getvalue()
+                rows.append((b, _TEXTS, raw.size.to_bytes(8, "little") + codec.compress(raw, asbytes=True)))
+            yield packed(rows)
+
+    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+
+
+def _texts_in(payload: bytes) -> pa.Table:
+    raw = pa.Codec("zstd").decompress(payload[8:], int.from_bytes(payload[:8], "little"))
+    return pa.ipc.open_stream(raw).read_all()
+
+
 def with_places(docs: DataFrame, places: DataFrame, buckets: int, work: Callable, schema: str, dtype: np.dtype = PLACE, chars: int = 4_000_000) -> DataFrame:
     """work(ids, texts, of) for parts of docs (doc_id, text), where of(id) are the distinct places (of the dtype, its first field the document) sent for a document, sorted; it returns record batches of the schema."""
-    texts = docs.select(F.pmod("doc_id", F.lit(buckets)).cast("int").alias("bucket"), F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("payload"), "doc_id", "text")
-    both = places.select("bucket", "kind", "payload", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text")).union(texts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of, sorted_places = [], None, None
-        ids, some, size = [], [], 0
+        ids, texts, size = [], [], 0
 
         def places_of(doc: int) -> np.ndarray:
             a, b = np.searchsorted(sorted_places["doc"], [doc, doc + 1])
             return sorted_places[a:b]
 
         for batch in batches:
-            for bucket, kind, payload, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, kind, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != of:
-                    if some:
-                        yield from work(ids, some, places_of)
-                    ids, some, size = [], [], 0
+                    if texts:
+                        yield from work(ids, texts, places_of)
+                    ids, texts, size = [], [], 0
                     held, of, sorted_places = [], bucket, None
-                if kind != 2:
-                    held.append(np.frombuffer(payload, dtype))
+                if kind != _TEXTS:
+                    held.append(unpack(payload, dtype))
                     continue
                 if sorted_places is None:
                     sorted_places = np.unique(np.concatenate(held)) if held else np.empty(0, dtype)
-                if some and size + len(text or "") > chars:
-                    yield from work(ids, some, places_of)
-                    ids, some, size = [], [], 0
-                ids.append(doc)
-                some.append(text or "")
-                size += len(some[-1])
-        if some:
-            yield from work(ids, some, places_of)
-
+                for part, more in slices(_texts_in(payload).to_batches(), chars=chars):
+                    if texts and size + sum(map(len, more)) > chars:
+                        yield from work(ids, texts, places_of)
+                        ids, texts, size = [], [], 0
+                    ids += part.column(0).to_pylist()
+                    texts += more
+                    size += sum(map(len, more))
+        if texts:
+            yield from work(ids, texts, places_of)
+
+    both = places.union(_dealt_texts(docs, buckets))
     return both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, schema)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import checkpointed, documents, slices
 from flowloom.llm.components import components
-from flowloom.llm.dealing import MEET, PACKED, bucket_count, packed, split_by
+from flowloom.llm.dealing import MEET, PACKED, bucket_count, packed, split_by, unpack
 from flowloom.llm.words import mix, windows, words_of
 
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8")])
@@ -191,7 +191,7 @@ def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFra
                     if bucket != of:
                         yield from settle()
                         of = bucket
-                    held.append(np.frombuffer(payload, _ENTRY))
+                    held.append(unpack(payload, _ENTRY))
         yield from settle()
 
     dealt = docs.mapInArrow(near, PACKED).repartition("bucket").sortWithinPartitions("bucket")

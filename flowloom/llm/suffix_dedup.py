@@ -6,7 +6,9 @@ anchors: the least hash of GRAM bytes inside the window, so equal windows have e
 anchors. An anchor that occurs once has no repeated window. Around the others lie
 contexts, the bytes that windows with this anchor can reach. Contexts that are equal
 as a whole are repeated as a whole; of the different contexts of an anchor, one each
-goes to a shard. A shard's contexts make one string; its suffix array comes from
+goes to a shard. The shard is that of the stretch of text where the anchor stands
+first, so that neighbouring anchors go together and their contexts, which overlap,
+are joined. A shard's contexts make one string; its suffix array comes from
 induced sorting, and a window is repeated if a neighbour in suffix order, of another
 place, shares LENGTH bytes (permuted common prefixes). An anchor with more than
 CROWD different contexts (a passage that very many documents hold) would fill one
@@ -29,16 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm.common import documents, slices
-from flowloom.llm.dealing import DECIDED, MEET, PACKED, bucket_count, met, packed, split_by, with_places
+from flowloom.llm.dealing import DECIDED, MEET, PACKED, bucket_count, met, packed, split_by, unpack, with_places
 from flowloom.llm.suffix_arrays import common_prefixes, suffix_array
 from flowloom.llm.words import mix
 
-LENGTH, GRAM, CROWD = 200, 40, 2000
+LENGTH, GRAM, CROWD, STRETCH = 200, 40, 2000, 1024
 REACH = LENGTH - GRAM  # bytes of a window beyond its anchor
 
 #: An anchor's occurrence: its hash, the hash of its context, whether the context is known to repeat.
 _ANCHOR = np.dtype([("hash", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("many", "i1")])
-#: What is decided for a document: kind COVER, bytes [pos, end) are repeated windows; SHARD or CROWDED, the anchor at pos needs its context looked into.
+#: What is decided for a document: kind COVER, bytes [pos, end) are repeated windows; SHARD or CROWDED, the anchor at pos needs its context looked into; hash is its shard.
 _FOUND = np.dtype([("doc", "<i8"), ("pos", "<i4"), ("end", "<i4"), ("hash", "<u8"), ("kind", "i1")])
 _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 COVER, SHARD, CROWDED = 0, 1, 2
@@ -131,16 +133,20 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
 
 def _contexts_met(buckets: int, crowd: int):
     def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
-        entries, starts, sizes = _sorted(np.concatenate([np.frombuffer(p, _ANCHOR) for p in payloads[MEET]]))
+        entries, starts, sizes = _sorted(np.concatenate([unpack(p, _ANCHOR) for p in payloads[MEET]]))
         found = [_covers(entries[np.repeat(sizes > 1, sizes)])]
         heads = entries[starts]
         fresh = np.ones(len(heads), bool)
         fresh[1:] = heads["hash"][1:] != heads["hash"][:-1]
         groups = np.diff(np.flatnonzero(fresh), append=len(heads))
         different = np.repeat(groups, groups)
+        # the group's first place by document and position names its shard
+        group = np.repeat(np.arange(len(groups)), groups)
+        first = np.lexsort((heads["pos"], heads["doc"], group))[np.cumsum(groups) - groups]
+        shard = mix(mix(heads["doc"][first].view(np.uint64)) + (heads["pos"][first] // STRETCH).astype(np.uint64))[group]
         for kind, which in ((SHARD, (different > 1) & (different <= crowd)), (CROWDED, different > crowd)):
             h = heads[which]
-            found.append(_found(h["doc"], h["pos"], 0, h["hash"], kind))
+            found.append(_found(h["doc"], h["pos"], 0, shard[which], kind))
         found = np.concatenate(found)
         return split_by(found, found["doc"] % buckets, DECIDED)
 
@@ -157,16 +163,24 @@ def _looked_into(buckets: int):
         encoded = [t.encode() for t in texts]
         rows, by_bucket = [], {}
         windows: list[np.ndarray] = []
+        covers: list[np.ndarray] = []
         for doc, data in zip(ids, encoded, strict=True):
             found = of(doc)
             cover = found[found["kind"] == COVER]
             if len(cover):
-                rows.append((doc % buckets, DECIDED, cover.tobytes()))
-            need = found[found["kind"] == SHARD]
-            for p, to in zip(need["pos"].tolist(), (need["hash"] // np.uint64(buckets) % np.uint64(buckets)).tolist(), strict=True):
+                covers.append(cover)
+            need = found[found["kind"] == SHARD]  # by position
+            joined: dict[int, list[list[int]]] = {}
+            for p, to in zip(need["pos"].tolist(), (need["hash"] % np.uint64(buckets)).tolist(), strict=True):
                 begin, end = max(0, p - REACH), min(len(data), p + LENGTH)
                 if p + GRAM <= len(data) and end - begin >= LENGTH:
-                    by_bucket.setdefault(to, []).append((doc, begin, data[begin:end]))
+                    spans = joined.setdefault(to, [])
+                    if spans and begin <= spans[-1][1]:
+                        spans[-1][1] = max(end, spans[-1][1])
+                    else:
+                        spans.append([begin, end])
+            for to, spans in joined.items():
+                by_bucket.setdefault(to, []).extend([(doc, begin, data[begin:end]) for begin, end in spans])
             crowded = found[found["kind"] == CROWDED]["pos"].astype(np.int64)
             crowded = crowded[crowded + GRAM <= len(data)]
             if len(crowded) and len(data) >= LENGTH:
@@ -177,6 +191,9 @@ def _looked_into(buckets: int):
                 out = np.empty(len(at), _WINDOW)
                 out["hash"], out["doc"], out["pos"] = Bytes([data]).hashes(at, at + LENGTH), doc, at
                 windows.append(out)
+        if covers:
+            covered = np.concatenate(covers)
+            rows += split_by(covered, covered["doc"] % buckets, DECIDED)
         for to, contexts in by_bucket.items():
             head = np.array([(d, b, len(x)) for d, b, x in contexts], _CONTEXT)
             rows.append((to, _CONTEXTS, len(contexts).to_bytes(4, "little") + head.tobytes() + b"".join(x for _, _, x in contexts)))
@@ -259,7 +276,7 @@ def _shards_settled(buckets: int):
     def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
         found = [np.empty(0, _FOUND)]
         if _WINDOWS in payloads:
-            found.append(_repeated_windows(np.concatenate([np.frombuffer(p, _WINDOW) for p in payloads[_WINDOWS]]))[1])
+            found.append(_repeated_windows(np.concatenate([unpack(p, _WINDOW) for p in payloads[_WINDOWS]]))[1])
         contexts = []
         for p in payloads.get(_CONTEXTS, []):
             n = int.from_bytes(p[:4], "little")
