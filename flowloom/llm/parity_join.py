@@ -6,9 +6,10 @@ similarity in hundredths). Sizes fall into bands, each as wide as linked sizes c
 differ; two linked sets meet in the band of the larger. For a band, shingles are
 dealt by hash to more segments than any linked pair of the band can differ in, and
 each segment keeps the XOR of its shingles' hashes. One differing shingle spoils
-one segment at most, so linked sets agree on a segment (pigeonhole). Segments
-without shingles are left out; SLACK more segments than needed make up for them,
-and a set with more empty ones also gives those. A bit sketch, one bit flipped by
+one segment at most, so linked sets agree on a segment (pigeonhole). Light segments,
+of fewer than `light` shingles, tell little and are left out; more segments than
+needed make up for them, and a set with more light ones than that gives those too
+(if both sets of a pair do, they can meet there; else on a full one). A bit sketch, one bit flipped by
 each shingle, bounds the difference from below: pairs further apart go unverified.
 The rest is verified on whole sets.
 
@@ -47,11 +48,12 @@ _EDGE = np.dtype([("u", "<i8"), ("v", "<i8")])
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """shingle: words; threshold: hundredths. slack: segments beyond the difference; sketch_bits: of the bit sketch; broadcast: ids or segments sent to all tasks at most, more are joined."""
+    """shingle: words; threshold: hundredths. spare: share of segments beyond the difference; light: shingles of a segment that tells enough; sketch_bits: of the bit sketch; broadcast: ids or segments sent to all tasks at most, more are joined."""
 
     shingle: int = 5
     threshold: int = 80
-    slack: int = 3
+    spare: float = 0.15
+    light: int = 3
     sketch_bits: int = 2048
     broadcast: int = 1_000_000
 
@@ -95,16 +97,19 @@ def segment_keys(s: np.ndarray, join: JaccardJoin, bands: list[int]) -> np.ndarr
         if band > own and n * 100 < join.threshold * least:
             continue
         most = join.differ(over - 1, over - 1)
-        segments = most + 1 + join.slack
+        slack = 3 + math.ceil(join.spare * most)
+        segments = most + 1 + slack
         spread = mix(s + np.uint64(0x51ED270B * (band + 1)))
         to = (spread >> np.uint64(11)) % np.uint64(segments)
         order = np.argsort(to, kind="stable")
-        full, first = np.unique(to[order], return_index=True)
+        full, first, sizes = np.unique(to[order], return_index=True, return_counts=True)
         parity = np.bitwise_xor.reduceat(spread[order], first)
-        keys.append(mix(parity ^ (full + np.uint64(segments << 20) + np.uint64(band << 44))))
-        if segments - len(full) > join.slack:
+        key = mix(parity ^ (full + np.uint64(segments << 20) + np.uint64(band << 44)))
+        heavy = sizes >= join.light
+        keys.append(key[heavy])
+        if segments - int(heavy.sum()) > slack:
             empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), full)
-            keys.append(mix(empty + np.uint64(segments << 20) + np.uint64(band << 44) + np.uint64(1 << 60)))
+            keys += [key[~heavy], mix(empty + np.uint64(segments << 20) + np.uint64(band << 44) + np.uint64(1 << 60))]
     return np.concatenate(keys)
 
 
@@ -264,8 +269,32 @@ def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
     return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
 
 
+def _short_sketch(s: np.ndarray) -> bytes:
+    """A bit sketch that is longer for large sets; the longer folds onto the shorter by XOR of its quarters."""
+    return bit_sketch(s, 512 if len(s) <= 1000 else 2048)
+
+
+def _sketch_rows(sketches: list[bytes]) -> np.ndarray:
+    least = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, least // 8), axis=0) for x in sketches])
+
+
+def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared, no pairs are made but those."""
+    words = _sketch_rows(sketches)
+    for i in range(0, len(nodes), block):
+        for j in range(i, len(nodes), block):
+            a, b = slice(i, i + block), slice(j, j + block)
+            most = join.differ(sizes[a][:, None], sizes[b][None, :])
+            may = (components_[a][:, None] != components_[b][None, :]) & (np.abs(sizes[a][:, None] - sizes[b][None, :]) <= most)
+            x, y = np.nonzero(may)
+            near = np.bitwise_count(words[a][x] ^ words[b][y]).sum(axis=1) <= most[x, y]
+            x, y = x[near], y[near]
+            yield np.maximum(nodes[a][x], nodes[b][y]), np.minimum(nodes[a][x], nodes[b][y])
+
+
 def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs of docs of different components that share a crowded segment. The keys of crowded segments go to all tasks if they are few."""
+    """Pairs of docs of different components that share a crowded segment and whose sketches allow a link. The keys of crowded segments go to all tasks if they are few."""
     bands = join.edges_of_bands(1 << 32)
     keys = crowded.count()
     few = keys <= join.broadcast
@@ -273,22 +302,44 @@ def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame,
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
-            found = [segment_keys(s, join, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in shingle_sets(texts, join.shingle)]
+            sets = shingle_sets(texts, join.shingle)
+            found = [segment_keys(s, join, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
             sizes = [len(f) for f in found]
-            key, doc = np.concatenate(found), np.repeat(part.column(0).to_numpy(), sizes)
+            key, at = np.concatenate(found), np.repeat(np.arange(len(sets)), sizes)
             if few:
-                at = np.minimum(np.searchsorted(sent.value, key), max(0, len(sent.value) - 1))
-                keep = sent.value[at] == key if len(sent.value) else np.zeros(len(key), bool)
-                key, doc = key[keep], doc[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc)], names=["key", "node"])
+                place = np.minimum(np.searchsorted(sent.value, key), max(0, len(sent.value) - 1))
+                keep = sent.value[place] == key if len(sent.value) else np.zeros(len(key), bool)
+                key, at = key[keep], at[keep]
+            sketches = {i: _short_sketch(sets[i]) for i in np.unique(at).tolist()}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(part.column(0).to_numpy()[at]), pa.array(np.array([len(s) for s in sets], np.int64)[at]), pa.array([sketches[i] for i in at.tolist()], pa.binary())],
+                names=["key", "node", "n", "sketch"],
+            )
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            if len({h[1] for h in held}) > 1:
+                columns = list(zip(*sorted(held), strict=True))
+                for u, v in contested_pairs(*(np.array(c, np.int64) for c in columns[:3]), columns[3], join):
+                    if len(u):
+                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            held.clear()
+
+        of = None
+        for batch in batches:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != of:
+                    yield from settle()
+                    of = key
+                held.append(tuple(row))
+        yield from settle()
 
-    rows = docs.mapInArrow(run, "key long, node long")
+    rows = docs.mapInArrow(run, "key long, node long, n long, sketch binary")
     rows = rows if few else rows.join(crowded, "key")
-    rows = rows.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    held = checkpointed(rows.join(several, "key"))
-    a, b = held.select("key", F.col("node").alias("u"), F.col("component").alias("c")), held.select("key", F.col("node").alias("v"), F.col("component").alias("d"))
-    return a.join(b, "key").where("c < d").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    rows = rows.join(bounded(labels, join), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"), "n", "sketch")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "u long, v long").where("u <> v").distinct()
 
 
 def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
