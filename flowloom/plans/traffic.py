@@ -251,10 +251,10 @@ def to_targets(spark, sf_dir):
 _TELL = "tell AS (SELECT ip1 AS k, us FROM packets)"
 
 
-@query(
-    "WIN-5_throttled_names",
-    with_packets(_TELL, "nxt AS (SELECT k, us, (SELECT min(y.us) FROM tell y WHERE y.k = x.k AND y.us > x.us + 600000000) AS n FROM (SELECT DISTINCT k, us FROM tell) x)", "kept AS (SELECT k, us, n FROM nxt WHERE (k, us) IN (SELECT (k, min(us)) FROM tell GROUP BY k) UNION ALL SELECT x.k, x.us, x.n FROM kept d JOIN nxt x ON x.k = d.k AND x.us = d.n)", recursive=True) + "SELECT k, us FROM kept",
-)
+_THROTTLED = with_packets(_TELL, "nxt AS (SELECT k, us, (SELECT min(y.us) FROM tell y WHERE y.k = x.k AND y.us > x.us + 600000000) AS n FROM (SELECT DISTINCT k, us FROM tell) x)", "kept AS (SELECT k, us, n FROM nxt WHERE (k, us) IN (SELECT (k, min(us)) FROM tell GROUP BY k) UNION ALL SELECT x.k, x.us, x.n FROM kept d JOIN nxt x ON x.k = d.k AND x.us = d.n)", recursive=True)
+
+
+@query("WIN-5_throttled_names", _THROTTLED + "SELECT k, us FROM kept")
 def throttled(spark, sf_dir):
     rows = read_packets(spark, sf_dir).select(F.col("ip1").alias("k"), "us")
     return names.throttled(rows, ["k"], 600)
@@ -377,7 +377,7 @@ def streamed_round_trips(spark, sf_dir):
     return streaming.run_available(streaming.stream_latency(probes, _WAIT), _folder(spark), "append", "latency").drop("_batch")
 
 
-@query("STR-9_streamed_throttle")
+@query("STR-9_streamed_throttle", _THROTTLED + "SELECT k AS key, us FROM kept")
 def streamed_throttle(spark, sf_dir):
     rows = _landed(spark, sf_dir).select(F.col("ip1").alias("k"), "us")
     return streaming.run_available(streaming.stream_throttled(rows, "k", 600), _folder(spark), "append", "throttle").drop("_batch")
