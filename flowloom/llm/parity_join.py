@@ -48,13 +48,12 @@ _EDGE = np.dtype([("u", "<i8"), ("v", "<i8")])
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """shingle: words; threshold: hundredths. spare: share of segments beyond the difference; light: shingles of a segment that tells enough; sketch_bits: of the bit sketch; broadcast: ids or segments sent to all tasks at most, more are joined."""
+    """shingle: words; threshold: hundredths. spare: share of segments beyond the difference; light: shingles of a segment that tells enough; broadcast: ids or segments sent to all tasks at most, more are joined."""
 
     shingle: int = 5
     threshold: int = 80
     spare: float = 0.15
     light: int = 3
-    sketch_bits: int = 2048
     broadcast: int = 1_000_000
 
     def differ(self, a, b):
@@ -113,11 +112,18 @@ def segment_keys(s: np.ndarray, join: JaccardJoin, bands: list[int]) -> np.ndarr
     return np.concatenate(keys)
 
 
-def bit_sketch(s: np.ndarray, bits: int) -> bytes:
+def bit_sketch(s: np.ndarray) -> bytes:
+    """A bit flipped by each shingle, of at least as many bits as shingles and a power of two: a longer sketch folds onto a shorter by XOR of its parts."""
+    bits = 1 << max(8, (max(1, len(s)) - 1).bit_length())
     flips = np.bincount((s >> np.uint64(7)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
 
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch as 64-bit words, folded to so many bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
+
+
 def sets_of(df: DataFrame, join: JaccardJoin) -> DataFrame:
     """doc_id, n_shingles and node (what equal sets share) of every row."""
 
@@ -212,26 +218,35 @@ def bounded(df: DataFrame, join: JaccardJoin) -> DataFrame:
 
 
 def sketches_of(docs: DataFrame, join: JaccardJoin) -> DataFrame:
-    """id, n_shingles and the bit sketch, as an array of 64-bit words, of docs (doc_id, text)."""
+    """id, n_shingles and the bit sketch of docs (doc_id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             sets = shingle_sets(texts, join.shingle)
-            words = b"".join([bit_sketch(s, join.sketch_bits) for s in sets])
-            width = join.sketch_bits // 64
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * width), pa.array(np.frombuffer(words, np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), flat], names=["id", "n_shingles", "words"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([bit_sketch(s) for s in sets], pa.binary())], names=["id", "n_shingles", "sketch"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, words array<long>")
+    return docs.mapInArrow(run, "id long, n_shingles long, sketch binary")
 
 
 def near_enough(pairs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs (u, v) whose sizes and sketches allow a link."""
-    side = lambda x: sketches.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("words").alias(f"s_{x}"))
-    hamming = F.aggregate(F.zip_with("s_u", "s_v", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
+    """Pairs (u, v) whose sizes and sketches allow a link. Sizes are met first, sketches only for the pairs that are left."""
+    sizes = sketches.select("id", "n_shingles")
+    side = lambda x: sizes.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"))
     most = F.floor((F.col("n_u") + F.col("n_v")) * F.lit(100 - join.threshold) / F.lit(100 + join.threshold) + F.lit(1e-9))
-    joined = pairs.join(side("u"), "u").join(side("v"), "v")
-    return joined.where((F.abs(F.col("n_u") - F.col("n_v")) <= most) & (hamming <= most)).select("u", "v").distinct()
+    sized = pairs.join(side("u"), "u").join(side("v"), "v").where(F.abs(F.col("n_u") - F.col("n_v")) <= most).select("u", "v", most.cast("long").alias("most"))
+    drawn = lambda x: sketches.select(F.col("id").alias(x), F.col("sketch").alias(f"s_{x}"))
+    both = sized.join(drawn("u"), "u").join(drawn("v"), "v").select("u", "v", "most", "s_u", "s_v")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for most_, a, b in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                size = min(len(a), len(b))
+                near.append(int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum()) <= most_)
+            keep = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+
+    return both.mapInArrow(run, "u long, v long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
@@ -269,19 +284,10 @@ def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
     return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
 
 
-def _short_sketch(s: np.ndarray) -> bytes:
-    """A bit sketch that is longer for large sets; the longer folds onto the shorter by XOR of its quarters."""
-    return bit_sketch(s, 512 if len(s) <= 1000 else 2048)
-
-
-def _sketch_rows(sketches: list[bytes]) -> np.ndarray:
-    least = min(map(len, sketches))
-    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, least // 8), axis=0) for x in sketches])
-
-
 def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared, no pairs are made but those."""
-    words = _sketch_rows(sketches)
+    size = min(map(len, sketches))
+    words = np.stack([folded(x, size) for x in sketches])
     for i in range(0, len(nodes), block):
         for j in range(i, len(nodes), block):
             a, b = slice(i, i + block), slice(j, j + block)
@@ -310,7 +316,7 @@ def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame,
                 place = np.minimum(np.searchsorted(sent.value, key), max(0, len(sent.value) - 1))
                 keep = sent.value[place] == key if len(sent.value) else np.zeros(len(key), bool)
                 key, at = key[keep], at[keep]
-            sketches = {i: _short_sketch(sets[i]) for i in np.unique(at).tolist()}
+            sketches = {i: bit_sketch(sets[i]) for i in np.unique(at).tolist()}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(part.column(0).to_numpy()[at]), pa.array(np.array([len(s) for s in sets], np.int64)[at]), pa.array([sketches[i] for i in at.tolist()], pa.binary())],
                 names=["key", "node", "n", "sketch"],
