@@ -115,14 +115,10 @@ def _later(entries: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
 def repeated_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """Places, packed by document, of the windows whose words also start earlier."""
     def settled(find):
-        def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
-            places = find(np.concatenate([unpack(p, ENTRY) for p in payloads[MEET]]))
-            return split_by(places, places["doc"] % buckets, DECIDED)
+        return lambda payloads: find(np.concatenate([unpack(p, ENTRY) for p in payloads[MEET]]))
 
-        return settle
-
-    hits = met(anchors(docs, buckets), settled(_repeated_anchors))
-    return met(with_places(docs, hits, buckets, extended(buckets), PACKED), settled(lambda e: _later(*_groups(e))))
+    hits = met(anchors(docs, buckets), settled(_repeated_anchors), buckets)
+    return met(with_places(docs, hits, buckets, extended(buckets), PACKED), settled(lambda e: _later(*_groups(e))), buckets)
 
 
 def _kept(ids: list[int], texts: list[str], of) -> Iterator[pa.RecordBatch]:

@@ -19,8 +19,8 @@ MEET, DECIDED = 0, 1  # of a document's rows the decided come before its text
 
 
 def bucket_count(spark: SparkSession) -> int:
-    """Buckets: some for each shuffle partition, a prime number so that doc_id modulo it is even."""
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
+    """Buckets: about as many as shuffle partitions, a prime number so that doc_id modulo it is even."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) | 1
     while any(n % d == 0 for d in range(3, int(n**0.5) + 1, 2)):
         n += 2
     return n
@@ -56,27 +56,35 @@ def packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "payload"])
 
 
-def met(df: DataFrame, settle: Callable[[dict[int, list[bytes]]], list[tuple[int, int, bytes]]]) -> DataFrame:
-    """From PACKED rows: what settle() makes of all payloads of a bucket, by kind, and the DECIDED rows as they are."""
+def met(df: DataFrame, settle: Callable[[dict[int, list[bytes]]], np.ndarray], buckets: int, dtype: np.dtype = PLACE, most: int = 2_000_000) -> DataFrame:
+    """From PACKED rows: the places (of the dtype) that settle() finds in all payloads of a bucket, by kind, and those already decided, packed by bucket of the document. A task gathers places up to `most` before it packs them, so that rows stay few."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
+        places: list[np.ndarray] = []
         of = None
+
+        def gathered(least: int) -> Iterator[pa.RecordBatch]:
+            if places and sum(map(len, places)) >= least:
+                together = np.concatenate(places)
+                places.clear()
+                if len(together):
+                    yield packed(split_by(together, together["doc"] % buckets, DECIDED))
+
         for batch in batches:
-            passed = []
             for bucket, kind, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if kind == DECIDED:
-                    passed.append((bucket, kind, payload))
+                    places.append(unpack(payload, dtype))
                     continue
                 if bucket != of and held:
-                    passed += settle(held)
+                    places.append(settle(held))
                     held = {}
                 of = bucket
                 held.setdefault(kind, []).append(payload)
-            if passed:
-                yield packed(passed)
-        if held and (rows := settle(held)):
-            yield packed(rows)
+            yield from gathered(most)
+        if held:
+            places.append(settle(held))
+        yield from gathered(0)
 
     return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PACKED)
 

@@ -131,8 +131,8 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
-def _contexts_met(buckets: int, crowd: int):
-    def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
+def _contexts_met(crowd: int):
+    def settle(payloads: dict[int, list[bytes]]) -> np.ndarray:
         entries, starts, sizes = _sorted(np.concatenate([unpack(p, _ANCHOR) for p in payloads[MEET]]))
         found = [_covers(entries[np.repeat(sizes > 1, sizes)])]
         heads = entries[starts]
@@ -147,8 +147,7 @@ def _contexts_met(buckets: int, crowd: int):
         for kind, which in ((SHARD, (different > 1) & (different <= crowd)), (CROWDED, different > crowd)):
             h = heads[which]
             found.append(_found(h["doc"], h["pos"], 0, shard[which], kind))
-        found = np.concatenate(found)
-        return split_by(found, found["doc"] % buckets, DECIDED)
+        return np.concatenate(found)
 
     return settle
 
@@ -191,16 +190,16 @@ def _looked_into(buckets: int):
                 out = np.empty(len(at), _WINDOW)
                 out["hash"], out["doc"], out["pos"] = Bytes([data]).hashes(at, at + LENGTH), doc, at
                 windows.append(out)
-        if covers:
-            covered = np.concatenate(covers)
-            rows += split_by(covered, covered["doc"] % buckets, DECIDED)
         for to, contexts in by_bucket.items():
             head = np.array([(d, b, len(x)) for d, b, x in contexts], _CONTEXT)
             rows.append((to, _CONTEXTS, len(contexts).to_bytes(4, "little") + head.tobytes() + b"".join(x for _, _, x in contexts)))
         if windows:
             heads, decided = _repeated_windows(np.concatenate(windows))
             rows += split_by(heads, (heads["hash"] % np.uint64(buckets)).astype(np.int64), _WINDOWS)
-            rows += split_by(decided, decided["doc"] % buckets, DECIDED)
+            covers.append(decided)
+        if covers:
+            covered = np.concatenate(covers)
+            rows += split_by(covered, covered["doc"] % buckets, DECIDED)
         if rows:
             yield packed(rows)
 
@@ -272,8 +271,8 @@ def repeated_in_shard(contexts: list[tuple[np.ndarray, bytes]]) -> np.ndarray:
     return _ranges(doc[which], place[which])
 
 
-def _shards_settled(buckets: int):
-    def settle(payloads: dict[int, list[bytes]]) -> list[tuple[int, int, bytes]]:
+def _shards_settled():
+    def settle(payloads: dict[int, list[bytes]]) -> np.ndarray:
         found = [np.empty(0, _FOUND)]
         if _WINDOWS in payloads:
             found.append(_repeated_windows(np.concatenate([unpack(p, _WINDOW) for p in payloads[_WINDOWS]]))[1])
@@ -284,17 +283,16 @@ def _shards_settled(buckets: int):
             contexts.append((np.frombuffer(p[4:cut], _CONTEXT), p[cut:]))
         if contexts:
             found.append(repeated_in_shard(contexts))
-        found = np.concatenate(found)
-        return split_by(found, found["doc"] % buckets, DECIDED)
+        return np.concatenate(found)
 
     return settle
 
 
 def covered_ranges(docs: DataFrame, buckets: int, crowd: int = CROWD) -> DataFrame:
     """Byte ranges of docs that repeated windows cover, packed by document."""
-    contexts = met(anchored(docs, buckets), _contexts_met(buckets, crowd))
+    contexts = met(anchored(docs, buckets), _contexts_met(crowd), buckets, _FOUND)
     looked = with_places(docs, contexts, buckets, _looked_into(buckets), PACKED, _FOUND)
-    return met(looked, _shards_settled(buckets))
+    return met(looked, _shards_settled(), buckets, _FOUND)
 
 
 def _kept(ids: list[int], texts: list[str], of) -> Iterator[pa.RecordBatch]:
