@@ -15,8 +15,8 @@ TCP_LATENCY_LINE = rf"^(\d+\.\d{{6}}) IP {_IP}\.(\d+) > {_IP}\.(\d+): Flags \[(S
 ICMP_LATENCY_LINE = rf"^(\d+\.\d{{6}}) IP {_IP} > {_IP}: ICMP echo (request|reply), id (\d+), seq (\d+), length (\d+)"
 #: ICMP types whose messages carry a sequence number.
 SEQUENCED = ("0", "8", "13", "14", "17", "18")
-#: Protocols that leak into the capture of what is not IP, and belong to other captures.
-LEAKED = ("TCP", "UDP", "ICMP", "ICMPv6", "DNS", "HTTP", "SSL", "TLSv1", "DHCP", "DHCPv6", "NTP", "SNMP", "SSDP", "SMB", "NBNS", "NBDS", "BROWSER", "IGMP", "MDNS", "LLMNR")
+#: Protocols that leak into the capture of what is not IP, and belong to other captures.
+LEAKED = ("BROWSER", "CLDAP", "DHCP", "DNS", "HTTP", "ICMP", "IPv4", "LLMNR", "MDNS", "NBNS", "NTP", "OCSP", "SSDP", "SSL", "SSLv2", "TCP", "TLSv1", "TLSv1.2", "UDP", "QUIC")
 
 
 def micros(time: Column) -> Column:
