@@ -15,10 +15,11 @@ The rest is verified on whole sets.
 
 Documents of equal sets link to the least of them, which alone is compared.
 Candidates come in two rounds. First, everyone who shares a segment is paired with
-the least id there; verified links give components. Then only segments of three or
-more documents that still hold several components give pairs, of documents in
-different components. So links inside a component are not all listed, but no two
-linked documents end in different components.
+the least id there; verified links give components. Then segments of three or more
+documents that still hold several components give pairs, of documents in different
+components: at first each document with the nearest, by sketches, of another
+component, which merges most; then all that are left. So links inside a component
+are not all listed, but no two linked documents end in different components.
 
 Null and empty texts, and texts without words, have no shingles and no links; a
 text with fewer words than a shingle has one, of all its words. Rows without doc_id
@@ -113,8 +114,9 @@ def segment_keys(s: np.ndarray, join: JaccardJoin, bands: list[int]) -> np.ndarr
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
-    """A bit flipped by each shingle, of at least as many bits as shingles and a power of two: a longer sketch folds onto a shorter by XOR of its parts."""
-    bits = 1 << max(8, (max(1, len(s)) - 1).bit_length())
+    """A bit flipped by each shingle, of a power of two of bits, as many as shingles at least and of a short set four times as many, which bounds more closely: a longer sketch folds onto a shorter by XOR of its parts."""
+    n = max(1, len(s))
+    bits = 1 << max(8, (max(n, min(4 * n, 2048)) - 1).bit_length())
     flips = np.bincount((s >> np.uint64(7)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
@@ -150,8 +152,8 @@ def _stars(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return entries[starts], np.diff(starts, append=len(entries)), np.unique(edges)
 
 
-#: Kinds of rows that star_candidates() makes.
-EDGE, CROWDED = 0, 1
+#: Kinds of rows that star_candidates() and contested_candidates() make.
+EDGE, CROWDED, OPEN = 0, 1, 2
 
 
 def _found(kind: int, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
@@ -284,23 +286,42 @@ def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
     return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
 
 
-def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared, no pairs are made but those."""
+def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, most_words: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (x, y) in the arrays, and Hamming distances, of pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared (of `most_words` words of all pairs of a block at most), no pairs are made but those."""
     size = min(map(len, sketches))
     words = np.stack([folded(x, size) for x in sketches])
+    block = max(16, math.isqrt(most_words // words.shape[1]))
     for i in range(0, len(nodes), block):
         for j in range(i, len(nodes), block):
             a, b = slice(i, i + block), slice(j, j + block)
             most = join.differ(sizes[a][:, None], sizes[b][None, :])
             may = (components_[a][:, None] != components_[b][None, :]) & (np.abs(sizes[a][:, None] - sizes[b][None, :]) <= most)
+            if i == j:
+                may = np.triu(may, 1)
             x, y = np.nonzero(may)
-            near = np.bitwise_count(words[a][x] ^ words[b][y]).sum(axis=1) <= most[x, y]
-            x, y = x[near], y[near]
-            yield np.maximum(nodes[a][x], nodes[b][y]), np.minimum(nodes[a][x], nodes[b][y])
-
-
-def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs of docs of different components that share a crowded segment and whose sketches allow a link. The keys of crowded segments go to all tasks if they are few."""
+            apart = np.bitwise_count(words[a][x] ^ words[b][y]).sum(axis=1, dtype=np.int64)
+            near = apart <= most[x, y]
+            yield x[near] + i, y[near] + j, apart[near]
+
+
+def nearest_pairs(count: int, pairs: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs (x, y, apart) of places below count: those that are the nearest of x or of y, and, if there are more pairs, the places that have one."""
+    apart, to, total = np.full(count, np.iinfo(np.int64).max), np.full(count, -1), 0
+    for x, y, d in pairs:
+        total += len(x)
+        ends, others, d = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([d, d])
+        order = np.lexsort((others, d, ends))
+        ends, others, d = ends[order], others[order], d[order]
+        first = np.flatnonzero(np.diff(ends, prepend=-1))
+        better = first[d[first] < apart[ends[first]]]
+        apart[ends[better]], to[ends[better]] = d[better], others[better]
+    has = np.flatnonzero(to >= 0)
+    chosen = np.unique(np.stack([np.minimum(has, to[has]), np.maximum(has, to[has])], axis=1), axis=0)
+    return chosen[:, 0], chosen[:, 1], has if total > len(chosen) else has[:0]
+
+
+def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, join: JaccardJoin, nearest: bool) -> DataFrame:
+    """EDGE rows (u, v): pairs of docs of different components that share a crowded segment and whose sketches allow a link; with nearest only the nearest of each document in a segment, and OPEN rows (u, 0): documents that may have further pairs. The keys of crowded segments go to all tasks if they are few."""
     bands = join.edges_of_bands(1 << 32)
     keys = crowded.count()
     few = keys <= join.broadcast
@@ -327,10 +348,15 @@ def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame,
 
         def settle() -> Iterator[pa.RecordBatch]:
             if len({h[1] for h in held}) > 1:
-                columns = list(zip(*sorted(held), strict=True))
-                for u, v in contested_pairs(*(np.array(c, np.int64) for c in columns[:3]), columns[3], join):
-                    if len(u):
-                        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                nodes, labels_, sizes, sketches = zip(*sorted(set(held)), strict=True)
+                nodes = np.array(nodes, np.int64)
+                pairs = contested_pairs(nodes, np.array(labels_, np.int64), np.array(sizes, np.int64), sketches, join)
+                if nearest:
+                    x, y, more = nearest_pairs(len(nodes), pairs)
+                    pairs = [(x, y, None)]
+                    yield _found(OPEN, nodes[more], np.zeros_like(more))
+                for x, y, _ in pairs:
+                    yield _found(EDGE, np.maximum(nodes[x], nodes[y]), np.minimum(nodes[x], nodes[y]))
             held.clear()
 
         of = None
@@ -345,7 +371,7 @@ def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame,
     rows = docs.mapInArrow(run, "key long, node long, n long, sketch binary")
     rows = rows if few else rows.join(crowded, "key")
     rows = rows.join(bounded(labels, join), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"), "n", "sketch")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "u long, v long").where("u <> v").distinct()
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "kind int, u long, v long").where("u <> v").distinct()
 
 
 def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -370,10 +396,18 @@ def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> Da
     links = checkpointed(known.union(verified(tested, with_id, join)))
     labels = checkpointed(components(links))
     crowded = stars.where(F.col("kind") == CROWDED).select(F.col("u").alias("key"))
-    more = contested_candidates(near, crowded, labels, join).join(tested, ["u", "v"], "left_anti")
-    more = checkpointed(near_enough(more, sketches, join))
+    found = checkpointed(contested_candidates(near, crowded, labels, join, nearest=True))
+    further = lambda found: checkpointed(near_enough(found.where(F.col("kind") == EDGE).select("u", "v").join(tested, ["u", "v"], "left_anti"), sketches, join))
+    more = further(found)
     if not more.isEmpty():
-        labels = checkpointed(components(links.union(verified(more, with_id, join))))
+        links = checkpointed(links.union(verified(more, with_id, join)))
+        labels = checkpointed(components(links))
+        tested = checkpointed(tested.union(more))
+    still = checkpointed(found.where(F.col("kind") == OPEN).select(F.col("u").alias("doc_id")).distinct())
+    if not still.isEmpty():
+        more = further(contested_candidates(near.join(bounded(still, join), "doc_id"), crowded, labels, join, nearest=False))
+        if not more.isEmpty():
+            labels = checkpointed(components(links.union(verified(more, with_id, join))))
     labelled = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return labelled.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
