@@ -292,6 +292,26 @@ def test_near_copies_against_all_pairs(spark, texts, k, t):
     assert got == {i: (len(sets[i]), want[i]) for i in every}
 
 
+@pytest.mark.parametrize("most_words", [1, 1 << 21])
+def test_contested_pairs_against_all_pairs(most_words):
+    rng, join = np.random.default_rng(3), parity_join.JaccardJoin()
+    base = rng.integers(1, 2**63, 120, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(120) > rng.uniform(0, 0.2)], rng.integers(1, 2**63, int(rng.integers(0, 15)), dtype=np.uint64)])) for _ in range(50)]
+    nodes, components_, sizes = np.arange(50), rng.integers(0, 6, 50), np.array([len(x) for x in sets])
+    drawn = [parity_join.bit_sketch(x) for x in sets]
+    size = min(map(len, drawn))
+    apart = {(x, y): int(np.bitwise_count(parity_join.folded(drawn[x], size) ^ parity_join.folded(drawn[y], size)).sum()) for x in range(50) for y in range(x + 1, 50)}
+    want = {p: d for p, d in apart.items() if components_[p[0]] != components_[p[1]] and d <= join.differ(sizes[p[0]], sizes[p[1]]) and abs(sizes[p[0]] - sizes[p[1]]) <= join.differ(sizes[p[0]], sizes[p[1]])}
+    blocks = list(parity_join.contested_pairs(nodes, components_, sizes, drawn, join, most_words))
+    got = [(int(x), int(y), int(d)) for xs, ys, ds in blocks for x, y, d in zip(xs, ys, ds, strict=True)]
+    assert want and len(got) == len(want) and {(min(x, y), max(x, y)): d for x, y, d in got} == want
+    x, y, more = parity_join.nearest_pairs(50, blocks)
+    ends = {i: min(d for p, d in want.items() if i in p) for i in range(50) if any(i in p for p in want)}
+    chosen = set(zip(x.tolist(), y.tolist(), strict=True))
+    assert chosen <= set(want) and all(any(i in p and want[p] == d for p in chosen) for i, d in ends.items())
+    assert set(more.tolist()) == (set(ends) if len(want) > len(chosen) else set())
+
+
 def test_near_copies_on_hard_rows(hard):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in parity_join.jaccard_components(hard).collect()), key=str)
     by_id = {g[0]: g[2] for g in got if g[0] is not None}
