@@ -9,9 +9,12 @@ each segment keeps the XOR of its shingles' hashes. One differing shingle spoils
 one segment at most, so linked sets agree on a segment (pigeonhole). Light segments,
 of fewer than `light` shingles, tell little and are left out; more segments than
 needed make up for them, and a set with more light ones than that gives those too
-(if both sets of a pair do, they can meet there; else on a full one). A bit sketch, one bit flipped by
-each shingle, bounds the difference from below: pairs further apart go unverified.
-The rest is verified on whole sets.
+(if both sets of a pair do, they can meet there; else on a full one). Empty segments
+give no keys, since all sets share them: a set with more empty ones than segments make
+up for gives its shingles of least hash instead, one more than linked sets differ in,
+of which linked sets share one. Bands where linked sets can't differ give none. A bit
+sketch, one bit flipped by each shingle, bounds the difference from below: pairs
+further apart go unverified. The rest is verified on whole sets.
 
 Documents of equal sets link to the least of them, which alone is compared.
 Candidates come in two rounds. First, everyone who shares a segment is paired with
@@ -19,7 +22,9 @@ the least id there; verified links give components. Then segments of three or mo
 documents that still hold several components give pairs, of documents in different
 components: at first each document with the nearest, by sketches, of another
 component, which merges most; then all that are left. So links inside a component
-are not all listed, but no two linked documents end in different components.
+are not all listed, but no two linked documents end in different components. Segments
+of more than `block` documents are cut into blocks, and every two blocks meet by
+themselves, so no task holds more than two; nearest is then nearest of a block.
 
 Null and empty texts, and texts without words, have no shingles and no links; a
 text with fewer words than a shingle has one, of all its words. Rows without doc_id
@@ -49,13 +54,14 @@ _EDGE = np.dtype([("u", "<i8"), ("v", "<i8")])
 
 @dataclass(frozen=True)
 class JaccardJoin:
-    """shingle: words; threshold: hundredths. spare: share of segments beyond the difference; light: shingles of a segment that tells enough; broadcast: ids or segments sent to all tasks at most, more are joined."""
+    """shingle: words; threshold: hundredths. spare: share of segments beyond the difference; light: shingles of a segment that tells enough; broadcast: ids or segments sent to all tasks at most, more are joined; block: documents of a segment compared with as many others at once."""
 
     shingle: int = 5
     threshold: int = 80
     spare: float = 0.15
     light: int = 3
     broadcast: int = 1_000_000
+    block: int = 2000
 
     def differ(self, a, b):
         return (a + b) * (100 - self.threshold) // (100 + self.threshold)
@@ -97,6 +103,8 @@ def segment_keys(s: np.ndarray, join: JaccardJoin, bands: list[int]) -> np.ndarr
         if band > own and n * 100 < join.threshold * least:
             continue
         most = join.differ(over - 1, over - 1)
+        if most == 0:  # links of the band are equal sets, which are merged without keys
+            continue
         slack = 3 + math.ceil(join.spare * most)
         segments = most + 1 + slack
         spread = mix(s + np.uint64(0x51ED270B * (band + 1)))
@@ -108,9 +116,10 @@ def segment_keys(s: np.ndarray, join: JaccardJoin, bands: list[int]) -> np.ndarr
         heavy = sizes >= join.light
         keys.append(key[heavy])
         if segments - int(heavy.sum()) > slack:
-            empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), full)
-            keys += [key[~heavy], mix(empty + np.uint64(segments << 20) + np.uint64(band << 44) + np.uint64(1 << 60))]
-    return np.concatenate(keys)
+            keys.append(key[~heavy])
+        if segments - len(full) > slack:  # linked sets may agree on empty segments alone: the least shingle that both have is among these of each
+            keys.append(mix(np.sort(spread)[: most + 1] ^ np.uint64((band << 44) + (1 << 60))))
+    return np.concatenate([*keys, np.empty(0, np.uint64)])
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
@@ -286,8 +295,8 @@ def verified(pairs: DataFrame, docs: DataFrame, join: JaccardJoin) -> DataFrame:
     return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
 
 
-def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, most_words: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places (x, y) in the arrays, and Hamming distances, of pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared (of `most_words` words of all pairs of a block at most), no pairs are made but those."""
+def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, most_words: int = 1 << 21, sides: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (x, y) in the arrays, and Hamming distances, of pairs of different components, of those that share a segment, which sizes and sketches allow; blocks of sketches are compared (of `most_words` words of all pairs of a block at most), no pairs are made but those. With sides only pairs across them."""
     size = min(map(len, sketches))
     words = np.stack([folded(x, size) for x in sketches])
     block = max(16, math.isqrt(most_words // words.shape[1]))
@@ -296,6 +305,8 @@ def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarra
             a, b = slice(i, i + block), slice(j, j + block)
             most = join.differ(sizes[a][:, None], sizes[b][None, :])
             may = (components_[a][:, None] != components_[b][None, :]) & (np.abs(sizes[a][:, None] - sizes[b][None, :]) <= most)
+            if sides is not None:
+                may &= sides[a][:, None] != sides[b][None, :]
             if i == j:
                 may = np.triu(may, 1)
             x, y = np.nonzero(may)
@@ -320,37 +331,31 @@ def nearest_pairs(count: int, pairs: Iterable[tuple[np.ndarray, np.ndarray, np.n
     return chosen[:, 0], chosen[:, 1], has if total > len(chosen) else has[:0]
 
 
-def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, join: JaccardJoin, nearest: bool) -> DataFrame:
-    """EDGE rows (u, v): pairs of docs of different components that share a crowded segment and whose sketches allow a link; with nearest only the nearest of each document in a segment, and OPEN rows (u, 0): documents that may have further pairs. The keys of crowded segments go to all tasks if they are few."""
+def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame, sketches: DataFrame, join: JaccardJoin, nearest: bool) -> DataFrame:
+    """EDGE rows (u, v): pairs of docs of different components that share a crowded segment and whose sketches allow a link; with nearest only the nearest of each document in a segment (or two of its blocks), and OPEN rows (u, 0): documents that may have further pairs. The keys of crowded segments go to all tasks if they are few."""
     bands = join.edges_of_bands(1 << 32)
-    keys = crowded.count()
-    few = keys <= join.broadcast
+    few = crowded.count() <= join.broadcast
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(crowded.toPandas()["key"].to_numpy()) if few else None)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             sets = shingle_sets(texts, join.shingle)
             found = [segment_keys(s, join, bands).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
-            sizes = [len(f) for f in found]
-            key, at = np.concatenate(found), np.repeat(np.arange(len(sets)), sizes)
+            key, at = np.concatenate(found), np.repeat(np.arange(len(sets)), [len(f) for f in found])
             if few:
                 place = np.minimum(np.searchsorted(sent.value, key), max(0, len(sent.value) - 1))
                 keep = sent.value[place] == key if len(sent.value) else np.zeros(len(key), bool)
                 key, at = key[keep], at[keep]
-            sketches = {i: bit_sketch(sets[i]) for i in np.unique(at).tolist()}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(part.column(0).to_numpy()[at]), pa.array(np.array([len(s) for s in sets], np.int64)[at]), pa.array([sketches[i] for i in at.tolist()], pa.binary())],
-                names=["key", "node", "n", "sketch"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part.column(0).to_numpy()[at]), pa.array(np.array([len(s) for s in sets], np.int64)[at])], names=["key", "node", "n"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def settle() -> Iterator[pa.RecordBatch]:
             if len({h[1] for h in held}) > 1:
-                nodes, labels_, sizes, sketches = zip(*sorted(set(held)), strict=True)
-                nodes = np.array(nodes, np.int64)
-                pairs = contested_pairs(nodes, np.array(labels_, np.int64), np.array(sizes, np.int64), sketches, join)
+                nodes, labels_, sizes, drawn, sides = zip(*sorted(set(held)), strict=True)
+                nodes, sides = np.array(nodes, np.int64), np.array(sides, np.int64)
+                pairs = contested_pairs(nodes, np.array(labels_, np.int64), np.array(sizes, np.int64), drawn, join, sides=sides if of[1] < of[2] else None)
                 if nearest:
                     x, y, more = nearest_pairs(len(nodes), pairs)
                     pairs = [(x, y, None)]
@@ -361,17 +366,29 @@ def contested_candidates(docs: DataFrame, crowded: DataFrame, labels: DataFrame,
 
         of = None
         for batch in batches:
-            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != of:
+            for key, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, low, high) != of:
                     yield from settle()
-                    of = key
+                    of = (key, low, high)
                 held.append(tuple(row))
         yield from settle()
 
-    rows = docs.mapInArrow(run, "key long, node long, n long, sketch binary")
+    rows = docs.mapInArrow(run, "key long, node long, n long")
     rows = rows if few else rows.join(crowded, "key")
-    rows = rows.join(bounded(labels, join), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"), "n", "sketch")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "kind int, u long, v long").where("u <> v").distinct()
+    rows = checkpointed(rows.join(bounded(labels, join), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"), "n").distinct())
+    contested = rows.groupBy("key").agg(F.count("*").alias("many"), F.min("component").alias("least"), F.max("component").alias("last")).where("least < last")
+    contested = checkpointed(contested.select("key", F.ceil(F.col("many") / join.block).cast("int").alias("parts")))
+    rows = blocks_met(rows.join(bounded(contested, join), "key"))
+    drawn = sketches.select(F.col("id").alias("node"), F.col("n_shingles").alias("n"), "sketch").distinct()
+    rows = rows.join(drawn, ["node", "n"]).select("key", "low", "high", "node", "component", "n", "sketch", "side")
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(compare, "kind int, u long, v long").where("u <> v").distinct()
+
+
+def blocks_met(rows: DataFrame) -> DataFrame:
+    """From key, parts, node and others: a row for each two blocks of the key (low, high; the same for a block by itself) that the row's node is in, and on which side it is there."""
+    own, other = F.pmod(F.xxhash64("node"), "parts").cast("int"), F.col("_other")
+    met = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return met.withColumn("low", F.least("_own", other)).withColumn("high", F.greatest("_own", other)).withColumn("side", (F.col("_own") > other).cast("int")).drop("_own", "_other", "parts")
 
 
 def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
@@ -396,7 +413,7 @@ def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> Da
     links = checkpointed(known.union(verified(tested, with_id, join)))
     labels = checkpointed(components(links))
     crowded = stars.where(F.col("kind") == CROWDED).select(F.col("u").alias("key"))
-    found = checkpointed(contested_candidates(near, crowded, labels, join, nearest=True))
+    found = checkpointed(contested_candidates(near, crowded, labels, sketches, join, nearest=True))
     further = lambda found: checkpointed(near_enough(found.where(F.col("kind") == EDGE).select("u", "v").join(tested, ["u", "v"], "left_anti"), sketches, join))
     more = further(found)
     if not more.isEmpty():
@@ -405,7 +422,7 @@ def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> Da
         tested = checkpointed(tested.union(more))
     still = checkpointed(found.where(F.col("kind") == OPEN).select(F.col("u").alias("doc_id")).distinct())
     if not still.isEmpty():
-        more = further(contested_candidates(near.join(bounded(still, join), "doc_id"), crowded, labels, join, nearest=False))
+        more = further(contested_candidates(near.join(bounded(still, join), "doc_id"), crowded, labels, sketches, join, nearest=False))
         if not more.isEmpty():
             labels = checkpointed(components(links.union(verified(more, with_id, join))))
     labelled = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")

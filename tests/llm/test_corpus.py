@@ -312,6 +312,47 @@ def test_contested_pairs_against_all_pairs(most_words):
     assert set(more.tolist()) == (set(ends) if len(want) > len(chosen) else set())
 
 
+@pytest.mark.parametrize("t", [80, 85])
+def test_short_sets_meet_by_content_alone(t):
+    join = parity_join.JaccardJoin(threshold=t)
+    bands, rng = join.edges_of_bands(1000), np.random.default_rng(t)
+    draw = lambda n: np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+    apart = np.concatenate([np.unique(parity_join.segment_keys(draw(n), join, bands)) for n in np.repeat(np.arange(1, 40), 20)])
+    assert len(set(apart.tolist())) == len(apart)  # sets without a shingle in common share no key
+    for n in np.repeat(np.arange(4, 60), 60).tolist():
+        a = draw(n)
+        b = np.unique(np.concatenate([a[rng.random(n) > 0.08], draw(int(rng.integers(0, 3)))]))
+        both = len(np.intersect1d(a, b))
+        if len(b) != both or n != both:
+            linked = 100 * both >= t * (n + len(b) - both)
+            assert not linked or len(np.intersect1d(parity_join.segment_keys(a, join, bands), parity_join.segment_keys(b, join, bands)))
+
+
+def test_sparse_sets_meet_by_their_least_shingles():
+    join = parity_join.JaccardJoin(threshold=80)
+    bands, rng, met = join.edges_of_bands(1000), np.random.default_rng(4), 0
+    for _ in range(4000):
+        a = np.unique(rng.integers(1, 2**63, 5, dtype=np.uint64))
+        met += len(np.intersect1d(parity_join.segment_keys(a, join, bands), parity_join.segment_keys(a[1:], join, bands))) > 0
+    assert met == 4000
+
+
+def test_crowded_segments_in_blocks(spark):
+    rng, base = random.Random(8), [f"b{i}" for i in range(60)]
+    every = {i: " ".join(f"z{rng.randint(0, 400)}" if rng.random() < 0.03 else w for w in base) for i in range(80)}
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+    want = _components({i: _shingles(x, 4) for i, x in every.items()}, 85)
+    join = parity_join.JaccardJoin(shingle=4, threshold=85, block=3)
+    assert {r.doc_id: r.component_id for r in parity_join.jaccard_components(df, join).collect()} == want
+    rows = spark.range(50).selectExpr("0L as key", "17 as parts", "id as node")
+    pairs = [(r.low, r.high, r.side, r.node) for r in parity_join.blocks_met(rows).collect()]
+    at = collections.defaultdict(lambda: ([], []))
+    for low, high, side, node in pairs:
+        at[low, high][side].append(node)
+    met = [frozenset(p) for (low, high), (a, b) in at.items() for p in ([(x, y) for x in a for y in a if x < y] if low == high else [(x, y) for x in a for y in b])]
+    assert len(met) == len(set(met)) == 50 * 49 // 2
+
+
 def test_near_copies_on_hard_rows(hard):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in parity_join.jaccard_components(hard).collect()), key=str)
     by_id = {g[0]: g[2] for g in got if g[0] is not None}
