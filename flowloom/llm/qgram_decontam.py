@@ -7,7 +7,8 @@ position) that lie within e of each other. Shared q-grams are counted in diagona
 bands twice as wide as they are apart, so every such region lies within one band.
 Bands that reach the count are aligned: a banded local alignment (match 1, edit
 -EDIT) finds the best region in the band, and a region that scores at least
-length - (EDIT + 1) * e, as any region meeting the budget does, is kept. `length`
+length - (EDIT + 1) * e, as any region meeting the budget does, is kept. The rest of
+the text in the band is then aligned again, until nothing reaches that score. `length`
 is the item's own if it is shorter than `region`.
 
 Texts are compared as UTF-8 bytes with A-Z lowered and white space as spaces;
@@ -117,17 +118,22 @@ class ItemIndex:
         key, item = key[enough], item[enough]
         return np.stack([(key >> 32) // len(self.ids), item, (key & 0xFFFFFFFF) - offset], axis=1)
 
-    def aligned(self, datas: list[bytes], rows: np.ndarray) -> np.ndarray:
-        """Best region of each row of (text, item, band): columns score, start, end in the text, start, end in the item."""
+    def window(self, item: int, band: int) -> tuple[int, int]:
+        """Start and end of the text that the item's characters can meet in a band."""
+        widest = int(self.edits.max(initial=0))
+        return band * self.width - widest, band * self.width + 2 * self.width + widest + 1 + len(self.texts[item])
+
+    def aligned(self, datas: list[bytes], rows: np.ndarray, taken: dict[tuple[int, int], list[tuple[int, int]]]) -> np.ndarray:
+        """Best region of each row of (text, item, band) outside what is taken of the text for the item: columns score, start, end in the text, start, end in the item."""
         out = np.zeros((len(rows), 5), np.int64)
         lengths = np.array([len(self.texts[i]) for i in rows[:, 1]], np.int64)
         order = np.argsort(lengths, kind="stable")
         for at in range(0, len(order), 256):
             some = order[at : at + 256]
-            out[some] = self._aligned(datas, rows[some], lengths[some])
+            out[some] = self._aligned(datas, rows[some], lengths[some], taken)
         return out
 
-    def _aligned(self, datas: list[bytes], rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _aligned(self, datas: list[bytes], rows: np.ndarray, lengths: np.ndarray, taken: dict[tuple[int, int], list[tuple[int, int]]]) -> np.ndarray:
         n, wide, edit = len(rows), 2 * self.width + 2 * int(self.edits[rows[:, 1]].max(initial=0)) + 1, self.settings.edit
         low = rows[:, 2] * self.width - int(self.edits[rows[:, 1]].max(initial=0))  # least diagonal that is aligned
         most = int(lengths.max())
@@ -137,6 +143,8 @@ class ItemIndex:
             begin, stop = max(0, low[r]), min(len(datas[rows[r, 0]]), low[r] + most + wide)
             if stop > begin:
                 texts[r, begin - low[r] : stop - low[r]] = np.frombuffer(datas[rows[r, 0]], np.uint8, stop - begin, begin)
+            for a, b in taken.get((int(rows[r, 0]), int(rows[r, 1])), ()):
+                texts[r, max(0, a - low[r]) : max(0, b - low[r])] = 0xFF  # in no text
         step = edit * np.arange(wide)
         score = np.zeros((n, wide), np.int64)
         begin = np.zeros((n, wide), np.int64)  # packed start of the region: text offset << 20 | item offset
@@ -165,6 +173,17 @@ class ItemIndex:
             best[better] = np.stack([value, (start >> 20) + low, j + peak + 1 + low, start & 0xFFFFF, np.full(n, j + 1)], axis=1)[better]
         return best
 
+    def has_room(self, datas: list[bytes], row: list[int], taken: dict[tuple[int, int], list[tuple[int, int]]]) -> bool:
+        """Whether the text of a band has a stretch outside what is taken that is as long as a region's least score."""
+        t, i, band = row
+        low, high = self.window(i, band)
+        at, high = max(0, low), min(high, len(datas[t]))
+        for a, b in sorted(taken.get((t, i), ())):
+            if min(a, high) - at >= self.score[i]:
+                return True
+            at = max(at, b)
+        return high - at >= self.score[i]
+
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int, int]]:
         """(text, item, score, start, end, item start, item end) of the retained regions, in bytes; of overlapping regions of one item the best."""
         datas = [folded(t) for t in texts]
@@ -178,16 +197,26 @@ class ItemIndex:
         rows = self.candidates(datas)
         if not len(rows):
             return out
-        regions = self.aligned(datas, rows)
-        keep = regions[:, 0] >= self.score[rows[:, 1]]
-        rows, regions = rows[keep], regions[keep]
         taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for k in np.argsort(-regions[:, 0], kind="stable").tolist():
-            t, i = int(rows[k, 0]), int(rows[k, 1])
-            score, a, b, c, d = regions[k].tolist()
-            if all(b <= x or a >= y for x, y in taken.setdefault((t, i), [])):
-                taken[t, i].append((a, b))
-                out.append((t, i, score, a, b, c, d))
+        regions, stale = np.zeros((len(rows), 5), np.int64), np.ones(len(rows), bool)
+        live = np.arange(len(rows))
+        while len(live):
+            again = live[stale[live]]
+            regions[again] = self.aligned(datas, rows[again], taken)
+            stale[again] = False
+            live = live[regions[live, 0] >= self.score[rows[live, 1]]]
+            unsure: dict[tuple[int, int], list[tuple[int, int]]] = {}  # windows of the bands to be aligned again, where regions of up to their score may yet be found
+            for k in live[np.argsort(-regions[live, 0], kind="stable")].tolist():
+                t, i, band = rows[k].tolist()
+                score, a, b, c, d = regions[k].tolist()
+                if all(b <= x or a >= y for x, y in taken.get((t, i), ())):
+                    if any(a < y and b > x for x, y in unsure.get((t, i), ())):
+                        continue
+                    taken.setdefault((t, i), []).append((a, b))
+                    out.append((t, i, score, a, b, c, d))
+                stale[k] = True
+                unsure.setdefault((t, i), []).append(self.window(i, band))
+            live = live[[not stale[k] or self.has_room(datas, rows[k].tolist(), taken) for k in live.tolist()]] if len(live) else live
         return out
 
 

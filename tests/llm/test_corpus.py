@@ -496,6 +496,20 @@ def test_edited_passages_are_found(seed):
     assert [m[:2] for m in index.matches(["nothing here", text])] == [(1, 0)]
 
 
+@pytest.mark.parametrize("parts", [((0, 200), (800, 1000)), ((0, 120), (300, 420), (880, 1000)), ((0, 1000),)])
+def test_every_region_of_a_band_is_found(parts):
+    rng = random.Random(len(parts))
+    item = "".join(rng.choice("abcdefghij ") for _ in range(1000))
+    text = [rng.choice("KLMNOP").lower() for _ in range(1000)]
+    for a, b in parts:
+        text[a:b] = item[a:b]
+    text = "qrst " * 20 + "".join(text) + " tsrq" * 20
+    got = sorted(m[3:] for m in qgram_decontam.ItemIndex([(1, item)], qgram_decontam.Decontamination()).matches([text]))
+    assert got == [(100 + a, 100 + b, a, b) for a, b in parts]
+    twice = sorted(m[3:] for m in qgram_decontam.ItemIndex([(1, item)], qgram_decontam.Decontamination()).matches([text + text]))
+    assert twice == [(100 + a + n, 100 + b + n, a, b) for n in (0, len(text)) for a, b in parts]
+
+
 def test_leaks_on_hard_rows(spark, hard):
     items = spark.createDataFrame([(1, " ".join(f"v{i}" for i in range(10, 60))), (2, None), (3, ""), (4, "one"), (1, "another text of item one")], "item_id long, text string")
     got = qgram_decontam.contaminated_regions(hard, items).collect()
