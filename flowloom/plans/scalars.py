@@ -266,7 +266,7 @@ def owners(spark, sf_dir):
     """The widest range nests around another; the narrowest wins."""
     asn = spark.createDataFrame(ASN, "start long, end long, asn long")
     names_ = spark.createDataFrame([(a, n, i) for i, (a, n) in enumerate(ASN_NAMES)], "asn string, name string, ord long")
-    rows = read_packets(spark, sf_dir).select("event_id", "ip2").where("ip2 not between 134217728 and 134744063")
+    rows = read_packets(spark, sf_dir).select("event_id", "ip2")
     return enrich.with_asn_name(enrich.in_ranges(rows, "ip2", asn, ["asn"]), names_).select("event_id", "asn", "name")
 
 

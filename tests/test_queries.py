@@ -85,6 +85,14 @@ def test_scan_reads_what_it_needs(spark):
     assert "props" not in schema and "event_type" not in schema
 
 
+def test_owners_of_the_widest_range(spark, monkeypatch):
+    from flowloom.plans import scalars
+
+    rows = spark.createDataFrame([(1, 134217730), (2, 134744065), (3, 167772161), (4, 5)], "event_id long, ip2 long")
+    monkeypatch.setattr(scalars, "read_packets", lambda *_: rows)
+    assert {tuple(r) for r in scalars.owners(spark, "").collect()} == {(1, 3356, "Carrier"), (2, 15169, "Search"), (3, 64512, "Lab"), (4, None, None)}
+
+
 def test_entry_and_names():
     import __spark_entry__ as e
 
