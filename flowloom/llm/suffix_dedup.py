@@ -96,8 +96,11 @@ def _found(doc, pos, end, hashes, kind) -> np.ndarray:
 
 
 def _sorted(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors by hash, context and place; starts and sizes of the runs of one context."""
+    """Anchors by hash, context and place, one of each (a repeated row has the same); starts and sizes of the runs of one context."""
     entries = entries[np.lexsort((entries["pos"], entries["doc"], entries["context"], entries["hash"]))]
+    fresh = np.ones(len(entries), bool)
+    fresh[1:] = np.any([entries[f][1:] != entries[f][:-1] for f in ("hash", "context", "doc", "pos")], axis=0)
+    entries = entries[fresh]
     first = np.ones(len(entries), bool)
     first[1:] = (entries["hash"][1:] != entries["hash"][:-1]) | (entries["context"][1:] != entries["context"][:-1])
     starts = np.flatnonzero(first)

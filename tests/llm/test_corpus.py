@@ -433,6 +433,16 @@ def test_suffix_arrays(body, symbols):
         assert shared[b] == min(n, 16)
 
 
+@pytest.mark.parametrize("parts", [1, 2])
+def test_a_repeated_row_keeps_its_bytes(spark, parts):
+    rng = random.Random(9)
+    own, other = ("".join(rng.choice("abcdefgh ") for _ in range(900)) for _ in range(2))
+    rows = [(1, own), (1, own), (2, other), (3, other[:300])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts) if parts > 1 else spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeated_bytes(df).collect())
+    assert got == [(1, 0), (1, 0), (2, 300), (3, 300)]
+
+
 def test_repeats_on_hard_rows(hard):
     docs = hard.select("doc_id", "text")
     words = cover_dedup.remove_repeats(docs).collect()
