@@ -208,7 +208,7 @@ def fingerprints_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def with_next(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """df with next_text, the text of the row that follows by id. Rows are dealt by ranges of the id; the first row of each range is also given to the range before it."""
+    """df with next_text, the text of the row that follows by id. Rows are dealt by ranges of the id as a double, and ordered by the id itself within equal doubles; the first row of each range is also given to the range before it."""
     spark = df.sparkSession
     key = F.coalesce(F.col(id_column).cast("double"), F.lit(float("-inf")))
     keyed = df.withColumn("_key", key)
@@ -223,7 +223,7 @@ def with_next(df: DataFrame, id_column: str = "doc_id", text_column: str = "text
     before = {head["_key"]: heads[i - 1]["_range"] for i, head in enumerate(heads)}
     to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
     copies = dealt.where(F.col("_key").isin(list(before))).withColumn("_range", to[F.col("_key")]).withColumn("_copy", F.lit(1))
-    order = Window.partitionBy("_range").orderBy("_copy", "_key", F.col(text_column).asc_nulls_first())
+    order = Window.partitionBy("_range").orderBy("_copy", "_key", F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first())
     return dealt.unionByName(copies).withColumn("next_text", F.lead(text_column).over(order)).where("_copy = 0").drop("_key", "_range", "_copy")
 
 

@@ -153,6 +153,13 @@ def test_sketches_find_the_difference(a, b):
     assert iblt_fingerprints.differing(*zero, 1, np.array([1]))[0] == len(set(a) ^ set(b))
 
 
+def test_next_of_large_ids(spark):
+    ids = [(1 << 60) + i for i in range(20)]
+    df = spark.createDataFrame([(i, f"{99 - n}") for n, i in enumerate(ids)], "doc_id long, text string")
+    got = {r.doc_id: r.next_text for r in iblt_fingerprints.with_next(df).collect()}
+    assert got == {i: f"{99 - (n + 1) % 20}" for n, i in enumerate(ids)}
+
+
 def test_fingerprints_on_hard_rows(spark, hard):
     docs = hard.select("doc_id", "text").fillna("", ["text"])
     with_next = iblt_fingerprints.with_next(docs)
