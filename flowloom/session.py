@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -30,3 +31,13 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(_archive())
         _shipped.add(application)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where it may be unset, one in the machine's temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return os.path.join(tempfile.gettempdir(), "flowloom-checkpoints")
