@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowloom.session import shared_folder
+
 #: Words of the contracts: everything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -34,21 +34,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the shared checkpoint folder; later stages read it from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "flowloom-checkpoints"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like name that df doesn't have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def slices(batches: Iterable[pa.RecordBatch], text_at: str = "text", chars: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of the batches of about that many bytes of text (a longer text is a part of its own), with the texts; null reads as empty."""
+def slices(batches: Iterable[pa.RecordBatch], text_at: str = "text", chars: int = 1_000_000, each: int = 0) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of the batches of about that many bytes of text (a longer text is a part of its own), with the texts; null reads as empty. Every row counts as `each` bytes more."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text_at))
         at, size = 0, 0
         lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
         for i, n in enumerate(lengths):
+            n += each
             if i > at and size + n > chars:
                 yield batch.slice(at, i - at), [x or "" for x in column.slice(at, i - at).to_pylist()]
                 at, size = i, 0
