@@ -13,6 +13,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUES = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = _VALUES.copy()
 _LOWER[65:91] = _VALUES[97:123]
+#: Powers that a worker keeps: 16 MB in all. Longer texts, each hashed by itself, make theirs anew.
+_KEPT = 1 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -24,13 +26,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << max(20, (n - 1).bit_length())
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers[0], _powers[1]
+    """Powers of both bases up to n of them at least; up to _KEPT are kept for the next call."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    made = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(max(n, _KEPT), base)
+        steps[0] = 1
+        made.append(np.cumprod(steps, out=steps))
+    if n <= _KEPT:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 @dataclass
