@@ -85,14 +85,28 @@ def short_protocol(name: Column) -> Column:
     return F.left(name, F.lit(5))
 
 
+def readable_bytes(data: Column, keep: bool = False) -> Column:
+    """Text of bytes; sequences that are no UTF-8 go, or with keep stand as U+FFFD."""
+    text = F.make_valid_utf8(data.cast("string"))
+    return text if keep else F.replace(text, F.lit("\ufffd"), F.lit(""))
+
+
 def capped_message(message: Column, most: int = 512) -> Column:
     return F.when(F.length(message) > most, F.concat(F.left(message, F.lit(most)), F.lit("..."))).otherwise(message)
 
 
 def human_size(size: Column, base: int = 1000) -> Column:
-    """Bytes with the largest unit under which the number is at least 1, one decimal place."""
+    """Whole bytes with the largest unit under which the number is at least 1, one decimal place. Halves are rounded up, in whole numbers, so ties are the same everywhere."""
     units = ["B", "KB", "MB", "GB", "TB", "PB"]
-    out = F.concat(F.format_string("%.1f", size / float(base ** (len(units) - 1))), F.lit(units[-1]))
+
+    def written(i: int) -> Column:
+        # a tenth of a unit need not be a whole number of bytes, so the rest beyond whole units is taken times ten
+        unit = F.lit(base**i).cast("long")
+        rest = size % unit
+        tenths = ((size - rest) / unit).cast("long") * 10 + F.floor((rest * 20 + unit) / (unit * 2))
+        return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit(units[i]))
+
+    out = written(len(units) - 1)
     for i in range(len(units) - 2, -1, -1):
-        out = F.when(size < base ** (i + 1), F.concat(F.format_string("%.1f", size / float(base**i)), F.lit(units[i]))).otherwise(out)
+        out = F.when(size < base ** (i + 1), written(i)).otherwise(out)
     return out

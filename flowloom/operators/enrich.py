@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def in_ranges(rows: DataFrame, ip: str, ranges: DataFrame, values: list[str], prefix: str = "") -> DataFrame:
-    """Left join of an address to disjoint ranges (start, end): ranges are cut at /16 blocks and met by block, so it is an equi-join of any size. Where ranges nest, the narrowest wins."""
+def stretches(ranges: DataFrame, values: list[str]) -> DataFrame:
+    """Ranges (start, end) cut at /16 blocks and at each other's ends: _block, _from, _before and the values of the narrowest range there."""
     blocks = ranges.withColumn("_block", F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))))
-    addresses = rows.select(ip).where(F.col(ip).isNotNull()).distinct().withColumn("_block", F.shiftright(ip, 16))
-    met = addresses.join(blocks, "_block").where(F.col(ip).between(F.col("start"), F.col("end")))
-    best = met.groupBy(ip).agg(F.min_by(F.struct(*values), F.struct(F.col("end") - F.col("start"), "start")).alias("_v"))
-    return rows.join(best, ip, "left").select(*[c for c in rows.columns], *[F.col(f"_v.{v}").alias(prefix + v) for v in values])
+    first = F.shiftleft("_block", 16)
+    parts = blocks.withColumn("_low", F.greatest("start", first)).withColumn("_high", F.least("end", first + 65535))
+    cuts = parts.select("_block", F.col("_low").alias("_from")).union(parts.select("_block", F.col("_high") + 1)).distinct()
+    between = cuts.withColumn("_before", F.lead("_from").over(Window.partitionBy("_block").orderBy("_from"))).where("_before is not null")
+    met = between.join(parts, "_block").where("_from between _low and _high")
+    best = met.groupBy("_block", "_from", "_before").agg(F.min_by(F.struct(*values), F.struct(F.col("end") - F.col("start"), "start")).alias("_v"))
+    return best.select("_block", "_from", "_before", "_v")
+
+
+def in_ranges(rows: DataFrame, ip: str, ranges: DataFrame, values: list[str], prefix: str = "", broadcast: int = 100_000) -> DataFrame:
+    """Left join of an address to ranges (start, end); where ranges nest, the narrowest wins. Ranges become stretches that no other cuts, so an address meets one at most, by its /16 block. Of up to `broadcast` blocks with ranges they go to all tasks, and rows stay where they are; more are an equi-join."""
+    many = ranges.agg(F.coalesce(F.sum(F.shiftright("end", 16) - F.shiftright("start", 16) + 1), F.lit(0))).first()[0]
+    found = stretches(ranges, values)
+    found = F.broadcast(found) if many <= broadcast else found
+    inside = (F.shiftright(ip, 16) == F.col("_block")) & (F.col(ip) >= F.col("_from")) & (F.col(ip) < F.col("_before"))
+    return rows.join(found, inside, "left").select(*rows.columns, *[F.col(f"_v.{v}").alias(prefix + v) for v in values])
 
 
 def latest_names(names: DataFrame) -> DataFrame:

@@ -6,25 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import times
-from flowloom.operators.sessions import KEY, sessionized
+from flowloom.operators.sessions import KEY, session_seconds
 
 SHORT, LONG, BINS = 900, 10800, 90
 GROUP = ["ip1", "ip2", "p2", "vl", "ip_proto"]
 
 
 def conversation_bytes(packets: DataFrame, gap: int = 120) -> DataFrame:
-    """Packets as (client ip1, server ip2, server port p2, vl, sec, b1, b2): by client, whatever its port."""
-    c = F.col("from_client")
-    s = sessionized(packets, gap)
-    return s.select(
-        F.when(c, F.col("ip1")).otherwise(F.col("ip2")).alias("ip1"),
-        F.when(c, F.col("ip2")).otherwise(F.col("ip1")).alias("ip2"),
-        F.when(c, F.col("port2")).otherwise(F.col("port1")).alias("p2"),
+    """Active seconds of sessions as (client ip1, server ip2, server port p2, vl, sec, b1, b2, packets pk): by client, whatever its port."""
+    lo = F.col("lo_client")
+    return session_seconds(packets, gap).select(
+        F.when(lo, F.col("lo_ip")).otherwise(F.col("hi_ip")).alias("ip1"),
+        F.when(lo, F.col("hi_ip")).otherwise(F.col("lo_ip")).alias("ip2"),
+        F.when(lo, F.col("hi_port")).otherwise(F.col("lo_port")).alias("p2"),
         F.col("vlan_id").alias("vl"),
         "ip_proto",
         "sec",
-        F.when(c, F.col("bytes")).otherwise(0).alias("b1"),
-        F.when(c, F.lit(0)).otherwise(F.col("bytes")).alias("b2"),
+        "b1",
+        "b2",
+        "pk",
         *[F.col(k).alias(f"k_{k}") for k in KEY],
     )
 
@@ -33,7 +33,7 @@ def bins(rows: DataFrame, window: int, keys: list[str] = GROUP) -> DataFrame:
     """Bytes and packets of each key in each bin that has any: tbm is the window's begin, off the bin's begin in it."""
     tbm = times.floor_to(F.col("sec"), window)
     off = (times.floor_to(F.col("sec"), window // BINS) - tbm).cast("int")
-    return rows.groupBy(*keys, tbm.alias("tbm"), off.alias("off")).agg(F.sum("b1").alias("b1"), F.sum("b2").alias("b2"), F.count("*").alias("pk"))
+    return rows.groupBy(*keys, tbm.alias("tbm"), off.alias("off")).agg(F.sum("b1").alias("b1"), F.sum("b2").alias("b2"), F.sum("pk").alias("pk"))
 
 
 def groups(rows: DataFrame, window: int, keys: list[str] = GROUP) -> DataFrame:
@@ -53,11 +53,9 @@ def sessions_in_groups(rows: DataFrame, window: int) -> DataFrame:
     """ns and ne of a group: session keys that were, or were not, absent from the window before."""
     keys = [f"k_{k}" for k in KEY]
     seen = rows.select(*GROUP, *keys, times.floor_to(F.col("sec"), window).alias("tbm")).distinct()
-    anywhere = seen.select(*keys, "tbm").distinct()
-    before = F.lag("tbm").over(Window.partitionBy(*keys).orderBy("tbm"))
-    marked = anywhere.withColumn("existing", F.coalesce(before == F.col("tbm") - window, F.lit(False)))
-    joined = seen.join(marked, [*keys, "tbm"])
-    return joined.groupBy(*GROUP, "tbm").agg(F.count_if(~F.col("existing")).alias("ns"), F.count_if("existing").alias("ne"))
+    window_before = Window.partitionBy(*keys).orderBy("tbm").rangeBetween(-window, -window)
+    marked = seen.withColumn("existing", F.count("*").over(window_before) > 0)
+    return marked.groupBy(*GROUP, "tbm").agg(F.count_if(~F.col("existing")).alias("ns"), F.count_if("existing").alias("ne"))
 
 
 def session_and_capture_bins(rows: DataFrame, window: int) -> DataFrame:
@@ -71,7 +69,7 @@ def session_and_capture_bins(rows: DataFrame, window: int) -> DataFrame:
 
 def from_documents(documents: DataFrame, window: int) -> DataFrame:
     """Bins of session keys from stored byte documents."""
-    rows = documents.select(*KEY, "sb", F.explode("b").alias("x")).select(*KEY, (F.col("sb") + F.col("x.offset")).alias("sec"), F.col("x.b_lo").alias("b1"), F.col("x.b_hi").alias("b2"))
+    rows = documents.select(*KEY, "sb", F.explode("b").alias("x")).select(*KEY, (F.col("sb") + F.col("x.offset")).alias("sec"), F.col("x.b_lo").alias("b1"), F.col("x.b_hi").alias("b2"), F.lit(1).alias("pk"))
     return bins(rows, window, KEY).drop("pk")
 
 

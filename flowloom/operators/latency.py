@@ -78,8 +78,25 @@ def rollup(seconds: DataFrame, window: int, bins: int = 90) -> DataFrame:
 
 
 def to_targets(packets: DataFrame, targets: DataFrame) -> DataFrame:
-    """Packets to or from a target (c_id, ip, prev_ip, ord): the sender's target makes a reply, else the receiver's a request. Of several targets of an address the last (ord) counts."""
-    by_ip = targets.select("c_id", "ord", F.col("ip").alias("addr")).union(targets.select("c_id", "ord", F.col("prev_ip").alias("addr"))).where("addr is not null")
-    one = by_ip.groupBy("addr").agg(F.max_by("c_id", "ord").alias("c"))
-    joined = packets.join(one.select(F.col("addr").alias("ip1"), F.col("c").alias("_from")), "ip1", "left").join(one.select(F.col("addr").alias("ip2"), F.col("c").alias("_to")), "ip2", "left")
-    return joined.where("_from is not null or _to is not null").select(*packets.columns, F.coalesce("_from", "_to").alias("c_id"), F.col("_from").isNotNull().alias("reply"))
+    """Packets to or from a target (c_id, ip, prev_ip, ord, and if given ip_proto and port): the sender's target makes a reply, else the receiver's a request. Where targets have a protocol or a port (for ICMP the type), packets must have them too at the target's end; null stands for any. Of several targets that fit an end the last (ord) counts."""
+    kinds = [c for c in ("ip_proto", "port") if c in targets.columns]
+    both = [targets.select("c_id", "ord", F.col(c).alias("addr"), *kinds) for c in ("ip", "prev_ip")]
+    ends = both[0].union(both[1]).where("addr is not null").distinct()
+
+    def met(end: str, port: str, name: str) -> DataFrame:
+        """The target of each kind of packet at one end: distinct kinds are few beside packets."""
+        of = [end, *({"ip_proto": "ip_proto", "port": port}[k] for k in kinds)]
+        fits = F.col(end) == F.col("addr")
+        for k, c in zip(kinds, of[1:], strict=True):
+            fits = fits & (ends[k].isNull() | (ends[k] == F.col(f"_{c}")))
+        seen = packets.select(end, *[F.col(c).alias(f"_{c}") for c in of[1:]]).distinct().join(ends, fits)
+        best = seen.groupBy(end, *[f"_{c}" for c in of[1:]]).agg(F.max_by("c_id", "ord").alias(name))
+        return best.select(F.col(end).alias(f"{name}_0"), *[F.col(f"_{c}").alias(f"{name}_{i}") for i, c in enumerate(of[1:], 1)], name), of
+
+    joined = packets
+    for end, port, name in (("ip1", "port1", "_sender"), ("ip2", "port2", "_receiver")):
+        best, of = met(end, port, name)
+        on = [F.col(c).eqNullSafe(F.col(f"{name}_{i}")) if i else F.col(c) == F.col(f"{name}_{i}") for i, c in enumerate(of)]
+        joined = joined.join(best, on, "left")
+    kept = joined.where("_sender is not null or _receiver is not null")
+    return kept.select(*packets.columns, F.coalesce("_sender", "_receiver").alias("c_id"), F.col("_sender").isNotNull().alias("reply"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import net, times
+from flowloom.operators.ordered import with_starts
 from flowloom.sources.text import micros
 
 _IP = r"(\d{1,3}(?:\.\d{1,3}){3})"
@@ -25,6 +26,28 @@ def _g(pattern: str, i: int) -> Column:
     return F.regexp_extract("value", pattern, i)
 
 
+#: Protocols of name lines that are read, and those that are passed over.
+READ, PASSED_OVER = ("ARP", "BROWSER", "DHCP", "DNS"), ("NBDS", "SMB_NETLOGON", "BOOTP")
+
+
+def unknown_protocols(lines: DataFrame) -> DataFrame:
+    """protocol and lines: how many lines are of protocols neither read nor passed over."""
+    protocol = F.regexp_extract("value", r"^\S+ (\S+)", 1)
+    return lines.select(protocol.alias("protocol")).where(~F.col("protocol").isin(*READ, *PASSED_OVER)).groupBy("protocol").agg(F.count("*").alias("lines"))
+
+
+def mail_hosts(records: DataFrame) -> DataFrame:
+    """From records (domain, preference, host): domain and hosts, by preference, then name."""
+    listed = F.array_sort(F.collect_list(F.struct("preference", "host")))
+    return records.groupBy("domain").agg(F.transform(listed, lambda r: r["host"]).alias("hosts"))
+
+
+def host_names(rows: DataFrame, pointers: DataFrame, ip: str = "ip") -> DataFrame:
+    """Left join of addresses to names of a table of pointers (ip, name), the least name of several."""
+    least = pointers.groupBy(F.col("ip").alias(ip)).agg(F.min("name").alias("name"))
+    return rows.join(least, ip, "left")
+
+
 def events(us: Column, kind: Column, names: Column, mac: Column, ips: Column) -> list[Column]:
     """us, r, n (names), m (hardware address as a number), i (addresses as numbers), tm (minute of the packet); empty lists are null."""
     listed = lambda a: F.when(F.size(a) > 0, a)
@@ -81,13 +104,6 @@ def dns(lines: DataFrame, timeout: int = 120) -> DataFrame:
 
 
 def throttled(rows: DataFrame, keys: list[str], wait: int, time: str = "us") -> DataFrame:
-    """Rows that are the first of their key or come more than `wait` seconds after the last such one. A fold over each key's times; times of a key no further apart than that from one another in a chain make one array."""
-    order = Window.partitionBy(*keys).orderBy(time)
-    gap = wait * 1_000_000
-    chained = rows.withColumn("_new", F.coalesce(F.col(time) - F.lag(time).over(order) > gap, F.lit(True)).cast("int")).withColumn("_run", F.sum("_new").over(order))
-    times_of = chained.groupBy(*keys, "_run").agg(F.array_sort(F.collect_set(time)).alias("_times"))
-    start = F.array().cast("array<bigint>")
-    step = lambda a, x: F.when((F.size(a) == 0) | (x - F.try_element_at(a, F.lit(-1)) > gap), F.concat(a, F.array(x))).otherwise(a)
-    kept = times_of.select(*keys, F.explode(F.aggregate("_times", start, step)).alias(time))
-    first = rows.join(kept, [*keys, time], "left_semi")
-    return first.dropDuplicates([*keys, time])
+    """Rows that are the first of their key or come more than `wait` seconds after the last such one; of rows at one time one."""
+    start = "_start"
+    return with_starts(rows, keys, time, wait * 1_000_000 + 1, start).where(F.col(time) == F.col(start)).drop(start).dropDuplicates([*keys, time])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import net, times
+from flowloom.operators.ordered import with_starts
 
 KEY = ["lo_ip", "lo_port", "hi_ip", "hi_port", "vlan_id", "ip_proto"]
 
@@ -68,6 +69,41 @@ def oriented(sessions: DataFrame, lrs_min_duration: int) -> DataFrame:
     )
 
 
+def partial_sessions(packets: DataFrame, gap: int = 120) -> DataFrame:
+    """Sessions of some packets, to be merged with others of the same keys: as session_aggregates(), with the first packet."""
+    keyed = with_session_key(packets).withColumn("ts", F.timestamp_micros("us"))
+    first = F.min(F.struct("us", "event_id", (sender_is_client() == F.col("from_lo")).alias("lo_client"))).alias("first")
+    return keyed.groupBy(*KEY, F.session_window("ts", f"{gap} seconds")).agg(*session_aggregates()[:-1], first).drop("session_window")
+
+
+def merged_sessions(parts: DataFrame, gap: int = 120) -> DataFrame:
+    """Partial sessions (tb to te) of a key that are no further than the gap apart, as one."""
+    order = Window.partitionBy(*KEY).orderBy("tb", "te")
+    before = F.max("te").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("tb") - before > gap * 1_000_000, F.lit(True)).cast("int")
+    numbered = parts.withColumn("_fresh", fresh).withColumn("_session", F.sum("_fresh").over(order))
+    sums = [F.sum(c).alias(c) for c in ("b_lo", "b_hi", "pk_lo", "pk_hi")] + [F.bit_or(c).alias(c) for c in ("f_lo", "f_hi")]
+    return numbered.groupBy(*KEY, "_session").agg(F.min("tb").alias("tb"), F.max("te").alias("te"), *sums, F.min("first").alias("first")).select(parts.columns)
+
+
+def from_parts(sessions: DataFrame, lrs_min_duration: int = 300) -> DataFrame:
+    """Merged sessions as session_info() gives them."""
+    return oriented(sessions.withColumn("lo_client", F.col("first.lo_client")), lrs_min_duration)
+
+
+def plain_session_info(packets: DataFrame, gap: int = 120, lrs_min_duration: int = 300) -> DataFrame:
+    """As session_info(), by the plainer rule for the client: of TCP the lower endpoint, else whoever sends first."""
+    keyed = with_session_key(packets).withColumn("ts", F.timestamp_micros("us"))
+    client = F.min_by((F.col("ip_proto") == 6) | F.col("from_lo"), F.struct("us", "event_id")).alias("lo_client")
+    return oriented(keyed.groupBy(*KEY, F.session_window("ts", f"{gap} seconds")).agg(*session_aggregates()[:-1], client), lrs_min_duration)
+
+
+def read_back(stored: DataFrame) -> DataFrame:
+    """Stored session documents as both sides' counters again; documents from before packets were counted by side have none."""
+    missing = {c: F.lit(None).cast("long") for c in ("pk1", "pk2") if c not in stored.columns}
+    return stored.withColumns(missing).withColumns({c: F.coalesce(c, F.lit(0)) for c in ("pk1", "pk2")})
+
+
 def session_info(packets: DataFrame, gap: int = 120, lrs_min_duration: int = 300) -> DataFrame:
     """A row a session. Packets up to and including the gap apart are one session. Partial sessions merge before and after the shuffle on the key."""
     keyed = with_session_key(packets).withColumn("ts", F.timestamp_micros("us"))
@@ -86,6 +122,37 @@ def sessionized(packets: DataFrame, gap: int = 120) -> DataFrame:
     return numbered.withColumn("_first", first).withColumn("tb", F.col("_first.us")).withColumn("from_client", F.col("from_lo") == F.col("_first.lo_client")).drop("_first", "session")
 
 
+def session_seconds(packets: DataFrame, gap: int = 120) -> DataFrame:
+    return seconds_of(with_session_key(packets), KEY, sender_is_client(), gap)
+
+
+def seconds_of(keyed: DataFrame, keys: list[str], client: Column, gap: int = 120) -> DataFrame:
+    """Bytes b1 of the client and b2 of the server and packets of every session of keys (whose first packet tells whether its sender is the client), second by second, with its begin tb. Packets are summed by key and second before any order is needed, so a busy key has a row a second; a gap of a second or more shows between active seconds."""
+    lo = F.col("from_lo")
+    client = F.struct("us", "event_id", (client == lo).alias("lo_client"))
+    seconds = keyed.groupBy(*keys, "sec").agg(
+        F.min("us").alias("first_us"),
+        F.max("us").alias("last_us"),
+        F.min(client).alias("first"),
+        F.sum(F.when(lo, F.col("bytes")).otherwise(0)).alias("b_lo"),
+        F.sum(F.when(lo, 0).otherwise(F.col("bytes"))).alias("b_hi"),
+        F.count("*").alias("pk"),
+    )
+    order = Window.partitionBy(*keys).orderBy("sec")
+    begins = F.coalesce(F.col("first_us") - F.lag("last_us").over(order) > gap * 1_000_000, F.lit(True))
+    opened = seconds.withColumn("first", F.last(F.when(begins, F.col("first")), ignorenulls=True).over(order))
+    lo_client = F.col("first.lo_client")
+    return opened.select(
+        *keys,
+        "sec",
+        F.col("first.us").alias("tb"),
+        lo_client.alias("lo_client"),
+        F.when(lo_client, F.col("b_lo")).otherwise(F.col("b_hi")).alias("b1"),
+        F.when(lo_client, F.col("b_hi")).otherwise(F.col("b_lo")).alias("b2"),
+        "pk",
+    )
+
+
 def per_second(packets: DataFrame) -> DataFrame:
     """Bytes and packets of both sides of a key, second by second."""
     lo = F.col("from_lo")
@@ -93,20 +160,8 @@ def per_second(packets: DataFrame) -> DataFrame:
 
 
 def byte_documents(packets: DataFrame, length: int = 20) -> DataFrame:
-    """Documents of at most `length` seconds a key: each starts at the first active second that the last does not cover. A row has its begin sb, last active second se, b: array of (offset, b_lo, b_hi), and the key's bytes up to its end.
-
-    Seconds more than `length` apart start anew in any case, so a fold runs over each such run by itself and holds no more than a run.
-    """
-    seconds = per_second(packets).withColumn("ts", F.timestamp_seconds("sec"))
-    runs = seconds.groupBy(*KEY, F.session_window("ts", f"{length} seconds")).agg(F.array_sort(F.collect_list(F.struct("sec", "b_lo", "b_hi"))).alias("active"))
-    start = F.struct(F.lit(None).cast("long").alias("at"), F.array().cast("array<struct<sb:bigint,sec:bigint,b_lo:bigint,b_hi:bigint>>").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        at = F.when(state["at"].isNull() | (x["sec"] >= state["at"] + length), x["sec"]).otherwise(state["at"])
-        row = F.struct(at.alias("sb"), x["sec"].alias("sec"), x["b_lo"].alias("b_lo"), x["b_hi"].alias("b_hi"))
-        return F.struct(at.alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
-
-    placed = runs.select(*KEY, F.inline(F.aggregate("active", start, step, lambda s: s["out"])))
+    """Documents of at most `length` seconds a key: each starts at the first active second that the last does not cover. A row has its begin sb, last active second se, b: array of (offset, b_lo, b_hi), and the key's bytes up to its end."""
+    placed = with_starts(per_second(packets).drop("pk"), KEY, "sec", length, "sb")
     documents = placed.groupBy(*KEY, "sb").agg(
         F.max("sec").alias("se"),
         F.sum("b_lo").alias("doc_lo"),

@@ -109,10 +109,10 @@ def capture_filter(spark, sf_dir):
     return captured(read_packets(spark, sf_dir), 6, "port2 <> 22 and port1 <> 22").select("event_id", "bytes")
 
 
-@query("SRC-12_collection_scan", "SELECT event_id, ts, value FROM events WHERE event_id BETWEEN 100 AND 5000 AND value > 50 ORDER BY event_id LIMIT 100")
+@query("SRC-12_collection_scan", "SELECT event_id, ts, value FROM events WHERE value > 50 ORDER BY event_id LIMIT 100")
 def scan(spark, sf_dir):
     """find(spec, projection, sort, limit): the limit is the feature."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id between 100 and 5000 and value > 50").select("event_id", "ts", "value").orderBy("event_id").limit(100)
+    return spark.read.parquet(f"{sf_dir}/events.parquet").where("value > 50").select("event_id", "ts", "value").orderBy("event_id").limit(100)
 
 
 def _stamp(us):
@@ -147,26 +147,31 @@ def udp_text(spark, sf_dir):
 _ICMP_SQL = "SELECT us, ip1, bytes, ip2, CASE WHEN event_id % 3 = 0 THEN '0.0' WHEN event_id % 3 = 1 THEN '8.0' ELSE '3.13' END AS typecode, CASE WHEN event_id % 3 < 2 THEN CAST((us // 7) % 5000 AS INT) END AS seq, vlan_id FROM packets"
 
 
-def icmp_lines(p):
+def icmp_lines(p, number="cast((us div 7) % 5000 as string)"):
+    """Packets written as ICMP lines, with the number as sequence of requests and replies; event_id stays beside the line."""
     s = lambda c: F.col(c).cast("string")
     vlan = F.when(F.col("vlan_id") > 0, s("vlan_id"))
     kind = F.when(F.col("event_id") % 3 == 0, "0 0").when(F.col("event_id") % 3 == 1, "8 0").otherwise("3 0x0d")
-    seq = F.when(F.col("event_id") % 3 < 2, F.concat(F.expr("cast((us div 7) % 5000 as string)"), F.lit(" (0xc907)")))
-    return p.select(F.concat_ws(" ", _stamp("us"), net.long_to_ip(F.col("ip1")), s("bytes"), net.long_to_ip(F.col("ip2")), kind, seq, vlan).alias("value"))
+    seq = F.when(F.col("event_id") % 3 < 2, F.concat(F.expr(number), F.lit(" (0xc907)")))
+    return p.select(F.concat_ws(" ", _stamp("us"), net.long_to_ip(F.col("ip1")), s("bytes"), net.long_to_ip(F.col("ip2")), kind, seq, vlan).alias("value"), "event_id")
 
 
 @query("PROJ-5_icmp_lines", with_packets() + _ICMP_SQL)
 def icmp_text(spark, sf_dir):
-    return text.parse_icmp(icmp_lines(read_packets(spark, sf_dir)))
+    return text.parse_icmp(icmp_lines(read_packets(spark, sf_dir))).drop("event_id")
 
 
 @query("PROJ-6_other_lines", with_packets() + "SELECT us, '00:09:0f:50:aa:fc' AS s, bytes, 'ff:ff:ff:ff:ff:ff' AS d, 'ARP' AS pr, CASE WHEN event_id % 50 = 0 THEN repeat('x', 512) || '...' ELSE 'Who has ' || event_id END AS m, vlan_id FROM packets WHERE event_id % 7 <> 0")
 def other_text(spark, sf_dir):
+    return text.parse_other(other_lines(read_packets(spark, sf_dir)))
+
+
+def other_lines(p):
     s = lambda c: F.col(c).cast("string")
     message = F.when(F.col("event_id") % 50 == 0, F.repeat(F.lit("x"), 600)).otherwise(F.concat(F.lit("Who has "), s("event_id")))
     proto = F.when(F.col("event_id") % 7 == 0, "DNS").otherwise("ARP")
     line = F.concat_ws(" ", _stamp("us"), F.when(F.col("vlan_id") > 0, s("vlan_id")), F.lit("00:09:0f:50:aa:fc"), s("bytes"), F.lit("ff:ff:ff:ff:ff:ff"), proto, message)
-    return text.parse_other(read_packets(spark, sf_dir).select(line.alias("value")))
+    return p.select(line.alias("value"))
 
 
 @query("FLT-1_short_lines", with_packets() + "SELECT count(*) AS kept FROM packets WHERE event_id % 4 <> 0")
@@ -228,17 +233,25 @@ def digits(spark, sf_dir):
     return spark.createDataFrame([("12",), ("-3",), ("x",), ("",)], "t string").select("t", F.col("t").try_cast("long").alias("n"))
 
 
-@query(
-    "FN-29_readable_sizes",
-    """WITH s AS (SELECT o_orderkey AS k, o_orderkey * o_orderkey * 37 AS n FROM orders)
-SELECT k, CASE WHEN n < 1000 THEN printf('%.1f', n / 1.0) || 'B' WHEN n < 1000000 THEN printf('%.1f', n / 1000.0) || 'KB' WHEN n < 1000000000 THEN printf('%.1f', n / 1000000.0) || 'MB'
-  WHEN n < 1000000000000 THEN printf('%.1f', n / 1000000000.0) || 'GB' ELSE printf('%.1f', n / 1000000000000.0) || 'TB' END AS size FROM s WHERE (n * 20) % 1000 <> 0 AND n > 1000000 AND (n // 50000) % 2 = 0 AND n % 50000 BETWEEN 1000 AND 49000""",
-)
+def _readable_sql(base: int) -> str:
+    """Tenths of a unit, halves up, in whole numbers."""
+    whens = " ".join(f"WHEN n < {base ** (i + 1)} THEN ((n * 10 + {base**i // 2}) // {base**i})" for i in range(4))
+    name = " ".join(f"WHEN n < {base ** (i + 1)} THEN '{u}'" for i, u in enumerate(("B", "KB", "MB", "GB")))
+    return f"SELECT k, (t // 10) || '.' || (t % 10) || u AS size FROM (SELECT k, CASE {whens} ELSE (n * 10 + {base**4 // 2}) // {base**4} END AS t, CASE {name} ELSE 'TB' END AS u FROM (SELECT o_orderkey AS k, o_orderkey * o_orderkey * 37 AS n FROM orders))"
+
+
+def _sizes(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey as k", "o_orderkey * o_orderkey * 37 as n")
+
+
+@query("FN-29_readable_sizes", _readable_sql(1000))
 def readable(spark, sf_dir):
-    """Sizes away from ties of the last decimal place."""
-    n = F.col("n")
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey as k", "o_orderkey * o_orderkey * 37 as n").where("(n * 20) % 1000 <> 0 and n > 1000000 and (n div 50000) % 2 = 0 and n % 50000 between 1000 and 49000")
-    return rows.select("k", net.human_size(n).alias("size"))
+    return _sizes(spark, sf_dir).select("k", net.human_size(F.col("n")).alias("size"))
+
+
+@query("FN-29_readable_binary_sizes", _readable_sql(1024))
+def readable_binary(spark, sf_dir):
+    return _sizes(spark, sf_dir).select("k", net.human_size(F.col("n"), 1024).alias("size"))
 
 
 GEO = [(167772160, 167772163, "US", "Ashburn", -77.5, 39.0), (167772164, 167772167, "DE", "Berlin", 13.4, 52.5), (134744064, 134744073, "US", "Mountain View", -122.1, 37.4), (134744074, 134809599, "BR", "Recife", -34.9, -8.1)]
@@ -260,7 +273,7 @@ def countries(spark, sf_dir):
     return enrich.in_ranges(one, "ip2", geo, ["cc"]).select("event_id", "cc1", "city1", "lon1", "lat1", F.col("cc").alias("cc2"))
 
 
-@query("JOIN-3_network_owners", with_packets() + f"""SELECT event_id, a.asn, n.name FROM packets LEFT JOIN (VALUES {_values(ASN[:2])}) a(s, e, asn) ON ip2 BETWEEN a.s AND a.e
+@query("JOIN-3_network_owners", with_packets() + f"""SELECT event_id, a.asn, n.name FROM (SELECT event_id, (SELECT arg_min(r.asn, r.e - r.s) FROM (VALUES {_values(ASN)}) r(s, e, asn) WHERE p.ip2 BETWEEN r.s AND r.e) AS asn FROM packets p) a
 LEFT JOIN (VALUES (64512, 'Lab'), (15169, 'Search'), (3356, 'Carrier')) n(asn, name) ON a.asn = n.asn""")
 def owners(spark, sf_dir):
     """The widest range nests around another; the narrowest wins."""
@@ -355,3 +368,45 @@ UNION ALL SELECT 1344610757356590, 'PTR', 'customer.ltkm11.net', NULL, '15929770
 )
 def dns_names(spark, sf_dir):
     return _flat(names.dns(_lines(spark)))
+
+
+@query("SORT-7_mail_hosts", "SELECT s_nationkey AS domain, string_agg(s_name, ',' ORDER BY s_suppkey % 50, s_name) AS hosts FROM supplier GROUP BY s_nationkey")
+def mail_hosts(spark, sf_dir):
+    records = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("s_nationkey as domain", "s_suppkey % 50 as preference", "s_name as host")
+    return names.mail_hosts(records).select("domain", F.array_join("hosts", ",").alias("hosts"))
+
+
+@query("SRC-23_host_names", with_packets() + "SELECT event_id, min(s_name) AS name FROM packets LEFT JOIN supplier ON ip2 = 134744072 + s_suppkey % 3 GROUP BY event_id")
+def host_names(spark, sf_dir):
+    pointers = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("134744072 + s_suppkey % 3 as ip", "s_name as name")
+    return names.host_names(read_packets(spark, sf_dir).select("event_id", "ip2"), pointers, "ip2").select("event_id", "name")
+
+
+@query("FLT-18_unknown_protocols", with_packets() + "SELECT CASE event_id % 5 WHEN 3 THEN 'WINS' ELSE 'CUPS' END AS protocol, count(*) AS lines FROM packets WHERE event_id % 5 IN (3, 4) GROUP BY 1")
+def unknown_protocols(spark, sf_dir):
+    kinds = F.array(*[F.lit(x) for x in ("ARP", "BOOTP", "DNS", "WINS", "CUPS")])
+    lines = read_packets(spark, sf_dir).select(F.concat(_stamp("us"), F.lit(" "), F.get(kinds, F.col("event_id") % 5), F.lit(" and more")).alias("value"))
+    return names.unknown_protocols(lines)
+
+
+@query("FN-33_undecodable_bytes", "SELECT o_orderkey AS k, 'a' || (o_orderkey % 7) || 'z' AS plain FROM orders")
+def undecodable(spark, sf_dir):
+    """Every order's text has a byte in it that is no UTF-8."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    data = F.concat(F.unhex(F.lit("61FF")), F.expr("cast(cast(k % 7 as string) as binary)"), F.unhex(F.lit("C37A")))
+    return rows.select("k", net.readable_bytes(data).alias("plain"))
+
+
+@query("FLT-15_untagged_lines", with_packets() + "SELECT us, ip1, port1, ip2, port2, bytes, 0 AS vlan_id FROM packets WHERE ip_proto = 6")
+def untagged(spark, sf_dir):
+    """VLANs are not kept if they are not wanted."""
+    return text.parse_tcp(tcp_lines(read_packets(spark, sf_dir, 6)), ingest_vlan_id=False).drop("flags")
+
+
+@query("SNK-13_rejected_lines", with_packets() + "SELECT CASE WHEN event_id % 4 = 0 THEN 'too short a line' ELSE 'bad ' || us END AS value FROM packets WHERE ip_proto = 6 AND event_id % 4 < 2")
+def rejected_lines(spark, sf_dir):
+    """Lines without a packet, equal ones as often as they come."""
+    p = read_packets(spark, sf_dir, 6)
+    good = tcp_lines(p.where("event_id % 4 >= 2"))
+    bad = p.where("event_id % 4 < 2").select(F.when(F.col("event_id") % 4 == 0, "too short a line").otherwise(F.concat(F.lit("bad "), F.col("us").cast("string"))).alias("value"))
+    return text.rejected(good.union(bad), text.parse_tcp)

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowloom.config import TrafficConfig
-from flowloom.operators import capture, groups, latency, maintenance, names, sessions
+from flowloom.operators import capture, groups, icmp, latency, maintenance, names, sessions
 from flowloom.plans.registry import query
 from flowloom.plans.sql import GAP, KEY, KEYED, SESSIONS, with_packets
+from flowloom.session import shared_folder
+from flowloom.sources import pcap, text
 from flowloom.sources.packets import PACKET, read_packets
 from flowloom.streaming import traffic as streaming
 
@@ -21,8 +21,7 @@ CONFIG = TrafficConfig()
 
 def _folder(spark) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "flowloom-checkpoints")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # --- sessions ---------------------------------------------------------------
@@ -167,7 +166,7 @@ def distinct_sessions(spark, sf_dir):
 
 @query("AGG-17_icmp_and_other_groups", with_packets() + "SELECT ip1, '8.0' AS ty1, ip2, vlan_id AS vl, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b1, CAST(0 AS BIGINT) AS b2, count(*) AS pk FROM packets GROUP BY ALL")
 def icmp_groups(spark, sf_dir):
-    rows = read_packets(spark, sf_dir).select("ip1", F.lit("8.0").alias("ty1"), "ip2", F.col("vlan_id").alias("vl"), "sec", F.col("bytes").alias("b1"), F.lit(0).cast("long").alias("b2"))
+    rows = read_packets(spark, sf_dir).select("ip1", F.lit("8.0").alias("ty1"), "ip2", F.col("vlan_id").alias("vl"), "sec", F.col("bytes").alias("b1"), F.lit(0).cast("long").alias("b2"), F.lit(1).alias("pk"))
     return groups.bins(rows, groups.SHORT, ["ip1", "ty1", "ip2", "vl"])
 
 
@@ -186,6 +185,79 @@ def direction_bytes(spark, sf_dir):
     return capture.direction_bytes(read_packets(spark, sf_dir), CONFIG.local_subnets)
 
 
+_PLAIN = SESSIONS.rstrip() + """,
+plain AS (SELECT * REPLACE (CASE WHEN ip_proto = 6 THEN true ELSE first_value(from_lo) OVER (PARTITION BY """ + KEY + """, session ORDER BY us, event_id) END AS lo_client) FROM sided)
+"""
+
+
+@query("AGG-3_plain_session_info", _PLAIN + _INFO.format(where="").replace("FROM sided", "FROM plain"))
+def plain_info(spark, sf_dir):
+    return sessions.plain_session_info(read_packets(spark, sf_dir), GAP, 60)
+
+
+@query("PROJ-18_stored_sessions", SESSIONS + "SELECT ip1, p1, ip2, p2, tb, CASE WHEN p1 % 2 = 0 THEN 0 ELSE pk1 END AS pk1, CASE WHEN p1 % 2 = 0 THEN 0 ELSE pk2 END AS pk2 FROM (" + _INFO.format(where="") + ")")
+def stored_sessions(spark, sf_dir):
+    """Documents of some sessions are from before packets were counted by side."""
+    info = sessions.session_info(read_packets(spark, sf_dir), GAP, 60)
+    older = F.col("p1") % 2 == 0
+    stored = info.withColumns({c: F.when(~older, F.col(c)) for c in ("pk1", "pk2")})
+    return sessions.read_back(stored).select("ip1", "p1", "ip2", "p2", "tb", "pk1", "pk2")
+
+
+_ICMP_LINES = """icmp AS (SELECT event_id, us, ip1, ip2, bytes, vlan_id, least(ip1, ip2) AS lo_ip, greatest(ip1, ip2) AS hi_ip, ip1 <= ip2 AS from_lo,
+  CASE event_id % 3 WHEN 0 THEN '0.0' WHEN 1 THEN '8.0' ELSE '3.13' END AS own, CASE WHEN event_id % 3 < 2 THEN (us // 600000000) % 50 END AS seq FROM packets),
+asked AS (SELECT *, lag(us) OVER w AS before, lag(own) OVER w AS earlier, lag(from_lo) OVER w AS way FROM icmp WINDOW w AS (PARTITION BY lo_ip, hi_ip, seq ORDER BY us, event_id)),
+adopted AS (SELECT * EXCLUDE (before, earlier, way), CASE WHEN seq IS NOT NULL AND own <> '8.0' AND earlier = '8.0' AND way <> from_lo AND us - before <= 120000000 THEN earlier ELSE own END AS typecode FROM asked)"""
+
+
+def _icmp(spark, sf_dir):
+    """Packets written as ICMP lines and read back: echo requests, replies (with the sequence number of a time) and notices."""
+    from flowloom.plans.scalars import icmp_lines
+
+    lines = icmp_lines(read_packets(spark, sf_dir), "cast((us div 600000000) % 50 as string)")
+    return icmp.adopted(text.parse_icmp(lines))
+
+
+@query("JOIN-8_adopted_types", with_packets(_ICMP_LINES) + "SELECT event_id, own, typecode FROM adopted")
+def adopted_types(spark, sf_dir):
+    return _icmp(spark, sf_dir).select("event_id", "own", "typecode")
+
+
+@query("AGG-22_icmp_type_sets", with_packets(_ICMP_LINES) + """SELECT lo_ip, hi_ip, typecode, vlan_id, from_lo, string_agg(own, ',' ORDER BY us, event_id) AS types
+FROM (SELECT *, row_number() OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id, from_lo, own ORDER BY us, event_id) AS n FROM adopted) WHERE n = 1 GROUP BY ALL""")
+def type_sets(spark, sf_dir):
+    return icmp.type_sets(_icmp(spark, sf_dir))
+
+
+@query(
+    "AGG-17_icmp_groups",
+    with_packets(_ICMP_LINES) + f"""SELECT CASE WHEN client THEN lo_ip ELSE hi_ip END AS ip1, typecode AS ty1, CASE WHEN client THEN hi_ip ELSE lo_ip END AS ip2, vlan_id AS vl, us // 1000000 // 900 * 900 AS tbm, CAST((us // 1000000 % 900) // 10 * 10 AS INT) AS off,
+  CAST(sum(CASE WHEN from_lo = client THEN bytes ELSE 0 END) AS BIGINT) AS b1, CAST(sum(CASE WHEN from_lo = client THEN 0 ELSE bytes END) AS BIGINT) AS b2, count(*) AS pk
+FROM (SELECT *, first_value(from_lo) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id, session ORDER BY us, event_id) AS client
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id ORDER BY us, event_id) AS session
+    FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id ORDER BY us, event_id) > {GAP * 1000000} THEN 1 ELSE 0 END AS fresh FROM adopted))) GROUP BY ALL""",
+)
+def real_icmp_groups(spark, sf_dir):
+    return groups.bins(icmp.icmp_seconds(_icmp(spark, sf_dir), GAP), groups.SHORT, icmp.GROUP)
+
+
+@query("AGG-17_other_groups", with_packets() + "SELECT '00:09:0f:50:aa:fc' AS s, 'ff:ff:ff:ff:ff:ff' AS d, CASE WHEN event_id % 50 = 0 THEN repeat('x', 512) || '...' ELSE 'Who has ' || event_id END AS m, vlan_id AS vl, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b1, CAST(0 AS BIGINT) AS b2, count(*) AS pk FROM packets WHERE event_id % 7 <> 0 GROUP BY ALL")
+def other_groups(spark, sf_dir):
+    from flowloom.plans.scalars import other_lines
+
+    return groups.bins(icmp.other_seconds(text.parse_other(other_lines(read_packets(spark, sf_dir)))), groups.SHORT, icmp.OTHER)
+
+
+@query("JOIN-6_targets_by_port", with_packets() + """SELECT event_id, CASE WHEN s IS NOT NULL THEN s ELSE r END AS c_id, s IS NOT NULL AS reply FROM (SELECT event_id,
+  CASE WHEN ip1 = 134744072 AND ip_proto = 6 AND port1 = 80 THEN 'web' WHEN ip1 = 134744073 AND ip_proto = 17 THEN 'udp' WHEN ip1 IN (134744072, 134744075) THEN 'any' END AS s,
+  CASE WHEN ip2 = 134744072 AND ip_proto = 6 AND port2 = 80 THEN 'web' WHEN ip2 = 134744073 AND ip_proto = 17 THEN 'udp' WHEN ip2 IN (134744072, 134744075) THEN 'any' END AS r FROM packets) WHERE s IS NOT NULL OR r IS NOT NULL""")
+def targets_by_port(spark, sf_dir):
+    """One address has a target of one port and protocol after one of any; another has one of a protocol."""
+    rows = [("any", 134744072, 134744075, None, None, 1), ("web", 134744072, None, 6, 80, 2), ("udp", 134744073, None, 17, None, 3)]
+    targets = spark.createDataFrame(rows, "c_id string, ip long, prev_ip long, ip_proto int, port int, ord int")
+    return latency.to_targets(read_packets(spark, sf_dir), targets).select("event_id", "c_id", "reply")
+
+
 # --- latency ----------------------------------------------------------------
 
 _WAIT = 60
@@ -347,37 +419,132 @@ def replayed(spark, sf_dir):
     return spark.read.schema(bins.schema).parquet(path)
 
 
-def _landed(spark, sf_dir):
-    """Packets in files by time, as a stream."""
-    path = f"{_folder(spark)}/packets"
-    read_packets(spark, sf_dir).repartitionByRange(4, "us").sortWithinPartitions("us").write.parquet(path)
-    return streaming.read_stream(spark, path, PACKET, 4)
+#: Files that land one after another, seconds by which every 7th packet comes late, and how long streams wait.
+_FILES, _LATE, _PATIENCE = 5, 600, "660 seconds"
+#: Packets of a key of its own, which come last, a day after all others: the watermark passes every packet.
+_END = 2886729728
+
+
+def _landed(spark, sf_dir, ending=True):
+    """Packets in files by time of arrival, one a batch, as a stream."""
+    path, packets = f"{_folder(spark)}/packets", read_packets(spark, sf_dir)
+    arrival = F.col("us") + F.when(F.col("event_id") % 7 == 0, _LATE * 1_000_000).otherwise(0)
+    first, last = packets.agg(F.min("us"), F.max("us")).first()
+    for i in range(_FILES):
+        packets.where(_slice(arrival, first, last) == i).coalesce(1).write.mode("append").parquet(path)
+    if ending:
+        late = packets.limit(1).withColumns({"us": F.lit(last + 86_400_000_000), "sec": F.lit((last + 86_400_000_000) // 1_000_000), "ip1": F.lit(_END).cast("long"), "event_id": F.lit(-1).cast("long")})
+        late.coalesce(1).write.mode("append").parquet(path)
+    return streaming.read_stream(spark, path, PACKET)
+
+
+def _slice(arrival, first, last):
+    """Number of the file in which a packet arrives."""
+    return F.least(F.floor((arrival - first) * _FILES / (last - first + 1)), F.lit(_FILES - 1))
+
+
+_BINS_BY_KEY = with_packets(KEYED) + f"SELECT {KEY}, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(CASE WHEN from_lo THEN bytes ELSE 0 END) AS BIGINT) AS b1, CAST(sum(CASE WHEN from_lo THEN 0 ELSE bytes END) AS BIGINT) AS b2 FROM keyed GROUP BY ALL"
 
 
 @query("STR-2_streamed_sessions", SESSIONS + _INFO.format(where=""))
 def streamed_sessions(spark, sf_dir):
     """Complete mode: the last batch has every session, open ones too."""
-    info = streaming.stream_sessions(_landed(spark, sf_dir), GAP, "1 day", 60)
+    info = streaming.stream_sessions(_landed(spark, sf_dir, ending=False), GAP, "1 day", 60)
     rows = streaming.run_available(info, _folder(spark), "complete", "sessions")
     last = rows.agg(F.max("_batch").alias("_last"))
     return rows.join(F.broadcast(last), F.col("_batch") == F.col("_last")).drop("_batch", "_last")
 
 
-@query("STR-5_streamed_bins", with_packets(KEYED) + f"SELECT {KEY}, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(CASE WHEN from_lo THEN bytes ELSE 0 END) AS BIGINT) AS b1, CAST(sum(CASE WHEN from_lo THEN 0 ELSE bytes END) AS BIGINT) AS b2 FROM keyed GROUP BY ALL")
+@query("STR-8_final_sessions", SESSIONS + _INFO.format(where=""))
+def final_sessions(spark, sf_dir):
+    """Append mode: a session goes out once, when the watermark is past its gap; late packets are in it."""
+    info = streaming.stream_sessions(_landed(spark, sf_dir), GAP, _PATIENCE, 60)
+    return streaming.run_available(info, _folder(spark), "append", "sessions").drop("_batch")
+
+
+@query("STR-5_streamed_bins", _BINS_BY_KEY)
 def streamed_bins(spark, sf_dir):
     """Update mode: a bin is written with each batch that changes it; the latest counts."""
-    rows = streaming.run_available(streaming.stream_bins(_landed(spark, sf_dir), 900, "1 day"), _folder(spark), "update", "bins")
+    rows = streaming.run_available(streaming.stream_bins(_landed(spark, sf_dir, ending=False), 900, "1 day"), _folder(spark), "update", "bins")
     return streaming.latest(rows, [*sessions.KEY, "tbm", "off"])
 
 
-@query("STR-10_streamed_round_trips")
+@query("STR-6_closed_bins", _BINS_BY_KEY)
+def closed_bins(spark, sf_dir):
+    """Append mode: a bin goes out once, when the watermark is past its end."""
+    return streaming.run_available(streaming.stream_bins(_landed(spark, sf_dir), 900, _PATIENCE), _folder(spark), "append", "bins").drop("_batch")
+
+
+@query("STR-7_closed_capture_bins", with_packets() + "SELECT ip_proto, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b, count(*) AS pk FROM packets GROUP BY ALL")
+def closed_capture_bins(spark, sf_dir):
+    return streaming.run_available(streaming.stream_capture(_landed(spark, sf_dir), 900, _PATIENCE), _folder(spark), "append", "capture").drop("_batch")
+
+
+@query("STR-10_streamed_round_trips", with_packets(_MATCHED) + "SELECT c_id, ip1, ip2, port, us, rtt FROM requests")
 def streamed_round_trips(spark, sf_dir):
-    """Requests whose wait is over; the last of a stream stay open."""
+    """A request goes out when its wait is over, or its successor is behind the watermark."""
     probes = latency.probes(_landed(spark, sf_dir))
-    return streaming.run_available(streaming.stream_latency(probes, _WAIT), _folder(spark), "append", "latency").drop("_batch")
+    return streaming.run_available(streaming.stream_latency(probes, _WAIT, _PATIENCE), _folder(spark), "append", "latency").drop("_batch")
 
 
 @query("STR-9_streamed_throttle", _THROTTLED + "SELECT k AS key, us FROM kept")
 def streamed_throttle(spark, sf_dir):
     rows = _landed(spark, sf_dir).select(F.col("ip1").alias("k"), "us")
-    return streaming.run_available(streaming.stream_throttled(rows, "k", 600), _folder(spark), "append", "throttle").drop("_batch")
+    return streaming.run_available(streaming.stream_throttled(rows, "k", 600, _PATIENCE), _folder(spark), "append", "throttle").drop("_batch")
+
+
+@query("STR-11_streamed_started", with_packets(KEYED) + f"SELECT *, coalesce(lag(tbm) OVER (PARTITION BY {KEY} ORDER BY tbm) = tbm - 900, false) AS existing FROM (SELECT DISTINCT {KEY}, sec // 900 * 900 AS tbm FROM keyed)")
+def streamed_started(spark, sf_dir):
+    return streaming.run_available(streaming.stream_started(_landed(spark, sf_dir), 900, _PATIENCE), _folder(spark), "append", "started").drop("_batch")
+
+
+@query(
+    "STR-18_batch_metrics",
+    with_packets() + f"""SELECT CAST(least(floor((us + CASE WHEN event_id % 7 = 0 THEN {_LATE * 1000000} ELSE 0 END - first) * {_FILES}.0 / (last - first + 1)), {_FILES - 1}) AS BIGINT) AS batch, count(*) AS packets, CAST(sum(bytes) AS BIGINT) AS bytes, max(us) AS newest
+FROM packets, (SELECT min(us) AS first, max(us) AS last FROM packets) GROUP BY 1""",
+)
+def batch_metrics(spark, sf_dir):
+    """Packets, bytes and the newest packet of every batch, observed while the stream runs."""
+    observed = _landed(spark, sf_dir, ending=False).observe("health", F.count("*").alias("packets"), F.sum("bytes").alias("bytes"), F.max("us").alias("newest"))
+    metrics = streaming.run_batches(observed, lambda batch, _: batch.write.format("noop").mode("overwrite").save(), f"{_folder(spark)}/state")
+    rows = [(m["batch"], m["health"]["packets"], m["health"]["bytes"], m["health"]["newest"]) for m in metrics if m.get("health", {}).get("packets")]
+    return spark.createDataFrame(rows, "batch long, packets long, bytes long, newest long")
+
+
+@query("SNK-1_session_upserts", SESSIONS + _INFO.format(where=""))
+def session_upserts(spark, sf_dir):
+    """Sessions kept up batch by batch: inserted when they begin, updated while they last."""
+    table = streaming.SessionTable(spark, f"{_folder(spark)}/sessions", GAP, _LATE)
+    streaming.run_batches(_landed(spark, sf_dir, ending=False), table.upsert, f"{_folder(spark)}/state")
+    return sessions.from_parts(table.read(), 60)
+
+
+@query("SRC-13_restarted_sessions", SESSIONS + _INFO.format(where=""))
+def restarted_sessions(spark, sf_dir):
+    """The sessions of the first half as stored; then a new start from those that may go on, and the second half."""
+    packets, middle = read_packets(spark, sf_dir), 1704078000
+    stored = sessions.partial_sessions(packets.where(f"sec < {middle}"), GAP)
+    table = streaming.SessionTable(spark, f"{_folder(spark)}/sessions", GAP)
+    table.preload(stored, middle)
+    table.upsert(packets.where(f"sec >= {middle}"), 0)
+    return sessions.from_parts(table.read(), 60)
+
+
+@query("SNK-2_appended_documents", with_packets(KEYED, _SECONDS, _DOCS, recursive=True) + _DOC_ROWS)
+def appended_documents(spark, sf_dir):
+    """Byte documents appended a protocol at a time; those without bytes are none."""
+    path = f"{_folder(spark)}/documents"
+    for proto in (6, 17):
+        docs = sessions.byte_documents(read_packets(spark, sf_dir, proto)).where(F.size("b") > 0)
+        docs.write.mode("append").parquet(path)
+    return spark.read.parquet(path).select(*sessions.KEY, "sb", "se", "doc_lo", "doc_hi", F.size("b").cast("long").alias("seconds"))
+
+
+@query("SRC-9_pcap_chunks", with_packets() + "SELECT us, ip1, port1, ip2, port2, vlan_id, CAST(greatest(bytes, CASE WHEN vlan_id > 0 THEN 4 ELSE 0 END + CASE WHEN ip_proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, CASE WHEN ip_proto = 6 THEN flags END AS flags, ip_proto FROM packets")
+def pcap_chunks(spark, sf_dir):
+    """Packets written to capture files and read back in chunks that start anywhere in them."""
+    folder = _folder(spark)
+    folder = folder if "://" in folder else f"file://{folder}"
+    pcap.write_pcap(read_packets(spark, sf_dir).repartition(2, "event_id").sortWithinPartitions("us"), folder).collect()  # a row a file
+    pcap.register(spark)
+    return pcap.ipv4_headers(spark.read.format("pcap").option("chunk", 100_000).load(folder))

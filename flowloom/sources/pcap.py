@@ -4,7 +4,13 @@ A file is a 24-byte header and, for each packet, epoch, microseconds, captured a
 wire length (32 bits each) and the captured bytes. Where a packet header is not
 sane, the reader moves on byte by byte to the next that is, with an epoch near the
 last good one. Swapped and next-generation files are recognised and give one row
-with the problem. A file is read by one task, as packets have no other mark.
+with the problem.
+
+read_pcap() reads a file in one task, through Spark's binary reader. For large files,
+`spark.read.format("pcap")` (after register()) reads chunks of a file in tasks of
+their own: a chunk's packets are those whose headers start in it. Packets have no
+mark, so a chunk begins at the first place from which CHAIN packet headers follow one
+another sanely, and the chunk before ends there.
 """
 
 from __future__ import annotations
@@ -12,11 +18,16 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401  pa.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 MAGIC, SWAPPED, NEXT_GENERATION = 0xA1B2C3D4, 0xD4C3B2A1, 0x0A0D0D0A
 MOST_LENGTH, NEAR_SECONDS = 65535, 86400
+#: Packet headers in a row that show where packets stand, and bytes of a file that a task reads.
+CHAIN, CHUNK = 8, 64 << 20
 SCHEMA = "file string, at long, us long, captured int, wire int, pad int, payload binary, problem string"
 
 
@@ -71,6 +82,111 @@ def read_pcap(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(run, SCHEMA)
 
 
+def boundary(data: bytes) -> int | None:
+    """The first place in data from which CHAIN packets follow one another (or as many as are there, to the very end); None if there is none."""
+    for start in range(len(data) - 15):
+        at, last = start, None
+        for _ in range(CHAIN):
+            if at == len(data) and at > start:
+                return start
+            if at + 16 > len(data):
+                break
+            epoch, micro, captured, wire = struct.unpack_from("<IIII", data, at)
+            if not (sane(micro, captured, wire) and 0 < captured <= wire and _near(epoch, last)):
+                break
+            at, last = at + 16 + captured, epoch
+        else:
+            return start
+    return None
+
+
+class Chunk(InputPartition):
+    def __init__(self, path: str, start: int, end: int, size: int):
+        self.path, self.start, self.end, self.size = path, start, end, size
+
+
+class PcapReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.path, self.chunk = options["path"], int(options.get("chunk", CHUNK))
+
+    def partitions(self) -> list[Chunk]:
+        files, path = pa.fs.FileSystem.from_uri(self.path)
+        info = files.get_file_info(path)
+        found = [info] if info.is_file else [f for f in files.get_file_info(pa.fs.FileSelector(path, recursive=True)) if f.is_file and not f.base_name.startswith(("_", "."))]
+        return [Chunk(f.path, i, min(i + self.chunk, f.size), f.size) for f in found for i in range(0, max(1, f.size), self.chunk)]
+
+    def read(self, partition: Chunk) -> Iterator[tuple]:
+        files, _ = pa.fs.FileSystem.from_uri(self.path)
+        with files.open_input_file(partition.path) as file:
+            # the bytes up to where the next chunk begins: its first packet can start a packet's length later, and CHAIN packets show it
+            margin = (CHAIN + 2) * (16 + MOST_LENGTH)
+            head = file.read_at(min(24, partition.size), 0)
+            data = file.read_at(min(partition.end + margin, partition.size) - partition.start, partition.start)
+        start, stop = 0, partition.end - partition.start
+        if partition.start:
+            start = boundary(data[: stop + margin])
+            if start is None or start >= stop:
+                return
+        if partition.end < partition.size:
+            following = boundary(data[stop:])
+            stop = len(data) if following is None else stop + following
+        else:
+            stop = len(data)
+        shift = partition.start + start - len(head) if partition.start else 0
+        body = head + data[start:stop] if partition.start else data[:stop]
+        for at, *row in packets_of(body):
+            yield (partition.path, at + shift, *row)
+
+
+class PcapSource(DataSource):
+    """Packets of pcap files under a path; option chunk: bytes that a task reads."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "pcap"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> PcapReader:
+        return PcapReader(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(PcapSource)
+
+
+def pcap_record(packet: dict) -> bytes:
+    """A packet as Ethernet with IPv4 and TCP or UDP, behind its pcap header; all bytes beyond the headers are cut off."""
+    tag = struct.pack(">HH", 0x8100, packet["vlan_id"]) if packet["vlan_id"] else b""
+    proto = packet["ip_proto"]
+    body = struct.pack(">HHIIBBHHH", packet["port1"], packet["port2"], 0, 0, 0x50, packet["flags"], 0, 0, 0) if proto == 6 else struct.pack(">HHHH", packet["port1"], packet["port2"], 8, 0)
+    ip = struct.pack(">BBHHHBBHII", 0x45, 0, 20 + len(body), 0, 0, 64, proto, 0, packet["ip1"], packet["ip2"])
+    frame = b"\x02" * 12 + tag + b"\x08\x00" + ip + body
+    return struct.pack("<IIII", packet["us"] // 1_000_000, packet["us"] % 1_000_000, len(frame), max(len(frame), packet["bytes"])) + frame
+
+
+def write_pcap(packets: DataFrame, folder: str) -> DataFrame:
+    """A file a partition below a folder (with a scheme) that driver and executors share: the files' paths and packets, once they are written."""
+    names = ["us", "ip1", "port1", "ip2", "port2", "vlan_id", "bytes", "flags", "ip_proto"]
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        files, path = pa.fs.FileSystem.from_uri(folder)
+        files.create_dir(path)
+        name, n = f"{path}/part-{TaskContext.get().partitionId():05d}.pcap", 0
+        with files.open_output_stream(name) as out:
+            out.write(struct.pack("<IHHiIII", MAGIC, 2, 4, 0, 0, MOST_LENGTH, 1))
+            for batch in batches:
+                for packet in batch.to_pylist():
+                    out.write(pcap_record(packet))
+                    n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "packets"])
+
+    return packets.select(*names).mapInArrow(run, "file string, packets long")
+
+
 def ipv4_headers(packets: DataFrame) -> DataFrame:
     """us, vlan_id, ip_proto, ip1, port1, ip2, port2, bytes (wire length) and flags of Ethernet packets with IPv4, from their first bytes."""
     number = lambda i, n: F.conv(F.hex(F.substring("payload", i, n)), 16, 10).cast("long")

@@ -13,6 +13,8 @@ _IP = r"(\d{1,3}(?:\.\d{1,3}){3})"
 TCP_LINE = rf"^(\d+\.\d{{6}}) \S+ > \S+, ethertype (?:IPv4 \(0x0800\)|802\.1Q \(0x8100\)), length (\d+): (?:vlan (\d+), p \d+, (?:DEI, )?ethertype IPv4, )?(?:\(invalid\) )?(?:truncated-ip - \d+ bytes missing! )?{_IP}\.(\d+) > {_IP}\.(\d+): Flags \[([^\]]*)\]"
 TCP_LATENCY_LINE = rf"^(\d+\.\d{{6}}) IP {_IP}\.(\d+) > {_IP}\.(\d+): Flags \[(S|S\.|F\.)\](?:, seq (\d+)(?::\d+)?)?(?:, ack (\d+))?"
 ICMP_LATENCY_LINE = rf"^(\d+\.\d{{6}}) IP {_IP} > {_IP}: ICMP echo (request|reply), id (\d+), seq (\d+), length (\d+)"
+#: Between the groups of a line; in no line.
+_MARK = "\x01"
 #: ICMP types whose messages carry a sequence number.
 SEQUENCED = ("0", "8", "13", "14", "17", "18")
 #: Protocols that leak into the capture of what is not IP, and belong to other captures.
@@ -24,23 +26,32 @@ def micros(time: Column) -> Column:
     return F.regexp_replace(time, r"\.", "").try_cast("long")
 
 
-def _group(pattern: str, i: int) -> Column:
-    return F.regexp_extract("value", pattern, i)
-
-
 def _vlan(text: Column, keep: bool) -> Column:
     return F.coalesce(F.nullif(text, F.lit("")).try_cast("int"), F.lit(0)) if keep else F.lit(0)
 
 
+def _others(lines: DataFrame) -> list[str]:
+    """Columns beside the line, which parsers keep."""
+    return [c for c in lines.columns if c not in ("value", "t", "g")]
+
+
 def framed(lines: DataFrame, least: int = 5) -> DataFrame:
     """Lines of at least so many tokens, trimmed."""
-    return lines.select(F.trim("value").alias("value")).where(F.size(F.split("value", r"\s+")) >= least)
+    return lines.select(F.trim("value").alias("value"), *_others(lines)).where(F.size(F.split("value", r"\s+")) >= least)
+
+
+def _matched(lines: DataFrame, pattern: str, groups: int) -> DataFrame:
+    """Lines that the pattern fits, with its groups as the array g: the pattern runs once a line."""
+    marked = F.regexp_replace("value", pattern + r"[\s\S]*$", _MARK.join(f"${i}" for i in range(1, groups + 1)))
+    whole = lines.where(~F.col("value").contains(_MARK))
+    return whole.select(F.split(marked, _MARK).alias("g"), *_others(lines)).where(F.size("g") == groups)
 
 
 def parse_tcp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
     """us ip1 port1 ip2 port2 bytes (frame length) vlan_id flags; SYN with ACK is the flag s. Ports beyond 65535 are misread ids of file systems and go."""
-    rows = framed(lines).where(F.col("value").rlike(TCP_LINE) & ~F.col("value").contains("ICMP"))
-    g = lambda i: _group(TCP_LINE, i)
+    trimmed = lines.select(F.trim("value").alias("value"), *_others(lines)).where(~F.col("value").contains("ICMP"))
+    rows = _matched(trimmed, TCP_LINE, 8)
+    g = lambda i: F.col("g")[i - 1]
     return rows.select(
         micros(g(1)).alias("us"),
         net.ip_to_long(g(4)).alias("ip1"),
@@ -50,11 +61,13 @@ def parse_tcp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
         g(2).cast("long").alias("bytes"),
         _vlan(g(3), ingest_vlan_id).alias("vlan_id"),
         F.regexp_replace(g(8), r"S\.", "s").alias("flags"),
+        *_others(lines),
     ).where("port1 <= 65535 and port2 <= 65535 and ip1 is not null and ip2 is not null")
 
 
 def _tokens(lines: DataFrame, least: int) -> DataFrame:
-    return framed(lines, least).select(F.split("value", r"\s+").alias("t"))
+    trimmed = lines.select(F.trim("value").alias("value"), *_others(lines))
+    return trimmed.select(F.split("value", r"\s+").alias("t"), *_others(lines)).where(F.size("t") >= least)
 
 
 def _at(i: int | Column) -> Column:
@@ -78,6 +91,7 @@ def parse_udp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
         _at(length).try_cast("long").alias("bytes"),
         _vlan(F.when(tagged, _at(2)), ingest_vlan_id).alias("vlan_id"),
         F.array_join(F.slice("t", length + 1, F.greatest(F.lit(0), F.size("t") - length)), " ").alias("protocol"),
+        *_others(lines),
     ).where("us is not null and ip1 is not null and ip2 is not null and port1 <= 65535 and port2 <= 65535 and bytes is not null")
 
 
@@ -96,6 +110,7 @@ def parse_icmp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
         F.concat_ws(".", first(_at(5)), number).alias("typecode"),
         F.when(sequenced, first(_at(7))).try_cast("int").alias("seq"),
         _vlan(F.when(sequenced, _at(9)).otherwise(_at(7)), ingest_vlan_id).alias("vlan_id"),
+        *_others(lines),
     ).where("us is not null and ip1 is not null and ip2 is not null and bytes is not null")
 
 
@@ -113,13 +128,14 @@ def parse_other(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
         _at(k + 5).alias("pr"),
         net.capped_message(message).alias("m"),
         _vlan(F.when(tagged, _at(2)), ingest_vlan_id).alias("vlan_id"),
+        *_others(lines),
     ).where(F.col("us").isNotNull() & F.col("bytes").isNotNull() & ~F.col("pr").isin(*LEAKED))
 
 
 def parse_tcp_latency(lines: DataFrame) -> DataFrame:
     """SYN is a request of its sequence number, SYN-ACK the reply to its ack less 1. FIN-ACK has no sequence here: with application probes the client's port is the sequence of both."""
-    rows = lines.where(F.col("value").rlike(TCP_LATENCY_LINE))
-    g = lambda i: _group(TCP_LATENCY_LINE, i)
+    rows = _matched(lines, TCP_LATENCY_LINE, 8)
+    g = lambda i: F.col("g")[i - 1]
     reply = g(6) != "S"
     return rows.select(
         micros(g(1)).alias("us"),
@@ -131,22 +147,21 @@ def parse_tcp_latency(lines: DataFrame) -> DataFrame:
         reply.alias("reply"),
         F.when(g(6) == "S", g(7).try_cast("long")).when(g(6) == "S.", g(8).try_cast("long") - 1).alias("seq"),
         F.when(reply, g(5)).otherwise(g(3)).cast("long").alias("client_port"),
+        *_others(lines),
     )
 
 
 def parse_icmp_latency(lines: DataFrame) -> DataFrame:
     """Echo requests and replies; those of under 64 bytes belong to path tracing and go."""
-    rows = lines.where(F.col("value").rlike(ICMP_LATENCY_LINE))
-    g = lambda i: _group(ICMP_LATENCY_LINE, i)
-    return rows.select(micros(g(1)).alias("us"), net.ip_to_long(g(2)).alias("ip1"), net.ip_to_long(g(3)).alias("ip2"), (g(4) == "reply").alias("reply"), g(5).cast("int").alias("id"), g(6).cast("long").alias("seq"), g(7).cast("int").alias("length")).where("length >= 64")
+    rows = _matched(lines, ICMP_LATENCY_LINE, 7)
+    g = lambda i: F.col("g")[i - 1]
+    return rows.select(micros(g(1)).alias("us"), net.ip_to_long(g(2)).alias("ip1"), net.ip_to_long(g(3)).alias("ip2"), (g(4) == "reply").alias("reply"), g(5).cast("int").alias("id"), g(6).cast("long").alias("seq"), g(7).cast("int").alias("length"), *_others(lines)).where("length >= 64")
 
 
 def rejected(lines: DataFrame, parser: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The lines of which the parser makes no row."""
-    numbered = lines.select("value").distinct()
-    kept = parser(numbered.select("value"))
-    good = numbered.join(kept.select("us").distinct(), micros(F.regexp_extract("value", r"^(\d+\.\d{6})", 1)) == F.col("us"), "left_semi")
-    return numbered.join(good, "value", "left_anti")
+    """The lines of which the parser makes no row, equal ones too."""
+    kept = parser(lines.select("value", F.col("value").alias("line"))).select("line").distinct()
+    return lines.join(kept, lines["value"] == kept["line"], "left_anti")
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:

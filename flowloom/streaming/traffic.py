@@ -8,17 +8,18 @@ the same key the one of the latest batch counts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowloom.functions import times
 from flowloom.operators.groups import BINS
-from flowloom.operators.sessions import KEY, oriented, session_aggregates, with_session_key
+from flowloom.operators.sessions import KEY, merged_sessions, oriented, partial_sessions, session_aggregates, with_session_key
 
 
 def timed(packets: DataFrame, lateness: str = "30 seconds") -> DataFrame:
@@ -82,25 +83,108 @@ def stream_latency(probes: DataFrame, expire: int, lateness: str = "30 seconds")
 
 
 def stream_throttled(rows: DataFrame, key: str, wait: int, lateness: str = "30 seconds") -> DataFrame:
-    """Key and us of rows that are the first of their key or come more than `wait` seconds after the last that passed; state is that time, gone when it can hold nothing back."""
+    """Key and us of rows that are the first of their key or come more than `wait` seconds after the last that passed. Rows wait in state until the watermark passes them, so order of arrival within the lateness doesn't matter; beside them state is the time of the last that passed, gone when it can hold nothing back."""
+    gap = wait * 1_000_000
 
     def pass_on(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
+        last, held = state.get if state.exists else (None, [])
+        mark = state.getCurrentWatermarkMs() * 1000
+        times = np.unique(np.concatenate([np.asarray(held, np.int64), *(frame["us"].to_numpy(np.int64) for frame in ([] if state.hasTimedOut else frames))]))
+        settled, held = times[times < mark], times[times >= mark]
         out = []
-        for us in sorted(int(u) for frame in frames for u in frame["us"]):
-            if last is None or us - last > wait * 1_000_000:
+        for us in settled.tolist():
+            if last is None or us - last > gap:
                 out.append(us)
                 last = us
-        state.update((last,))
-        state.setTimeoutTimestamp(max(last // 1000 + wait * 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if len(held) or (last is not None and last + gap >= mark):
+            until = int(held[0]) if len(held) else last + gap
+            state.update((last, held.tolist()))
+            state.setTimeoutTimestamp(max(until // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame({"key": [k[0]] * len(out), "us": out})
 
     kind = rows.schema[key].dataType.simpleString()
-    return timed(rows, lateness).groupBy(key).applyInPandasWithState(pass_on, f"key {kind}, us long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+    return timed(rows, lateness).groupBy(key).applyInPandasWithState(pass_on, f"key {kind}, us long", "last long, held array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_capture(packets: DataFrame, window: int, lateness: str = "60 seconds") -> DataFrame:
+    """Bytes and packets of each protocol by bin of a group window."""
+    placed = timed(packets, lateness).groupBy("ip_proto", F.window("ts", f"{window // BINS} seconds").alias("w")).agg(F.sum("bytes").alias("b"), F.count("*").alias("pk"))
+    start = F.unix_seconds("w.start")
+    tbm = times.floor_to(start, window)
+    return placed.select("ip_proto", tbm.alias("tbm"), (start - tbm).cast("int").alias("off"), "b", "pk")
+
+
+def stream_started(packets: DataFrame, window: int, lateness: str = "60 seconds") -> DataFrame:
+    """A row for each session key and window in which it is active, with whether it was active in the window before. State is the active windows that the watermark hasn't passed and the last before them, gone after two windows more."""
+
+    def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, held = state.get if state.exists else (None, [])
+        mark = state.getCurrentWatermarkMs() // 1000
+        seen = set(held)
+        if not state.hasTimedOut:
+            for frame in frames:
+                seen.update(frame["tbm"].unique().tolist())
+        out = []
+        for tbm in sorted(seen):
+            if tbm + window <= mark:
+                out.append((*key, tbm, last == tbm - window))
+                last = tbm
+        held = sorted(t for t in seen if t + window > mark)
+        if held or (last is not None and last + 2 * window > mark):
+            until = held[0] + window if held else last + 2 * window
+            state.update((last, held))
+            state.setTimeoutTimestamp(max(until * 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=[*KEY, "tbm", "existing"])
+
+    keyed = with_session_key(timed(packets, lateness)).withColumn("tbm", times.floor_to(F.col("sec"), window))
+    fields = ", ".join(f"{k} {keyed.schema[k].dataType.simpleString()}" for k in KEY)
+    return keyed.groupBy(*KEY).applyInPandasWithState(judge, f"{fields}, tbm long, existing boolean", "last long, held array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+class SessionTable:
+    """Sessions kept up by micro-batches below a folder: open ones anew with each batch, closed ones by the batch that closed them. A batch written again replaces itself."""
+
+    def __init__(self, spark: SparkSession, folder: str, gap: int = 120, lateness: int = 30):
+        self.spark, self.folder, self.gap, self.lateness = spark, folder, gap, lateness
+        self.schema: T.StructType | None = None
+        self.number: int | None = None
+
+    def _read(self, name: str, number: int | None = None) -> DataFrame:
+        path = f"{self.folder}/{name}" + (f"/_b={number}" if number is not None else "")
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(path)
+
+    def preload(self, stored: DataFrame, now: int) -> None:
+        """Start from stored sessions: those whose last minute is not before that of the gap before now (seconds) are open, others closed."""
+        self.schema = stored.schema
+        tem = times.floor_to(F.expr("te div 1000000"), 60)
+        self._write(stored, tem >= (now - self.gap) // 60 * 60, -1)
+
+    def _write(self, sessions: DataFrame, is_open: Column, number: int) -> None:
+        sessions.where(is_open).write.mode("overwrite").parquet(f"{self.folder}/open/_b={number}")
+        sessions.where(~is_open).write.mode("overwrite").parquet(f"{self.folder}/closed/_b={number}")
+        self.number = number
+
+    def upsert(self, batch: DataFrame, number: int) -> None:
+        """Merge the packets of a batch into the open sessions. A session closes when packets within the lateness can't reach it any more."""
+        parts = partial_sessions(batch, self.gap)
+        self.schema = self.schema or parts.schema
+        if self.number is not None:
+            parts = parts.unionByName(self._read("open", self.number))
+        sessions = merged_sessions(parts, self.gap)
+        newest = batch.agg(F.max("us")).first()[0]
+        if newest is None:
+            return
+        self._write(sessions, F.col("te") >= newest - (self.gap + self.lateness) * 1_000_000, number)
+
+    def read(self) -> DataFrame:
+        """All sessions, closed and open."""
+        return self._read("closed").unionByName(self._read("open", self.number))
 
 
 def run_available(stream: DataFrame, folder: str, mode: str, name: str) -> DataFrame:
@@ -109,11 +193,17 @@ def run_available(stream: DataFrame, folder: str, mode: str, name: str) -> DataF
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/{name}/out/_b={number}")
 
-    query = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{folder}/{name}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
+    run_batches(stream, keep, f"{folder}/{name}/state", mode)
     return stream.sparkSession.read.schema(T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])).option("recursiveFileLookup", "true").parquet(f"{folder}/{name}/out")
 
 
+def run_batches(stream: DataFrame, keep: Callable[[DataFrame, int], None], state: str, mode: str = "append") -> list[dict]:
+    """Run a stream over what there is, each batch through keep(batch, number); the metrics observed in each batch."""
+    query = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [{"batch": p.batchId, **{k: v.asDict() for k, v in p.observedMetrics.items()}} for p in query.recentProgress]
+
+
 def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Of rows with the same key that of the latest batch: an upsert table."""
     order = Window.partitionBy(*keys).orderBy(F.desc("_batch"))
