@@ -8,16 +8,14 @@ the tests hold run() against a brute-force version.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm import attention_quality, byte_bpe, parity_join, qgram_decontam, secret_scan
-from flowloom.llm.common import read_table
-from flowloom.session import ship
+from flowloom.llm.common import fresh, read_table
+from flowloom.session import shared_folder, ship
 
 ORACLE_SQL = None
 
@@ -26,7 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier scores at 0.5 or more. It is fitted on the labels outside the held-out fold, over docs."""
     ship(spark)
     model = attention_quality.quality_model(docs, read_table(spark, sf_dir, "labels"))
-    return attention_quality.score(docs, model, "_score").where(F.col("_score") >= 0.5).drop("_score")
+    score = fresh(docs, "score")
+    return attention_quality.score(docs, model, score).where(F.col(score) >= 0.5).drop(score)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +64,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written to the shared checkpoint folder and read again."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "flowloom-checkpoints")
-    folder = f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -21,15 +21,18 @@ def _archive() -> str:
     return str(target)
 
 
+#: Bytes of an Arrow batch.
+BATCH = "8m"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package's sources to the workers of this application, once."""
+    """Send the package's sources to the workers of this application, once, and bound the Arrow batches that workers get: rows can be long texts, and both sides hold a batch."""
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         spark.sparkContext.addPyFile(_archive())
         _shipped.add(application)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     return spark
 
 

@@ -96,3 +96,20 @@ def test_config():
 
     with pytest.raises(ValueError):
         subnet_range("300.0.0.0/8")
+
+
+def test_pcap_chunks_give_the_whole_file(tmp_path):
+    import random
+    import struct
+
+    from flowloom.sources import pcap
+
+    rng = random.Random(5)
+    packets = [{"us": 1_704_067_200_000_000 + i * 250_000 + rng.randint(0, 99), "ip1": rng.getrandbits(32), "port1": rng.randint(1, 65535), "ip2": rng.getrandbits(32), "port2": 80, "vlan_id": rng.choice([0, 7]), "bytes": rng.randint(40, 1500), "flags": 16, "ip_proto": rng.choice([6, 17])} for i in range(400)]
+    data = struct.pack("<IHHiIII", pcap.MAGIC, 2, 4, 0, 0, 65535, 1) + b"".join(map(pcap.pcap_record, packets))
+    (tmp_path / "a.pcap").write_bytes(data)
+    whole = [(str(tmp_path / "a.pcap"), *p) for p in pcap.packets_of(data)]
+    assert len(whole) == 400 and all(w[-1] is None for w in whole)
+    for chunk in (50, 333, 5_000, 1 << 20):
+        reader = pcap.PcapReader({"path": f"file://{tmp_path}", "chunk": str(chunk)})
+        assert [r for p in reader.partitions() for r in reader.read(p)] == whole
