@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, slices
+from flowloom.llm.common import documents, map_batches, slices
 
 _NONE = np.int64(2**62)
-_SHIFT = 24  # positions take so many bits of a leaf
+_SHIFT = 40  # positions take so many bits of a leaf, ranks 20 above them
 
 #: Texts with any of these (two white-space characters that touch, white space other than space and line feed), or white space at an end, are split by the pattern as a whole.
 _IRREGULAR = ("  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
@@ -39,9 +39,11 @@ def regular(text: str) -> bool:
 class ByteBPE:
     """Encoder and decoder for a table of token bytes to ranks and a splitting pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 150_000):
         import regex
 
+        if max(ranks.values(), default=0) >= 1 << 20:
+            raise ValueError("ranks of 2**20 and above don't fit beside positions")
         self.ranks, self.remember = ranks, remember
         self.split = regex.compile(pattern).findall
         self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -143,8 +145,7 @@ class ByteBPE:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """int32 bytes of the ids of each text. Where no white-space characters touch, no match of the pattern goes beyond a line end or the space before a word, so words are looked up one by one."""
         if len(self.known) + len(self.spaced) > self.remember:
-            self.known.clear()
-            self.spaced.clear()
+            self.forget()
         split, first, later = [], {"\n"}, set()
         for text in texts:
             if regular(text):
@@ -171,6 +172,10 @@ class ByteBPE:
                 out.append(b"".join([known[p] for p in pieces]))
         return out
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.spaced.clear()
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -196,7 +201,7 @@ def encode(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(ranks)
-        for part, texts in slices(batches, chars=4_000_000):
+        for part, texts in slices(batches):
             raw = bpe.encode_batch(texts)
             flat = np.frombuffer(b"".join(raw), np.int32)
             ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
@@ -205,9 +210,10 @@ def encode(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 listed = flat.tolist()
                 columns.append(pa.array([bpe.decode(listed[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][: len(columns)])
+        bpe.forget()
 
     kind = df.schema[id_column].dataType.simpleString()
-    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>" + ", decoded binary" * decoded)
+    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).transform(map_batches, run, f"id {kind}, ids array<int>" + ", decoded binary" * decoded)
     return out.withColumnRenamed("id", id_column)
 
 
@@ -220,7 +226,7 @@ def decode(df: DataFrame, id_column: str = "doc_id", ids_column: str = "ids", ra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bpe.decode(x or []) for x in batch.column(1).to_pylist()], pa.binary())], names=["id", "decoded"])
 
     kind = df.schema[id_column].dataType.simpleString()
-    out = df.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids")).mapInArrow(run, f"id {kind}, decoded binary")
+    out = df.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids")).transform(map_batches, run, f"id {kind}, decoded binary")
     return out.withColumnRenamed("id", id_column)
 
 

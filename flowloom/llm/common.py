@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -38,6 +39,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a small table that one task takes.
+ROWS = 100_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """df of so many rows at most, in as few partitions as they need: a small table in many partitions makes many small files in every shuffle after it."""
+    return df.coalesce(max(1, -(-rows // ROWS)))
+
+
+def compact(df: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
+    """df checkpointed, in few() partitions, and its count. most: rows that it can't exceed, if known."""
+    kept = checkpointed(df if most is None else few(df, most))
+    rows = kept.count()
+    return few(kept, rows), rows
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like name that df doesn't have, in any case of its letters."""
     taken = {c.lower() for c in df.columns}
@@ -47,7 +64,18 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """df.mapInArrow(); at a task's end its worker, which goes on to other tasks, gives freed memory back to the machine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterable[pa.RecordBatch], text_at: str = "text", chars: int = 1_000_000, each: int = 0) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

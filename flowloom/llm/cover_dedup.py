@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, slices
+from flowloom.llm.common import documents, map_batches, slices
 from flowloom.llm.dealing import DECIDED, ENTRY, MEET, PACKED, PLACE, bucket_count, met, packed, split_by, unpack, with_places
 from flowloom.llm.words import Words, windows, words_of
 
@@ -75,7 +75,7 @@ def anchors(docs: DataFrame, buckets: int) -> DataFrame:
             if rows:
                 yield packed(rows)
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.transform(map_batches, run, PACKED)
 
 
 def _repeated_anchors(entries: np.ndarray) -> np.ndarray:
@@ -151,7 +151,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for part, texts in slices(batches):
             yield from _kept(part.column(0).to_pylist(), texts, lambda _: np.empty(0, PLACE))
 
-    return trimmed.union(docs.where("doc_id is null").mapInArrow(whole, schema))
+    return trimmed.union(docs.where("doc_id is null").transform(map_batches, whole, schema))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm.common import slices
+from flowloom.llm.common import map_batches, slices
 
 #: A place: a document and a position in it.
 PLACE = np.dtype([("doc", "<i8"), ("pos", "<i4")])
@@ -86,7 +86,7 @@ def met(df: DataFrame, settle: Callable[[dict[int, list[bytes]]], np.ndarray], b
             places.append(settle(held))
         yield from gathered(0)
 
-    return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PACKED)
+    return df.repartition("bucket").sortWithinPartitions("bucket").transform(map_batches, run, PACKED)
 
 
 #: Kind of rows that hold documents: ids and texts as an Arrow stream, compressed, since texts are most of what is dealt.
@@ -113,7 +113,7 @@ def _dealt_texts(docs: DataFrame, buckets: int) -> DataFrame:
                 rows.append((b, _TEXTS, raw.size.to_bytes(8, "little") + codec.compress(raw, asbytes=True)))
             yield packed(rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+    return docs.select("doc_id", "text").transform(map_batches, run, PACKED)
 
 
 def _texts_in(payload: bytes) -> pa.Table:
@@ -155,4 +155,4 @@ def with_places(docs: DataFrame, places: DataFrame, buckets: int, work: Callable
             yield from work(ids, texts, places_of)
 
     both = places.union(_dealt_texts(docs, buckets))
-    return both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, schema)
+    return both.repartition("bucket").sortWithinPartitions("bucket", "kind").transform(map_batches, run, schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, slices
+from flowloom.llm.common import documents, map_batches, slices
 from flowloom.llm.dealing import DECIDED, MEET, PACKED, bucket_count, met, packed, split_by, unpack, with_places
 from flowloom.llm.suffix_arrays import common_prefixes, suffix_array
 from flowloom.llm.words import mix
@@ -131,7 +131,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             if rows:
                 yield packed(rows)
 
-    return docs.mapInArrow(run, PACKED)
+    return docs.transform(map_batches, run, PACKED)
 
 
 def _contexts_met(crowd: int):
@@ -328,7 +328,7 @@ def remove_repeated_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         for part, texts in slices(batches):
             yield from _kept(part.column(0).to_pylist(), texts, lambda _: np.empty(0, _FOUND))
 
-    return trimmed.union(docs.where("doc_id is null").mapInArrow(whole, schema))
+    return trimmed.union(docs.where("doc_id is null").transform(map_batches, whole, schema))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
