@@ -8,9 +8,11 @@ representation is scored. All weights are learned together from document labels.
 
 The model is fitted on the driver over at most SAMPLE labelled documents, those of
 lowest hash; passages come to it encoded. All documents are scored, every passage
-of them. Null and empty texts are one empty passage. Labels that are null or not
-0 or 1 teach nothing; a document labelled twice counts as its highest label; with
-no usable labels every score is 0.5. Rows are scored by themselves.
+of them; a passage is encoded by itself, so a long text is scored a part at a time.
+Null and empty texts are one empty passage. Labels that are null or not 0 or 1 teach
+nothing; a document labelled twice counts as its highest label, one with several
+texts teaches by the least of them; with no usable labels every score is 0.5. Rows
+are scored by themselves.
 """
 
 from __future__ import annotations
@@ -23,16 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, fold, read_table
+from flowloom.llm.common import documents, fold, map_batches, read_table, slices
 
-#: Bytes of a passage, and labelled documents that the fit sees at most.
-PASSAGE, SAMPLE = 600, 4000
+#: Bytes of a passage, labelled documents that the fit sees at most, and bytes of text that are encoded at once.
+PASSAGE, SAMPLE, PART = 600, 4000, 300_000
 _PAIRS, _WORDS = 128, 32
+_WHOLE = PART // PASSAGE * PASSAGE  # a longer text is encoded in parts of so many bytes
 FEATURES = 256 + _PAIRS + _WORDS + 3
 
 
 def encode_passages(texts: list[bytes], passage: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages of the texts, and the number of passages of each text."""
+    """Features of all passages of the texts, each of its own bytes alone, and the number of passages of each text."""
     lengths = np.array([len(t) for t in texts], np.int64)
     bags = np.maximum(1, -(-lengths // passage))
     n, start = int(bags.sum()), np.cumsum(bags) - bags
@@ -42,7 +45,7 @@ def encode_passages(texts: list[bytes], passage: int = PASSAGE) -> tuple[np.ndar
     place = start[owner] + at // passage
     size = np.maximum(1, np.bincount(place, minlength=n)).astype(np.float32)[:, None]
     single = np.bincount(place * 256 + data, minlength=n * 256).reshape(n, 256)
-    same = owner[1:] == owner[:-1]
+    same = place[1:] == place[:-1]
     pair = ((data[:-1] * 31 + data[1:] * 7) * 40503 >> 5) % _PAIRS
     double = np.bincount((place[:-1] * _PAIRS + pair)[same], minlength=n * _PAIRS).reshape(n, _PAIRS)
     # a word's code is the sum of its bytes' codes
@@ -77,10 +80,28 @@ class AttentionModel:
         h = np.tanh(x @ p["W"] + p["b"])
         t, g = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-np.clip(h @ p["U"], -30, 30)))
         e = (t * g) @ p["w"]
-        e = np.exp(e - np.repeat(np.maximum.reduceat(e, starts), bags))
-        a = e / np.repeat(np.add.reduceat(e, starts), bags)
+        top = np.maximum.reduceat(e, starts)
+        e = np.exp(e - np.repeat(top, bags))
+        total = np.add.reduceat(e, starts)
+        a = e / np.repeat(total, bags)
         z = np.add.reduceat(a[:, None] * h, starts, axis=0)
-        return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "score": 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))}
+        return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "top": top, "total": total, "score": self.judged(z)}
+
+    def judged(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(z @ self.weights["c"] + self.weights["d"], -30, 30)))
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Score of each text. One of several parts is the mean of their representations, weighed by their attention."""
+        split = [[t[i : i + _WHOLE] for i in range(0, len(t), _WHOLE)] or [t] for t in texts]
+        if len(texts) > 1 and all(len(s) == 1 for s in split):
+            return self.forward(*encode_passages(texts))["score"]
+        out = []
+        for parts in split:
+            found = [self.forward(*encode_passages([p])) for p in parts]
+            top = np.array([f["top"][0] for f in found])
+            share = np.exp(top - top.max()) * [f["total"][0] for f in found]
+            out.append(self.judged((share / share.sum()) @ np.concatenate([f["z"] for f in found])))
+        return np.array(out)
 
     def gradients(self, x: np.ndarray, bags: np.ndarray, label: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         p, f, starts = self.weights, self.forward(x, bags), np.cumsum(bags) - bags
@@ -130,17 +151,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
     if len(set(known.values())) < 2:
         return None
     picked = docs.sparkSession.createDataFrame(list(known.items()), ["doc_id", "label"])
-    rows = docs.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            x, bags = encode_passages(texts)
+        for batch, texts in slices(batches, chars=PART, each=PASSAGE):
+            x, bags = encode_passages([t.encode() for t in texts])
             ends = np.cumsum(bags)
             blobs = [x[e - b : e].astype(np.float16).tobytes() for e, b in zip(ends, bags, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(blobs, pa.binary())], names=["doc_id", "label", "passages"])
 
-    found = sorted(rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label long, passages binary").collect())
+    found = sorted(rows.select("doc_id", "text", "label").transform(map_batches, run, "doc_id long, label long, passages binary").collect())
     if len({r["label"] for r in found}) < 2:
         return None
     x = [np.frombuffer(r["passages"], np.float16).reshape(-1, FEATURES) for r in found]
@@ -149,17 +169,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
 
 def score(df: DataFrame, model: AttentionModel | None, name: str = "score") -> DataFrame:
     """df with the probability of label 1, under that name, for every row's whole text."""
-    at, schema = df.columns.index("text"), df.select("*", F.lit(0.0).alias(name)).schema
+    schema = df.select("*", F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, len(whole), 500):
-                batch = whole.slice(i, 500)
-                texts = [(t or "").encode() for t in batch.column(at).to_pylist()]
-                scores = np.full(len(texts), 0.5) if model is None else model.forward(*encode_passages(texts))["score"]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(scores, np.float64))], names=[*batch.schema.names, name])
-
-    return df.mapInArrow(run, schema)
+        for batch, texts in slices(batches, chars=PART, each=PASSAGE):
+            scores = np.full(len(texts), 0.5) if model is None else model.scores([t.encode() for t in texts])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.asarray(scores, np.float64))], names=[*batch.schema.names, name])
+
+    return df.transform(map_batches, run, schema)
 
 
 def learnable(df: DataFrame) -> DataFrame:
