@@ -26,11 +26,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents
+from flowloom.llm.common import documents, fresh, map_batches
+from flowloom.llm.words import mix
 
 PARAGRAPH_END = r"[.!?|\n]+\s*"
-#: Keys a cell that a fresh sketch is laid out for, and doublings before keys are compared without a sketch.
-LOAD, DOUBLINGS = 0.7, 8
+#: Keys a cell that a fresh sketch is laid out for, and doublings within which any sketch is expected to peel.
+LOAD, DOUBLINGS = 0.7, 16
 _CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
 
 
@@ -38,14 +39,6 @@ def paragraph_digests(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, PARAGRAPH_END), lambda p: p != ""), lambda p: F.xxhash64(p))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words that spreads every bit."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def numbered(digests: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys and owners: a digest with its number among its owner's equal digests."""
     order = np.lexsort((digests, owner))
@@ -112,7 +105,7 @@ def build(keys: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, list
     counts = np.bincount(owner, minlength=n)
     m, cells = first_size(counts), [b""] * n
     todo = np.arange(n)
-    for last in range(DOUBLINGS + 1):
+    for _ in range(DOUBLINGS):
         slot = np.full(n, -1)
         slot[todo] = np.arange(len(todo))
         mine = slot[owner] >= 0
@@ -120,14 +113,13 @@ def build(keys: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, list
         sketch.add(keys[mine], slot[owner[mine]])
         raw = sketch.cells.copy()
         _, _, clean = sketch.peel()
-        clean |= last == DOUBLINGS
         for i in np.flatnonzero(clean):
             cells[todo[i]] = raw[sketch.base[i] : sketch.base[i + 1]].tobytes()
         todo = todo[~clean]
         m[todo] *= 2
         if not len(todo):
-            break
-    return m, cells
+            return m, cells
+    raise ValueError(f"{len(todo)} sketches can't be listed at {int(m.max())} cells a table")
 
 
 def differing(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], n: int, m: np.ndarray) -> np.ndarray:
@@ -146,9 +138,7 @@ def differing(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
         m[todo] *= 2
         if not len(todo):
             return out
-    for i in todo:
-        out[i] = len(np.setxor1d(a[0][a[1] == i], b[0][b[1] == i]))
-    return out
+    raise ValueError(f"{len(todo)} differences can't be listed at {int(m.max())} cells a table")
 
 
 def likeness(n_a: np.ndarray, n_b: np.ndarray, differ: np.ndarray) -> np.ndarray:
@@ -210,21 +200,22 @@ def fingerprints_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def with_next(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """df with next_text, the text of the row that follows by id. Rows are dealt by ranges of the id as a double, and ordered by the id itself within equal doubles; the first row of each range is also given to the range before it."""
     spark = df.sparkSession
+    _key, _range, _copy = (fresh(df, c) for c in ("key", "range", "copy"))
     key = F.coalesce(F.col(id_column).cast("double"), F.lit(float("-inf")))
-    keyed = df.withColumn("_key", key)
+    keyed = df.withColumn(_key, key)
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = keyed.approxQuantile("_key", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
+    cuts = keyed.approxQuantile(_key, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     splits = [float("-inf"), *sorted({c for c in cuts if c > float("-inf")}), float("inf")]
     splits = splits if len(splits) > 2 else [float("-inf"), 0.0, float("inf")]
-    dealt = Bucketizer(splits=splits, inputCol="_key", outputCol="_range", handleInvalid="keep").transform(keyed).withColumn("_copy", F.lit(0))
-    heads = sorted(dealt.groupBy("_range").agg(F.min("_key").alias("_key")).collect())  # a row a range
+    dealt = Bucketizer(splits=splits, inputCol=_key, outputCol=_range, handleInvalid="keep").transform(keyed).withColumn(_copy, F.lit(0))
+    heads = sorted(dealt.groupBy(_range).agg(F.min(_key)).collect())  # a row a range
     if not heads:
-        return dealt.withColumn("next_text", F.col(text_column)).drop("_key", "_range", "_copy")
-    before = {head["_key"]: heads[i - 1]["_range"] for i, head in enumerate(heads)}
+        return dealt.withColumn("next_text", F.col(text_column)).drop(_key, _range, _copy)
+    before = {head[1]: heads[i - 1][0] for i, head in enumerate(heads)}
     to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    copies = dealt.where(F.col("_key").isin(list(before))).withColumn("_range", to[F.col("_key")]).withColumn("_copy", F.lit(1))
-    order = Window.partitionBy("_range").orderBy("_copy", "_key", F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first())
-    return dealt.unionByName(copies).withColumn("next_text", F.lead(text_column).over(order)).where("_copy = 0").drop("_key", "_range", "_copy")
+    copies = dealt.where(F.col(_key).isin(list(before))).withColumn(_range, to[F.col(_key)]).withColumn(_copy, F.lit(1))
+    order = Window.partitionBy(_range).orderBy(_copy, _key, F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first())
+    return dealt.unionByName(copies).withColumn("next_text", F.lead(text_column).over(order)).where(F.col(_copy) == 0).drop(_key, _range, _copy)
 
 
 def edited_with_next(text: Column, following: Column) -> Column:
@@ -240,7 +231,7 @@ def fingerprint_pairs(df: DataFrame) -> DataFrame:
     row = F.struct("doc_id", F.length(own).cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256")).alias("row")
     fed = df.select(row, *[paragraph_digests(c).alias(f"d{i}") for i, c in enumerate((own, edited, following))])
     schema = f"row {fed.schema['row'].dataType.simpleString()}, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return fed.mapInArrow(fingerprints_of, schema).select("row.*", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return fed.transform(map_batches, fingerprints_of, schema).select("row.*", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
