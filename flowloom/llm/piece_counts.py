@@ -23,9 +23,11 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, slices
+from flowloom.llm.common import documents, map_batches, slices
 
 SPACE = "▁"
+_SHIFT = 40  # positions take so many bits of a heap entry, the rank is above them
+_POSITION = (1 << _SHIFT) - 1
 
 
 class PieceCounter:
@@ -46,27 +48,27 @@ class PieceCounter:
         symbols = [*segment, ""]
         after, before = list(range(1, n + 2)), list(range(-1, n))
         pair = [rank(a + b, -1) for a, b in zip(segment, segment[1:])] + [-1, -1]  # no pair starts at the last symbol
-        heap = [(r << 24) + i for i, r in enumerate(pair) if r >= 0]
+        heap = [(r << _SHIFT) + i for i, r in enumerate(pair) if r >= 0]
         heapify(heap)
         count = n
         while heap:
             entry = heappop(heap)
-            i = entry & 0xFFFFFF
-            if pair[i] != entry >> 24:
+            i = entry & _POSITION
+            if pair[i] != entry >> _SHIFT:
                 continue
             count -= 1
             j = after[i]
-            symbols[i] = piece = order[entry >> 24]
+            symbols[i] = piece = order[entry >> _SHIFT]
             symbols[j], pair[j] = "", -1
             after[i] = k = after[j]
             before[k] = i
             pair[i] = r = rank(piece + symbols[k], -1) if k < n else -1
             if r >= 0:
-                heappush(heap, (r << 24) + i)
+                heappush(heap, (r << _SHIFT) + i)
             if (h := before[i]) >= 0:
                 pair[h] = r = rank(symbols[h] + piece, -1)
                 if r >= 0:
-                    heappush(heap, (r << 24) + h)
+                    heappush(heap, (r << _SHIFT) + h)
         return count + sum([len(s.encode()) - 1 for s in symbols if len(s) == 1 and s not in self.rank])
 
     def segment(self, marked: str) -> int:
@@ -122,7 +124,7 @@ def count_tokens(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             yield pa.RecordBatch.from_arrays([part.column(0), size, pa.array([pieces.count(t) for t in texts], pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
     kind = df.schema[id_column].dataType.simpleString()
-    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).transform(map_batches, run, f"id {kind}, n_bytes long, n_tokens long")
     return out.withColumnRenamed("id", id_column)
 
 
