@@ -22,28 +22,32 @@ pass over the documents a block.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flowloom.llm.common import documents, read_table, slices
+from flowloom.llm.common import checkpointed, documents, fresh, map_batches, read_table, slices
 
+#: Bytes of items that are aligned side by side, and bits of a position in an item.
+_SIDE, _START = 8_000_000, 31
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
 @dataclass(frozen=True)
 class Decontamination:
-    """region: characters that must match, at most; rate: edits a character; q: of q-grams, 8 at most; block: bytes of items in one pass."""
+    """region: characters that must match, at most; rate: edits a character; q: of q-grams, 8 at most; block: bytes of items in one pass; broadcast: ids of documents with leaks sent to all tasks at most, more are joined."""
 
     region: int = 80
     rate: float = 0.08
     q: int = 8
     edit: int = 4
     block: int = 4_000_000
+    broadcast: int = 1_000_000
 
 
 def folded(text: str) -> bytes:
@@ -102,6 +106,8 @@ class ItemIndex:
         found = np.minimum(np.searchsorted(self.value, value[at]), len(self.value) - 1)
         real = self.value[found] == value[at]
         at, found = at[real], found[real]
+        if not len(at):
+            return np.empty((0, 3), np.int64)
         many = self.last[found] - self.first[found]
         hit = np.repeat(np.arange(len(at)), many)
         entry = np.repeat(self.first[found], many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
@@ -110,13 +116,15 @@ class ItemIndex:
         diagonal = (at - starts[text])[hit] - self.place[entry]
         item, text = self.item[entry], text[hit]
         band = diagonal // self.width  # each also counts in the band before, which reaches to twice the width
-        offset = np.int64(1 << 16)  # of the band, so that it isn't negative: items are shorter than that many widths
-        key = np.concatenate([(text * len(self.ids) + item) * (1 << 32) + band + offset, (text * len(self.ids) + item) * (1 << 32) + band - 1 + offset])
-        key, count = np.unique(key, return_counts=True)
-        item = (key >> 32) % len(self.ids)
+        # pairs of text and item by number, so that pair and band fit in one key
+        pairs, pair = np.unique(text * len(self.ids) + item, return_inverse=True)
+        least = int(band.min()) - 1
+        span = int(band.max()) - least + 1
+        key = pair * span + band - least
+        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        text, item = np.divmod(pairs[key // span], len(self.ids))
         enough = count >= self.least[item]
-        key, item = key[enough], item[enough]
-        return np.stack([(key >> 32) // len(self.ids), item, (key & 0xFFFFFFFF) - offset], axis=1)
+        return np.stack([text, item, key % span + least], axis=1)[enough]
 
     def window(self, item: int, band: int) -> tuple[int, int]:
         """Start and end of the text that the item's characters can meet in a band."""
@@ -128,9 +136,12 @@ class ItemIndex:
         out = np.zeros((len(rows), 5), np.int64)
         lengths = np.array([len(self.texts[i]) for i in rows[:, 1]], np.int64)
         order = np.argsort(lengths, kind="stable")
-        for at in range(0, len(order), 256):
-            some = order[at : at + 256]
+        at = len(order)
+        while at:  # the longest first, of which fewer go side by side
+            few = max(1, min(256, _SIDE // int(lengths[order[at - 1]])))
+            some = order[max(0, at - few) : at]
             out[some] = self._aligned(datas, rows[some], lengths[some], taken)
+            at -= len(some)
         return out
 
     def _aligned(self, datas: list[bytes], rows: np.ndarray, lengths: np.ndarray, taken: dict[tuple[int, int], list[tuple[int, int]]]) -> np.ndarray:
@@ -147,11 +158,11 @@ class ItemIndex:
                 texts[r, max(0, a - low[r]) : max(0, b - low[r])] = 0xFF  # in no text
         step = edit * np.arange(wide)
         score = np.zeros((n, wide), np.int64)
-        begin = np.zeros((n, wide), np.int64)  # packed start of the region: text offset << 20 | item offset
+        begin = np.zeros((n, wide), np.int64)  # packed start of the region: text offset and, in _START bits, item offset
         best = np.zeros((n, 5), np.int64)
         column = np.arange(wide)
         for j in range(most):
-            here = ((j + column) << 20) | j
+            here = ((j + column) << _START) | j
             fresh = score <= 0
             base = np.where(fresh, 0, score)
             from_start = np.where(fresh, here, begin)
@@ -170,7 +181,7 @@ class ItemIndex:
             value = score[np.arange(n), peak]
             better = (value > best[:, 0]) & (j < lengths)
             start = begin[np.arange(n), peak]
-            best[better] = np.stack([value, (start >> 20) + low, j + peak + 1 + low, start & 0xFFFFF, np.full(n, j + 1)], axis=1)[better]
+            best[better] = np.stack([value, (start >> _START) + low, j + peak + 1 + low, start & ((1 << _START) - 1), np.full(n, j + 1)], axis=1)[better]
         return best
 
     def has_room(self, datas: list[bytes], row: list[int], taken: dict[tuple[int, int], list[tuple[int, int]]]) -> bool:
@@ -241,10 +252,12 @@ def blocks_of(items: DataFrame, settings: Decontamination) -> Iterator[list[tupl
 MATCH = "doc_id long, item_id long, score int, start_char int, end_char int, item_start int, item_end int"
 
 
-def contaminated_regions(docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination()) -> DataFrame:
-    """A row for every retained region: doc_id, item_id, score, start and end in the document (code points), start and end in the item (bytes)."""
+def contaminated_regions(docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination(), keep: Sequence[str] = ()) -> DataFrame:
+    """A row for every retained region: doc_id, item_id, score, start and end in the document (code points), start and end in the item (bytes), and the columns of docs to keep."""
     found = docs.sparkSession.createDataFrame([], MATCH)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    schema = T.StructType([*found.schema.fields, *(docs.schema[c] for c in keep)])
+    found = docs.sparkSession.createDataFrame([], schema)
+    docs = docs.select(F.col("doc_id").cast("long"), "text", *keep)
     for block in blocks_of(items, settings):
         sent = docs.sparkSession.sparkContext.broadcast(tuple(block))
 
@@ -252,28 +265,32 @@ def contaminated_regions(docs: DataFrame, items: DataFrame, settings: Decontamin
             index = _index(sent.value, settings)
             for part, texts in slices(batches):
                 ids = part.column(0).to_pylist()
-                rows = []
+                rows, at = [], []
                 for t, i, score, a, b, c, d in index.matches(texts):
+                    at.append(t)
                     data = texts[t].encode()
                     a, b = max(0, a), min(len(data), b)
                     start = len(data[:a].decode(errors="ignore"))
                     rows.append((ids[t], index.ids[i], score, start, start + len(data[a:b].decode(errors="ignore")), c, d))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
                 types = [pa.int64()] * 2 + [pa.int32()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, types, strict=True)], names=[x.split()[0] for x in MATCH.split(", ")])
+                kept = [part.column(2 + k).take(pa.array(at, pa.int64())) for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, k) for x, k in zip(columns, types, strict=True)), *kept], names=schema.names)
 
-        found = found.union(docs.mapInArrow(run, MATCH))
+        found = found.union(docs.transform(map_batches, run, schema))
     return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination()) -> DataFrame:
     """docs without those that hold a region of an item; rows without doc_id are judged by their own text."""
-    numbered = docs.where("doc_id is null").withColumn("_row", F.xxhash64("text"))
-    bad = contaminated_regions(docs.where("doc_id is not null"), items, settings).select(F.col("doc_id").alias("_bad")).distinct()
-    kept = docs.where("doc_id is not null").join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
-    texts = numbered.select(F.col("_row").alias("doc_id"), "text")
-    bad_texts = contaminated_regions(texts, items, settings).select(F.col("doc_id").alias("_bad")).distinct()
-    return kept.unionByName(numbered.join(bad_texts, F.col("_row") == F.col("_bad"), "left_anti").drop("_row"))
+    leak, named = fresh(docs, "leak"), F.col("doc_id").isNotNull()
+    number = F.when(named, F.col("doc_id").cast("long")).otherwise(F.xxhash64("text"))
+    found = contaminated_regions(docs.select(number.alias("doc_id"), F.when(named, 1).otherwise(0).alias("named"), "text"), items, settings, ["named"])
+    found = checkpointed(found.select(F.col("doc_id").alias(leak), "named").distinct())
+    found = F.broadcast(found) if found.count() <= settings.broadcast else found
+    by = lambda which: found.where(F.col("named") == which).select(leak)
+    kept = docs.where(named).join(by(1), number == F.col(leak), "left_anti")
+    return kept.unionByName(docs.where(~named).join(by(0), number == F.col(leak), "left_anti"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
