@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import documents, slices
+from flowloom.llm.common import documents, map_batches, slices
 
 #: Kinds in the order that breaks ties of start.
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
@@ -135,7 +135,7 @@ def find_secrets(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             yield pa.RecordBatch.from_arrays([part.column(0), *spans], names=["id", "base_spans", "added_spans"])
 
     kind = df.schema[id_column].dataType.simpleString()
-    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"id {kind}, base_spans {SPAN}, added_spans {SPAN}")
+    out = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).transform(map_batches, run, f"id {kind}, base_spans {SPAN}, added_spans {SPAN}")
     return out.withColumnRenamed("id", id_column)
 
 
@@ -145,9 +145,9 @@ def redact_secrets(df: DataFrame, text_column: str = "text", mark: str = "[SECRE
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner(settings)
-        for batch in batches:
+        for batch, texts in slices(batches, text_column):
             out = []
-            for text in batch.column(at).to_pylist():
+            for text in texts:
                 spans = sorted((s[1], s[2]) for k in scan(text) for s in k) if text else []
                 if spans:
                     parts, done = [], 0
@@ -158,10 +158,10 @@ def redact_secrets(df: DataFrame, text_column: str = "text", mark: str = "[SECRE
                     text = "".join([*parts, text[done:]])
                 out.append(text)
             columns = batch.columns
-            columns[at] = pa.array(out, columns[at].type)
+            columns[at] = pa.array(out, columns[at].type, mask=columns[at].is_null().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    out = df.mapInArrow(run, df.schema)
+    out = df.transform(map_batches, run, df.schema)
     if "n_chars" in df.columns and text_column == "text":
         out = out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(df.schema["n_chars"].dataType)))
     return out
@@ -171,8 +171,8 @@ def _joined(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(documents(spark, sf_dir))
+def digests(found: DataFrame) -> DataFrame:
+    """doc_id, how many spans of each fixed kind, the digest of these, and all spans joined, of rows of find_secrets()."""
     of = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
     order = F.array_sort(
         F.transform(
@@ -188,3 +188,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined("base_spans").cast("binary"), 256).alias("base_sha256"),
         _joined("all_spans").alias("spans"),
     )
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(find_secrets(documents(spark, sf_dir)))
