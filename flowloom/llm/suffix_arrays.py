@@ -1,21 +1,21 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, with numpy.
+"""Suffix arrays by induced sorting, and permuted common prefixes.
 
 Suffixes are classified as L (larger than the next) or S; the leftmost S of each run
-(LMS) start substrings that are sorted by inducing, named, and, unless all names
-differ, ordered by the suffix array of the names. From the ordered LMS suffixes the
-L suffixes are induced bucket by bucket from the least symbol up, then the S
-suffixes from the greatest down. All suffixes that one bucket (or one round of
-equal symbols in it) induces are placed at once. Where the names of a level are too
-many for a pass a bucket, that level is ordered by prefix doubling.
+(LMS) start substrings that are sorted by inducing, named by comparing neighbours
+symbol by symbol, and, unless all names differ, ordered by the suffix array of the
+names, which is made the same way. From the ordered LMS suffixes the L suffixes are
+induced bucket by bucket from the least symbol up, then the S suffixes from the
+greatest down. A level of few symbols (bytes) is induced with numpy: all suffixes
+that one bucket (or one round of equal symbols in it) induces are placed at once. A
+level of many symbols (names), whose buckets hold few suffixes each, is induced
+suffix by suffix. Both take time linear in the string.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from flowloom.llm.words import mix
-
-#: Suffixes for each symbol from which on a level is ordered by induced sorting, and symbols for which it always is.
+#: Suffixes for each symbol from which on a level is induced a bucket at a time, and symbols for which it always is.
 SUFFIXES, SYMBOLS = 200, 300
 
 
@@ -78,20 +78,47 @@ def _induced(s: np.ndarray, is_s: np.ndarray, counts: np.ndarray, lms: np.ndarra
     return out
 
 
-def _doubled(s: np.ndarray) -> np.ndarray:
-    n, step = len(s), 1
-    rank = s.astype(np.int64)
-    while True:
-        after = np.full(n, -1, np.int64)
-        after[:-step] = rank[step:]
-        key = rank * (int(max(rank.max(), n)) + 2) + after + 1
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        if rank[order[-1]] == n - 1 or step >= n:
-            return order
-        step *= 2
+def _induced_singly(s: np.ndarray, is_s: np.ndarray, counts: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """As _induced(), a suffix at a time: for many symbols with few suffixes each."""
+    n = len(s)
+    ends = np.cumsum(counts)
+    symbol, larger = s.tolist(), (~is_s).tolist()
+    # LMS suffixes at the tails of their buckets
+    out = np.full(n, -1, np.int64)
+    bucket = s[lms]
+    first = np.searchsorted(bucket, bucket)
+    size = np.searchsorted(bucket, bucket, side="right") - first
+    out[ends[bucket] - size + np.arange(len(lms)) - first] = lms
+    at, head, tail = out.tolist(), (ends - counts).tolist(), ends.tolist()
+    for j in at:  # grows while it is read
+        if j > 0 and larger[j - 1]:
+            c = symbol[j - 1]
+            at[head[c]] = j - 1
+            head[c] += 1
+    for i in range(n - 1, -1, -1):
+        j = at[i] - 1
+        if j >= 0 and not larger[j]:
+            c = symbol[j]
+            tail[c] -= 1
+            at[tail[c]] = j
+    at[0] = n - 1  # the sentinel, which nothing induces
+    return np.array(at, np.int64)
+
+
+def _named(s: np.ndarray, lms: np.ndarray, sorted_lms: np.ndarray) -> np.ndarray:
+    """Numbers of LMS substrings in their order, the same for equal ones. A substring reaches to the next LMS position, inclusive."""
+    reach = np.zeros(len(s), np.int64)
+    reach[lms] = np.append(lms[1:], len(s) - 1) + 1 - lms
+    a, b = sorted_lms[:-1], sorted_lms[1:]
+    new = reach[a] != reach[b]
+    same = np.flatnonzero(~new)
+    if len(same):
+        sizes = reach[a[same]]
+        starts = np.cumsum(sizes) - sizes
+        within = np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
+        equal = s[np.repeat(a[same], sizes) + within] == s[np.repeat(b[same], sizes) + within]
+        new[same] = ~np.logical_and.reduceat(equal, starts)
+    return np.cumsum(np.concatenate([[0], new]))
 
 
 def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
@@ -99,8 +126,7 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     n = len(s)
     if n <= 2:
         return np.arange(n)[::-1].copy()
-    if symbols > max(SYMBOLS, n // SUFFIXES):
-        return _doubled(s)
+    induced = _induced_singly if symbols > max(SYMBOLS, n // SUFFIXES) else _induced
     # S where the next different symbol is greater; the sentinel is S
     index = np.arange(n - 1)
     change = np.where(s[:-1] != s[1:], index, n)
@@ -110,26 +136,16 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     counts = np.bincount(s, minlength=symbols)
     by_symbol = lms[np.argsort(s[lms], kind="stable")]
-    order = _induced(s, is_s, counts, by_symbol)
+    order = induced(s, is_s, counts, by_symbol)
     starts = np.zeros(n, bool)
     starts[lms] = True
     sorted_lms = order[starts[order]]
-    # equal substrings get one name; a substring reaches to the next LMS position, inclusive
-    base, inverse = np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-    up, down = np.full(n, base), np.full(n, inverse)
-    up[0] = down[0] = 1
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s.astype(np.uint64) + np.uint64(1)) * np.cumprod(up))])
-    reach = np.append(lms[1:], n - 1) + 1
-    code = mix((total[reach] - total[lms]) * np.cumprod(down)[lms] + (reach - lms).astype(np.uint64))
-    code_at = np.zeros(n, np.uint64)
-    code_at[lms] = code
-    codes = code_at[sorted_lms]
-    name = np.cumsum(np.concatenate([[0], codes[1:] != codes[:-1]]))
+    name = _named(s, lms, sorted_lms)
     if name[-1] + 1 < len(lms):
         names = np.zeros(n, np.int64)
         names[sorted_lms] = name
         sorted_lms = lms[suffix_array(names[lms], int(name[-1]) + 1)]
-    return _induced(s, is_s, counts, sorted_lms)
+    return induced(s, is_s, counts, sorted_lms)
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
