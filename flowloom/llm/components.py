@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import checkpointed
+from flowloom.llm.common import checkpointed, compact, few
 
 
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
@@ -21,10 +21,11 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """From edges (u, v): node and component, the least node of its component, for every node with an edge to another."""
-    now = checkpointed(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now, rows = compact(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     while True:
-        now = checkpointed(_stars(_stars(now, small=False), small=True))
+        # a star has no more edges than what it was made of
+        now = few(checkpointed(few(_stars(few(_stars(now, small=False), rows), small=True), rows)), rows)
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(row) == mark:
             break

@@ -45,13 +45,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import checkpointed, documents, fresh, slices
+from flowloom.llm.common import checkpointed, compact, documents, fresh, map_batches, slices
 from flowloom.llm.components import components
 from flowloom.llm.dealing import MEET, PACKED, bucket_count, packed, split_by, unpack
 from flowloom.llm.words import mix, windows, words_of
 
-#: A segment's key with a set that has it; with the least and largest component there; with a set, its component and size.
-_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4")])
+#: A segment's key with a set that has it, and whether three or more are known to have it; with the least and largest component there; with a set, its component and size.
+_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("n", "<i4"), ("many", "i1")])
 _MIXED = np.dtype([("key", "<u8"), ("least", "<i8"), ("last", "<i8"), ("many", "<i4")])
 _MEMBER = np.dtype([("key", "<u8"), ("node", "<i8"), ("component", "<i8"), ("n", "<i4")])
 _EDGE = np.dtype([("u", "<i8"), ("v", "<i8")])
@@ -224,7 +224,7 @@ def described(df: DataFrame, join: JaccardJoin) -> DataFrame:
             sets = shingle_sets(texts, join.shingle)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets.counts), pa.array(nodes_of(sets)), pa.array(sketches_in(sets), pa.binary())], names=["doc_id", "n_shingles", "node", "sketch"])
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, node long, sketch binary")
+    return df.transform(map_batches, run, "doc_id long, n_shingles long, node long, sketch binary")
 
 
 #: Kinds of rows that star_candidates() and contested_candidates() make.
@@ -248,7 +248,7 @@ def _distinct(u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _stars(entries: np.ndarray, join: JaccardJoin) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries: the least node of each key, with another one if there is; keys of three or more nodes; edges from all others to the least, if sizes allow a link; and nodes of edges that they don't allow."""
+    """Of entries: the least node of each key, with another one if there is (marked if the key has three or more); keys of three or more nodes; edges from all others to the least, if sizes allow a link; and nodes of edges that they don't allow."""
     entries = entries[np.argsort(entries["key"])]
     key, node = entries["key"], entries["node"]
     first = np.ones(len(key), bool)
@@ -264,11 +264,13 @@ def _stars(entries: np.ndarray, join: JaccardJoin) -> tuple[np.ndarray, np.ndarr
     new[1:] = theirs[1:] != theirs[:-1]
     second = others[new]
     beyond = others[node[others] != node[second][np.cumsum(new) - 1]]
-    crowded = np.unique(key[beyond])
+    crowded = np.unique(np.concatenate([key[beyond], key[entries["many"] > 0]]))
     n, center = entries["n"].astype(np.int64), pivot[theirs]
     may = join.may_link(n[others], n[center])
     far = np.unique(np.concatenate([node[others[~may]], node[center[~may]]]))
-    return entries[np.concatenate([pivot, second])], crowded, _distinct(node[others[may]], node[center[may]]), far
+    heads = entries[np.concatenate([pivot, second])]
+    heads["many"] = np.isin(heads["key"], crowded)
+    return heads, crowded, _distinct(node[others[may]], node[center[may]]), far
 
 
 def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFrame:
@@ -279,9 +281,9 @@ def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFra
         held, size = [], 0
 
         def settle() -> Iterator[pa.RecordBatch]:
-            heads, crowded, edges, far = _stars(np.concatenate(held), join)
+            heads, _, edges, far = _stars(np.concatenate(held), join)
             rows = split_by(heads, (heads["key"] % np.uint64(buckets)).astype(np.int64), MEET)
-            for kind, found in ((_EDGES, edges), (_KEYS, crowded), (_FAR, far)):
+            for kind, found in ((_EDGES, edges), (_FAR, far)):
                 if len(found):
                     rows.append((len(rows) % buckets, kind, found.tobytes()))
             if rows:
@@ -291,7 +293,7 @@ def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFra
             sets = shingle_sets(texts, join.shingle)
             keys, at = keys_of(sets, join, bands)
             entries = np.empty(len(keys), _ENTRY)
-            entries["key"], entries["node"], entries["n"] = keys, nodes_of(sets)[at], sets.counts[at]
+            entries["key"], entries["node"], entries["n"], entries["many"] = keys, nodes_of(sets)[at], sets.counts[at], 0
             held.append(entries)
             size += len(keys)
             if size > 500_000:
@@ -302,37 +304,56 @@ def star_candidates(docs: DataFrame, join: JaccardJoin, buckets: int) -> DataFra
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
+        edges_held: list[np.ndarray] = []
+        far_held: list[np.ndarray] = []
+
+        def gathered(least: int) -> Iterator[pa.RecordBatch]:
+            """Edges and touched nodes, one of each of a task's."""
+            if sum(map(len, edges_held)) > least:
+                edges = np.concatenate(edges_held)
+                edges_held[:] = [_distinct(edges["u"], edges["v"])]
+            if sum(map(len, far_held)) > least:
+                far_held[:] = [np.unique(np.concatenate(far_held))]
+            for kept, found in ((edges_held, lambda x: _found(EDGE, x["u"], x["v"])), (far_held, lambda x: _found(TOUCHED, x))):
+                if sum(map(len, kept)) > least:
+                    yield from map(found, kept)
+                    kept.clear()
 
         def settle() -> Iterator[pa.RecordBatch]:
             if held:
                 _, crowded, edges, far = _stars(np.concatenate(held), join)
-                yield from (_found(EDGE, edges["u"], edges["v"]), _found(CROWDED, crowded.view(np.int64)), _found(TOUCHED, far))
+                edges_held.append(edges)
+                far_held.append(far)
                 held.clear()
+                yield _found(CROWDED, crowded.view(np.int64))
+                yield from gathered(2_000_000)
 
         for batch in batches:
             for bucket, kind, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if kind == _EDGES:
-                    edges = np.frombuffer(payload, _EDGE)
-                    yield _found(EDGE, edges["u"], edges["v"])
-                elif kind in (_KEYS, _FAR):
-                    yield _found(CROWDED if kind == _KEYS else TOUCHED, np.frombuffer(payload, np.int64))
+                    edges_held.append(np.frombuffer(payload, _EDGE))
+                elif kind == _FAR:
+                    far_held.append(np.frombuffer(payload, np.int64))
                 else:
                     if bucket != of:
                         yield from settle()
                         of = bucket
                     held.append(unpack(payload, _ENTRY))
+            yield from gathered(2_000_000)
         yield from settle()
+        yield from gathered(0)
 
-    dealt = docs.mapInArrow(near, PACKED).repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(meet, "kind int, u long, v long").distinct()
+    dealt = docs.transform(map_batches, near, PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.transform(map_batches, meet, "kind int, u long, v long").distinct()
 
 
-_EDGES, _KEYS, _FAR, _LARGE = 2, 3, 4, 5
+_EDGES, _FAR, _LARGE = 2, 3, 4
 
 
-def bounded(df: DataFrame, join: JaccardJoin) -> DataFrame:
-    """df (checkpointed), to be sent to all tasks if it is small enough."""
-    return F.broadcast(df) if df.count() <= join.broadcast else df
+def bounded(df: DataFrame, join: JaccardJoin, most: int | None = None) -> DataFrame:
+    """df, checkpointed, to be sent to all tasks if it is small enough. most: rows that it can't exceed, if known."""
+    df, rows = compact(df, most)
+    return F.broadcast(df) if rows <= join.broadcast else df
 
 
 def near_enough(pairs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> DataFrame:
@@ -349,25 +370,25 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> Dat
             keep = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
 
-    return both.mapInArrow(run, "u long, v long").distinct()
+    return both.transform(map_batches, run, "u long, v long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs (u, v) of nodes that link, by their whole sets, each taken from the node's document of least id. A pair goes to v's part of the data, salted by how many pairs v has; v's set is sent once to each part."""
+def verified(pairs: DataFrame, many: int, docs: DataFrame, sketches: DataFrame, join: JaccardJoin) -> DataFrame:
+    """Pairs (u, v) of nodes that link, by their whole sets, each taken from the node's document of least id. A pair goes to v's part of the data, salted by how many pairs v has; v's set is sent once to each part. many: how many pairs there are."""
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    ids = checkpointed(sketches.join(nodes, "node").select("doc_id").distinct())
-    wanted = docs.join(bounded(ids, join), "doc_id").select("doc_id", "text")
+    ids = sketches.join(nodes, "node").select("doc_id").distinct()
+    wanted = docs.join(bounded(ids, join, 2 * many), "doc_id").select("doc_id", "text")
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
             sets = shingle_sets(texts, join.shingle)
             yield pa.RecordBatch.from_arrays([pa.array(nodes_of(sets)), pa.array([s.tobytes() for s in sets.split()], pa.binary())], names=["u", "hashes"])
 
-    sets = wanted.mapInArrow(hashed, "u long, hashes binary")
-    parts = checkpointed(pairs.groupBy("v").agg(F.ceil(F.count("*") / 2000).cast("int").alias("parts")))
-    left = checkpointed(pairs.join(parts, "v").withColumn("part", F.pmod(F.xxhash64("u"), "parts").cast("int")))
-    left = sets.join(bounded(left, join), "u").select("v", "part", F.lit(1).alias("kind"), "hashes", "u")
-    right = sets.withColumnRenamed("u", "v").join(bounded(parts, join), "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("v", "part", F.lit(0).alias("kind"), "hashes", F.col("v").alias("u"))
+    sets = wanted.transform(map_batches, hashed, "u long, hashes binary")
+    parts = bounded(pairs.groupBy("v").agg(F.ceil(F.count("*") / 2000).cast("int").alias("parts")), join, many)
+    left = pairs.join(parts, "v").withColumn("part", F.pmod(F.xxhash64("u"), "parts").cast("int"))
+    left = sets.join(bounded(left, join, many), "u").select("v", "part", F.lit(1).alias("kind"), "hashes", "u")
+    right = sets.withColumnRenamed("u", "v").join(parts, "v").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("v", "part", F.lit(0).alias("kind"), "hashes", F.col("v").alias("u"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, own = None, np.empty(0, np.uint64)
@@ -384,7 +405,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, join: Jacca
                         links.append((u, v))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
 
-    return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").mapInArrow(run, "u long, v long").distinct()
+    return left.union(right).repartition("v", "part").sortWithinPartitions("v", "part", "kind").transform(map_batches, run, "u long, v long").distinct()
 
 
 def contested_pairs(nodes: np.ndarray, components_: np.ndarray, sizes: np.ndarray, sketches: list[bytes], join: JaccardJoin, most_words: int = 1 << 21, sides: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -423,7 +444,7 @@ def nearest_pairs(count: int, pairs: Iterable[tuple[np.ndarray, np.ndarray, np.n
     return chosen[:, 0], chosen[:, 1], has if total > len(chosen) else has[:0]
 
 
-def _sent(spark: SparkSession, df: DataFrame, join: JaccardJoin) -> dict[str, np.ndarray] | None:
+def _sent(df: DataFrame, join: JaccardJoin) -> dict[str, np.ndarray] | None:
     """The columns of df (checkpointed, of a number key), sorted by key, if it is small enough to be sent to all tasks."""
     if df.count() > join.broadcast:
         return None
@@ -440,7 +461,7 @@ def _looked_up(keys: np.ndarray, sent: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def contested_segments(near: DataFrame, crowded: DataFrame, join: JaccardJoin, buckets: int) -> DataFrame:
     """key and many: segments of several components, and how many nodes they have at most. near: doc_id, text, component. Where crowded segments are few, others are left out."""
     spark, bands = near.sparkSession, np.array(join.edges_of_bands(1 << 32))
-    few = _sent(spark, crowded, join)
+    few = _sent(crowded, join)
     sent = spark.sparkContext.broadcast(few and few["key"])
 
     def summed(entries: np.ndarray) -> np.ndarray:
@@ -484,7 +505,7 @@ def contested_segments(near: DataFrame, crowded: DataFrame, join: JaccardJoin, b
                 held.append(unpack(payload, _MIXED))
         yield from settle()
 
-    return near.mapInArrow(mixed, PACKED).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "key long, many int")
+    return near.transform(map_batches, mixed, PACKED).repartition("bucket").sortWithinPartitions("bucket").transform(map_batches, meet, "key long, many int")
 
 
 def contested_members(near: DataFrame, contested: DataFrame, join: JaccardJoin, buckets: int) -> DataFrame:
@@ -506,7 +527,7 @@ def contested_members(near: DataFrame, contested: DataFrame, join: JaccardJoin,
                 if rows:
                     yield packed(rows)
 
-        return near.mapInArrow(run, PACKED)
+        return near.transform(map_batches, run, PACKED)
 
     parts = max(1, math.ceil(contested.count() / join.broadcast))
     out = None
@@ -551,7 +572,7 @@ def small_candidates(members: DataFrame, join: JaccardJoin) -> DataFrame:
         if held:
             yield from settle(held)
 
-    return members.where(F.col("kind") == MEET).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "kind int, u long, v long").distinct()
+    return members.where(F.col("kind") == MEET).repartition("bucket").sortWithinPartitions("bucket").transform(map_batches, run, "kind int, u long, v long").distinct()
 
 
 def large_members(members: DataFrame) -> DataFrame:
@@ -563,7 +584,7 @@ def large_members(members: DataFrame) -> DataFrame:
                 found = unpack(payload, _MEMBER)
                 yield pa.RecordBatch.from_arrays([pa.array(found["key"].view(np.int64)), *(pa.array(np.ascontiguousarray(found[c])) for c in ("node", "component", "n"))], names=["key", "node", "component", "n"])
 
-    return members.where(F.col("kind") == _LARGE).select("payload").mapInArrow(run, "key long, node long, component long, n int")
+    return members.where(F.col("kind") == _LARGE).select("payload").transform(map_batches, run, "key long, node long, component long, n int")
 
 
 def contested_candidates(rows: DataFrame, sketches: DataFrame, join: JaccardJoin, nearest: bool) -> DataFrame:
@@ -595,10 +616,10 @@ def contested_candidates(rows: DataFrame, sketches: DataFrame, join: JaccardJoin
         yield from settle()
 
     contested = rows.groupBy("key").agg(F.count("*").alias("many"), F.min("component").alias("least"), F.max("component").alias("last")).where("least < last")
-    contested = checkpointed(contested.select("key", F.ceil(F.col("many") / join.block).cast("int").alias("parts")))
+    contested = contested.select("key", F.ceil(F.col("many") / join.block).cast("int").alias("parts"))
     met = blocks_met(rows.join(bounded(contested, join), "key"))
     met = met.join(sketches.select("node", "sketch"), "node").select("key", "low", "high", "node", "component", "n", "sketch", "side")
-    return met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(compare, "kind int, u long, v long").where("u <> v").distinct()
+    return met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").transform(map_batches, compare, "kind int, u long, v long").where("u <> v").distinct()
 
 
 def blocks_met(rows: DataFrame) -> DataFrame:
@@ -611,46 +632,46 @@ def blocks_met(rows: DataFrame) -> DataFrame:
 def _links(found: DataFrame, tested: DataFrame, sketches: DataFrame, docs: DataFrame, join: JaccardJoin) -> tuple[DataFrame, DataFrame] | None:
     """Of EDGE rows those not tested before whose sketches allow a link, and those of them that link; None if there are none to test."""
     pairs = found.where(F.col("kind") == EDGE).select("u", "v").join(tested, ["u", "v"], "left_anti")
-    more = checkpointed(near_enough(pairs, sketches, join))
-    return None if more.isEmpty() else (more, verified(more, docs, sketches, join))
+    more, many = compact(near_enough(pairs, sketches, join))
+    return (more, compact(verified(more, many, docs, sketches, join), many)[0]) if many else None
 
 
 def node_components(docs: DataFrame, worded: DataFrame, join: JaccardJoin) -> DataFrame:
     """node and component of the nodes that link with others. docs: doc_id, text; worded: doc_id, n_shingles, node and sketch of docs with words."""
     keys = worded.agg(F.sum("n_shingles")).first()[0] or 0  # with two bands, about half as many as shingles
     buckets = max(bucket_count(docs.sparkSession), math.ceil(keys / 2 / join.task))
-    stars = checkpointed(star_candidates(docs, join, buckets))
-    pairs = checkpointed(stars.where(F.col("kind") == EDGE).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    stars, _ = compact(star_candidates(docs, join, buckets))
+    pairs, many = compact(stars.where(F.col("kind") == EDGE).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     touched = stars.where(F.col("kind").isin(EDGE, TOUCHED)).select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sketches = worded.join(bounded(checkpointed(touched), join), "node").groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("of"))
-    sketches = checkpointed(sketches.select("node", "of.*"))
-    tested = checkpointed(near_enough(pairs, sketches, join))
+    sketches = worded.join(bounded(touched, join), "node").groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("of"))
+    sketches, nodes = compact(sketches.select("node", "of.*"))
+    tested, many = compact(near_enough(pairs, sketches, join), many)
     several = worded.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last").select("doc_id", "v")
-    several = worded.select("doc_id", F.col("node").alias("u")).join(bounded(checkpointed(several), join), "doc_id").where("u <> v").select("u", "v")
-    links = checkpointed(verified(tested, docs, sketches, join).union(several))
-    labels = checkpointed(components(links))
+    several = worded.select("doc_id", F.col("node").alias("u")).join(bounded(several, join), "doc_id").where("u <> v").select("u", "v")
+    links, _ = compact(verified(tested, many, docs, sketches, join).union(several))
+    labels, _ = compact(components(links))
     near = sketches.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component")).distinct()
-    near = docs.join(bounded(checkpointed(near), join), "doc_id").select("doc_id", "text", "component")
+    near = docs.join(bounded(near, join, nodes), "doc_id").select("doc_id", "text", "component")
     crowded = stars.where(F.col("kind") == CROWDED).select(F.col("u").alias("key"))
-    contested = checkpointed(contested_segments(near, crowded, join, buckets))
-    if contested.isEmpty():
+    contested, rows = compact(contested_segments(near, crowded, join, buckets))
+    if not rows:
         return labels
     members = checkpointed(contested_members(near, contested, join, buckets))
     large = large_members(members)
     found = small_candidates(members, join)
     if not contested.where(F.col("many") > join.small).isEmpty():
         found = found.unionByName(contested_candidates(large, sketches, join, nearest=True))
-    found = checkpointed(found)
+    found, _ = compact(found)
     more = _links(found, tested, sketches, docs, join)
     if more:
-        tested, links = tested.union(more[0]), checkpointed(links.union(more[1]))
-        labels = checkpointed(components(links))
-    still = checkpointed(found.where(F.col("kind") == OPEN).select(F.col("u").alias("node")).distinct())
-    if not still.isEmpty():
-        of = bounded(checkpointed(still.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))), join)
+        tested, links = tested.union(more[0]), links.union(more[1])
+        labels, _ = compact(components(links))
+    still, rows = compact(found.where(F.col("kind") == OPEN).select(F.col("u").alias("node")).distinct())
+    if rows:
+        of = bounded(still.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component")), join, rows)
         more = _links(contested_candidates(large.drop("component").join(of, "node"), sketches, join, nearest=False), tested, sketches, docs, join)
         if more:
-            labels = checkpointed(components(links.union(more[1])))
+            labels, _ = compact(components(links.union(more[1])))
     return labels
 
 
@@ -662,10 +683,10 @@ def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> Da
     labels = node_components(docs.where("doc_id is not null"), worded, join)
     # nodes that link with others or have several documents, and the least doc_id of their component
     nodes = worded.groupBy("node").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
-    nodes = checkpointed(nodes.join(labels, "node", "left").where("component is not null or least < last"))
-    least = checkpointed(nodes.where("component is not null").groupBy("component").agg(F.min("least").alias("least_of_all")))
-    named = nodes.join(bounded(least, join), "component", "left").select("node", F.coalesce("least_of_all", "least").alias("component_id"))
-    labelled = rows.drop("sketch").join(bounded(checkpointed(named), join), "node", "left")
+    nodes, classes = compact(nodes.join(labels, "node", "left").where("component is not null or least < last"))
+    least = nodes.where("component is not null").groupBy("component").agg(F.min("least").alias("least_of_all"))
+    named = nodes.join(bounded(least, join, classes), "component", "left").select("node", F.coalesce("least_of_all", "least").alias("component_id"))
+    labelled = rows.drop("sketch").join(bounded(named, join, classes), "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")))
     return labelled.select("doc_id", "n_shingles", own.alias("component_id"))
 
@@ -673,11 +694,11 @@ def jaccard_components(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> Da
 def one_of_each(docs: DataFrame, join: JaccardJoin = JaccardJoin()) -> DataFrame:
     """docs without those that reach a lesser doc_id by links; of rows that share a kept id one stays; rows without doc_id stay."""
     copy, again = fresh(docs, "copy"), fresh(docs, "again")
-    found = checkpointed(jaccard_components(docs, join).where("doc_id > component_id").select(F.col("doc_id").alias(copy)).distinct())
+    found = jaccard_components(docs, join).where("doc_id > component_id").select(F.col("doc_id").alias(copy)).distinct()
     kept = docs.where("doc_id is not null").join(bounded(found, join), F.col("doc_id").cast("long") == F.col(copy), "left_anti")
-    repeated = checkpointed(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(again)).count().where("count > 1").select(again))
-    if not repeated.isEmpty():
-        many = bounded(repeated, join)
+    repeated, rows = compact(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(again)).count().where("count > 1").select(again))
+    if rows:
+        many = bounded(repeated, join, rows)
         once = kept.join(many, F.col("doc_id") == F.col(again), "left_anti")
         kept = once.unionByName(kept.join(many, F.col("doc_id") == F.col(again), "left_semi").dropDuplicates(["doc_id"]))
     return kept.unionByName(docs.where("doc_id is null"))
