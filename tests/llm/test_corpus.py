@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
@@ -32,6 +33,8 @@ def hard(spark):
     base = " ".join(f"v{i}" for i in range(120))
     rows = [(0, base), (1, base + " tail"), (2, None), (3, ""), (None, base), (None, None), (4, long), (4, long), (5, "one"), (6, "one"), (7, base.upper()), (8, "x " * 400)]
     df = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), 7, "k", b"p") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score int, bucket string, payload binary")
+    for name in ("_copy", "_bad", "_row", "_key", "_range", "copy", "again", "leak", "Key", "range", "named", "part", "label"):
+        df = df.withColumn(name, F.lit(name))
     return df.coalesce(2)
 
 
@@ -71,6 +74,21 @@ def test_counts_are_the_librarys(texts):
         assert counter.count(text) == len(library.encode(text))
 
 
+def test_positions_of_long_pieces_fit():
+    """A leaf or heap entry keeps rank and position apart at any length of a text, and merges of one long piece are those of the library."""
+    import public_tokenizers
+    import tiktoken
+
+    assert ((1 << 20) - 1 << byte_bpe._SHIFT) + (1 << 33) < byte_bpe._NONE and piece_counts._POSITION > 1 << 33
+    with pytest.raises(ValueError):
+        byte_bpe.ByteBPE({b"a": 1 << 20}, ".")
+    bpe = byte_bpe.tokenizer(byte_bpe.RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    rng = random.Random(4)
+    piece = "".join(rng.choice("abcdefghij") for _ in range(40_000))
+    assert np.frombuffer(bpe.merge([piece.encode()])[0], np.int32).tolist() == library.encode_ordinary(piece)
+
+
 def test_token_queries_on_hard_rows(hard):
     got = byte_bpe.digests(byte_bpe.encode(hard, decoded=True)).collect()
     assert len(got) == 12 and collections.Counter(r.n_tokens == 0 for r in got)[True] == 3
@@ -105,6 +123,44 @@ def test_secrets_against_plain_patterns(spark, texts):
         assert digest[doc].base_sha256 == hashlib.sha256(",".join(x[2] for x in _base(text)).encode()).hexdigest()
 
 
+def _all_spans(text):
+    """Every span as the query joins them: base spans, and windows of 20 characters of one class, of enough entropy, merged by place, outside the allow list and not inside a base span."""
+    scan_settings = secret_scan.SecretScan()
+    base = [(a, "assign access hex".split()[k], int(x.split(":")[2])) for a, k, x in _base(text)]
+    out = [(a, k, e) for a, k, e in base]
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", text):
+        if any(re.fullmatch(a, m[0]) for a in scan_settings.allow):
+            continue
+        for c in scan_settings.classes:
+            for r in re.finditer(c.run, m[0]):
+                on = [False] * (len(r[0]) + 1)
+                for i in range(len(r[0]) - c.window + 1):
+                    n = collections.Counter(r[0][i : i + c.window])
+                    if -sum(x / c.window * math.log2(x / c.window) for x in n.values()) >= c.threshold - 1e-9:
+                        on[i : i + c.window] = [True] * c.window
+                i = 0
+                while i < len(on):
+                    if on[i]:
+                        j = on.index(False, i)
+                        a, b = m.start() + r.start() + i, m.start() + r.start() + j
+                        if all(re.search(x, text[a:b]) for x in c.must) and not any(a >= x and b <= z for x, _, z in base):
+                            out.append((a, c.kind, b))
+                        i = j
+                    i += 1
+    return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(out, key=lambda s: (s[0], secret_scan.KINDS.index(s[1]), s[2])))
+
+
+def test_all_spans_against_every_window(spark, texts):
+    rng = random.Random(7)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    planted = {20_000 + n: " ".join("".join(rng.choice(rng.choice([alphabet, "0123456789abcdef", "ab1", "0123456789ABCDEF"])) for _ in range(rng.randint(5, 90))) for _ in range(6)) for n in range(60)}
+    planted |= {21_000: 'token="k9X2mQ7vL4tB8nR3wZ6yJ1" and k9X2mQ7vL4tB8nR3wZ6yJ1', 21_001: "abc" * 20 + " d41d8cd98f00b204e9800998ecf8427e " + "0123456789abcdef" * 2}
+    every = texts | planted
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.digests(secret_scan.find_secrets(df)).collect()}
+    assert got == {i: _all_spans(t) for i, t in every.items()} and sum("entropy" in x for x in got.values()) > 10
+
+
 @given(st.text("ab12Z", max_size=60))
 @settings(max_examples=60, deadline=None)
 def test_entropy_windows(run):
@@ -117,7 +173,7 @@ def test_entropy_windows(run):
 
 
 def test_redaction_on_hard_rows(spark, hard):
-    df = hard.union(spark.createDataFrame([(9, "say token=abcdefgh now", "en", "s", 22, 7, "k", b"p")], hard.schema))
+    df = hard.unionByName(spark.createDataFrame([(9, "say token=abcdefgh now", 22)], "doc_id long, text string, n_chars long"), allowMissingColumns=True)
     got = secret_scan.redact_secrets(df)
     assert got.schema == df.schema and got.where("doc_id = 9").first().text == "say [SECRET] now" and got.where("doc_id = 9").first().n_chars == 16
     assert got.where("doc_id <> 9 or doc_id is null").exceptAll(hard).isEmpty()
@@ -208,6 +264,25 @@ def test_quality_gradients():
         assert g[at] == pytest.approx((up - down) / 2e-5, abs=1e-5)
 
 
+def test_quality_of_long_texts_by_parts():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.choice(np.frombuffer(b"abc de\n\xc3\xa9", np.uint8), n).tobytes()) for n in (0, 1, 599, 600, 601, 5000, 700_001)]
+    x, bags = attention_quality.encode_passages(texts)
+    assert bags.tolist() == [1, 1, 1, 1, 2, 9, 1167]
+    again, _ = attention_quality.encode_passages([t[i : i + 600] for t in texts for i in range(0, max(1, len(t)), 600)])
+    assert np.array_equal(x, again)  # a passage is encoded by its own bytes alone
+    model = attention_quality.fit(x, bags, np.array([0, 1, 0, 1, 0, 1, 0], np.float32), rounds=2)
+    assert np.allclose(model.scores(texts), model.forward(x, bags)["score"], atol=1e-5)
+    assert np.allclose(model.scores(texts[-1:]), model.forward(x, bags)["score"][-1:], atol=1e-5)
+
+
+def test_quality_learns_from_one_text_of_an_id(spark):
+    rows = [(i, f"{'good words here ' if i % 2 else 'zzz qqq '}{i}") for i in range(40)] + [(1, "zzz"), (1, "another")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label long")
+    models = [attention_quality.train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert all(np.array_equal(models[0].weights[k], models[1].weights[k]) for k in models[0].weights)
+
+
 def test_quality_on_hard_rows(spark, hard):
     labels = spark.createDataFrame([(0, 1), (4, 0), (4, 0), (5, None), (None, 1), (8, 0), (3, 5)], "doc_id long, label long")
     model = attention_quality.train(hard.select("doc_id", "text"), labels)
@@ -248,6 +323,27 @@ def test_language_model_is_normalised():
             assert (10.0 ** (t1[a] + t2[b] - z[a, b])).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_language_model_of_any_split(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    small = nce_language_model.LanguageModel(words=300, classes=64, modelled=2000, head=5000, part=150_000, rounds=2)
+    one, many = ({r.doc_id: r for r in nce_language_model.language_model_scores(docs.repartition(n), small).collect()} for n in (1, 16))
+    assert one.keys() == many.keys() and all(many[d].score == pytest.approx(r.score, rel=1e-6) for d, r in one.items())
+
+
+def test_language_model_beats_the_base(spark):
+    for n in (1, 16):
+        held = nce_language_model.language_model_scores(documents(spark, "/root/testdata/sf0.01").repartition(n)).where("held_out")
+        r = held.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base_score")).first()
+        assert r.score > 0.95 * r.base_score
+
+
+def test_members_of_classes_are_normalised():
+    rng, class_ = np.random.default_rng(1), np.array([0, 0, 0, 1, 2, 2])
+    w = {"u": rng.normal(size=(130, 3)), "m": rng.normal(size=(6, 3)), "a": rng.normal(size=6)}
+    p = np.exp(w["u"] @ w["m"].T + w["a"] - nce_language_model.class_sums(w, class_)[:, class_])
+    assert np.allclose(np.add.reduceat(p, [0, 3, 4], axis=1), 1)
+
+
 def test_language_model_on_hard_rows(hard):
     small = nce_language_model.LanguageModel(words=20, classes=4, head=50)
     got = nce_language_model.language_model_scores(hard.select("doc_id", "text"), small).collect()
@@ -360,6 +456,26 @@ def test_crowded_segments_in_blocks(spark):
     assert len(met) == len(set(met)) == 50 * 49 // 2
 
 
+@pytest.mark.parametrize("limits", [{"broadcast": 40, "small": 2, "block": 4, "task": 200}, {"small": 1000}])
+def test_near_copies_at_any_limits(spark, texts, limits):
+    """Hardly anything sent to all tasks, segments of two paths, several passes and many buckets: the same as all pairs."""
+    rng, base = random.Random(12), [f"b{i}" for i in range(70)]
+    every = {i: texts[i] for i in sorted(texts)[:120]}
+    every |= {10_000 + i: " ".join(f"z{rng.randint(0, 400)}" if rng.random() < 0.035 else w for w in base) for i in range(60)}
+    every |= {20_000 + i: every[10_000 + i % 7] for i in range(30)}
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string").repartition(5)
+    want = _components({i: _shingles(x, 4) for i, x in every.items()}, 85)
+    join = parity_join.JaccardJoin(shingle=4, threshold=85, **limits)
+    assert {r.doc_id: r.component_id for r in parity_join.jaccard_components(df, join).collect()} == want
+
+
+def test_an_id_of_several_texts_links_as_each(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (5, a + " x"), (5, b), (7, b + " y"), (9, b), (11, "apart from all")]
+    got = {(r.doc_id, r.component_id) for r in parity_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1), (9, 1), (11, 11)}
+
+
 def test_near_copies_on_hard_rows(hard):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in parity_join.jaccard_components(hard).collect()), key=str)
     by_id = {g[0]: g[2] for g in got if g[0] is not None}
@@ -440,6 +556,17 @@ def test_suffix_arrays(body, symbols):
         assert shared[b] == min(n, 16)
 
 
+def test_suffix_arrays_of_many_names():
+    rng = np.random.default_rng(2)
+    for n, k in ((2000, 1500), (5000, 40), (3000, 3000)):
+        s = np.concatenate([rng.integers(1, k + 1, n), rng.integers(1, 3, n), [0]])
+        s = np.concatenate([s[:-1], s])  # repeats, so names recur over several levels
+        s[: len(s) - 1][s[: len(s) - 1] == 0] = 1
+        order = suffix_arrays.suffix_array(s, k + 1)
+        text = s.astype(">u4").tobytes()
+        assert order.tolist() == sorted(range(len(s)), key=lambda i: text[4 * i :])
+
+
 @pytest.mark.parametrize("parts", [1, 2])
 def test_a_repeated_row_keeps_its_bytes(spark, parts):
     rng = random.Random(9)
@@ -513,6 +640,65 @@ def test_edited_passages_are_found(seed):
     assert [m[:2] for m in index.matches(["nothing here", text])] == [(1, 0)]
 
 
+def test_candidates_against_all_grams(texts):
+    """Bands against counting all shared q-grams, and regions against an unbanded alignment of all pairs."""
+    rng, q = random.Random(3), 8
+    words = "alpha beta gamma delta epsilon zeta".split()
+    items = [(n, " ".join(rng.choice(words) for _ in range(rng.randint(4, 14)))) for n in range(8)]
+    some = [" ".join(rng.choice([*words, "eta", "theta"]) for _ in range(rng.randint(3, 40))) for _ in range(12)]
+    for n in range(12):
+        piece = list(items[n % 8][1])
+        for _ in range(n % 4):
+            piece[rng.randrange(len(piece))] = "#"
+        some.append("before it " + "".join(piece) + " after it")
+    index = qgram_decontam.ItemIndex(items, qgram_decontam.Decontamination())
+    datas = [qgram_decontam.folded(t) for t in some]
+    want = set()
+    for t, data in enumerate(datas):
+        for i, item in enumerate(index.texts):
+            bands = collections.Counter()
+            for x in range(len(data) - q + 1):
+                for y in range(len(item) - q + 1):
+                    if data[x : x + q] == item[y : y + q]:
+                        bands[(x - y) // index.width] += 1
+                        bands[(x - y) // index.width - 1] += 1
+            want |= {(t, i, b) for b, n in bands.items() if n >= index.least[i]}
+    assert {tuple(r) for r in index.candidates(datas).tolist()} == want
+    found = index.matches(some)
+    pairs = {m[:2] for m in found}
+    for t, data in enumerate(datas):
+        for i, item in enumerate(index.texts):
+            best = _local(item, data, index.settings.edit)
+            assert best >= index.score[i] or (t, i) not in pairs
+            if best >= len(item) - (index.settings.edit + 1) * index.edits[i] and item in data:
+                assert (t, i) in pairs
+    for t, i, score, a, b, c, d in found:
+        assert _local(index.texts[i][c:d], datas[t][a:b], index.settings.edit) == score >= index.score[i]
+    assert len(pairs) > 8
+
+
+def _local(a, b, edit):
+    """Score of the best local alignment of a and b: 1 a match, -edit an edit."""
+    best, row = 0, [0] * (len(b) + 1)
+    for x in a:
+        now = [0] * (len(b) + 1)
+        for j, y in enumerate(b, 1):
+            now[j] = max(0, row[j - 1] + (1 if x == y else -edit), row[j] - edit, now[j - 1] - edit)
+        row = now
+        best = max(best, *row)
+    return best
+
+
+def test_items_of_any_length():
+    rng = random.Random(5)
+    long = "".join(rng.choices("abcdefghijklmnop ", k=700_000))
+    index = qgram_decontam.ItemIndex([(1, "a short item of a few words"), (2, long)], qgram_decontam.Decontamination())
+    some = ["nothing of it", "start " + long[600_000:600_200] + " end", "with a short item of a few words inside"]
+    rows = index.candidates([qgram_decontam.folded(t) for t in some])
+    assert {(t, i) for t, i, _ in rows.tolist()} == {(1, 1), (2, 0)}
+    assert all(index.window(1, b)[0] <= 6 and index.window(1, b)[1] >= 206 for _, i, b in rows.tolist() if i == 1)
+
+
 @pytest.mark.parametrize("parts", [((0, 200), (800, 1000)), ((0, 120), (300, 420), (880, 1000)), ((0, 1000),)])
 def test_every_region_of_a_band_is_found(parts):
     rng = random.Random(len(parts))
