@@ -20,6 +20,9 @@ _MODULES = {
     "op6_byte_level_bpe": "byte_bpe",
     "op7_token_counts": "piece_counts",
     "op10_secret_scans": "secret_scan",
+    "op11_license_scans": "license_scan",
+    "op12_filter_interaction_audit": "filter_audit",
+    "op13_conversation_prefix_trie": "prefix_trie",
 }
 
 
