@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +57,8 @@ class SecretScan:
             r"d41d8cd98f00b204e9800998ecf8427e",
             r"da39a3ee5e6b4b0d3255bfef95601890afd80709",
             r"e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855",
-            r"(?i:0?123456789abcdef)*(?i:0?1234567890?)*",
+            # each 0 has one place, so that a long run of digits that doesn't match fails at once
+            r"(?i:0?123456789abcdef)*(?:0?123456789(?:0{0,2}123456789)*0?)?",
             r"(.{1,8})\1+.?",
             r"[A-Za-z]+(?:[_/-][A-Za-z]+)*",
         )
@@ -113,9 +116,12 @@ def scanner(settings: SecretScan):
                         piece = candidate[m.start() + a : m.start() + b]
                         if all(x.search(piece) for x in must):
                             added.append((c.kind, start + m.start() + a, start + m.start() + b))
-        added = [s for s in added if not any(s[1] >= b[1] and s[2] <= b[2] for b in base)]
         order = lambda s: (s[1], KINDS.index(s[0]) if s[0] in KINDS else len(KINDS))
-        return sorted(base, key=order), sorted(added, key=order)
+        base = sorted(base, key=order)
+        starts, reach = [b[1] for b in base], list(accumulate((b[2] for b in base), max, initial=-1))
+        # a span inside a base span ends before the furthest end of those that start no later
+        added = [s for s in added if s[2] > reach[bisect_right(starts, s[1])]]
+        return base, sorted(added, key=order)
 
     return scan
 
