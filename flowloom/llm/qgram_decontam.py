@@ -4,19 +4,24 @@ A region of a document and a region of a benchmark item of `length` characters t
 differ by at most e = floor(rate * length) edits share at least
 length + 1 - q * (e + 1) q-grams, on diagonals (document position minus item
 position) that lie within e of each other. Shared q-grams are counted in diagonal
-bands twice as wide as they are apart, so every such region lies within one band.
-Bands that reach the count are aligned: a banded local alignment (match 1, edit
--EDIT) finds the best region in the band, and a region that scores at least
-length - (EDIT + 1) * e, as any region meeting the budget does, is kept. The rest of
-the text in the band is then aligned again, until nothing reaches that score. `length`
-is the item's own if it is shorter than `region`.
-
-Texts are compared as UTF-8 bytes with A-Z lowered and white space as spaces;
-positions are given in code points. Items of fewer than q bytes match where they
-stand exactly. Null and empty texts and items match nothing. Rows are searched by
-themselves; repeated items give a row for each item_id, and an item_id with several
-texts is searched as each. Items go to all tasks in blocks of bounded size, a
-pass over the documents a block.
+bands twice as wide as they are apart, by windows of the document twice as long as
+they are apart, so every such region lies within one band and one window. A q-gram
+counts as often as it stands in both, so repeats don't multiply. Bands that reach the
+count are aligned: a banded local alignment (match 1, edit -EDIT) finds the best
+region in the band, and a region that scores at least length - (EDIT + 1) * e, as any
+region meeting the budget does, is kept. The rest of the text in the band is then
+aligned again, until nothing reaches that score. `length` is the item's own if it is
+shorter than `region`.
+
+Texts are compared as UTF-8 bytes with A-Z lowered, each run of white space as one
+space, and runs of over 2 * q bytes that repeat a piece of up to q (of over q, for one
+byte) as their first q: indentation, rules of dashes and filler say little, and stand
+everywhere. Positions are given in code points. Items of fewer than q bytes, without
+space at their ends, match where they stand exactly. Null and empty texts and items,
+and those of white space alone, match nothing. Rows are searched by themselves;
+repeated items give a row for each item_id, and an item_id with several texts is
+searched as each. Items go to all tasks in blocks of bounded size, a pass over the
+documents a block.
 """
 
 from __future__ import annotations
@@ -33,8 +38,8 @@ from pyspark.sql import types as T
 
 from flowloom.llm.common import checkpointed, documents, fresh, map_batches, read_table, slices
 
-#: Bytes of items that are aligned side by side, and bits of a position in an item.
-_SIDE, _START = 8_000_000, 31
+#: Bytes of items that are aligned side by side, bits of a position in an item, and pairs of places that are held at once.
+_SIDE, _START, _PAIRS = 8_000_000, 31, 1_000_000
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
@@ -50,8 +55,28 @@ class Decontamination:
     broadcast: int = 1_000_000
 
 
+def fold(text: str, q: int = Decontamination.q) -> tuple[bytes, np.ndarray]:
+    """The bytes that are compared, and where each stands in the text's own."""
+    raw = np.frombuffer(text.encode().translate(_FOLD), np.uint8)
+    blank = raw == 32
+    at = np.flatnonzero(~(blank & np.concatenate([[False], blank[:-1]])))
+    raw = raw[at]
+    edge = np.zeros(len(raw) + 1, np.int64)
+    for unit in range(1, q + 1):
+        if len(raw) <= unit:
+            break
+        differs = np.concatenate([[-1], np.flatnonzero(raw[unit:] != raw[:-unit]), [len(raw) - unit]])
+        begin, size = differs[:-1] + 1, np.diff(differs) - 1 + unit
+        least = q if unit == 1 else 2 * q
+        long = size > least
+        np.add.at(edge, begin[long] + q, 1)
+        np.add.at(edge, begin[long] + size[long], -1)
+    stay = np.cumsum(edge)[: len(raw)] == 0
+    return raw[stay].tobytes(), at[stay]
+
+
 def folded(text: str) -> bytes:
-    return text.encode().translate(_FOLD)
+    return fold(text)[0]
 
 
 def grams(data: np.ndarray, q: int) -> np.ndarray:
@@ -73,7 +98,8 @@ class ItemIndex:
         q = settings.q
         self.settings = settings
         self.ids = [i for i, _ in items]
-        self.texts = [folded(t) for _, t in items]
+        both = [fold(t, q) for _, t in items]
+        self.texts, self.places = [b.strip(b" ") for b, _ in both], [p[len(b) - len(b.lstrip(b" ")) :] for b, p in both]
         self.lengths = np.array([min(len(t), settings.region) for t in self.texts], np.int64)
         self.edits = np.floor(self.lengths * settings.rate).astype(np.int64)
         self.least = np.maximum(1, self.lengths + 1 - q * (self.edits + 1))
@@ -87,8 +113,10 @@ class ItemIndex:
         place = np.concatenate([np.arange(len(v)) for v in values]) if values else np.empty(0, np.int64)
         order = np.argsort(value, kind="stable")
         self.item, self.place = item[order], place[order]
-        self.value, self.first = np.unique(value[order], return_index=True)
+        self.value, self.first, number = np.unique(value[order], return_index=True, return_inverse=True)
         self.last = np.append(self.first[1:], len(value))
+        self.entry = number * len(items) + self.item  # in order of gram, then item
+        self.span = int((self.lengths + self.edits).max(initial=q))  # bytes of a text that a region can take
         self.seen = np.zeros(1 << 22, bool)
         self.seen[self._slot(self.value)] = True
 
@@ -97,34 +125,93 @@ class ItemIndex:
         return (value * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)
 
     def candidates(self, datas: list[bytes]) -> np.ndarray:
-        """Rows of (text, item, band) whose shared q-grams reach the item's count; a band starts at band * width and is twice as wide."""
+        """Rows of (text, item, band) whose shared q-grams in some window of the text reach the item's count; a band starts at band * width and is twice as wide."""
+        none = np.empty((0, 3), np.int64)
         joined = np.frombuffer(b"\xff".join([*datas, b""]), np.uint8)
         value = grams(joined, self.settings.q)
         at = np.flatnonzero(self.seen[self._slot(value)])
         if not len(at) or not len(self.value):
-            return np.empty((0, 3), np.int64)
+            return none
         found = np.minimum(np.searchsorted(self.value, value[at]), len(self.value) - 1)
         real = self.value[found] == value[at]
         at, found = at[real], found[real]
         if not len(at):
-            return np.empty((0, 3), np.int64)
-        many = self.last[found] - self.first[found]
-        hit = np.repeat(np.arange(len(at)), many)
-        entry = np.repeat(self.first[found], many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
+            return none
         starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in datas])])
         text = np.searchsorted(starts, at, side="right") - 1
-        diagonal = (at - starts[text])[hit] - self.place[entry]
-        item, text = self.item[entry], text[hit]
+        place = at - starts[text]
+        # a window is two cells; cells of different texts are apart
+        first_cell = np.concatenate([[0], np.cumsum([len(d) // self.span + 2 for d in datas])])
+        cell = first_cell[text] + place // self.span
+        cells, begin = np.unique(cell, return_index=True)
+        pairs = np.cumsum(np.add.reduceat(self.last[found] - self.first[found], begin))
+        begin = np.append(begin, len(cell))
+        rows, k = [none], 0
+        while k < len(cells):
+            stop = max(k + 1, int(np.searchsorted(pairs, (pairs[k - 1] if k else 0) + _PAIRS, side="right")))
+            end = stop + (stop < len(cells) and cells[stop] == cells[stop - 1] + 1)
+            some = slice(begin[k], begin[end])
+            ranges = [(0, len(self.ids))]
+            while ranges:
+                low, high = ranges.pop()
+                from_, to = (np.searchsorted(self.entry, found[some] * len(self.ids) + i) for i in (low, high))
+                if (to - from_).sum() > 2 * _PAIRS and high - low > 1:
+                    middle = (low + high) // 2
+                    ranges += [(low, middle), (middle, high)]
+                    continue
+                item, window, band = self._bands(cell[some], place[some], found[some], from_, to, int(cells[stop - 1]))
+                rows.append(np.stack([np.searchsorted(first_cell, window, side="right") - 1, item, band], axis=1))
+            k = stop
+        return np.unique(np.concatenate(rows), axis=0)
+
+    def _bands(self, cell: np.ndarray, place: np.ndarray, gram: np.ndarray, first: np.ndarray, last: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, window, band) that reach the item's count, of places of a text whose grams stand at the entries first to last; windows begin at cells up to `most`."""
+        n, many = len(self.ids), last - first
+        hit = np.repeat(np.arange(len(cell)), many)
+        entry = np.repeat(first, many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
+        # windows that don't share enough in all bands together go first
+        low = int(cell[0]) if len(cell) else 0
+        pair = (cell[hit] - low) * n + self.item[entry]
+        both, at, count = np.unique(pair, return_inverse=True, return_counts=True)
+        after = np.searchsorted(both, both + n)
+        has = (after < len(both)) & (both[np.minimum(after, len(both) - 1)] == both + n) if len(both) else np.empty(0, bool)
+        enough = count + np.where(has, count[np.minimum(after, len(both) - 1)], 0) >= self.least[both % n] if len(both) else has
+        of = enough & (both // n + low <= most)
+        second = np.zeros(len(both), bool)
+        second[after[of & has]] = True
+        stay = (of | second)[at]
+        hit, entry, at = hit[stay], entry[stay], at[stay]
+        if not len(hit):
+            return (np.empty(0, np.int64),) * 3
+        diagonal = place[hit] - self.place[entry]
         band = diagonal // self.width  # each also counts in the band before, which reaches to twice the width
-        # pairs of text and item by number, so that pair and band fit in one key
-        pairs, pair = np.unique(text * len(self.ids) + item, return_inverse=True)
         least = int(band.min()) - 1
         span = int(band.max()) - least + 1
-        key = pair * span + band - least
-        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        text, item = np.divmod(pairs[key // span], len(self.ids))
-        enough = count >= self.least[item]
-        return np.stack([text, item, key % span + least], axis=1)[enough]
+        own = both[at] * span + band - least
+        opened = np.arange(len(hit))
+        parts = [(own[of[at]], opened[of[at]]), (own[second[at]] - n * span, opened[second[at]])]
+        key = np.concatenate([k for k, _ in parts])
+        source = np.concatenate([x for _, x in parts])
+        key, source = np.concatenate([key, key - 1]), np.concatenate([source, source])
+        keys, at, count = np.unique(key, return_inverse=True, return_counts=True)
+        full = count >= self.least[(keys // span) % n]
+        some = full[at]
+        at, source = at[some], source[some]
+        # of each gram in a band the fewer of its places in the text and in the item
+        fewer = np.zeros(len(keys), np.int64)
+        if len(at):
+            value, sides = gram[hit[source]], []
+            for where in (place[hit[source]], self.place[entry[source]]):
+                order = np.lexsort((where, value, at))
+                a, v, w = at[order], value[order], where[order]
+                fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (v[1:] != v[:-1])])
+                other = fresh | np.concatenate([[True], w[1:] != w[:-1]])
+                begin = np.flatnonzero(fresh)
+                sides.append((a[begin], np.add.reduceat(other.astype(np.int64), begin)))
+            np.add.at(fewer, sides[0][0], np.minimum(sides[0][1], sides[1][1]))
+        keys = keys[fewer >= self.least[(keys // span) % n]]
+        window, item = np.divmod(keys // span, n)
+        return item, window + low, keys % span + least
 
     def window(self, item: int, band: int) -> tuple[int, int]:
         """Start and end of the text that the item's characters can meet in a band."""
@@ -197,7 +284,11 @@ class ItemIndex:
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, int, int]]:
         """(text, item, score, start, end, item start, item end) of the retained regions, in bytes; of overlapping regions of one item the best."""
-        datas = [folded(t) for t in texts]
+        both = [fold(t, self.settings.q) for t in texts]
+        own = lambda places, a, b: (int(places[a]), int(places[b - 1]) + 1)  # noqa: E731  bytes of the text itself
+        return [(t, i, score, *own(both[t][1], max(0, a), min(b, len(both[t][1]))), *own(self.places[i], c, d)) for t, i, score, a, b, c, d in self._matches([d for d, _ in both])]
+
+    def _matches(self, datas: list[bytes]) -> list[tuple[int, int, int, int, int, int, int]]:
         out = []
         for t, data in enumerate(datas):
             for i in self.short:
@@ -269,7 +360,6 @@ def contaminated_regions(docs: DataFrame, items: DataFrame, settings: Decontamin
                 for t, i, score, a, b, c, d in index.matches(texts):
                     at.append(t)
                     data = texts[t].encode()
-                    a, b = max(0, a), min(len(data), b)
                     start = len(data[:a].decode(errors="ignore"))
                     rows.append((ids[t], index.ids[i], score, start, start + len(data[a:b].decode(errors="ignore")), c, d))
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
