@@ -44,26 +44,36 @@ _ANCHOR = np.dtype([("hash", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("pos",
 _FOUND = np.dtype([("doc", "<i8"), ("pos", "<i4"), ("end", "<i4"), ("hash", "<u8"), ("kind", "i1")])
 _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 COVER, SHARD, CROWDED = 0, 1, 2
-_base = np.uint64(0xA0761D6478BD642F)
-_inverse = np.uint64(pow(0xA0761D6478BD642F, -1, 1 << 64))
-_values = np.random.default_rng(20240202).integers(1, 2**63, 256, dtype=np.uint64)
+_weights = np.random.default_rng(20240202).integers(0, 2**63, 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class Bytes:
-    """Texts end to end, with hashes of any of their strings."""
+    """Texts end to end, with hashes of their strings of GRAM and LENGTH bytes. Eight bytes are mixed as one number, five of these make a gram and five grams a window, so that no pattern of bytes cancels out."""
 
     def __init__(self, encoded: list[bytes]):
-        self.data = np.frombuffer(b"".join(encoded), np.uint8)
+        joined = b"".join(encoded)
+        self.data = np.frombuffer(joined, np.uint8)
         self.lengths = np.array([len(e) for e in encoded], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        n = len(self.data)
-        up, down = np.full(n + 1, _base), np.full(n + 1, _inverse)
-        up[0] = down[0] = 1
-        self.total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_values[self.data] * np.cumprod(up)[:n])])
-        self.down = np.cumprod(down)
-
-    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.total[end] - self.total[begin]) * self.down[begin] + (end - begin).astype(np.uint64))
+        n = len(joined) - GRAM + 1
+        self.grams = np.empty(0, np.uint64)
+        if n > 0:
+            eights = mix(np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,)).astype(np.uint64))
+            total = np.zeros(n, np.uint64)
+            for j in range(GRAM // 8):
+                total += eights[8 * j : 8 * j + n] * _weights[j]
+            self.grams = mix(total)
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the LENGTH bytes from each place."""
+        total = np.zeros(len(at), np.uint64)
+        for j in range(LENGTH // GRAM):
+            total += self.grams[at + GRAM * j] * _weights[5 + j]
+        return mix(total)
+
+    def contexts(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of strings of LENGTH to 2 * LENGTH bytes: by their first and last LENGTH, which hold all of them, and their length."""
+        return mix(self.windows(begin) * _weights[10] + self.windows(end - LENGTH) * _weights[11] + (end - begin).astype(np.uint64))
 
     def anchors(self) -> np.ndarray:
         """Positions of the least gram hashes of all windows of LENGTH bytes in one text."""
@@ -71,8 +81,7 @@ class Bytes:
         grams = n - GRAM + 1
         if grams < w:
             return np.empty(0, np.int64)
-        at = np.arange(grams)
-        hashes = self.hashes(at, at + GRAM) | np.uint64(1)
+        hashes = self.grams | np.uint64(1)
         least = _sliding(hashes, w, np.minimum)  # of each window start
         owner_end = np.repeat(self.starts + self.lengths, self.lengths)[: len(least)]
         least = np.where(np.arange(len(least)) + LENGTH <= owner_end, least, np.uint64(0))
@@ -121,7 +130,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             owner = np.searchsorted(b.starts + b.lengths, at, side="right")
             entries = np.empty(len(at), _ANCHOR)
             begin, end = np.maximum(b.starts[owner], at - REACH), np.minimum(b.starts[owner] + b.lengths[owner], at + LENGTH)
-            entries["hash"], entries["context"] = b.hashes(at, at + GRAM), b.hashes(begin, end) ^ mix((at - begin).astype(np.uint64))
+            entries["hash"], entries["context"] = b.grams[at], b.contexts(begin, end) ^ mix((at - begin).astype(np.uint64))
             entries["doc"], entries["pos"], entries["many"] = part.column(0).to_numpy()[owner], at - b.starts[owner], 0
             entries, starts, sizes = _sorted(entries)
             heads = entries[starts].copy()
@@ -191,7 +200,7 @@ def _looked_into(buckets: int):
                 np.add.at(edge, np.minimum(crowded, len(data) - LENGTH) + 1, -1)
                 at = np.flatnonzero(np.cumsum(edge) > 0)
                 out = np.empty(len(at), _WINDOW)
-                out["hash"], out["doc"], out["pos"] = Bytes([data]).hashes(at, at + LENGTH), doc, at
+                out["hash"], out["doc"], out["pos"] = Bytes([data]).windows(at), doc, at
                 windows.append(out)
         for to, contexts in by_bucket.items():
             head = np.array([(d, b, len(x)) for d, b, x in contexts], _CONTEXT)

@@ -6,16 +6,15 @@ from dataclasses import dataclass
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 4, so odd and far from 1
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_VALUES = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: A number for each byte at each of the first places of a word. Sums of such numbers have no pattern that words could follow, as powers of a base have.
+_PLACES = 64
+_VALUES = np.random.default_rng(20240101).integers(0, 2**64, (_PLACES, 256), dtype=np.uint64)
 _LOWER = _VALUES.copy()
-_LOWER[65:91] = _VALUES[97:123]
-#: Powers that a worker keeps: 16 MB in all. Longer texts, each hashed by itself, make theirs anew.
-_KEPT = 1 << 20
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_LOWER[:, 65:91] = _VALUES[:, 97:123]
+#: Odd numbers for the places of a window.
+_WEIGHTS = np.random.default_rng(20240103).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,20 +24,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of both bases up to n of them at least; up to _KEPT are kept for the next call."""
-    if len(_powers[0]) >= n:
-        return _powers[0], _powers[1]
-    made = []
-    for base in (_BASE, _INVERSE):
-        steps = np.full(max(n, _KEPT), base)
-        steps[0] = 1
-        made.append(np.cumprod(steps, out=steps))
-    if n <= _KEPT:
-        _powers[:] = made
-    return made[0], made[1]
-
-
 @dataclass
 class Words:
     """hashes of all words, text after text; counts of words by text; byte starts and ends in data."""
@@ -66,22 +51,26 @@ def words_of(texts: list[str], lower: bool = False) -> Words:
     space = _SPACE[raw]
     edge = np.flatnonzero(np.diff(space, prepend=True))
     starts, ends = edge[::2], edge[1::2]
-    powers, inverse = _powers_to(len(raw) + 1)
-    total = np.cumsum((_LOWER if lower else _VALUES)[raw] * powers[: len(raw)])
-    before = np.where(starts > 0, total[starts - 1], np.uint64(0)) if len(starts) else np.empty(0, np.uint64)
-    hashes = mix((total[ends - 1] - before) * inverse[starts]) if len(starts) else before
+    size = ends - starts
+    letters = raw[~space]
+    done = np.cumsum(size)
+    place = np.arange(len(letters)) - np.repeat(done - size, size)
+    values = (_LOWER if lower else _VALUES).ravel()[((place & (_PLACES - 1)) << 8) | letters]
+    far = np.flatnonzero(place >= _PLACES)
+    values[far] = mix(values[far] ^ mix((place[far] // _PLACES).astype(np.uint64)))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+    hashes = mix(total[done] - total[done - size])
     edges = np.cumsum([len(e) + 1 for e in encoded])
     counts = np.diff(np.searchsorted(starts, edges), prepend=0) if len(edges) else np.empty(0, np.int64)
     return Words(hashes, counts, starts, ends, data)
 
 
 def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """A hash of every k hashes in a row, over the whole array."""
+    """A hash of every k hashes in a row (64 at most), over the whole array."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    base = np.uint64(0xC2B2AE3D27D4EB4F)
-    powers, inverse = np.ones(len(hashes), np.uint64), np.ones(len(hashes), np.uint64)
-    powers[1:], inverse[1:] = base, np.uint64(pow(int(base), -1, 1 << 64))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(powers))])
-    return mix((total[k:] - total[:-k]) * np.cumprod(inverse)[:n] + np.uint64(seed))
+    total = np.full(n, np.uint64(seed))
+    for j in range(k):
+        total += hashes[j : j + n] * _WEIGHTS[j]
+    return mix(total)

@@ -620,6 +620,33 @@ def test_word_hashes(texts):
     assert len(set(pairs.tolist())) == len(set(zip(words, words[1:], strict=False)))
 
 
+def _alike(n):
+    """Two strings of n letters a and b that are each other's opposite, in the order that makes sums of powers modulo 2^64 equal."""
+    one = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048])
+def test_words_of_a_pattern_differ(spark, n):
+    one, other = _alike(n)
+    assert len(set(words_of([f"{one} {other}"]).hashes.tolist())) == 2
+    docs = spark.createDataFrame([(1, one), (2, other), (3, " ".join([one] * 30)), (4, " ".join([other] * 30))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in parity_join.jaccard_components(docs, parity_join.JaccardJoin(shingle=4, threshold=85)).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    flat = spark.createDataFrame([(1, " ".join([one] + [f"w{i}" for i in range(25)])), (2, " ".join([other] + [f"v{i}" for i in range(25)]))], "doc_id long, text string")
+    assert {r.n_removed for r in cover_dedup.remove_repeats(flat).collect()} == {0}
+    # windows of one lie in neither the other nor itself but for those that the brute force finds
+    texts = {1: "x" + one, 2: "y" + other}
+    where = collections.Counter(t[i : i + 200] for t in texts.values() for i in range(len(t) - 199))
+    for crowd in (1, 2000):
+        got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeated_bytes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), crowd).collect()}
+        for doc, t in texts.items():
+            gone = np.zeros(len(t), bool)
+            for i in range(len(t) - 199):
+                if where[t[i : i + 200]] > 1:
+                    gone[i : i + 200] = True
+            assert got[doc] == gone.sum()
+
+
 # --- benchmark leaks ----------------------------------------------------------
 
 
