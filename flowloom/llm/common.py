@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from flowloom.session import shared_folder
 
-#: Words of the contracts: everything but ASCII white space.
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Words of the contracts: everything but ASCII white space. In Java \S leaves out just \x20 and \x09 to \x0D, and is matched many times as fast as these by number.
+WORDS = r"\S+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import WORD_PATTERN, checkpointed, read_table
+from flowloom.llm.common import WORDS, checkpointed, read_table
 
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
@@ -58,7 +58,7 @@ def starts(settings: FilterAudit) -> list[int]:
 
 def own_mask(text: Column, settings: FilterAudit) -> Column:
     """Bits of the filters that look at a text alone."""
-    words = F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
     fails = [
         F.size(words) < settings.least_words,
         100 * F.size(F.array_distinct(words)) < settings.unlike * F.size(words),

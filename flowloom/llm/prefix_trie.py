@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import WORD_PATTERN, checkpointed, map_batches, read_table
+from flowloom.llm.common import WORDS, checkpointed, map_batches, read_table
 
 #: Conversations of a block, of which the first opens the others; turns that it can open them with at most.
 BLOCK, HEADS = 20, 4
@@ -44,7 +44,7 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
     told = F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
     rows = conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.unhex(F.sha2(told.cast("binary"), 256)).alias("digest"),
-        F.size(F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))).cast("long").alias("words"),
+        F.size(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))).cast("long").alias("words"),
     )
     order = ["conv_id", "turn", "digest"]
     parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
