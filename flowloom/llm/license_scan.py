@@ -88,8 +88,8 @@ class LicenseScan:
     @property
     def vocabulary(self) -> list[str]:
         found = sorted({w for t in self.templates for w in t.words})
-        if len(found) > MOST_WORDS:
-            raise ValueError(f"templates of over {MOST_WORDS} different words")
+        if not 0 < len(found) <= MOST_WORDS or not all(t.words for t in self.templates):
+            raise ValueError(f"templates must have words, and no more than {MOST_WORDS} different ones together")
         return found
 
 

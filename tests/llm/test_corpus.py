@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from flowloom.llm import attention_quality, byte_bpe, components, cover_dedup, iblt_fingerprints, nce_language_model, parity_join, piece_counts, qgram_decontam, queries, secret_scan, suffix_arrays, suffix_dedup
+from flowloom.llm import attention_quality, byte_bpe, components, cover_dedup, filter_audit, iblt_fingerprints, license_scan, nce_language_model, parity_join, piece_counts, prefix_trie, qgram_decontam, queries, secret_scan, suffix_arrays, suffix_dedup
 from flowloom.llm.common import documents
 from flowloom.llm.words import windows, words_of
 
@@ -813,6 +814,177 @@ def test_leaks_on_hard_rows(spark, hard):
     assert sum(map(len, blocks)) == 3 and len(blocks) == 3
 
 
+# --- licenses -----------------------------------------------------------------
+
+LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _licenses(text, scan):
+    """Every block of a text against every template."""
+    words = LICENSE_WORD.findall(text.translate(LOW))
+    step, places, base, every, best = scan.step, [], set(), set(), 0.0
+    for k in range(-(-len(words) // step)):
+        block = words[k * step : (k + 2) * step]
+        for t in scan.templates:
+            share = len(set(t.words) & set(block)) / len(set(t.words))
+            found = [k * step + i for i in range(step) if block[i : i + len(t.words)] == t.words] if t.phrase else []
+            if found or (not t.phrase and len(set(t.words) & set(block)) >= t.least):
+                best = max(best, share)
+                every.add(t.label)
+                places += found
+                base |= {t.label} if found else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(every)), best
+
+
+@pytest.mark.parametrize("stride", [1, 48, 60])
+def test_licenses_against_every_block(spark, texts, stride):
+    rng = random.Random(8)
+    planted = []
+    for t in license_scan.TEMPLATES * 3:
+        words = t.text.split()
+        for _ in range(rng.randint(0, 4)):
+            words.insert(rng.randint(0, len(words)), rng.choice(["nothing", "the", "License"]))
+        for _ in range(rng.randint(0, 3)):
+            words.pop(rng.randrange(len(words)))
+        planted.append("ﬁ word " * rng.randint(0, 60) + " ".join(words) + " é.end" * rng.randint(0, 60))
+    planted += ["Under the MIT  License" * 3, "under_the-mit license, CC-BY-NC cc by nc", "MİT Kicense K", " under the mit license " * 200, "x" * 40_000 + " CC BY NC", "", "\x00!", "THE " * 500]
+    every = list(texts.values())[:40] + planted
+    scan = license_scan.LicenseScan(stride=stride)
+    df = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in license_scan.scan_licenses(df, scan).collect()}
+    want = {i: _licenses(t, scan) for i, t in enumerate(every)}
+    assert got.keys() == want.keys() and {i: g[:-1] for i, g in got.items()} == {i: w[:-1] for i, w in want.items()}
+    assert all(math.isclose(got[i][-1], want[i][-1]) for i in got) and sum(w[5] != "" for w in want.values()) > 20
+
+
+def test_licenses_on_hard_rows(spark, hard):
+    more = hard.unionByName(spark.createDataFrame([(None, "under the MIT license"), (None, "CC BY-NC"), (9, "under the MIT license"), (9, "under the MIT license"), (9, "CC BY-NC")], "doc_id long, text string"), allowMissingColumns=True)
+    got = license_scan.scan_licenses(more).collect()
+    assert len(got) == 17 and {(r.doc_id, r.n_base, r.base_labels) for r in got if r.n_base} == {(None, 1, "mit"), (None, 1, "cc-by-nc"), (9, 1, "mit"), (9, 1, "cc-by-nc")}
+    assert sorted(r.n_words for r in got if r.doc_id is None) == [0, 3, 4, 120] and [r.n_words for r in got if r.doc_id == 4] == [20000, 20000]
+    assert license_scan.scan_licenses(empty(hard)).count() == 0
+    with pytest.raises(ValueError):
+        license_scan.scan_licenses(hard, license_scan.LicenseScan(templates=()))
+
+
+def test_licenses_stay_in_spark(spark):
+    plan = license_scan.query(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+# --- filters ------------------------------------------------------------------
+
+
+def _audit(rows, labels):
+    """rows (doc_id, text, source): the masks one by one, then every order."""
+    first, out = {}, []
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    for i, t, source in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        least = first.get(t)
+        fails = [len(w) < 50, 100 * len(set(w)) < 65 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t), any(c in "#$%&*|" for c in t), least is not None and (i is None or i > least)]
+        out.append((source or "", fails, *labels.get(i, (0, 0))))
+    want = set()
+    for part in {x[0] for x in out}:
+        own = [x for x in out if x[0] == part]
+        removed = collections.Counter()
+        rows_ = []
+        for order in itertools.permutations(range(5)):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [x for x in left if x[1][f]]
+                left = [x for x in left if not x[1][f]]
+                removed[f] += len(gone)
+                redundant = sum(x[1][f] for x in own) - len(gone)
+                rows_.append((part, "".join("ABCDE"[k] for k in order), step, len(left), len(gone), redundant, sum(x[1][f] and sum(x[1]) == 1 for x in own), sum(x[2] for x in gone), sum(x[3] for x in gone), f))
+        want |= {(*r[:-1], removed[r[-1]]) for r in rows_}
+    return want
+
+
+@pytest.mark.parametrize("limits", [{}, {"block": 2, "growth": 2}, {"bits": 1, "block": 3}, {"bits": 2, "broadcast": 0}, {"broadcast": 0}])
+def test_audit_against_every_order(spark, limits):
+    """At any blocks, and with hashes so short that different texts meet."""
+    rng = random.Random(6)
+    word = lambda: rng.choice(["a", "Bb", "c#", "dd", "EEE", "f", "g|", "hh" * 3])
+    pool = [" ".join(word() for _ in range(rng.choice([0, 1, 3, 60, 90]))) for _ in range(25)] + [" ".join(f"w{i}" for i in range(70)), "é" * 300, "é" * 299 + "e", None, ""]
+    rows = [(rng.choice([None, *range(80)]), rng.choice(pool), rng.choice([None, "", "s", "t"])) for _ in range(250)] + [(5, pool[3], "s")] * 3
+    labels = {i: (rng.randint(0, 1), rng.randint(0, 1)) for i in range(0, 80, 2)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    marked = spark.createDataFrame([(i, q, t) for i, (q, t) in labels.items()] + [(None, 1, 1), (2, 0, None)], "doc_id long, quality int, toxic int")
+    got = filter_audit.filter_audit(docs, marked, settings=filter_audit.FilterAudit(**limits)).collect()
+    assert {tuple(r) for r in got} == _audit(rows, labels) and len(got) == 600 * 3
+
+
+def test_audit_on_hard_rows(spark, hard):
+    marked = spark.createDataFrame([(0, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
+    got = filter_audit.filter_audit(hard, marked).collect()
+    rows = [(r.doc_id, r.text, "s") for r in hard.collect()]
+    assert {tuple(r) for r in got} == _audit(rows, {0: (1, 0), 4: (0, 1)})
+    assert filter_audit.filter_audit(empty(hard), marked).count() == 0
+    assert {r.toxic_lost for r in filter_audit.filter_audit(hard, empty(marked)).collect()} == {0}
+
+
+# --- conversations ------------------------------------------------------------
+
+
+def _trie(rows):
+    told = lambda r: hashlib.sha256(f"{len(r[2] or '')}:{r[2] or ''}{r[3] or ''}".encode()).digest()
+    own = collections.defaultdict(list)
+    for r in rows:
+        if r[0] is not None:
+            own[r[0]].append(r)
+    own = {c: [(r[2] or "", r[3] or "") for r in sorted(t, key=lambda r: (r[1] is not None, r[1] or 0, told(r)))] for c, t in own.items()}
+    whole = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        whole[c] = own.get(c - int(math.fmod(c, 20)), [])[:h] + turns[h:]
+    members = collections.defaultdict(list)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = collections.defaultdict(list)
+    for path in members:
+        if path:
+            children[path[:-1]].append(path)
+    leaves, saved = {}, {}
+    for path in sorted(members, key=len, reverse=True):
+        leaves[path] = sum(leaves[c] for c in children[path]) or 1
+        saved[path] = sum(saved[c] for c in children[path]) + ((len(members[path]) - 1) * len(WORD.findall(path[-1][1])) if path else 0)
+    ends = {p: hashlib.sha256(",".join(map(str, sorted(c for c in m if len(whole[c]) == len(p)))).encode()).hexdigest() for p, m in members.items()}
+    return sorted((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(children[p]), leaves[p], saved[p], ends[p]) for p, m in members.items())
+
+
+def test_trie_against_all_prefixes(spark):
+    rng = random.Random(12)
+    say = lambda: rng.choice(["", "yes", "no  no", "tell me more", None])
+    rows = []
+    for c in range(-45, 140):
+        n = rng.choice([0, 1, 1, 2, 3, 5])
+        rows += [(c, rng.choice([None, t, t]), rng.choice(["user", "assistant", None]), say()) for t in range(n)]
+    rows += [(500 + i, t, "user", f"same {t}") for i in range(30) for t in range(12)] + [(900, 1, "user", "x"), (900, 1, "user", "x"), (None, 1, "user", "x"), (903, 1, "user", "one long one")] + [(905, t, "user", f"t{t}") for t in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for parts in (1, 6):
+        got = prefix_trie.prefix_trie(df.repartition(parts).withColumn("d", F.lit(1)).withColumn("node", F.lit("n")).withColumn("size", F.lit(0)))
+        assert got.columns == prefix_trie.NODE
+        assert sorted((tuple(r) for r in got.collect()), key=lambda r: (r[0], r[1])) == _trie(rows)
+    assert prefix_trie.prefix_trie(df.where("1 = 0")).count() == prefix_trie.prefix_trie(df.where("conv_id is null")).count() == 0
+    # one conversation; one without a turn of its own after the head
+    for few in ([(7, 1, "user", "a b")], [(c, 1, "user", "a b") for c in range(2, 12)]):
+        one = spark.createDataFrame(few, df.schema)
+        assert sorted((tuple(r) for r in prefix_trie.prefix_trie(one).collect()), key=lambda r: (r[0], r[1])) == _trie(few)
+
+
+def test_ends_are_hashed_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "SLICE", 7)
+    ids = [-30, -8, -7, -1, 0, 6, 7, 8, 100, 20, 3]
+    df = spark.createDataFrame([(2, 5, i) for i in ids] + [(3, 5, 1)], "depth long, node long, conv_id long")
+    got = {(r.depth, r.node): r.ends_sha256 for r in prefix_trie.ends_hashed(df).collect()}
+    assert got == {(2, 5): hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest(), (3, 5): hashlib.sha256(b"1").hexdigest()}
+
+
 # --- pipeline -----------------------------------------------------------------
 
 
