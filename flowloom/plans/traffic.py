@@ -540,11 +540,31 @@ def appended_documents(spark, sf_dir):
     return spark.read.parquet(path).select(*sessions.KEY, "sb", "se", "doc_lo", "doc_hi", F.size("b").cast("long").alias("seconds"))
 
 
-@query("SRC-9_pcap_chunks", with_packets() + "SELECT us, ip1, port1, ip2, port2, vlan_id, CAST(greatest(bytes, CASE WHEN vlan_id > 0 THEN 4 ELSE 0 END + CASE WHEN ip_proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, CASE WHEN ip_proto = 6 THEN flags END AS flags, ip_proto FROM packets")
-def pcap_chunks(spark, sf_dir):
-    """Packets written to capture files and read back in chunks that start anywhere in them."""
+_CAPTURED = with_packets() + "SELECT us, ip1, port1, ip2, port2, vlan_id, CAST(greatest(bytes, CASE WHEN vlan_id > 0 THEN 4 ELSE 0 END + CASE WHEN ip_proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, CASE WHEN ip_proto = 6 THEN flags END AS flags, ip_proto FROM packets"
+
+
+def _captures(spark, sf_dir):
+    """Packets in capture files, in order of time in each: the folder, and a table of the files."""
     folder = _folder(spark)
     folder = folder if "://" in folder else f"file://{folder}"
-    pcap.write_pcap(read_packets(spark, sf_dir).repartition(2, "event_id").sortWithinPartitions("us"), folder).collect()  # a row a file
+    written = pcap.write_pcap(read_packets(spark, sf_dir).repartition("event_id").sortWithinPartitions("us"), folder).select("file").collect()  # a row a file
     pcap.register(spark)
-    return pcap.ipv4_headers(spark.read.format("pcap").option("chunk", 100_000).load(folder))
+    return folder, spark.createDataFrame(written, "file string")
+
+
+@query("SRC-9_pcap_chunks", _CAPTURED)
+def pcap_chunks(spark, sf_dir):
+    """Packets written to capture files and read back in chunks that start anywhere in them."""
+    return pcap.ipv4_headers(spark.read.format("pcap").option("chunk", 100_000).load(_captures(spark, sf_dir)[0]))
+
+
+@query("SRC-11_growing_captures", _CAPTURED)
+def growing_captures(spark, sf_dir):
+    """Capture files read as they grow, each time by a stream that starts again from its checkpoint; packets cut at a file's end come with the rest of them."""
+    folder, files = _captures(spark, sf_dir)
+    live, work = f"{folder}-live", _folder(spark)
+    for share in (0.31, 0.77, 1.0):
+        pcap.grown(files, live, share).collect()  # a row a file
+        stream = spark.readStream.format("pcap").option("chunk", 100_000).load(live)
+        rows = streaming.run_available(pcap.ipv4_headers(stream), work, "append", "captures")
+    return rows.drop("_batch")

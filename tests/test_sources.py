@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import struct
 
 import pytest
@@ -113,3 +114,61 @@ def test_pcap_chunks_give_the_whole_file(tmp_path):
     for chunk in (50, 333, 5_000, 1 << 20):
         reader = pcap.PcapReader({"path": f"file://{tmp_path}", "chunk": str(chunk)})
         assert [r for p in reader.partitions() for r in reader.read(p)] == whole
+
+
+def _capture(n, pause=0.25, seed=5):
+    rng = random.Random(seed)
+    at, out = 1_704_067_200_000_000, []
+    for _ in range(n):
+        at += int(rng.choice([pause, pause, 7 * 86400]) * 1_000_000) + rng.randint(0, 99)
+        out.append({"us": at, "ip1": rng.getrandbits(32), "port1": rng.randint(1, 65535), "ip2": rng.getrandbits(32), "port2": 80, "vlan_id": rng.choice([0, 7]), "bytes": rng.randint(40, 1500), "flags": 16, "ip_proto": rng.choice([6, 17])})
+    return out
+
+
+def test_pauses_lose_no_packet(tmp_path):
+    """Weeks between packets, in whole files and in chunks, with and without junk among them."""
+    packets = _capture(300)
+    records = [pcap.pcap_record(p) for p in packets]
+    rng = random.Random(6)
+    for junk in (0, 9):
+        marks = {20 + 30 * i for i in range(junk)}
+        data = HEAD + b"".join(b"\xfe" * rng.randint(17, 40) * (i in marks) + r for i, r in enumerate(records))
+        rows = list(pcap.packets_of(data))
+        assert [r[1] for r in rows if r[-1] is None] == [p["us"] for p in packets] and sum(r[-1] is not None for r in rows) == junk
+        (tmp_path / "a.pcap").write_bytes(data)
+        for chunk in (50, 333, 5_000):
+            reader = pcap.PcapReader({"path": f"file://{tmp_path}", "chunk": str(chunk)})
+            got = [r for p in reader.partitions() for r in reader.read(p)]
+            assert [r[2] for r in got if r[-1] is None] == [p["us"] for p in packets]
+
+
+def test_zeros_are_no_packets():
+    packets = _capture(40)
+    records = [pcap.pcap_record(p) for p in packets]
+    data = HEAD + b"".join(records[:20]) + bytes(500) + b"".join(records[20:])
+    assert [r[1] for r in pcap.packets_of(data) if r[-1] is None] == [p["us"] for p in packets]
+
+
+def test_offsets_stand_at_packets(tmp_path):
+    """However a file grows, the stream reader's batches give each packet once, and so does a reader that begins anew from an offset."""
+    packets = _capture(120)
+    data = HEAD + b"".join(map(pcap.pcap_record, packets))
+    rng, at, start, got = random.Random(3), 0, {"files": {}}, []
+    while at < len(data):
+        at = min(len(data), at + rng.choice([1, 10, 70, 900, 3000]))
+        (tmp_path / "a.pcap").write_bytes(data[:at])
+        reader = pcap.PcapStreamReader({"path": f"file://{tmp_path}", "chunk": "700"})
+        end = reader.latestOffset()
+        assert end == reader.latestOffset()
+        got += [r for p in reader.partitions(start, end) for r in reader.read(p)]
+        start = end if end["files"] else start
+    assert [r[2] for r in got] == [p["us"] for p in packets] and all(r[-1] is None for r in got)
+
+
+def test_tails_of_large_files(tmp_path, monkeypatch):
+    monkeypatch.setattr(pcap, "TAIL", 2000)
+    data = HEAD + b"".join(map(pcap.pcap_record, _capture(400)))
+    ends = [r[0] for r in pcap.packets_of(data)] + [len(data)]
+    for size in (5000, 5001, 5050, 12_345, len(data) - 3, len(data)):
+        (tmp_path / "a.pcap").write_bytes(data[:size])
+        assert pcap.whole_packets(f"file://{tmp_path}", str(tmp_path / "a.pcap"), size) == max(e for e in ends if e <= size)
