@@ -8,12 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowloom.config import TrafficConfig
-from flowloom.operators import capture, groups, icmp, latency, maintenance, names, sessions
+from flowloom.operators import capture, groups, icmp, latency, maintenance, names, rollup, sessions
 from flowloom.plans.registry import query
 from flowloom.plans.sql import GAP, KEY, KEYED, SESSIONS, with_packets
 from flowloom.session import shared_folder
 from flowloom.sources import pcap, text
 from flowloom.sources.packets import PACKET, read_packets
+from flowloom.streaming import health, kept
 from flowloom.streaming import traffic as streaming
 
 CONFIG = TrafficConfig()
@@ -504,32 +505,76 @@ def streamed_started(spark, sf_dir):
 FROM packets, (SELECT min(us) AS first, max(us) AS last FROM packets) GROUP BY 1""",
 )
 def batch_metrics(spark, sf_dir):
-    """Packets, bytes and the newest packet of every batch, observed while the stream runs."""
+    """Packets, bytes and the newest packet of every batch, observed while the stream runs, out of the table of all its reports."""
     observed = _landed(spark, sf_dir, ending=False).observe("health", F.count("*").alias("packets"), F.sum("bytes").alias("bytes"), F.max("us").alias("newest"))
-    metrics = streaming.run_batches(observed, lambda batch, _: batch.write.format("noop").mode("overwrite").save(), f"{_folder(spark)}/state")
-    rows = [(m["batch"], m["health"]["packets"], m["health"]["bytes"], m["health"]["newest"]) for m in metrics if m.get("health", {}).get("packets")]
-    return spark.createDataFrame(rows, "batch long, packets long, bytes long, newest long")
+    with health.HealthTable(spark, f"{_folder(spark)}/reports") as table:
+        streaming.run_batches(observed, lambda batch, _: batch.write.format("noop").mode("overwrite").save(), f"{_folder(spark)}/state")
+    found = table.read().withColumn("o", F.from_json("observed", "health struct<packets:long, bytes:long, newest:long>"))
+    return found.where("o.health.packets > 0").select("batch", "o.health.*")
 
 
 @query("SNK-1_session_upserts", SESSIONS + _INFO.format(where=""))
 def session_upserts(spark, sf_dir):
     """Sessions kept up batch by batch: inserted when they begin, updated while they last."""
-    table = streaming.SessionTable(spark, f"{_folder(spark)}/sessions", GAP, _LATE)
+    table = kept.session_table(spark, f"{_folder(spark)}/sessions", GAP, _LATE)
     streaming.run_batches(_landed(spark, sf_dir, ending=False), table.upsert, f"{_folder(spark)}/state")
     return sessions.from_parts(table.read(), 60)
 
 
+@query("SNK-6_group_upserts", _BINS_BY_KEY)
+def group_upserts(spark, sf_dir):
+    """Bins of group windows kept up batch by batch, each batch by a driver that knows nothing of those before, and given twice."""
+    folder = f"{_folder(spark)}/bins"
+
+    def upsert(batch, number):
+        for _ in range(2):
+            kept.bin_table(spark, folder, 900, lateness=_LATE).upsert(batch, number)
+
+    streaming.run_batches(_landed(spark, sf_dir, ending=False), upsert, f"{_folder(spark)}/state")
+    return kept.bin_table(spark, folder, 900).read()
+
+
+#: Seconds that packets may be late here: less than some are.
+_STRICT = 240
+_ARRIVED = f"""arrived AS (SELECT *, CAST(least(floor((us + CASE WHEN event_id % 7 = 0 THEN {_LATE * 1000000} ELSE 0 END - first) * {_FILES}.0 / (last - first + 1)), {_FILES - 1}) AS BIGINT) AS batch FROM keyed, (SELECT min(us) AS first, max(us) AS last FROM keyed)),
+marks AS (SELECT batch, max(max(us)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_STRICT * 1000000} AS mark FROM arrived GROUP BY batch),
+judged AS (SELECT *, CASE WHEN us < mark THEN batch ELSE -1 END AS late_in FROM arrived JOIN marks USING (batch))"""
+_PLACED = f"SELECT {KEY}, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(CASE WHEN from_lo THEN bytes ELSE 0 END) AS BIGINT) AS b1, CAST(sum(CASE WHEN from_lo THEN 0 ELSE bytes END) AS BIGINT) AS b2, late_in FROM judged GROUP BY ALL"
+
+
+@query("STR-8_late_packets", with_packets(KEYED, _ARRIVED) + _PLACED)
+def late_packets(spark, sf_dir):
+    """Bins of group windows, and second ones for packets that come later than the stream waits, by batch; late_in is -1 for the first. No packet is lost."""
+    table = kept.bin_table(spark, f"{_folder(spark)}/bins", 900, lateness=_STRICT, apart=True)
+    streaming.run_batches(_landed(spark, sf_dir, ending=False), table.upsert, f"{_folder(spark)}/state")
+    return table.read().withColumn("late_in", F.lit(-1).cast("long")).unionByName(table.read_late().withColumnRenamed("batch", "late_in"))
+
+
 @query("SRC-13_restarted_sessions", SESSIONS + _INFO.format(where=""))
 def restarted_sessions(spark, sf_dir):
     """The sessions of the first half as stored; then a new start from those that may go on, and the second half."""
     packets, middle = read_packets(spark, sf_dir), 1704078000
     stored = sessions.partial_sessions(packets.where(f"sec < {middle}"), GAP)
-    table = streaming.SessionTable(spark, f"{_folder(spark)}/sessions", GAP)
-    table.preload(stored, middle)
+    folder = f"{_folder(spark)}/sessions"
+    kept.stored_sessions(kept.session_table(spark, folder, GAP), stored, middle, GAP)
+    table = kept.session_table(spark, folder, GAP)
     table.upsert(packets.where(f"sec >= {middle}"), 0)
     return sessions.from_parts(table.read(), 60)
 
 
+@query("STR-12_incremental_groups", _BINS_BY_KEY)
+def incremental_groups(spark, sf_dir):
+    """Group windows rolled up in three runs over seconds that grow, each from where the one before stopped."""
+    source, target = f"{_folder(spark)}/seconds", f"{_folder(spark)}/groups"
+    seconds = sessions.per_second(read_packets(spark, sf_dir)).select(*sessions.KEY, "sec", F.col("b_lo").alias("b1"), F.col("b_hi").alias("b2"))
+    first, last = seconds.agg(F.min("sec"), F.max("sec")).first()
+    cuts = [first, first + (last - first) // 3, first + (last - first) * 3 // 4, last + 1]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        rollup.store_seconds(seconds.where((F.col("sec") >= a) & (F.col("sec") < b)), source)
+        rollup.roll_forward(spark, source, target, sessions.KEY, 900, last=b == cuts[-1])
+    return spark.read.parquet(target).select(*sessions.KEY, F.col("tbm").cast("long").alias("tbm"), "off", "b1", "b2")
+
+
 @query("SNK-2_appended_documents", with_packets(KEYED, _SECONDS, _DOCS, recursive=True) + _DOC_ROWS)
 def appended_documents(spark, sf_dir):
     """Byte documents appended a protocol at a time; those without bytes are none."""
