@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ipaddress
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,6 +52,31 @@ def in_subnets(ip: Column, cidrs: tuple[str, ...]) -> Column:
     return inside
 
 
+def octet_rule(cidr: str) -> tuple[int, ...]:
+    """The octets of a rule by whole octets: its mask is a multiple of 8, its octets are 254 at most, and those behind the mask are 0."""
+    found = re.fullmatch(r"[ \t]*([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})/([0-9]{1,2})[ \t]*", cidr)
+    if not found:
+        raise ValueError(f"{cidr!r} is no block of addresses")
+    *parts, mask = map(int, found.groups())
+    if mask % 8 or mask > 32:
+        raise ValueError(f"the mask of {cidr} doesn't end with an octet")
+    if max(parts) > 254:
+        raise ValueError(f"{cidr} has an octet over 254")
+    return tuple(o if 8 * i < mask else 0 for i, o in enumerate(parts))
+
+
+def in_octet_rules(ip: Column, cidrs: tuple[str, ...]) -> Column:
+    """Whether an address fits a rule by whole octets, of which a 0 fits any octet."""
+    inside = F.lit(False)
+    for rule in map(octet_rule, cidrs):
+        fits = F.lit(True)
+        for i, o in enumerate(rule):
+            if o:
+                fits = fits & (F.shiftright(ip, 24 - 8 * i).bitwiseAND(F.lit(255).cast("long")) == o)
+        inside = inside | fits
+    return inside
+
+
 def direction(sender: Column, receiver: Column, cidrs: tuple[str, ...]) -> Column:
     """out if the sender is local and the receiver is not, else in."""
     return F.when(in_subnets(sender, cidrs) & ~in_subnets(receiver, cidrs), "out").otherwise("in")

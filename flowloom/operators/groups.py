@@ -67,9 +67,14 @@ def session_and_capture_bins(rows: DataFrame, window: int) -> DataFrame:
     return by.agg(F.sum("b1").alias("b1"), F.sum("b2").alias("b2"), (F.grouping("ip1") == 1).alias("capture"))
 
 
+def untyped(documents: DataFrame) -> DataFrame:
+    """Documents that may be rolled up: those of the old form carry a type (ty) and are passed over."""
+    return documents.where("ty is null") if "ty" in documents.columns else documents
+
+
 def from_documents(documents: DataFrame, window: int) -> DataFrame:
     """Bins of session keys from stored byte documents."""
-    rows = documents.select(*KEY, "sb", F.explode("b").alias("x")).select(*KEY, (F.col("sb") + F.col("x.offset")).alias("sec"), F.col("x.b_lo").alias("b1"), F.col("x.b_hi").alias("b2"), F.lit(1).alias("pk"))
+    rows = untyped(documents).select(*KEY, "sb", F.explode("b").alias("x")).select(*KEY, (F.col("sb") + F.col("x.offset")).alias("sec"), F.col("x.b_lo").alias("b1"), F.col("x.b_hi").alias("b2"), F.lit(1).alias("pk"))
     return bins(rows, window, KEY).drop("pk")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.operators.sessions import seconds_of
+from flowloom.operators.slices import with_neighbour
 
 KEY = ["lo_ip", "hi_ip", "typecode", "vlan_id"]
 GROUP, OTHER = ["ip1", "ty1", "ip2", "vl"], ["s", "d", "m", "vl"]
@@ -15,9 +16,7 @@ def adopted(icmp: DataFrame, expire: int = 120) -> DataFrame:
     """ICMP rows (us, event_id, ip1, ip2, typecode, seq...) with own, their typecode, and typecode as session key: a packet whose ends and sequence are those of the packet right before it, turned round, within `expire` seconds is its reply and takes its typecode. That packet is answered then, so a second reply keeps its own."""
     ends = [F.least("ip1", "ip2").alias("lo_ip"), F.greatest("ip1", "ip2").alias("hi_ip"), (F.col("ip1") <= F.col("ip2")).alias("from_lo")]
     rows = icmp.select("*", *ends).withColumn("own", F.col("typecode")).withColumn("request", F.col("typecode").startswith("8."))
-    order = Window.partitionBy("lo_ip", "hi_ip", "seq").orderBy("us", "event_id")
-    last = F.lag(F.struct("us", "from_lo", "request", "own")).over(order)
-    rows = rows.withColumn("last", last)
+    rows = with_neighbour(rows, ["lo_ip", "hi_ip", "seq"], ["us", "event_id"], F.struct("us", "from_lo", "request", "own"), "last")
     fits = F.col("seq").isNotNull() & ~F.col("request") & F.col("last.request") & (F.col("last.from_lo") != F.col("from_lo")) & (F.col("us") - F.col("last.us") <= expire * 1_000_000)
     return rows.withColumn("typecode", F.when(fits, F.col("last.own")).otherwise(F.col("own"))).drop("last", "request")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import times
+from flowloom.operators.slices import with_neighbour
 
 KEY = ["c_id", "ip1", "ip2", "port"]
 
@@ -26,10 +27,10 @@ def probes(packets: DataFrame) -> DataFrame:
 
 def matched(rows: DataFrame, expire: int, keys: list[str] = KEY) -> DataFrame:
     """A row a request: us and rtt in microseconds, null if lost. A reply answers the request right before it on its key, so a request overwritten by a later one is lost and a second reply finds none; later than `expire` seconds doesn't count. Pairs that take no time are dropped."""
-    order = Window.partitionBy(*keys).orderBy("us", "event_id")
-    after = rows.withColumn("_reply", F.lead("reply").over(order)).withColumn("_us", F.lead("us").over(order))
-    rtt = F.when(F.col("_reply") & (F.col("_us") - F.col("us") <= expire * 1_000_000), F.col("_us") - F.col("us"))
-    return after.where(~F.col("reply")).withColumn("rtt", rtt).where("rtt is null or rtt > 0").drop("_reply", "_us", "reply")
+    after = with_neighbour(rows, keys, ["us", "event_id"], F.struct("reply", "us"), "_after", ahead=True)
+    took = F.col("_after.us") - F.col("us")
+    rtt = F.when(F.col("_after.reply") & (took <= expire * 1_000_000), took)
+    return after.where(~F.col("reply")).withColumn("rtt", rtt).where("rtt is null or rtt > 0").drop("_after", "reply")
 
 
 def session_latency(requests: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import net, times
 from flowloom.operators.ordered import with_starts
+from flowloom.operators.slices import with_last, with_neighbour
 
 KEY = ["lo_ip", "lo_port", "hi_ip", "hi_port", "vlan_id", "ip_proto"]
 
@@ -113,13 +114,12 @@ def session_info(packets: DataFrame, gap: int = 120, lrs_min_duration: int = 300
 
 def sessionized(packets: DataFrame, gap: int = 120) -> DataFrame:
     """Packets with tb, the begin of their session, and whether the sender is its client."""
-    keyed = with_session_key(packets)
-    order = Window.partitionBy(*KEY).orderBy("us", "event_id")
-    fresh = F.coalesce(F.col("us") - F.lag("us").over(order) > gap * 1_000_000, F.lit(True))
-    numbered = keyed.withColumn("session", F.sum(fresh.cast("int")).over(order))
-    session = Window.partitionBy(*KEY, "session").orderBy("us", "event_id")
-    first = F.first(F.struct("us", (sender_is_client() == F.col("from_lo")).alias("lo_client"))).over(session)
-    return numbered.withColumn("_first", first).withColumn("tb", F.col("_first.us")).withColumn("from_client", F.col("from_lo") == F.col("_first.lo_client")).drop("_first", "session")
+    order = ["us", "event_id"]
+    keyed = with_neighbour(with_session_key(packets), KEY, order, F.col("us"), "_before")
+    fresh = F.coalesce(F.col("us") - F.col("_before") > gap * 1_000_000, F.lit(True))
+    first = F.when(fresh, F.struct("us", (sender_is_client() == F.col("from_lo")).alias("lo_client")))
+    opened = with_last(keyed, KEY, order, first, "_first")
+    return opened.withColumn("tb", F.col("_first.us")).withColumn("from_client", F.col("from_lo") == F.col("_first.lo_client")).drop("_first", "_before")
 
 
 def session_seconds(packets: DataFrame, gap: int = 120) -> DataFrame:

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from flowloom.plans import scalars, traffic  # noqa: F401  they register
+    from flowloom.plans import scalars, tables, traffic  # noqa: F401  they register
 
     return dict(_QUERIES)
 

@@ -9,7 +9,7 @@ from flowloom.functions import net, times
 from flowloom.operators import enrich, names
 from flowloom.plans.registry import query
 from flowloom.plans.sql import KEY, KEYED, with_packets
-from flowloom.sources import reference, text
+from flowloom.sources import text
 from flowloom.sources.packets import read_packets
 
 LOCAL = TrafficConfig().local_subnets
@@ -29,20 +29,6 @@ def octets(spark, sf_dir):
     return read_packets(spark, sf_dir).select("ip1").distinct().select("ip1", net.octets_to_long(net.octets(F.col("ip1"))).alias("back"))
 
 
-_TEXTS = ["1.2.3.4", "255.255.255.255", "256.1.1.1", "1.2.3", "01.2.3.4", "a.b.c.d", "", "8.8.8.8"]
-_TEXT_VALUES = ", ".join(f"('{t}')" for t in _TEXTS)
-
-
-@query(
-    "FN-3_ip_validity",
-    f"""WITH v(t) AS (VALUES {_TEXT_VALUES}), s AS (SELECT t, string_split(t, '.') AS p FROM v)
-SELECT t, CASE WHEN t IN ('1.2.3.4', '255.255.255.255', '8.8.8.8') THEN CAST(p[1] AS BIGINT) * 16777216 + CAST(p[2] AS BIGINT) * 65536 + CAST(p[3] AS BIGINT) * 256 + CAST(p[4] AS BIGINT) END AS n,
-  t IN ('1.2.3.4', '255.255.255.255', '8.8.8.8') AS valid FROM s""",
-)
-def validity(spark, sf_dir):
-    return spark.createDataFrame([(t,) for t in _TEXTS], "t string").select("t", net.ip_to_long(F.col("t")).alias("n"), net.is_ipv4(F.col("t")).alias("valid"))
-
-
 _BOUNDARIES = {
     "chunk_5s": (lambda t: times.chunk_boundary(t, 5), "sec - (sec % 60) % 5"),
     "chunk_10m": (lambda t: times.chunk_boundary(t, 600), "sec - sec % 60 - ((sec // 60) % 60 % 10) * 60"),
@@ -89,14 +75,6 @@ def client_rules(spark, sf_dir):
     return read_packets(spark, sf_dir).select("event_id", "ip_proto", sender_is_client().alias("sender_client"))
 
 
-_RULE_IPS = [167772161, 2886729729, 3232235777, 134744072, 4294967295, 0]
-
-
-@query("FLT-9_local_subnets", "SELECT * FROM (VALUES " + ", ".join(f"(CAST({i} AS BIGINT), {str(i in (167772161, 2886729729, 3232235777)).lower()})" for i in _RULE_IPS) + ") v(ip, is_local)")
-def local_subnets(spark, sf_dir):
-    return spark.createDataFrame([(i,) for i in _RULE_IPS], "ip long").select("ip", net.in_subnets(F.col("ip"), LOCAL).alias("is_local"))
-
-
 @query("FLT-10_direction", with_packets() + "SELECT event_id, CASE WHEN (ip1 BETWEEN 167772160 AND 184549375) AND NOT (ip2 BETWEEN 167772160 AND 184549375) THEN 'out' ELSE 'in' END AS way FROM packets")
 def directions(spark, sf_dir):
     return read_packets(spark, sf_dir).select("event_id", net.direction(F.col("ip1"), F.col("ip2"), LOCAL).alias("way"))
@@ -115,7 +93,7 @@ def scan(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/events.parquet").where("value > 50").select("event_id", "ts", "value").orderBy("event_id").limit(100)
 
 
-def _stamp(us):
+def stamp(us):
     return F.concat(F.expr(f"cast({us} div 1000000 as string)"), F.lit("."), F.lpad(F.expr(f"cast({us} % 1000000 as string)"), 6, "0"))
 
 
@@ -123,7 +101,7 @@ def tcp_lines(p):
     """Packets written as a sniffer writes them, for the parsers to read back."""
     letters = F.create_map(*[F.lit(x) for kv in {2: "S", 16: ".", 24: "P.", 18: "S.", 17: "F."}.items() for x in kv])[F.col("flags")]
     ip = lambda c: net.long_to_ip(F.col(c))
-    head = F.concat(_stamp("us"), F.lit(" 70:ca:9b:4b:f7:20 > 00:1b:78:59:e7:c2, ethertype "))
+    head = F.concat(stamp("us"), F.lit(" 70:ca:9b:4b:f7:20 > 00:1b:78:59:e7:c2, ethertype "))
     length = F.concat(F.lit(", length "), F.col("bytes").cast("string"), F.lit(": "))
     plain = F.concat(head, F.lit("IPv4 (0x0800)"), length)
     tagged = F.concat(head, F.lit("802.1Q (0x8100)"), length, F.lit("vlan "), F.col("vlan_id").cast("string"), F.lit(", p 1, ethertype IPv4, "))
@@ -140,7 +118,7 @@ def tcp_text(spark, sf_dir):
 def udp_text(spark, sf_dir):
     p = read_packets(spark, sf_dir, 17)
     s = lambda c: F.col(c).cast("string")
-    line = F.concat_ws(" ", _stamp("us"), F.when(F.col("vlan_id") > 0, s("vlan_id")), net.long_to_ip(F.col("ip1")), s("port1"), net.long_to_ip(F.col("ip2")), s("port2"), s("bytes"), F.lit("DNS Standard query"))
+    line = F.concat_ws(" ", stamp("us"), F.when(F.col("vlan_id") > 0, s("vlan_id")), net.long_to_ip(F.col("ip1")), s("port1"), net.long_to_ip(F.col("ip2")), s("port2"), s("bytes"), F.lit("DNS Standard query"))
     return text.parse_udp(p.select(line.alias("value")))
 
 
@@ -153,7 +131,7 @@ def icmp_lines(p, number="cast((us div 7) % 5000 as string)"):
     vlan = F.when(F.col("vlan_id") > 0, s("vlan_id"))
     kind = F.when(F.col("event_id") % 3 == 0, "0 0").when(F.col("event_id") % 3 == 1, "8 0").otherwise("3 0x0d")
     seq = F.when(F.col("event_id") % 3 < 2, F.concat(F.expr(number), F.lit(" (0xc907)")))
-    return p.select(F.concat_ws(" ", _stamp("us"), net.long_to_ip(F.col("ip1")), s("bytes"), net.long_to_ip(F.col("ip2")), kind, seq, vlan).alias("value"), "event_id")
+    return p.select(F.concat_ws(" ", stamp("us"), net.long_to_ip(F.col("ip1")), s("bytes"), net.long_to_ip(F.col("ip2")), kind, seq, vlan).alias("value"), "event_id")
 
 
 @query("PROJ-5_icmp_lines", with_packets() + _ICMP_SQL)
@@ -170,7 +148,7 @@ def other_lines(p):
     s = lambda c: F.col(c).cast("string")
     message = F.when(F.col("event_id") % 50 == 0, F.repeat(F.lit("x"), 600)).otherwise(F.concat(F.lit("Who has "), s("event_id")))
     proto = F.when(F.col("event_id") % 7 == 0, "DNS").otherwise("ARP")
-    line = F.concat_ws(" ", _stamp("us"), F.when(F.col("vlan_id") > 0, s("vlan_id")), F.lit("00:09:0f:50:aa:fc"), s("bytes"), F.lit("ff:ff:ff:ff:ff:ff"), proto, message)
+    line = F.concat_ws(" ", stamp("us"), F.when(F.col("vlan_id") > 0, s("vlan_id")), F.lit("00:09:0f:50:aa:fc"), s("bytes"), F.lit("ff:ff:ff:ff:ff:ff"), proto, message)
     return p.select(line.alias("value"))
 
 
@@ -193,7 +171,7 @@ def syn_text(spark, sf_dir):
     s = lambda c: F.col(c).cast("string")
     seq = F.expr("event_id div 2")
     flags = F.when(F.col("flags") == 2, F.concat(F.lit("Flags [S], seq "), seq.cast("string"), F.lit(", win 14600"))).otherwise(F.concat(F.lit("Flags [S.], seq 3695356776, ack "), (seq + 1).cast("string"), F.lit(", win 5792")))
-    line = F.concat(_stamp("us"), F.lit(" IP "), net.long_to_ip(F.col("ip1")), F.lit("."), s("port1"), F.lit(" > "), net.long_to_ip(F.col("ip2")), F.lit("."), s("port2"), F.lit(": "), flags)
+    line = F.concat(stamp("us"), F.lit(" IP "), net.long_to_ip(F.col("ip1")), F.lit("."), s("port1"), F.lit(" > "), net.long_to_ip(F.col("ip2")), F.lit("."), s("port2"), F.lit(": "), flags)
     return text.parse_tcp_latency(p.select(line.alias("value"))).select("us", "ip1", "port1", "ip2", "port2", "reply", "seq")
 
 
@@ -203,36 +181,10 @@ def echo_text(spark, sf_dir):
     s = lambda c: F.col(c).cast("string")
     kind = F.when(F.col("event_id") % 3 == 0, "reply").otherwise("request")
     length = F.when(F.col("event_id") % 4 == 0, "40").otherwise("64")
-    line = F.concat(_stamp("us"), F.lit(" IP "), net.long_to_ip(F.col("ip1")), F.lit(" > "), net.long_to_ip(F.col("ip2")), F.lit(": ICMP echo "), kind, F.lit(", id "), s("vlan_id"), F.lit(", seq "), s("event_id"), F.lit(", length "), length)
+    line = F.concat(stamp("us"), F.lit(" IP "), net.long_to_ip(F.col("ip1")), F.lit(" > "), net.long_to_ip(F.col("ip2")), F.lit(": ICMP echo "), kind, F.lit(", id "), s("vlan_id"), F.lit(", seq "), s("event_id"), F.lit(", length "), length)
     return text.parse_icmp_latency(p.select(line.alias("value")))
 
 
-_ARPA = [("116.230.242.94.in-addr.arpa", "94.242.230.116"), ("4.3.2.1.in-addr.arpa.", "1.2.3.4"), ("3.2.1.in-addr.arpa", None), ("900.3.2.1.in-addr.arpa", None), ("host.example", None)]
-
-
-@query("FN-27_reverse_names", "SELECT * FROM (VALUES " + ", ".join(f"('{a}', {repr(b) if b else 'CAST(NULL AS VARCHAR)'})" for a, b in _ARPA) + ") v(name, ip)")
-def reverse_names(spark, sf_dir):
-    return spark.createDataFrame([(a,) for a, _ in _ARPA], "name string").select("name", net.arpa_to_ip(F.col("name")).alias("ip"))
-
-
-_MACS = [("00:1b:78:59:e7:c2", 0x001B7859E7C2), ("ff:ff:ff:ff:ff:ff", 0xFFFFFFFFFFFF), ("00:1b:78", None)]
-
-
-@query("FN-26_mac_numbers", "SELECT * FROM (VALUES " + ", ".join(f"('{a}', CAST({b if b is not None else 'NULL'} AS BIGINT))" for a, b in _MACS) + ") v(mac, n)")
-def mac_numbers(spark, sf_dir):
-    return spark.createDataFrame([(a,) for a, _ in _MACS], "mac string").select("mac", net.mac_to_long(F.col("mac")).alias("n"))
-
-
-@query("FN-24_asn_text", "SELECT * FROM (VALUES ('AS15169 Google', CAST(15169 AS BIGINT)), ('AS7 x y', 7), ('15169', NULL), ('AS', NULL)) v(t, asn)")
-def asn_text(spark, sf_dir):
-    return spark.createDataFrame([("AS15169 Google",), ("AS7 x y",), ("15169",), ("AS",)], "t string").select("t", net.asn_of(F.col("t")).alias("asn"))
-
-
-@query("FN-25_text_to_number", "SELECT * FROM (VALUES ('12', CAST(12 AS BIGINT)), ('-3', -3), ('x', NULL), ('', NULL)) v(t, n)")
-def digits(spark, sf_dir):
-    return spark.createDataFrame([("12",), ("-3",), ("x",), ("",)], "t string").select("t", F.col("t").try_cast("long").alias("n"))
-
-
 def _readable_sql(base: int) -> str:
     """Tenths of a unit, halves up, in whole numbers."""
     whens = " ".join(f"WHEN n < {base ** (i + 1)} THEN ((n * 10 + {base**i // 2}) // {base**i})" for i in range(4))
@@ -290,86 +242,6 @@ def protocol_names(spark, sf_dir):
     return enrich.with_protocol(rows, decode).select("event_id", "pr")
 
 
-@query("SRC-20_asn_names", "SELECT * FROM (VALUES (CAST(64512 AS BIGINT), 'Lab'), (15169, 'Search'), (3356, 'Carrier')) v(asn, name)")
-def asn_names(spark, sf_dir):
-    rows = spark.createDataFrame([(a, n, i) for i, (a, n) in enumerate(ASN_NAMES)], "asn string, name string, ord long")
-    return enrich.latest_names(rows)
-
-
-TARGETS = [("a", "latency", "one", "8.8.8.8", None, "icmp", 8, None, None), ("b", "latency", "two", None, "8.8.8.9", "tcp", None, 443, "https"), ("c", "other", "x", "1.1.1.1", None, "icmp", 8, None, None), ("d", "latency", "three", "8.8.8.8", None, "tcp", None, None, None)]
-_TARGET_SCHEMA = "c_id string, doc_type string, target string, ip string, prev_ip string, protocol string, type int, port int, appl string"
-
-
-@query("SRC-16_latency_targets", "SELECT * FROM (VALUES ('a', 'one', '8.8.8.8', CAST(NULL AS VARCHAR), 'icmp', 8, CAST(NULL AS INT), CAST(NULL AS VARCHAR)), ('b', 'two', '0.1.2.3', '8.8.8.9', 'tcp', NULL, 443, 'https'), ('d', 'three', '8.8.8.8', NULL, 'tcp', NULL, 80, NULL)) v(c_id, target, ip, prev_ip, protocol, type, port, appl)")
-def targets(spark, sf_dir):
-    return reference.latency_targets(spark.createDataFrame(TARGETS, _TARGET_SCHEMA))
-
-
-@query("SRC-22_resolved_targets", "SELECT * FROM (VALUES ('a', '8.8.4.4', '8.8.8.8'), ('b', '0.1.2.3', '8.8.8.9'), ('d', '8.8.8.8', CAST(NULL AS VARCHAR))) v(c_id, ip, prev_ip)")
-def resolved_targets(spark, sf_dir):
-    t = reference.latency_targets(spark.createDataFrame(TARGETS, _TARGET_SCHEMA))
-    return reference.resolved(t, spark.createDataFrame([("one", "8.8.4.4"), ("three", "8.8.8.8")], "target string, new_ip string")).select("c_id", "ip", "prev_ip")
-
-
-@query("JOIN-14_target_changes", "SELECT * FROM (VALUES ('c', 'added'), ('a', 'removed')) v(c_id, change)")
-def target_changes(spark, sf_dir):
-    frame = lambda ids: spark.createDataFrame([(i,) for i in ids], "c_id string")
-    return reference.target_changes(frame("ab"), frame("bc"))
-
-
-NAME_LINES = [
-    "1342469616.668436 ARP 00:11:22:33:44:55 00:11:22:33:44:55 ff:ff:ff:ff:ff:ff Who has 1.2.3.4? Tell 9.8.7.6",
-    "1342469617.000000 ARP 00:11:22:33:44:66 00:11:22:33:44:66 00:11:22:33:44:55 1.2.3.4 is at 00:11:22:33:44:66",
-    "1348665064.932630 BROWSER 192.168.168.47 00:21:5A:1F:CF:04 192.168.168.255 Local Master Announcement JOEL-K12, Workstation",
-    "1508163682.781175 DHCP 10.141.2.224 00:0a:f7:4c:c7:a2 255.255.255.255 Owner-PC 0.0.0.0 DHCP Inform - Transaction ID 0x4dae08e",
-    "1508165493.225875 DHCP 0.0.0.0 54:9f:13:47:76:40 255.255.255.255 iPhone-3 0.0.0.0 DHCP Request - Transaction ID 0x13c1ec76",
-    "1508165493.225973 DHCP 10.141.1.1 c0:ea:e4:c5:6b:3c 255.255.255.255 10.141.3.173 DHCP ACK - Transaction ID 0x13c1ec76",
-    "1508165499.225973 DHCP 10.141.1.1 c0:ea:e4:c5:6b:3c 255.255.255.255 10.141.3.174 DHCP ACK - Transaction ID 0x13c1ec99",
-    "1344610756.256590 DNS 1.2.3.4 00:11:22:33:44:55 8.8.8.8 0x6443 Standard query 0x6443 A dev.mysql.com",
-    "1344610756.296899 DNS 8.8.8.8 99:88:77:66:55:44 1.2.3.4 0x6443 Standard query response 0x6443 CNAME d-m-u.orakle.com A 16.15.3.1",
-    "1344610757.256590 DNS 1.2.3.4 00:11:22:33:44:55 8.8.8.8 0x09a8 Standard query PTR 116.230.242.94.in-addr.arpa",
-    "1344610757.356590 DNS 8.8.8.8 99:88:77:66:55:44 1.2.3.4 0x09a8 Standard query response PTR customer.ltkm11.net",
-    "1344610758.356590 DNS 8.8.8.8 99:88:77:66:55:44 1.2.3.4 0x7777 Standard query response 0x7777 A 1.1.1.1",
-]
-
-
-def _flat(df):
-    return df.select("us", "r", F.array_join("n", ",").alias("names"), "m", F.array_join(F.transform("i", lambda x: x.cast("string")), ",").alias("ips"), "tm")
-
-
-def _named(rows):
-    lit = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"CAST({v} AS BIGINT)"
-    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows) + ") v(us, r, names, m, ips, tm)"
-
-
-def _lines(spark):
-    return spark.createDataFrame([(x,) for x in NAME_LINES], "value string")
-
-
-@query("PROJ-10_arp_names", _named([(1342469616668436, "ARP", None, 0x001122334455, "151521030", 1342469580), (1342469617000000, "ARP", None, 0x001122334466, "16909060", 1342469580)]))
-def arp_names(spark, sf_dir):
-    return _flat(names.arp(_lines(spark)))
-
-
-@query("PROJ-11_browser_names", _named([(1348665064932630, "BRW", "JOEL-K12", 0x00215A1FCF04, "3232278575", 1348665060)]))
-def browser_names(spark, sf_dir):
-    return _flat(names.browser(_lines(spark)))
-
-
-@query("JOIN-10_dhcp_names", _named([(1508163682781175, "DHCP", "Owner-PC", 0x000AF74CC7A2, "177013472", 1508163660), (1508165493225973, "DHCP", "iPhone-3", 0x549F13477640, "177013677", 1508165460)]))
-def dhcp_names(spark, sf_dir):
-    return _flat(names.dhcp(_lines(spark)))
-
-
-@query(
-    "JOIN-9_dns_names",
-    """SELECT 1344610756296899 AS us, 'CNM' AS r, 'dev.mysql.com,d-m-u.orakle.com' AS names, CAST(NULL AS BIGINT) AS m, '269419265' AS ips, CAST(1344610740 AS BIGINT) AS tm
-UNION ALL SELECT 1344610757356590, 'PTR', 'customer.ltkm11.net', NULL, '1592977012', 1344610740""",
-)
-def dns_names(spark, sf_dir):
-    return _flat(names.dns(_lines(spark)))
-
-
 @query("SORT-7_mail_hosts", "SELECT s_nationkey AS domain, string_agg(s_name, ',' ORDER BY s_suppkey % 50, s_name) AS hosts FROM supplier GROUP BY s_nationkey")
 def mail_hosts(spark, sf_dir):
     records = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("s_nationkey as domain", "s_suppkey % 50 as preference", "s_name as host")
@@ -385,7 +257,7 @@ def host_names(spark, sf_dir):
 @query("FLT-18_unknown_protocols", with_packets() + "SELECT CASE event_id % 5 WHEN 3 THEN 'WINS' ELSE 'CUPS' END AS protocol, count(*) AS lines FROM packets WHERE event_id % 5 IN (3, 4) GROUP BY 1")
 def unknown_protocols(spark, sf_dir):
     kinds = F.array(*[F.lit(x) for x in ("ARP", "BOOTP", "DNS", "WINS", "CUPS")])
-    lines = read_packets(spark, sf_dir).select(F.concat(_stamp("us"), F.lit(" "), F.get(kinds, F.col("event_id") % 5), F.lit(" and more")).alias("value"))
+    lines = read_packets(spark, sf_dir).select(F.concat(stamp("us"), F.lit(" "), F.get(kinds, F.col("event_id") % 5), F.lit(" and more")).alias("value"))
     return names.unknown_protocols(lines)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowloom.config import TrafficConfig
+from flowloom.functions import times
 from flowloom.operators import capture, groups, icmp, latency, maintenance, names, rollup, sessions
 from flowloom.plans.registry import query
 from flowloom.plans.sql import GAP, KEY, KEYED, SESSIONS, with_packets
@@ -48,9 +49,13 @@ def udp_info(spark, sf_dir):
     return sessions.session_info(read_packets(spark, sf_dir, 17), GAP, 60)
 
 
-@query("PROJ-17_long_sessions", SESSIONS + "SELECT ip1, p1, ip2, p2, tb, tdm FROM (" + _INFO.format(where="") + ") WHERE tdm IS NOT NULL")
+#: Seconds from which a session is long: some are.
+_LONG = 15
+
+
+@query("PROJ-17_long_sessions", SESSIONS + "SELECT ip1, p1, ip2, p2, tb, (te - tb) // 1000000 AS tdm FROM (" + _INFO.format(where="") + f") WHERE (te - tb) // 1000000 >= {_LONG}")
 def long_sessions(spark, sf_dir):
-    return sessions.session_info(read_packets(spark, sf_dir), GAP, 60).where("tdm is not null").select("ip1", "p1", "ip2", "p2", "tb", "tdm")
+    return sessions.session_info(read_packets(spark, sf_dir), GAP, _LONG).where("tdm is not null").select("ip1", "p1", "ip2", "p2", "tb", "tdm")
 
 
 @query("WIN-3_sessions_by_gap", SESSIONS + f"SELECT {KEY}, tb, count(*) AS packets, CAST(sum(bytes) AS BIGINT) AS bytes FROM sided GROUP BY {KEY}, tb")
@@ -165,12 +170,6 @@ def distinct_sessions(spark, sf_dir):
     return rows.groupBy(*groups.GROUP, tbm.alias("tbm")).agg(F.count_distinct(F.struct(*[F.col(f"k_{k}") for k in sessions.KEY])).alias("sessions"))
 
 
-@query("AGG-17_icmp_and_other_groups", with_packets() + "SELECT ip1, '8.0' AS ty1, ip2, vlan_id AS vl, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b1, CAST(0 AS BIGINT) AS b2, count(*) AS pk FROM packets GROUP BY ALL")
-def icmp_groups(spark, sf_dir):
-    rows = read_packets(spark, sf_dir).select("ip1", F.lit("8.0").alias("ty1"), "ip2", F.col("vlan_id").alias("vl"), "sec", F.col("bytes").alias("b1"), F.lit(0).cast("long").alias("b2"), F.lit(1).alias("pk"))
-    return groups.bins(rows, groups.SHORT, ["ip1", "ty1", "ip2", "vl"])
-
-
 @query("AGG-7_capture_bytes", with_packets() + "SELECT ip_proto, sec // 10 * 10 AS sb, max(sec) AS se, CAST(sum(bytes) AS BIGINT) AS b, count(*) AS pk, count(DISTINCT sec) AS active FROM packets GROUP BY ALL")
 def capture_bytes(spark, sf_dir):
     return capture.capture_bytes(read_packets(spark, sf_dir))
@@ -230,25 +229,38 @@ def type_sets(spark, sf_dir):
     return icmp.type_sets(_icmp(spark, sf_dir))
 
 
-@query(
-    "AGG-17_icmp_groups",
-    with_packets(_ICMP_LINES) + f"""SELECT CASE WHEN client THEN lo_ip ELSE hi_ip END AS ip1, typecode AS ty1, CASE WHEN client THEN hi_ip ELSE lo_ip END AS ip2, vlan_id AS vl, us // 1000000 // 900 * 900 AS tbm, CAST((us // 1000000 % 900) // 10 * 10 AS INT) AS off,
+_ICMP_GROUPS = with_packets(_ICMP_LINES) + f"""SELECT CASE WHEN client THEN lo_ip ELSE hi_ip END AS ip1, typecode AS ty1, CASE WHEN client THEN hi_ip ELSE lo_ip END AS ip2, vlan_id AS vl, us // 1000000 // 900 * 900 AS tbm, CAST((us // 1000000 % 900) // 10 * 10 AS INT) AS off,
   CAST(sum(CASE WHEN from_lo = client THEN bytes ELSE 0 END) AS BIGINT) AS b1, CAST(sum(CASE WHEN from_lo = client THEN 0 ELSE bytes END) AS BIGINT) AS b2, count(*) AS pk
 FROM (SELECT *, first_value(from_lo) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id, session ORDER BY us, event_id) AS client
   FROM (SELECT *, sum(fresh) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id ORDER BY us, event_id) AS session
-    FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id ORDER BY us, event_id) > {GAP * 1000000} THEN 1 ELSE 0 END AS fresh FROM adopted))) GROUP BY ALL""",
-)
+    FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY lo_ip, hi_ip, typecode, vlan_id ORDER BY us, event_id) > {GAP * 1000000} THEN 1 ELSE 0 END AS fresh FROM adopted))) GROUP BY ALL"""
+
+
+@query("AGG-17_icmp_groups", _ICMP_GROUPS)
 def real_icmp_groups(spark, sf_dir):
     return groups.bins(icmp.icmp_seconds(_icmp(spark, sf_dir), GAP), groups.SHORT, icmp.GROUP)
 
 
-@query("AGG-17_other_groups", with_packets() + "SELECT '00:09:0f:50:aa:fc' AS s, 'ff:ff:ff:ff:ff:ff' AS d, CASE WHEN event_id % 50 = 0 THEN repeat('x', 512) || '...' ELSE 'Who has ' || event_id END AS m, vlan_id AS vl, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b1, CAST(0 AS BIGINT) AS b2, count(*) AS pk FROM packets WHERE event_id % 7 <> 0 GROUP BY ALL")
+_OTHER_GROUPS = with_packets() + "SELECT '00:09:0f:50:aa:fc' AS s, 'ff:ff:ff:ff:ff:ff' AS d, CASE WHEN event_id % 50 = 0 THEN repeat('x', 512) || '...' ELSE 'Who has ' || event_id END AS m, vlan_id AS vl, sec // 900 * 900 AS tbm, CAST((sec % 900) // 10 * 10 AS INT) AS off, CAST(sum(bytes) AS BIGINT) AS b1, CAST(0 AS BIGINT) AS b2, count(*) AS pk FROM packets WHERE event_id % 7 <> 0 GROUP BY ALL"
+
+
+@query("AGG-17_other_groups", _OTHER_GROUPS)
 def other_groups(spark, sf_dir):
     from flowloom.plans.scalars import other_lines
 
     return groups.bins(icmp.other_seconds(text.parse_other(other_lines(read_packets(spark, sf_dir)))), groups.SHORT, icmp.OTHER)
 
 
+@query(
+    "AGG-17_icmp_and_other_groups",
+    f"SELECT 'icmp' AS kind, CAST(ip1 AS VARCHAR) AS s, ty1 AS m, CAST(ip2 AS VARCHAR) AS d, vl, tbm, off, b1, b2, pk FROM ({_ICMP_GROUPS}) UNION ALL SELECT 'other', s, m, d, vl, tbm, off, b1, b2, pk FROM ({_OTHER_GROUPS})",
+)
+def icmp_and_other_groups(spark, sf_dir):
+    """Groups of ICMP by type and code, and of what is not IP by message."""
+    one = real_icmp_groups(spark, sf_dir).select(F.lit("icmp").alias("kind"), F.col("ip1").cast("string").alias("s"), F.col("ty1").alias("m"), F.col("ip2").cast("string").alias("d"), "vl", "tbm", "off", "b1", "b2", "pk")
+    return one.unionByName(other_groups(spark, sf_dir).withColumn("kind", F.lit("other")))
+
+
 @query("JOIN-6_targets_by_port", with_packets() + """SELECT event_id, CASE WHEN s IS NOT NULL THEN s ELSE r END AS c_id, s IS NOT NULL AS reply FROM (SELECT event_id,
   CASE WHEN ip1 = 134744072 AND ip_proto = 6 AND port1 = 80 THEN 'web' WHEN ip1 = 134744073 AND ip_proto = 17 THEN 'udp' WHEN ip1 IN (134744072, 134744075) THEN 'any' END AS s,
   CASE WHEN ip2 = 134744072 AND ip_proto = 6 AND port2 = 80 THEN 'web' WHEN ip2 = 134744073 AND ip_proto = 17 THEN 'udp' WHEN ip2 IN (134744072, 134744075) THEN 'any' END AS r FROM packets) WHERE s IS NOT NULL OR r IS NOT NULL""")
@@ -410,6 +422,13 @@ def seen_before(spark, sf_dir):
 # --- writes and streams -----------------------------------------------------
 
 
+@query("FLT-11_typed_documents", with_packets(KEYED, _SECONDS, _DOCS, recursive=True) + f"SELECT {KEY}, sb // 900 * 900 AS tbm, CAST(sum(doc_lo + doc_hi) AS BIGINT) AS bt FROM ({_DOC_ROWS}) WHERE sb % 9 <> 0 GROUP BY ALL")
+def typed_documents(spark, sf_dir):
+    """Documents of the old form, which carry a type, are not rolled up."""
+    old = sessions.byte_documents(read_packets(spark, sf_dir)).withColumn("ty", F.when(F.col("sb") % 9 == 0, "8.0"))
+    return groups.untyped(old).groupBy(*sessions.KEY, times.floor_to(F.col("sb"), 900).alias("tbm")).agg(F.sum(F.col("doc_lo") + F.col("doc_hi")).alias("bt"))
+
+
 @query("SNK-7_replayed_windows", SESSIONS + _bins_sql(900))
 def replayed(spark, sf_dir):
     """Bins written, and the later half written again from a window boundary; each window is there once."""

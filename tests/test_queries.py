@@ -85,6 +85,55 @@ def test_starts_that_follow_from_one_another(spark, rows_a_batch):
     assert with_starts(df.where("1 = 0"), ["k"], "t", 17).count() == 0
 
 
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_neighbours_across_slices(spark, width):
+    """Row before, row after and last value against lists, with null keys, ties, null values and gaps of many slices."""
+    from flowloom.operators.slices import with_last, with_neighbour
+
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, 2]), rng.choice(["a", None]), rng.choice([-30, 0, 1, 2, 3, 5, 5, 90, 91, 4000]) + rng.randint(0, 3), i, rng.choice([None, None, i])) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, s string, t long, i long, v long").repartition(3)
+    want = {}
+    last = {}
+    for k, s in {(r[0], r[1]) for r in rows}:
+        own = sorted((r for r in rows if r[:2] == (k, s)), key=lambda r: (r[2], r[3]))
+        for n, r in enumerate(own):
+            last[k, s] = r[4] if r[4] is not None else last.get((k, s))
+            want[r[3]] = (own[n - 1][4] if n else None, own[n + 1][4] if n + 1 < len(own) else None, last[k, s])
+    got = with_neighbour(df, ["k", "s"], ["t", "i"], F.col("v"), "before", width=width)
+    got = with_neighbour(got, ["k", "s"], ["t", "i"], F.col("v"), "after", ahead=True, width=width)
+    got = with_last(got, ["k", "s"], ["t", "i"], F.col("v"), "last", width=width)
+    assert got.columns == [*df.columns, "before", "after", "last"]
+    assert {r.i: (r.before, r.after, r.last) for r in got.collect()} == want and got.count() == len(rows)
+    assert with_last(df.where("1 = 0"), ["k"], ["t"], F.col("v"), "last").count() == 0
+
+
+def test_one_key_in_many_tasks(spark):
+    """A key that holds all rows is worked on in several tasks, with the rows that a window over it gives."""
+    from pyspark.sql import Window
+
+    from flowloom.operators import icmp, latency, sessions
+    from flowloom.sources.packets import read_packets
+
+    packets = read_packets(spark, SMALL).withColumns({"ip1": F.when(F.col("event_id") % 3 == 0, 9).otherwise(5).cast("long"), "ip2": F.when(F.col("event_id") % 3 == 0, 5).otherwise(9).cast("long"), "port1": F.when(F.col("event_id") % 3 == 0, 80).otherwise(40000), "port2": F.when(F.col("event_id") % 3 == 0, 40000).otherwise(80), "vlan_id": F.lit(0), "ip_proto": F.lit(6)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = lambda df: len(df.select(F.spark_partition_id().alias("p"), F.hash(*df.columns).alias("h")).groupBy("p").agg(F.max("h")).collect())
+        probes = latency.probes(packets)
+        assert probes.select(*latency.KEY).distinct().count() == 1
+        found = latency.matched(probes, 60)
+        order = Window.partitionBy(*latency.KEY).orderBy("us", "event_id")
+        plain = probes.withColumn("r", F.lead("reply").over(order)).withColumn("u", F.lead("us").over(order)).where("not reply")
+        plain = plain.withColumn("rtt", F.expr("if(r and u - us <= 60000000, u - us, null)")).where("rtt is null or rtt > 0").select(found.columns)
+        assert tasks(found) >= 4 and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+        gaps = sessions.sessionized(packets, 20)
+        assert tasks(gaps) >= 4 and gaps.groupBy("tb").count().exceptAll(sessions.session_info(packets, 20).selectExpr("tb", "pk as count")).isEmpty()
+        echoes = packets.selectExpr("event_id", "us", "ip1", "ip2", "bytes", "vlan_id", "if(event_id % 3 = 0, '0.0', '8.0') as typecode", "1 as seq")
+        assert tasks(icmp.adopted(echoes)) >= 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_seconds_give_the_sessions_of_packets(spark):
     """Sessions from seconds against sessions packet by packet, with gaps of just the length and ties of time."""
     from flowloom.operators import sessions

@@ -97,6 +97,12 @@ def test_config():
 
     with pytest.raises(ValueError):
         subnet_range("300.0.0.0/8")
+    from flowloom.functions.net import octet_rule
+
+    assert octet_rule(" 10.1.2.3/16\t") == (10, 1, 0, 0) and octet_rule("10.0.2.3/24") == (10, 0, 2, 0)
+    for bad in ("10.0.0.0", "10.0.0.0/12", "10.0.0.0/40", "255.0.0.0/8", "10.0.0/8", "x"):
+        with pytest.raises(ValueError):
+            octet_rule(bad)
 
 
 def test_pcap_chunks_give_the_whole_file(tmp_path):
