@@ -170,7 +170,7 @@ def syn_text(spark, sf_dir):
     p = read_packets(spark, sf_dir).where("flags in (2, 18)")
     s = lambda c: F.col(c).cast("string")
     seq = F.expr("event_id div 2")
-    flags = F.when(F.col("flags") == 2, F.concat(F.lit("Flags [S], seq "), seq.cast("string"), F.lit(", win 14600"))).otherwise(F.concat(F.lit("Flags [S.], seq 3695356776, ack "), (seq + 1).cast("string"), F.lit(", win 5792")))
+    flags = F.when(F.col("flags") == 2, F.concat(F.lit("Flags [S], seq "), seq.cast("string"), F.lit(", win 14600"))).otherwise(F.concat(F.lit("Flags [S.], seq 700200, ack "), (seq + 1).cast("string"), F.lit(", win 5792")))
     line = F.concat(stamp("us"), F.lit(" IP "), net.long_to_ip(F.col("ip1")), F.lit("."), s("port1"), F.lit(" > "), net.long_to_ip(F.col("ip2")), F.lit("."), s("port2"), F.lit(": "), flags)
     return text.parse_tcp_latency(p.select(line.alias("value"))).select("us", "ip1", "port1", "ip2", "port2", "reply", "seq")
 
