@@ -5,8 +5,8 @@ a segment tree; a leaf keeps rank * width + position of the pair that starts
 there, so the root is the leftmost pair of the lowest rank. A merge changes the
 leaf of the pair, of the dead right part and of the live left neighbour, and
 recomputes their paths: a logarithmic number of point updates. Many pieces of
-one width are merged side by side, a merge a round in each, with numpy; pieces
-already met are remembered in a bounded table, which changes no result.
+one width are merged side by side, a merge a round in each, with numpy, and few
+one after another; pieces already met are remembered in a bounded table, which changes no result.
 
 Null and empty texts have no ids and decode to no bytes. Each row stands by
 itself; pieces of any length are merged whole.
@@ -15,6 +15,7 @@ itself; pieces of any length are merged whole.
 from __future__ import annotations
 
 import base64
+import functools
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -28,6 +29,9 @@ from flowloom.llm.common import documents, map_batches, slices
 _NONE = np.int64(2**62)
 _SHIFT = 40  # positions take so many bits of a leaf, ranks 20 above them
 
+#: So many pieces of a width and more are merged side by side; fewer, which a round of numpy would be dear for, one by one.
+_SIDE_BY_SIDE = 12
+
 #: Texts with any of these (two white-space characters that touch, white space other than space and line feed), or white space at an end, are split by the pattern as a whole.
 _IRREGULAR = ("  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 
@@ -72,10 +76,62 @@ class ByteBPE:
             step = max(1, 2_000_000 // width)
             for at in range(0, len(members), step):
                 some = members[at : at + step]
-                for i, ids in zip(some, self._merge_width([pieces[i] for i in some], width), strict=True):
+                few = len(some) < _SIDE_BY_SIDE
+                merged = map(self._merge_one, (pieces[i] for i in some)) if few else self._merge_width([pieces[i] for i in some], width)
+                for i, ids in zip(some, merged, strict=True):
                     out[i] = ids
         return out
 
+    @functools.cached_property
+    def rank_of(self) -> dict[int, int]:
+        """Ranks by packed pair."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
+
+    def _merge_one(self, piece: bytes) -> bytes:
+        """As _merge_width(), for a piece by itself: the same tree, in lists."""
+        n, rank_of, mask = len(piece), self.rank_of, (1 << _SHIFT) - 1
+        width = max(2, 1 << max(0, n - 1).bit_length())
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        ranks = self.pair_rank(np.array(ids[:-1], np.int64), np.array(ids[1:], np.int64)) if n > 1 else np.empty(0, np.int64)
+        none = int(_NONE)
+        leaves = np.full(width, none)
+        leaves[: len(ranks)] = np.where(ranks >= 0, (ranks << _SHIFT) | np.arange(len(ranks)), none)
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+        tree = [none, *(v for level in reversed(levels) for v in level.tolist())]
+
+        def put(place: int, value: int) -> None:
+            node = width + place
+            if tree[node] == value:
+                return
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                value = other if other < value else value
+                node >>= 1
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        while tree[1] < none:
+            left, merged = tree[1] & mask, tree[1] >> _SHIFT
+            right, prior = after[left], before[left]
+            beyond = after[right]
+            ids[left], ids[right] = merged, -1
+            after[left] = beyond
+            put(right, none)
+            own = -1
+            if beyond >= 0:
+                before[beyond] = left
+                own = rank_of.get(merged << 20 | ids[beyond], -1)
+            put(left, own << _SHIFT | left if own >= 0 else none)
+            if prior >= 0:
+                theirs = rank_of.get(ids[prior] << 20 | merged, -1)
+                put(prior, theirs << _SHIFT | prior if theirs >= 0 else none)
+        return np.array([i for i in ids if i >= 0], np.int32).tobytes()
+
     def _merge_width(self, pieces: list[bytes], width: int) -> list[bytes]:
         n, lengths = len(pieces), np.array([len(p) for p in pieces], np.int64)
         ids = np.full((n, width + 1), -1, np.int64)  # the last column stands for no neighbour

@@ -92,6 +92,24 @@ def test_positions_of_long_pieces_fit():
     assert np.frombuffer(bpe.merge([piece.encode()])[0], np.int32).tolist() == library.encode_ordinary(piece)
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "a", "ab", "一二三四五六七八九十百千", "é ñ".replace(" ", "")])
+def test_unbroken_pieces(alphabet):
+    """Long pieces one by one and side by side, against the library; 300,000 letters in seconds."""
+    import public_tokenizers
+    import tiktoken
+
+    bpe = byte_bpe.tokenizer(byte_bpe.RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    rng = random.Random(2)
+    for n in (1, 2, 3, 17, 900):
+        piece = "".join(rng.choice(alphabet) for _ in range(n)).encode()
+        want = np.array(library._encode_single_piece(piece), np.int32).tobytes()
+        assert bpe._merge_one(piece) == want and bpe._merge_width([piece] * 2, max(2, 1 << (len(piece) - 1).bit_length())) == [want] * 2
+    began = time.monotonic()
+    ids = np.frombuffer(bpe._merge_one("".join(rng.choice(alphabet) for _ in range(300_000)).encode()[:300_000]), np.int32)
+    assert time.monotonic() - began < 30 and len(ids)
+
+
 def test_token_queries_on_hard_rows(hard):
     got = byte_bpe.digests(byte_bpe.encode(hard, decoded=True)).collect()
     assert len(got) == 12 and collections.Counter(r.n_tokens == 0 for r in got)[True] == 3
