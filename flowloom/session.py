@@ -36,6 +36,12 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where it may be unset, one in the machine's temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
