@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm import attention_quality, byte_bpe, parity_join, qgram_decontam, secret_scan
 from flowloom.llm.common import fresh, read_table
-from flowloom.session import shared_folder, ship
+from flowloom.session import remove, shared_folder, ship
 
 ORACLE_SQL = None
 
@@ -63,10 +63,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written to the shared checkpoint folder and read again."""
+    """The stages over documents, each written to the shared checkpoint folder and read again; what a stage wrote goes when the next has read it."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return docs
