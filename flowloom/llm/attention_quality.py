@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import documents, fold, map_batches, read_table, slices
 
-#: Bytes of a passage, labelled documents that the fit sees at most, and bytes of text that are encoded at once.
-PASSAGE, SAMPLE, PART = 600, 4000, 300_000
+#: Bytes of a passage, labelled documents that the fit sees at most and passages of each, and bytes of text that are encoded at once.
+PASSAGE, SAMPLE, LOOKED_AT, PART = 600, 4000, 64, 300_000
 _PAIRS, _WORDS = 128, 32
 _WHOLE = PART // PASSAGE * PASSAGE  # a longer text is encoded in parts of so many bytes
 FEATURES = 256 + _PAIRS + _WORDS + 3
@@ -141,8 +141,15 @@ def fit(x: np.ndarray, bags: np.ndarray, label: np.ndarray, hidden: int = 32, ga
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AttentionModel | None:
-    """Fit on at most that many labelled documents (all if fewer), chosen by hash of doc_id. docs: doc_id, text; labels: doc_id, label."""
+def drawn(passages: int, most: int, doc_id: int) -> np.ndarray:
+    """Which passages of a document a fit looks at: all, or as many as allowed, drawn by its id."""
+    if passages <= most:
+        return np.arange(passages)
+    return np.sort(np.random.default_rng(abs(doc_id)).permutation(passages)[:most])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = LOOKED_AT) -> AttentionModel | None:
+    """Fit on at most that many labelled documents (all if fewer), chosen by hash of doc_id, and at most that many passages of each, so that what comes to the driver is bounded however long texts are. docs: doc_id, text; labels: doc_id, label."""
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -157,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Attention
         for batch, texts in slices(batches, chars=PART, each=PASSAGE):
             x, bags = encode_passages([t.encode() for t in texts])
             ends = np.cumsum(bags)
-            blobs = [x[e - b : e].astype(np.float16).tobytes() for e, b in zip(ends, bags, strict=True)]
+            blobs = [x[e - b : e][drawn(int(b), most, i)].astype(np.float16).tobytes() for e, b, i in zip(ends, bags, batch.column(0).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(blobs, pa.binary())], names=["doc_id", "label", "passages"])
 
     found = sorted(rows.select("doc_id", "text", "label").transform(map_batches, run, "doc_id long, label long, passages binary").collect())
