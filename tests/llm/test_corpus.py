@@ -1032,17 +1032,32 @@ def test_pipeline_against_brute_force(spark, texts):
     # no kept text holds an item, and every text, redacted or not, comes back whole
     fold = qgram_decontam.folded
     assert not any(fold(x).strip() in fold(texts[i]) for i in kept for _, x in items)
-    redacted = 0
     for i in kept:
-        text, out, done = texts[i], [], 0
-        for a, b in sorted(tuple(map(int, x.split(":")[1:])) for x in filter(None, _all_spans(text).split(","))):
-            if a >= done:
-                out += [text[done:a], "[SECRET]"]
-            done = max(done, b)
-        out.append(text[done:])
-        redacted += len(out) > 1
-        assert got[i].decoded_sha256 == hashlib.sha256("".join(out).encode()).hexdigest()
-    assert redacted
+        assert got[i].decoded_sha256 == hashlib.sha256(_redacted(texts[i]).encode()).hexdigest()
+
+
+def _redacted(text):
+    out, done = [], 0
+    for a, b in sorted(tuple(map(int, x.split(":")[1:])) for x in filter(None, _all_spans(text).split(","))):
+        if a >= done:
+            out += [text[done:a], "[SECRET]"]
+        done = max(done, b)
+    return "".join([*out, text[done:]])
+
+
+def test_stages_redact_every_window(spark, texts):
+    """The secrets and tokens stages over texts with secrets, against every window of them."""
+    rng = random.Random(13)
+    secret = lambda: rng.choice(["token=abcdefgh1 ", "AKIA" + "Z9" * 8 + " ", "k9X2mQ7vL4tB8nR3wZ6yJ1 ", "deadbeef" * 4 + " password: hunter22x", "0123456789abcdef " * 2])
+    rows = []
+    for i in sorted(texts)[:60]:
+        at = rng.randint(0, len(texts[i]))
+        rows.append((i, texts[i][:at] + " " + secret() + texts[i][at:], "en", "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clean = corpus_pipeline.secrets(spark, docs, SMALL)
+    want = {r[0]: _redacted(r[1]) for r in rows}
+    assert {r.doc_id: (r.text, r.n_chars) for r in clean.collect()} == {i: (t, len(t)) for i, t in want.items()} and sum("[SECRET]" in t for t in want.values()) > 40
+    assert {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.tokens(spark, clean, SMALL).collect()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
 
 
 def test_stages_keep_the_columns(spark, hard):
