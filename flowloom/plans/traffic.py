@@ -13,7 +13,7 @@ from flowloom.operators import capture, groups, icmp, latency, maintenance, name
 from flowloom.plans.registry import query
 from flowloom.plans.sql import GAP, KEY, KEYED, SESSIONS, with_packets
 from flowloom.session import shared_folder
-from flowloom.sources import pcap, text
+from flowloom.sources import headers, pcap, text
 from flowloom.sources.packets import PACKET, read_packets
 from flowloom.streaming import health, kept
 from flowloom.streaming import traffic as streaming
@@ -607,11 +607,12 @@ def appended_documents(spark, sf_dir):
 _CAPTURED = with_packets() + "SELECT us, ip1, port1, ip2, port2, vlan_id, CAST(greatest(bytes, CASE WHEN vlan_id > 0 THEN 4 ELSE 0 END + CASE WHEN ip_proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, CASE WHEN ip_proto = 6 THEN flags END AS flags, ip_proto FROM packets"
 
 
-def _captures(spark, sf_dir):
+def _captures(spark, sf_dir, packets=None):
     """Packets in capture files, in order of time in each: the folder, and a table of the files."""
+    packets = read_packets(spark, sf_dir) if packets is None else packets
     folder = _folder(spark)
     folder = folder if "://" in folder else f"file://{folder}"
-    written = pcap.write_pcap(read_packets(spark, sf_dir).repartition("event_id").sortWithinPartitions("us"), folder).select("file").collect()  # a row a file
+    written = pcap.write_pcap(packets.repartition("event_id").sortWithinPartitions("us"), folder).select("file").collect()  # a row a file
     pcap.register(spark)
     return folder, spark.createDataFrame(written, "file string")
 
@@ -632,3 +633,27 @@ def growing_captures(spark, sf_dir):
         stream = spark.readStream.format("pcap").option("chunk", 100_000).load(live)
         rows = streaming.run_available(pcap.ipv4_headers(stream), work, "append", "captures")
     return rows.drop("_batch")
+
+
+#: What packets of this query carry besides, by event_id.
+_DEEP = {
+    "smac": "2199023255552 + ip1", "dmac": "2199023255552 + ip2", "qinq": "CASE WHEN vlan_id > 0 AND event_id % 5 < 2 THEN 1 + event_id % 4000 END", "tos": "event_id % 256",
+    "seq": "(event_id * 2654435761) % 4294967296", "ack": "(event_id * 40503) % 4294967296", "icmp_type": "CASE WHEN event_id % 8 = 0 THEN 8 ELSE 3 END", "icmp_code": "event_id % 16",
+    "tunnel": "CASE event_id % 6 WHEN 1 THEN 'gre' WHEN 2 THEN 'ipip' END", "outer1": "3232235521 + event_id % 200", "outer2": "3232236000 + event_id % 3",
+}
+_DEEP_PROTO = "CASE WHEN event_id % 4 = 0 THEN 1 ELSE ip_proto END"
+
+
+@query(
+    "PROJ-20_deep_headers",
+    with_packets(f"deep AS (SELECT us, ip1, port1, ip2, port2, flags, vlan_id, {', '.join(f'{v} AS {k}' for k, v in _DEEP.items())}, {_DEEP_PROTO} AS proto FROM packets)") + """SELECT us, dmac, smac, 2048 AS eth_type, CASE WHEN vlan_id > 0 THEN vlan_id END AS vlan_id, qinq AS qinq_vlan_id, 4 AS ip_version, CASE tunnel WHEN 'gre' THEN 47 WHEN 'ipip' THEN 4 ELSE proto END AS l3_proto, tos AS ip_tos,
+  CASE WHEN tunnel IS NULL THEN ip1 ELSE outer1 END AS ip_src, CASE WHEN tunnel IS NULL THEN ip2 ELSE outer2 END AS ip_dst, CASE WHEN tunnel IS NULL AND proto <> 1 THEN port1 END AS l4_src_port, CASE WHEN tunnel IS NULL AND proto <> 1 THEN port2 END AS l4_dst_port,
+  CASE WHEN tunnel IS NULL AND proto = 1 THEN icmp_type END AS icmp_type, CASE WHEN tunnel IS NULL AND proto = 1 THEN icmp_code END AS icmp_code, CASE WHEN tunnel IS NULL AND proto = 6 THEN flags END AS tcp_flags, CASE WHEN tunnel IS NULL AND proto = 6 THEN seq END AS tcp_seq, CASE WHEN tunnel IS NULL AND proto = 6 THEN ack END AS tcp_ack,
+  tunnel, CASE WHEN tunnel IS NOT NULL THEN proto END AS tunneled_proto, CASE WHEN tunnel IS NOT NULL THEN ip1 END AS tunneled_ip_src, CASE WHEN tunnel IS NOT NULL THEN ip2 END AS tunneled_ip_dst, CASE WHEN tunnel IS NOT NULL AND proto <> 1 THEN port1 END AS tunneled_src_port, CASE WHEN tunnel IS NOT NULL AND proto <> 1 THEN port2 END AS tunneled_dst_port FROM deep""",
+)
+def deep_headers(spark, sf_dir):
+    """Packets with stacked tags, tunnels and all fields, out of capture files."""
+    packets = read_packets(spark, sf_dir)
+    packets = packets.withColumns({k: F.expr(v) for k, v in _DEEP.items()}).withColumn("ip_proto", F.expr(_DEEP_PROTO))
+    rows = spark.read.format("pcap").option("chunk", 100_000).load(_captures(spark, sf_dir, packets)[0])
+    return headers.deep_headers(rows).select("us", *[c for c in headers.FIELDS if not c.startswith("ip6")])

@@ -230,13 +230,33 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(PcapSource)
 
 
+#: Optional fields of packets to be written: hardware addresses, a second VLAN tag inside the first, type of service, sequence and acknowledged number, ICMP type and code, and a tunnel ("gre" or "ipip") with its ends.
+EXTRA = ["smac", "dmac", "qinq", "tos", "seq", "ack", "icmp_type", "icmp_code", "tunnel", "outer1", "outer2"]
+
+
+def _ipv4(proto: int, tos: int, ip1: int, ip2: int, body: bytes) -> bytes:
+    return struct.pack(">BBHHHBBHII", 0x45, tos, 20 + len(body), 0, 0, 64, proto, 0, ip1, ip2) + body
+
+
 def pcap_record(packet: dict) -> bytes:
-    """A packet as Ethernet with IPv4 and TCP or UDP, behind its pcap header; all bytes beyond the headers are cut off."""
-    tag = struct.pack(">HH", 0x8100, packet["vlan_id"]) if packet["vlan_id"] else b""
+    """A packet as Ethernet with IPv4 and TCP, UDP or ICMP, behind its pcap header; all bytes beyond the headers are cut off."""
+    of = lambda name, other=0: other if packet.get(name) is None else packet[name]
+    tag = struct.pack(">HH", 0x88A8 if of("qinq") else 0x8100, packet["vlan_id"]) if packet["vlan_id"] else b""
+    tag += struct.pack(">HH", 0x8100, of("qinq")) if of("qinq") else b""
     proto = packet["ip_proto"]
-    body = struct.pack(">HHIIBBHHH", packet["port1"], packet["port2"], 0, 0, 0x50, packet["flags"], 0, 0, 0) if proto == 6 else struct.pack(">HHHH", packet["port1"], packet["port2"], 8, 0)
-    ip = struct.pack(">BBHHHBBHII", 0x45, 0, 20 + len(body), 0, 0, 64, proto, 0, packet["ip1"], packet["ip2"])
-    frame = b"\x02" * 12 + tag + b"\x08\x00" + ip + body
+    if proto == 6:
+        body = struct.pack(">HHIIBBHHH", packet["port1"], packet["port2"], of("seq"), of("ack"), 0x50, packet["flags"], 0, 0, 0)
+    elif proto == 1:
+        body = struct.pack(">BBHI", of("icmp_type"), of("icmp_code"), 0, 0)
+    else:
+        body = struct.pack(">HHHH", packet["port1"], packet["port2"], 8, 0)
+    inner = _ipv4(proto, of("tos"), packet["ip1"], packet["ip2"], body)
+    if of("tunnel", None) == "gre":
+        inner = _ipv4(47, of("tos"), of("outer1"), of("outer2"), struct.pack(">HHI", 0x2000, 0x0800, 7) + inner)  # with a key
+    elif of("tunnel", None) == "ipip":
+        inner = _ipv4(4, of("tos"), of("outer1"), of("outer2"), inner)
+    mac = lambda name: of(name, 0x020202020202).to_bytes(6, "big")
+    frame = mac("dmac") + mac("smac") + tag + b"\x08\x00" + inner
     return struct.pack("<IIII", packet["us"] // 1_000_000, packet["us"] % 1_000_000, len(frame), max(len(frame), packet["bytes"])) + frame
 
 
@@ -275,7 +295,7 @@ def grown(source: DataFrame, folder: str, share: float) -> DataFrame:
 
 def write_pcap(packets: DataFrame, folder: str) -> DataFrame:
     """A file a partition below a folder (with a scheme) that driver and executors share: the files' paths and packets, once they are written. An attempt writes under a name of its own, and the file gets its name when it is whole."""
-    names = ["us", "ip1", "port1", "ip2", "port2", "vlan_id", "bytes", "flags", "ip_proto"]
+    names = ["us", "ip1", "port1", "ip2", "port2", "vlan_id", "bytes", "flags", "ip_proto", *(c for c in EXTRA if c in packets.columns)]
 
     def run(batches):
         from pyspark import TaskContext

@@ -8,6 +8,7 @@ import struct
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from flowloom.config import TrafficConfig
 from flowloom.sources import pcap, text
@@ -178,3 +179,40 @@ def test_tails_of_large_files(tmp_path, monkeypatch):
     for size in (5000, 5001, 5050, 12_345, len(data) - 3, len(data)):
         (tmp_path / "a.pcap").write_bytes(data[:size])
         assert pcap.whole_packets(f"file://{tmp_path}", str(tmp_path / "a.pcap"), size) == max(e for e in ends if e <= size)
+
+
+def test_deep_headers(spark):
+    """Tags of any depth, IPv6, fragments, tunnels, and packets cut anywhere."""
+    from flowloom.sources.headers import deep_headers
+
+    eth = bytes.fromhex("0200000000aa0200000000bb")
+    tcp = struct.pack(">HHIIBB", 1234, 80, 4_000_000_000, 7, 0x50, 0x12) + bytes(6)
+    v4 = lambda proto, body, frag=0, options=b"": struct.pack(">BBHHHBBHII", 0x45 + len(options) // 4, 0x2E, 20 + len(options) + len(body), 0, frag, 64, proto, 0, 0x0A000001, 0xC0000201) + options + body
+    v6 = struct.pack(">IHBB", 6 << 28 | 0x2E << 20, len(tcp), 6, 64) + bytes(range(16)) + bytes(range(16, 32)) + tcp
+    frames = {
+        "plain": eth + b"\x08\x00" + v4(6, tcp, options=bytes(8)),
+        "three": eth + struct.pack(">HHHHHH", 0x9100, 5, 0x88A8, 0xE006, 0x8100, 7) + b"\x08\x00" + v4(6, tcp),
+        "six": eth + struct.pack(">HH", 0x8100, 9) + b"\x86\xdd" + v6,
+        "fragment": eth + b"\x08\x00" + v4(6, tcp, frag=100),
+        "icmp": eth + b"\x08\x00" + v4(1, b"\x03\x0d" + bytes(6)),
+        "gre": eth + b"\x08\x00" + v4(47, struct.pack(">HHIII", 0xB000, 0x0800, 0, 1, 2) + v4(17, struct.pack(">HHHH", 53, 9999, 8, 0))),
+        "ipip": eth + b"\x08\x00" + v4(4, v4(6, tcp)),
+        "arp": eth + b"\x08\x06" + bytes(28),
+    }
+    cut = {f"cut{n}": frames["gre"][:n] for n in range(0, len(frames["gre"]), 3)}
+    rows = [(name, b) for name, b in {**frames, **cut}.items()]
+    df = spark.createDataFrame(rows, "file string, payload binary").withColumn("problem", F.lit(None).cast("string"))
+    got = {r.file: r for r in deep_headers(df).collect()}
+    assert len(got) == len(rows)
+    pick = lambda name, *fields: tuple(got[name][f] for f in fields)
+    assert pick("plain", "dmac", "smac", "eth_type", "vlan_id", "ip_version", "l3_proto", "ip_tos", "ip_src", "ip_dst", "l4_src_port", "l4_dst_port", "tcp_seq", "tcp_ack", "tcp_flags") == (0x0200000000AA, 0x0200000000BB, 0x0800, None, 4, 6, 0x2E, 0x0A000001, 0xC0000201, 1234, 80, 4_000_000_000, 7, 0x12)
+    assert pick("three", "vlan_id", "qinq_vlan_id", "eth_type", "l4_dst_port") == (5, 6, 0x0800, 80)
+    assert pick("six", "vlan_id", "ip_version", "ip_tos", "ip6_src", "ip6_dst", "ip_src", "l4_src_port", "tcp_seq") == (9, 6, 0x2E, bytes(range(16)).hex(), bytes(range(16, 32)).hex(), None, 1234, 4_000_000_000)
+    assert pick("fragment", "l3_proto", "l4_src_port", "tcp_seq") == (6, None, None)
+    assert pick("icmp", "icmp_type", "icmp_code", "l4_src_port") == (3, 13, None)
+    assert pick("gre", "tunnel", "tunneled_proto", "tunneled_ip_src", "tunneled_src_port", "tunneled_dst_port", "l4_src_port") == ("gre", 17, 0x0A000001, 53, 9999, None)
+    assert pick("ipip", "tunnel", "tunneled_proto", "tunneled_ip_dst", "tunneled_dst_port") == ("ipip", 6, 0xC0000201, 80)
+    assert pick("arp", "eth_type", "ip_version", "l3_proto", "tunnel") == (0x0806, None, None, None)
+    for name, b in cut.items():
+        assert all(v is None or v == got["gre"][f] for f, v in got[name].asDict().items() if f != "file"), name
+        assert (got[name].smac is not None) == (len(b) >= 12)
