@@ -569,6 +569,25 @@ def late_packets(spark, sf_dir):
     return table.read().withColumn("late_in", F.lit(-1).cast("long")).unionByName(table.read_late().withColumnRenamed("batch", "late_in"))
 
 
+@query("STR-19_changing_targets", with_packets(KEYED, _ARRIVED) + """SELECT event_id, CASE WHEN ip1 = 134744072 OR (ip1 = 134744073 AND batch > 1) THEN 'c' || ip1 ELSE 'c' || ip2 END AS c_id, ip1 = 134744072 OR (ip1 = 134744073 AND batch > 1) AS reply
+FROM arrived WHERE ip1 = 134744072 OR ip2 = 134744072 OR (batch > 1 AND (ip1 = 134744073 OR ip2 = 134744073))""")
+def changing_targets(spark, sf_dir):
+    """A target that is added after the second batch counts from the third on."""
+    ips, work = [134744072, 134744073], _folder(spark)
+    targets = spark.createDataFrame([(f"c{ip}", ip, None, i) for i, ip in enumerate(ips)], "c_id string, ip long, prev_ip long, ord int")
+    table = kept.VersionedTable(spark, f"{_folder(spark)}/targets")
+    table.publish(targets.where(F.col("ip") == ips[0]))
+    keep = kept.each_batch(table, lambda batch, now: latency.to_targets(batch, now).select("event_id", "c_id", "reply"), work)
+
+    def run(batch, number):
+        keep(batch, number)
+        if number == 1:
+            table.publish(targets)
+
+    streaming.run_batches(_landed(spark, sf_dir, ending=False), run, f"{_folder(spark)}/state")
+    return spark.read.parquet(work).drop("b")
+
+
 @query("SRC-13_restarted_sessions", SESSIONS + _INFO.format(where=""))
 def restarted_sessions(spark, sf_dir):
     """The sessions of the first half as stored; then a new start from those that may go on, and the second half."""

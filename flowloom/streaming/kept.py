@@ -162,3 +162,30 @@ def bin_table(spark: SparkSession, folder: str, window: int, bins: int = 90, lat
         return parts.groupBy(*KEY, "tbm", "off").agg(F.sum("b1").alias("b1"), F.sum("b2").alias("b2"))
 
     return KeptTable(spark, folder, partial, merged, lambda newest: (F.col("tbm") + window + lateness) * 1_000_000 < newest, lateness, apart)
+
+
+class VersionedTable:
+    """A small table whose whole rows are published again and again below a folder; readers take the version that stands when they ask, as a stream does in each micro-batch."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.log = BatchLog(spark, folder)
+
+    def publish(self, rows: DataFrame) -> int:
+        """The number of the new version. A version that isn't whole is none."""
+        last = self.log.before()
+        number = last.number + 1 if last else 0
+        self.log.write(number, CLOSED, rows)
+        self.log.end(number, number)
+        return number
+
+    def current(self) -> DataFrame:
+        return self.log.spark.read.parquet(self.log.rows(self.log.before().number, CLOSED))
+
+
+def each_batch(table: VersionedTable, work: Callable[[DataFrame, DataFrame], DataFrame], folder: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: work(batch, the table as it stands now), written below a folder by batch; a batch given again replaces itself."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        work(batch, table.current()).write.mode("overwrite").parquet(f"{folder}/b={number}")
+
+    return run

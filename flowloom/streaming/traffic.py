@@ -26,9 +26,20 @@ def timed(packets: DataFrame, lateness: str = "30 seconds") -> DataFrame:
     return packets.withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", lateness)
 
 
-def stream_sessions(packets: DataFrame, gap: int = 120, lateness: str = "30 seconds", lrs_min_duration: int = 300) -> DataFrame:
-    """Session summaries; a session is final once the watermark is past its gap."""
-    keyed = with_session_key(timed(packets, lateness))
+def kept_awake(packets: DataFrame, lateness: str = "30 seconds", beats: DataFrame | None = None) -> DataFrame:
+    """As timed(), for a live stream that may fall silent: beats (a stream with `timestamp`, of the machine's clock if none is given) move the watermark on, so that what is open is closed in its time though no packet comes. Packets' times must be of the same clock."""
+    spark = packets.sparkSession
+    if beats is None:
+        beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in packets.schema]
+    both = packets.withColumn("ts", F.timestamp_micros("us")).withColumn("_beat", F.lit(False)).unionByName(beats.select(*empty, F.col("timestamp").alias("ts"), F.lit(True).alias("_beat")))
+    # the condition holds the time, so that it stays behind the watermark
+    return both.withWatermark("ts", lateness).where(F.when(~F.col("_beat"), F.col("ts")).isNotNull()).drop("_beat")
+
+
+def stream_sessions(packets: DataFrame, gap: int = 120, lateness: str = "30 seconds", lrs_min_duration: int = 300, awake: bool = False) -> DataFrame:
+    """Session summaries; a session is final once the watermark is past its gap. awake: also if no packet comes any more."""
+    keyed = with_session_key(kept_awake(packets, lateness) if awake else timed(packets, lateness))
     return oriented(keyed.groupBy(*KEY, F.session_window("ts", f"{gap} seconds")).agg(*session_aggregates()), lrs_min_duration)
 
 

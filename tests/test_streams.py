@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +182,32 @@ def test_a_stream_of_growing_captures(spark, tmp_path):
     assert rows.where("problem is not null").isEmpty()
     for name in ("a", "b"):
         assert sorted(r.us for r in rows.where(F.col("file").endswith(f"{name}.pcap")).collect()) == [p["us"] for p in packets]
+
+
+def test_a_silent_stream_closes_its_sessions(spark, tmp_path):
+    """Packets of now, then none: with beats of the clock the session goes out, without them it stays open."""
+    now = int(time.time() * 1_000_000)
+    row = (1, now, now // 1_000_000, 10, 40000, 20, 80, 0, 100, 2, 6)
+    spark.createDataFrame([row], PACKET).write.parquet(str(tmp_path / "in"))
+    found = {}
+    for awake in (True, False):
+        out = str(tmp_path / f"out{awake}")
+        stream = traffic.stream_sessions(traffic.read_stream(spark, str(tmp_path / "in"), PACKET), 2, "1 seconds", 60, awake=awake)
+        query = stream.writeStream.foreachBatch(lambda batch, n, out=out: batch.write.mode("overwrite").parquet(f"{out}/b={n}")).option("checkpointLocation", f"{out}-state").trigger(processingTime="1 seconds").start()
+        until = time.monotonic() + (60 if awake else 12)
+        rows = []
+        while time.monotonic() < until and not rows:
+            time.sleep(1)
+            if (tmp_path / f"out{awake}").exists() and query.recentProgress:
+                rows = spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(out).collect()
+        query.stop()
+        found[awake] = [(r.ip1, r.p1, r.bt, r.pk) for r in rows]
+    assert found == {True: [(10, 40000, 100, 1)], False: []}
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    table = kept.VersionedTable(spark, str(tmp_path / "t"))
+    for n in range(3):
+        assert table.publish(spark.range(n + 1)) == n and kept.VersionedTable(spark, str(tmp_path / "t")).current().count() == n + 1
+    table.log.write(3, kept.CLOSED, spark.range(99))  # not published yet
+    assert table.current().count() == 3 and table.publish(spark.range(7)) == 3 and table.current().count() == 7
