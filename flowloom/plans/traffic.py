@@ -446,16 +446,18 @@ _END = 2886729728
 
 
 def _landed(spark, sf_dir, ending=True):
-    """Packets in files by time of arrival, one a batch, as a stream."""
-    path, packets = f"{_folder(spark)}/packets", read_packets(spark, sf_dir)
+    """Packets in files by time of arrival, as a stream: as many files a batch as tasks read the table, all of a batch written together."""
+    folder, packets = _folder(spark), read_packets(spark, sf_dir)
+    path, staged, files = f"{folder}/packets", f"{folder}/staged", max(2, packets.rdd.getNumPartitions())
     arrival = F.col("us") + F.when(F.col("event_id") % 7 == 0, _LATE * 1_000_000).otherwise(0)
     first, last = packets.agg(F.min("us"), F.max("us")).first()
+    packets.withColumn("_arrives", _slice(arrival, first, last)).write.partitionBy("_arrives").parquet(staged)  # one scan for all batches
     for i in range(_FILES):
-        packets.where(_slice(arrival, first, last) == i).coalesce(1).write.mode("append").parquet(path)
+        spark.read.schema(PACKET + ", _arrives bigint").parquet(staged).where(F.col("_arrives") == i).drop("_arrives").repartition(files).write.mode("append").parquet(path)
     if ending:
         late = packets.limit(1).withColumns({"us": F.lit(last + 86_400_000_000), "sec": F.lit((last + 86_400_000_000) // 1_000_000), "ip1": F.lit(_END).cast("long"), "event_id": F.lit(-1).cast("long")})
         late.coalesce(1).write.mode("append").parquet(path)
-    return streaming.read_stream(spark, path, PACKET)
+    return streaming.read_stream(spark, path, PACKET, files)
 
 
 def _slice(arrival, first, last):
