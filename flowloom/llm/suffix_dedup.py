@@ -58,11 +58,21 @@ class Bytes:
         n = len(joined) - GRAM + 1
         self.grams = np.empty(0, np.uint64)
         if n > 0:
-            eights = mix(np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,)).astype(np.uint64))
-            total = np.zeros(n, np.uint64)
+            # in place: fresh arrays of this size cost more than the arithmetic
+            eights = np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,)) * _weights[10]
+            rest = eights >> np.uint64(32)
+            eights ^= rest
+            total, product = np.zeros(n, np.uint64), rest[:n]
             for j in range(GRAM // 8):
-                total += eights[8 * j : 8 * j + n] * _weights[j]
-            self.grams = mix(total)
+                np.multiply(eights[8 * j : 8 * j + n], _weights[j], out=product)
+                total += product
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                np.right_shift(total, np.uint64(shift), out=product)
+                total ^= product
+                total *= np.uint64(factor)
+            np.right_shift(total, np.uint64(31), out=product)
+            total ^= product
+            self.grams = total
 
     def windows(self, at: np.ndarray) -> np.ndarray:
         """Hashes of the LENGTH bytes from each place."""
@@ -90,12 +100,12 @@ class Bytes:
 
 
 def _sliding(x: np.ndarray, w: int, f) -> np.ndarray:
-    """f over every w values in a row."""
-    n = len(x)
-    blocks = np.concatenate([x, np.repeat(x[-1:], -n % w)]).reshape(-1, w)
-    forward = f.accumulate(blocks, axis=1).ravel()
-    back = f.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return f(back[: n - w + 1], forward[w - 1 : n])
+    """f (a minimum or maximum) over every w values in a row, by runs of twice the length each time."""
+    size = 1
+    while 2 * size <= w:
+        x = f(x[:-size], x[size:])
+        size *= 2
+    return f(x[: len(x) - (w - size)], x[w - size :]) if w > size else x
 
 
 def _found(doc, pos, end, hashes, kind) -> np.ndarray:
