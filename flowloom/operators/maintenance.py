@@ -27,6 +27,15 @@ def dataset_stats(datasets: dict[str, tuple[DataFrame, Column, Column]]) -> Data
     return reduce(DataFrame.unionByName, rows)
 
 
+def stored_sizes(datasets: dict[str, DataFrame]) -> DataFrame:
+    """name, files, bytes and mean bytes a row of stored datasets (as read from files), by the sizes of their files; a file of no rows isn't seen."""
+    rows = []
+    for name, df in datasets.items():
+        files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))
+        rows.append(files.agg(F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).select(F.lit(name).alias("name"), "files", "bytes", F.round(F.col("bytes") / F.nullif("rows", F.lit(0)), 3).alias("mean_size")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def report(stats: DataFrame, sort_by: str = "n") -> DataFrame:
     """Sorted downwards, with each dataset's share of all rows."""
     total = stats.agg(F.sum("n").alias("_total"))

@@ -175,6 +175,14 @@ def capture_bytes(spark, sf_dir):
     return capture.capture_bytes(read_packets(spark, sf_dir))
 
 
+@query("AGG-7_capture_documents", with_packets() + """SELECT ip_proto, sb, max(sec) AS se, CAST(sum(b) AS BIGINT) AS total, CAST(sum(pk) AS BIGINT) AS pk, string_agg((sec - sb) || ':' || b, ',' ORDER BY sec) AS seconds
+FROM (SELECT ip_proto, sec, sec // 10 * 10 AS sb, CAST(sum(bytes) AS BIGINT) AS b, count(*) AS pk FROM packets GROUP BY ALL) GROUP BY ip_proto, sb""")
+def capture_documents(spark, sf_dir):
+    """Documents of ten seconds with what each active second has."""
+    docs = capture.capture_documents(read_packets(spark, sf_dir))
+    return docs.select("ip_proto", "sb", "se", "total", "pk", F.array_join(F.transform("b", lambda x: F.concat_ws(":", x["offset"], x["b"])), ",").alias("seconds"))
+
+
 @query("AGG-8_capture_info", with_packets() + "SELECT ip_proto, min(us) AS tb, max(us) AS te, CAST(sum(bytes) AS BIGINT) AS bt, count(*) AS pk FROM packets GROUP BY ip_proto")
 def capture_info(spark, sf_dir):
     return capture.capture_info(read_packets(spark, sf_dir))

@@ -215,6 +215,20 @@ def test_owners_of_the_widest_range(spark, monkeypatch):
     assert {tuple(r) for r in scalars.owners(spark, "").collect()} == {(1, 3356, "Carrier"), (2, 15169, "Search"), (3, 64512, "Lab"), (4, None, None)}
 
 
+def test_sizes_of_stored_files(spark, tmp_path):
+    from flowloom.operators import maintenance
+
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "a"))
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "b"))
+    read = {name: spark.read.parquet(str(tmp_path / name)) for name in "ab"}
+    got = {r.name: r for r in maintenance.stored_sizes(read | {"none": read["a"].where("id < 0")}).collect()}
+    for name, rows in (("a", 1000), ("b", 5)):
+        files = list((tmp_path / name).glob("*.parquet"))
+        total = sum(f.stat().st_size for f in files)
+        assert (got[name].files, got[name].bytes, got[name].mean_size) == (len(files), total, round(total / rows, 3))
+    assert (got["none"].files, got["none"].bytes, got["none"].mean_size) == (0, 0, None)
+
+
 def test_entry_and_names():
     import __spark_entry__ as e
 
