@@ -8,9 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowloom.config import TrafficConfig
-from flowloom.functions import times
+from flowloom.functions import net, times
 from flowloom.operators import capture, groups, icmp, latency, maintenance, names, rollup, sessions
 from flowloom.plans.registry import query
+from flowloom.plans.scalars import stamp
 from flowloom.plans.sql import GAP, KEY, KEYED, SESSIONS, with_packets
 from flowloom.session import shared_folder
 from flowloom.sources import headers, pcap, text
@@ -296,6 +297,24 @@ def round_trips(spark, sf_dir):
     return _requests(spark, sf_dir)
 
 
+_PROBED = """sent AS (SELECT ip1, ip2, 1024 + event_id % 60000 AS client_port, us, 0 AS reply FROM packets UNION ALL SELECT ip1, ip2, 1024 + event_id % 60000, us + event_id % 5 * 2000000, 1 FROM packets WHERE event_id % 3 < 2),
+answered AS (SELECT *, lead(reply) OVER w AS r, lead(us) OVER w AS u FROM sent WINDOW w AS (PARTITION BY ip1, ip2, client_port ORDER BY us, reply))"""
+
+
+@query("PROJ-8_application_probes", with_packets(_PROBED) + "SELECT * FROM (SELECT ip1, ip2, client_port, us, CASE WHEN r = 1 AND u - us <= 5000000 THEN u - us END AS rtt FROM answered WHERE reply = 0) WHERE rtt IS NULL OR rtt > 0")
+def application_probes(spark, sf_dir):
+    """Lines of SYN and FIN-ACK: a probe is over when the server closes, which the client's port tells."""
+    p = read_packets(spark, sf_dir).withColumn("client_port", F.expr("1024 + event_id % 60000"))
+    ends = [F.concat(net.long_to_ip(F.col(ip)), F.lit("."), F.expr(port)) for ip, port in (("ip1", "client_port"), ("ip2", "443"))]
+    line = lambda us, a, b, flags: F.concat(stamp(us), F.lit(" IP "), a, F.lit(" > "), b, F.lit(f": Flags {flags}")).alias("value")
+    sent = p.select(line("us", *ends, "[S], seq 17, win 14600"))
+    closed = p.where("event_id % 3 < 2").withColumn("us", F.expr("us + event_id % 5 * 2000000")).select(line("us", *ends[::-1], "[F.], seq 4, ack 9, win 5792"))
+    rows = text.parse_tcp_latency(sent.union(closed)).withColumn("event_id", F.col("reply").cast("int"))
+    pick = lambda a, b: F.when(F.col("reply"), F.col(a)).otherwise(F.col(b))
+    rows = rows.select(pick("ip2", "ip1").alias("ip1"), pick("ip1", "ip2").alias("ip2"), "client_port", "us", "event_id", "reply")
+    return latency.matched(rows, 5, ["ip1", "ip2", "client_port"]).select("ip1", "ip2", "client_port", "us", "rtt")
+
+
 @query("WIN-6_last_request", with_packets(_MATCHED) + "SELECT c_id, count(*) AS requests, count(rtt) AS answered FROM requests GROUP BY c_id")
 def last_request(spark, sf_dir):
     return _requests(spark, sf_dir).groupBy("c_id").agg(F.count("*").alias("requests"), F.count("rtt").alias("answered"))
