@@ -69,6 +69,13 @@ def replace_windows(df: DataFrame, path: str, partition: str = "tbm") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def store_by_day(df: DataFrame, path: str, end: str, kind: str, keys: list[str]) -> None:
+    """Append rows in folders by day (of the seconds in `end`, counted from 1970) and kind, in files sorted by key. Tasks take ranges of (day, kind, key), so a large day has several files, each with keys of its own, and readers skip folders by day and kind, and files and row groups by key."""
+    placed = df.withColumn("day", F.floor(F.col(end) / 86400).cast("int"))
+    order = ["day", kind, *keys]
+    placed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("append").partitionBy("day", kind).parquet(path)
+
+
 def rates(rows: DataFrame, time: str, counter: str) -> DataFrame:
     """Growth of a running counter since the row before, in time order, by source."""
     from pyspark.sql import Window

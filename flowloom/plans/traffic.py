@@ -466,6 +466,14 @@ def replayed(spark, sf_dir):
     return spark.read.schema(bins.schema).parquet(path)
 
 
+@query("SNK-11_sessions_by_day", SESSIONS + f"SELECT ip1, p1, ip2, p2, tb, tem, bt FROM ({_INFO.format(where='')}) WHERE ip_proto = 6 AND tem // 86400 = 19723 AND ip1 BETWEEN 167772160 AND 167772163")
+def sessions_by_day(spark, sf_dir):
+    """Sessions stored by day and protocol in order of addresses, and those of one day, protocol and range of addresses read back."""
+    path = f"{_folder(spark)}/sessions"
+    maintenance.store_by_day(sessions.session_info(read_packets(spark, sf_dir), GAP, 60), path, "tem", "ip_proto", ["ip1", "p1", "ip2", "p2"])
+    return spark.read.parquet(path).where("day = 19723 and ip_proto = 6 and ip1 between 167772160 and 167772163").select("ip1", "p1", "ip2", "p2", "tb", "tem", "bt")
+
+
 #: Files that land one after another, seconds by which every 7th packet comes late, and how long streams wait.
 _FILES, _LATE, _PATIENCE = 5, 600, "660 seconds"
 #: Packets of a key of its own, which come last, a day after all others: the watermark passes every packet.

@@ -215,6 +215,22 @@ def test_owners_of_the_widest_range(spark, monkeypatch):
     assert {tuple(r) for r in scalars.owners(spark, "").collect()} == {(1, 3356, "Carrier"), (2, 15169, "Search"), (3, 64512, "Lab"), (4, None, None)}
 
 
+def test_stored_by_day(spark, tmp_path):
+    """Filters on day and kind leave folders out, one on the key is pushed down, and files of a day hold ranges of their own."""
+    from flowloom.operators import maintenance
+
+    rows = spark.range(4000).selectExpr("id", "cast(id % 2 as int) as kind", "id * 7919 % 4000 as ip", "86400 * (id % 3) + id as tem")
+    maintenance.store_by_day(rows, str(tmp_path / "t"), "tem", "kind", ["ip"])
+    found = spark.read.parquet(str(tmp_path / "t")).where("day = 1 and kind = 0 and ip between 100 and 200")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(ip,100)" in plan
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in rows.where("floor(tem / 86400) = 1 and kind = 0 and ip between 100 and 200").collect())
+    spans = spark.read.parquet(str(tmp_path / "t")).groupBy("day", "kind", F.input_file_name().alias("f")).agg(F.min("ip").alias("a"), F.max("ip").alias("b")).collect()
+    for r in spans:
+        assert not any(x.day == r.day and x.kind == r.kind and x.f != r.f and x.a <= r.b and r.a <= x.b for x in spans)
+    assert {(r.day, r.kind) for r in spans} >= {(d, k) for d in range(3) for k in range(2)}
+
+
 def test_sizes_of_stored_files(spark, tmp_path):
     from flowloom.operators import maintenance
 
