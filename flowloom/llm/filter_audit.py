@@ -73,7 +73,9 @@ def signature(text: Column, settings: FilterAudit) -> Column:
     at = starts(settings)
     cut = (1 << settings.bits) - 1
     hashed = lambda a, b: F.xxhash64(F.substring(text, a + 1, b - a)) if settings.bits == 64 else F.xxhash64(F.substring(text, a + 1, b - a)).bitwiseAND(F.lit(cut))
-    blocks = F.array(*[F.when(F.length(text) > a, hashed(a, b)) for a, b in zip(at, [*at[1:], (1 << 31) - 1], strict=True)])
+    # bytes are at hand, code points must be counted: most texts have no block so far out
+    has = lambda a: (F.octet_length(text) > a) & (F.length(text) > a)
+    blocks = F.array(*[F.when(has(a), hashed(a, b)) for a, b in zip(at, [*at[1:], (1 << 31) - 1], strict=True)])
     return F.filter(blocks, lambda h: h.isNotNull())
 
 
