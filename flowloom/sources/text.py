@@ -40,122 +40,143 @@ def framed(lines: DataFrame, least: int = 5) -> DataFrame:
     return lines.select(F.trim("value").alias("value"), *_others(lines)).where(F.size(F.split("value", r"\s+")) >= least)
 
 
-def _matched(lines: DataFrame, pattern: str, groups: int) -> DataFrame:
-    """Lines that the pattern fits, with its groups as the array g: the pattern runs once a line."""
-    marked = F.regexp_replace("value", pattern + r"[\s\S]*$", _MARK.join(f"${i}" for i in range(1, groups + 1)))
-    whole = lines.where(~F.col("value").contains(_MARK))
-    return whole.select(F.split(marked, _MARK).alias("g"), *_others(lines)).where(F.size("g") == groups)
+def _parsed(lines: DataFrame, cut: Callable[[Column], Column], fits: Callable[[Column], Column], fields: Callable[[Column], list[Column]]) -> DataFrame:
+    """Fields of the parts that lines are cut into; null where parts don't fit. A line is cut and read as the one element of an array, so once: conditions on plain columns are pushed below them, where the line is made, cut and read again for each column that they name."""
+    parts = F.transform(F.array("value"), cut)
+    found = F.transform(parts, lambda x: F.when(fits(x), F.struct(*fields(x))))
+    return lines.select(F.inline_outer(found), *_others(lines))
 
 
-def parse_tcp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
-    """us ip1 port1 ip2 port2 bytes (frame length) vlan_id flags; SYN with ACK is the flag s. Ports beyond 65535 are misread ids of file systems and go."""
-    trimmed = lines.select(F.trim("value").alias("value"), *_others(lines)).where(~F.col("value").contains("ICMP"))
-    rows = _matched(trimmed, TCP_LINE, 8)
-    g = lambda i: F.col("g")[i - 1]
-    return rows.select(
-        micros(g(1)).alias("us"),
-        net.ip_to_long(g(4)).alias("ip1"),
-        g(5).try_cast("int").alias("port1"),
-        net.ip_to_long(g(6)).alias("ip2"),
-        g(7).try_cast("int").alias("port2"),
-        g(2).cast("long").alias("bytes"),
-        _vlan(g(3), ingest_vlan_id).alias("vlan_id"),
-        F.regexp_replace(g(8), r"S\.", "s").alias("flags"),
-        *_others(lines),
-    ).where("port1 <= 65535 and port2 <= 65535 and ip1 is not null and ip2 is not null")
+def _groups(pattern: str, groups: int) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
+    """Cuts a line that the pattern fits into its groups, running the pattern once, and tells whether it did."""
+    kept = _MARK.join(f"${i}" for i in range(1, groups + 1))
+    return lambda v: F.when(~v.contains(_MARK), F.split(F.regexp_replace(v, pattern + r"[\s\S]*$", kept), _MARK)), lambda g: F.size(g) == groups
+
+
+def _tokens(v: Column) -> Column:
+    return F.split(F.trim(v), r"\s+")
 
 
-def _tokens(lines: DataFrame, least: int) -> DataFrame:
-    trimmed = lines.select(F.trim("value").alias("value"), *_others(lines))
-    return trimmed.select(F.split("value", r"\s+").alias("t"), *_others(lines)).where(F.size("t") >= least)
+def _at(t: Column, i: int | Column) -> Column:
+    return F.try_element_at(t, i if isinstance(i, Column) else F.lit(i))
+
+
+def parse_tcp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
+    """us ip1 port1 ip2 port2 bytes (frame length) vlan_id flags; SYN with ACK is the flag s. Ports beyond 65535 are misread ids of file systems and go."""
+    cut, fits = _groups(TCP_LINE, 8)
 
+    def fields(groups: Column) -> list[Column]:
+        g = lambda i: groups[i - 1]
+        return [
+            micros(g(1)).alias("us"),
+            net.ip_to_long(g(4)).alias("ip1"),
+            g(5).try_cast("int").alias("port1"),
+            net.ip_to_long(g(6)).alias("ip2"),
+            g(7).try_cast("int").alias("port2"),
+            g(2).cast("long").alias("bytes"),
+            _vlan(g(3), ingest_vlan_id).alias("vlan_id"),
+            F.regexp_replace(g(8), r"S\.", "s").alias("flags"),
+        ]
 
-def _at(i: int | Column) -> Column:
-    return F.try_element_at("t", i if isinstance(i, Column) else F.lit(i))
+    rows = _parsed(lines, lambda v: F.when(~v.contains("ICMP"), cut(F.trim(v))), fits, fields)
+    return rows.where("port1 <= 65535 and port2 <= 65535 and ip1 is not null and ip2 is not null")
 
 
 def parse_udp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
     """time [vlan] source [port] destination [port] length protocol...; ports are 0 where there are none. IPv6 goes."""
-    rows = _tokens(lines, 5).where(~_at(2).contains(":") & ~F.array_contains("t", "ICMPv6"))
-    tagged = ~_at(2).contains(".")
-    k = F.when(tagged, 1).otherwise(0)
-    ported = ~_at(k + 3).contains(".")
-    address = lambda c: net.ip_to_long(c)
-    length = F.when(ported, k + 6).otherwise(k + 4)
-    return rows.select(
-        micros(_at(1)).alias("us"),
-        address(_at(k + 2)).alias("ip1"),
-        F.when(ported, _at(k + 3)).otherwise("0").try_cast("int").alias("port1"),
-        address(F.when(ported, _at(k + 4)).otherwise(_at(k + 3))).alias("ip2"),
-        F.when(ported, _at(k + 5)).otherwise("0").try_cast("int").alias("port2"),
-        _at(length).try_cast("long").alias("bytes"),
-        _vlan(F.when(tagged, _at(2)), ingest_vlan_id).alias("vlan_id"),
-        F.array_join(F.slice("t", length + 1, F.greatest(F.lit(0), F.size("t") - length)), " ").alias("protocol"),
-        *_others(lines),
-    ).where("us is not null and ip1 is not null and ip2 is not null and port1 <= 65535 and port2 <= 65535 and bytes is not null")
+
+    def fields(t: Column) -> list[Column]:
+        tagged = ~_at(t, 2).contains(".")
+        k = F.when(tagged, 1).otherwise(0)
+        ported = ~_at(t, k + 3).contains(".")
+        length = F.when(ported, k + 6).otherwise(k + 4)
+        return [
+            micros(_at(t, 1)).alias("us"),
+            net.ip_to_long(_at(t, k + 2)).alias("ip1"),
+            F.when(ported, _at(t, k + 3)).otherwise("0").try_cast("int").alias("port1"),
+            net.ip_to_long(F.when(ported, _at(t, k + 4)).otherwise(_at(t, k + 3))).alias("ip2"),
+            F.when(ported, _at(t, k + 5)).otherwise("0").try_cast("int").alias("port2"),
+            _at(t, length).try_cast("long").alias("bytes"),
+            _vlan(F.when(tagged, _at(t, 2)), ingest_vlan_id).alias("vlan_id"),
+            F.array_join(F.slice(t, length + 1, F.greatest(F.lit(0), F.size(t) - length)), " ").alias("protocol"),
+        ]
+
+    rows = _parsed(lines, _tokens, lambda t: (F.size(t) >= 5) & ~_at(t, 2).contains(":") & ~F.array_contains(t, "ICMPv6"), fields)
+    return rows.where("us is not null and ip1 is not null and ip2 is not null and port1 <= 65535 and port2 <= 65535 and bytes is not null")
 
 
 def parse_icmp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
     """time source length destination type code [sequence (hex)] [vlan]; of nested messages the outer one counts. typecode is type.code."""
-    first = lambda c: F.split_part(c, F.lit(","), F.lit(1))
-    rows = _tokens(lines, 6)
-    sequenced = F.exists(F.split(_at(5), ","), lambda x: x.isin(*SEQUENCED))
-    code = first(_at(6))
-    number = F.when(code.startswith("0x"), F.conv(F.substring(code, 3, 8), 16, 10)).otherwise(code)
-    return rows.select(
-        micros(_at(1)).alias("us"),
-        net.ip_to_long(first(_at(2))).alias("ip1"),
-        first(_at(3)).try_cast("long").alias("bytes"),
-        net.ip_to_long(first(_at(4))).alias("ip2"),
-        F.concat_ws(".", first(_at(5)), number).alias("typecode"),
-        F.when(sequenced, first(_at(7))).try_cast("int").alias("seq"),
-        _vlan(F.when(sequenced, _at(9)).otherwise(_at(7)), ingest_vlan_id).alias("vlan_id"),
-        *_others(lines),
-    ).where("us is not null and ip1 is not null and ip2 is not null and bytes is not null")
+    first = lambda c: F.substring_index(c, ",", 1)
+
+    def fields(t: Column) -> list[Column]:
+        sequenced = F.exists(F.split(_at(t, 5), ","), lambda x: x.isin(*SEQUENCED))
+        code = first(_at(t, 6))
+        number = F.when(code.startswith("0x"), F.conv(F.substring(code, 3, 8), 16, 10)).otherwise(code)
+        return [
+            micros(_at(t, 1)).alias("us"),
+            net.ip_to_long(first(_at(t, 2))).alias("ip1"),
+            first(_at(t, 3)).try_cast("long").alias("bytes"),
+            net.ip_to_long(first(_at(t, 4))).alias("ip2"),
+            F.concat_ws(".", first(_at(t, 5)), number).alias("typecode"),
+            F.when(sequenced, first(_at(t, 7))).try_cast("int").alias("seq"),
+            _vlan(F.when(sequenced, _at(t, 9)).otherwise(_at(t, 7)), ingest_vlan_id).alias("vlan_id"),
+        ]
+
+    rows = _parsed(lines, _tokens, lambda t: F.size(t) >= 6, fields)
+    return rows.where("us is not null and ip1 is not null and ip2 is not null and bytes is not null")
 
 
 def parse_other(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
     """time [vlan] source length destination protocol message: there is a VLAN if the second token has neither point nor colon. Messages are cut at 512 characters; protocols of other captures go."""
-    rows = _tokens(lines, 5)
-    tagged = ~_at(2).rlike("[.:]")
-    k = F.when(tagged, 1).otherwise(0)
-    message = F.array_join(F.slice("t", k + 6, F.greatest(F.lit(0), F.size("t") - k - 5)), " ")
-    return rows.select(
-        micros(_at(1)).alias("us"),
-        _at(k + 2).alias("s"),
-        _at(k + 3).try_cast("long").alias("bytes"),
-        _at(k + 4).alias("d"),
-        _at(k + 5).alias("pr"),
-        net.capped_message(message).alias("m"),
-        _vlan(F.when(tagged, _at(2)), ingest_vlan_id).alias("vlan_id"),
-        *_others(lines),
-    ).where(F.col("us").isNotNull() & F.col("bytes").isNotNull() & ~F.col("pr").isin(*LEAKED))
+
+    def fields(t: Column) -> list[Column]:
+        tagged = ~_at(t, 2).rlike("[.:]")
+        k = F.when(tagged, 1).otherwise(0)
+        message = F.array_join(F.slice(t, k + 6, F.greatest(F.lit(0), F.size(t) - k - 5)), " ")
+        return [
+            micros(_at(t, 1)).alias("us"),
+            _at(t, k + 2).alias("s"),
+            _at(t, k + 3).try_cast("long").alias("bytes"),
+            _at(t, k + 4).alias("d"),
+            _at(t, k + 5).alias("pr"),
+            net.capped_message(message).alias("m"),
+            _vlan(F.when(tagged, _at(t, 2)), ingest_vlan_id).alias("vlan_id"),
+        ]
+
+    rows = _parsed(lines, _tokens, lambda t: F.size(t) >= 5, fields)
+    return rows.where(F.col("us").isNotNull() & F.col("bytes").isNotNull() & ~F.col("pr").isin(*LEAKED))
 
 
 def parse_tcp_latency(lines: DataFrame) -> DataFrame:
     """SYN is a request of its sequence number, SYN-ACK the reply to its ack less 1. FIN-ACK has no sequence here: with application probes the client's port is the sequence of both."""
-    rows = _matched(lines, TCP_LATENCY_LINE, 8)
-    g = lambda i: F.col("g")[i - 1]
-    reply = g(6) != "S"
-    return rows.select(
-        micros(g(1)).alias("us"),
-        net.ip_to_long(g(2)).alias("ip1"),
-        g(3).cast("int").alias("port1"),
-        net.ip_to_long(g(4)).alias("ip2"),
-        g(5).cast("int").alias("port2"),
-        g(6).alias("flag"),
-        reply.alias("reply"),
-        F.when(g(6) == "S", g(7).try_cast("long")).when(g(6) == "S.", g(8).try_cast("long") - 1).alias("seq"),
-        F.when(reply, g(5)).otherwise(g(3)).cast("long").alias("client_port"),
-        *_others(lines),
-    )
+
+    def fields(groups: Column) -> list[Column]:
+        g = lambda i: groups[i - 1]
+        reply = g(6) != "S"
+        return [
+            micros(g(1)).alias("us"),
+            net.ip_to_long(g(2)).alias("ip1"),
+            g(3).cast("int").alias("port1"),
+            net.ip_to_long(g(4)).alias("ip2"),
+            g(5).cast("int").alias("port2"),
+            g(6).alias("flag"),
+            reply.alias("reply"),
+            F.when(g(6) == "S", g(7).try_cast("long")).when(g(6) == "S.", g(8).try_cast("long") - 1).alias("seq"),
+            F.when(reply, g(5)).otherwise(g(3)).cast("long").alias("client_port"),
+        ]
+
+    return _parsed(lines, *_groups(TCP_LATENCY_LINE, 8), fields).where("flag is not null")
 
 
 def parse_icmp_latency(lines: DataFrame) -> DataFrame:
     """Echo requests and replies; those of under 64 bytes belong to path tracing and go."""
-    rows = _matched(lines, ICMP_LATENCY_LINE, 7)
-    g = lambda i: F.col("g")[i - 1]
-    return rows.select(micros(g(1)).alias("us"), net.ip_to_long(g(2)).alias("ip1"), net.ip_to_long(g(3)).alias("ip2"), (g(4) == "reply").alias("reply"), g(5).cast("int").alias("id"), g(6).cast("long").alias("seq"), g(7).cast("int").alias("length"), *_others(lines)).where("length >= 64")
+
+    def fields(groups: Column) -> list[Column]:
+        g = lambda i: groups[i - 1]
+        return [micros(g(1)).alias("us"), net.ip_to_long(g(2)).alias("ip1"), net.ip_to_long(g(3)).alias("ip2"), (g(4) == "reply").alias("reply"), g(5).cast("int").alias("id"), g(6).cast("long").alias("seq"), g(7).cast("int").alias("length")]
+
+    return _parsed(lines, *_groups(ICMP_LATENCY_LINE, 7), fields).where("length >= 64")
 
 
 def rejected(lines: DataFrame, parser: Callable[[DataFrame], DataFrame]) -> DataFrame:

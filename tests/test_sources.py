@@ -236,3 +236,13 @@ def test_sizes_of_any_length(spark, tmp_path, base, query):
     found = spark.createDataFrame([(n,) for n in edges], "n long").select("n", human_size(F.col("n"), base).alias("s")).collect()
     tenths = {n: (20 * n + base**4) // (2 * base**4) for n in edges}
     assert {r.n: r.s for r in found} == {n: f"{t // 10}.{t % 10}TB" for n, t in tenths.items()}
+
+
+@pytest.mark.parametrize(("parser", "cut"), [(text.parse_tcp, "regexp_replace(trim("), (text.parse_udp, "split(trim("), (text.parse_icmp, "split(trim("), (text.parse_other, "split(trim("), (text.parse_tcp_latency, "^(\\d+\\.\\d{6}) IP"), (text.parse_icmp_latency, "^(\\d+\\.\\d{6}) IP")])
+def test_lines_are_cut_once(spark, parser, cut):
+    """Conditions on parsed columns stay above the parser: below it, each would make and cut the line again."""
+    lines = spark.range(3).select(F.concat_ws(" ", F.col("id").cast("string"), F.repeat(F.lit("x "), F.col("id").cast("int"))).alias("value"))
+    rows = parser(lines)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(cut) == 1
+    assert rows.collect() == []
