@@ -395,6 +395,24 @@ def test_members_of_classes_are_normalised():
     assert np.allclose(np.add.reduceat(p, [0, 3, 4], axis=1), 1)
 
 
+def test_members_learn_from_every_token():
+    class Seen(nce_language_model.Trainer):
+        def step_below(self, s1, member):
+            met.extend(zip(s1.tolist(), member.tolist(), strict=True))
+            super().step_below(s1, member)
+
+    met = []
+    small = nce_language_model.LanguageModel(words=3, classes=2, modelled=4, size=4, below=3, batch=16)
+    class_, share, even = np.array([0, 0, 0, 1, 1, 1]), np.array([0.5, 0.25, 0.25] * 2), np.full(6, 1 / 6)
+    trainer = Seen(small, nce_language_model.start_weights(small, even, share), even, (class_, share), [1])
+    codes = np.append(np.random.default_rng(2).integers(0, 10, 500), 0)
+    trainer.learn(codes)
+    ids, member = nce_language_model.symbols_of(codes, class_, small)
+    before = nce_language_model.contexts(ids, np.flatnonzero(codes == 0))[0]
+    assert sorted(met) == sorted((s, m) for s, m in zip(before.tolist(), member.tolist(), strict=True) if m >= 0) and len(met) > 200
+    assert trainer.tokens == len(codes)
+
+
 def test_language_model_on_hard_rows(hard):
     small = nce_language_model.LanguageModel(words=20, classes=4, head=50)
     got = nce_language_model.language_model_scores(hard.select("doc_id", "text"), small).collect()
