@@ -625,6 +625,40 @@ def test_suffix_arrays(body, symbols):
         assert shared[b] == min(n, 16)
 
 
+@pytest.mark.parametrize(("symbols", "rounds"), [(5, 64), (5, 2), (1 << 17, 64), (1 << 17, 2), (1 << 31, 3)])
+def test_substrings_are_sorted_without_inducing(monkeypatch, symbols, rounds):
+    """Substrings of all lengths, equal ones, ones that begin others, and long ones that are left to inducing."""
+    monkeypatch.setattr(suffix_arrays, "ROUNDS", rounds)
+    rng, left = random.Random(7), 0
+    for _ in range(400):
+        body = [rng.choice((1, 1, 1, 2, 3, 4)) for _ in range(rng.randrange(60))] + [rng.randrange(1, 4)] * rng.randrange(30)
+        s = np.array([*body * rng.choice((1, 2, 3)), 0], np.int64)
+        is_s = np.array([s[i:].tolist() < s[i + 1 :].tolist() for i in range(len(s) - 1)] + [True])
+        lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+        if not len(lms):
+            continue
+        found = suffix_arrays._substrings_sorted(s, lms, symbols)
+        if found is None:
+            left += 1
+            continue
+        end = dict(zip(lms.tolist(), [*lms[1:].tolist(), len(s) - 1], strict=True))
+        # an L suffix comes before an S suffix of the same symbol
+        key = {i: [(int(s[j]), bool(is_s[j])) for j in range(i, end[i] + 1)] for i in lms.tolist()}
+        names = {tuple(k): n for n, k in enumerate(sorted({tuple(k) for k in key.values()}))}
+        assert [names[tuple(key[i])] for i in found[0].tolist()] == found[1].tolist() and sorted(found[0].tolist()) == lms.tolist()
+    assert (left > 0) == (rounds < 64)
+
+
+def test_a_level_is_induced_once(monkeypatch):
+    made = []
+    for name in ("_induced", "_induced_singly"):
+        monkeypatch.setattr(suffix_arrays, name, lambda *a, inner=getattr(suffix_arrays, name): made.append(len(a[0])) or inner(*a))
+    s = np.append(np.tile(np.random.default_rng(5).integers(1, 9, 700), 3), 0)
+    order = suffix_arrays.suffix_array(s, 9)
+    assert order.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    assert len(made) == len(set(made)) > 2
+
+
 def test_suffix_arrays_of_many_names():
     rng = np.random.default_rng(2)
     for n, k in ((2000, 1500), (5000, 40), (3000, 3000)):
