@@ -413,6 +413,38 @@ def test_members_learn_from_every_token():
     assert trainer.tokens == len(codes)
 
 
+def test_a_step_costs_by_its_batch():
+    """Of many symbols and members, only those of the batch move, and no array is as large as all of them."""
+    many = nce_language_model.LanguageModel(words=400_000, classes=100, batch=64)
+    even, class_ = np.full(many.symbols, 1 / many.symbols), np.repeat(np.arange(100), 1000)
+    share = np.full(len(class_), 0.001)
+    trainer = nce_language_model.Trainer(many, nce_language_model.start_weights(many, even, share), even, (class_, share), [1])
+    before = {k: w.copy() for k, w in trainer.w.items()}
+    rng = np.random.default_rng(3)
+    s1, s2, target, member = *rng.integers(0, many.symbols, (3, 64)), rng.integers(0, len(class_), 64)
+    tracemalloc.start()
+    trainer.step(s1, s2, target)
+    trainer.step_below(s1, member)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
+    moved = {k: np.flatnonzero((w != before[k]).reshape(len(w), -1).any(axis=1)) for k, w in trainer.w.items()}
+    assert moved["q"].tolist() == np.unique([s1, s2]).tolist() and moved["u"].tolist() == np.unique(s1).tolist()
+    assert set(target) <= set(moved["r"]) and len(moved["r"]) <= 64 + many.noise and set(member) <= set(moved["m"]) and len(moved["m"]) <= 64 * (1 + many.others)
+
+
+def test_members_are_drawn_by_their_shares():
+    rng = np.random.default_rng(4)
+    class_, share = np.repeat(np.arange(3), [1, 3000, 40]), rng.random(3041) ** 9
+    share /= np.bincount(class_, share)[class_]
+    small = nce_language_model.LanguageModel(words=3, classes=3)
+    even = np.full(small.symbols, 1 / small.symbols)
+    trainer = nce_language_model.Trainer(small, nce_language_model.start_weights(small, even, share), even, (class_, share), [1])
+    drawn = np.concatenate([rng.random(5000) * 3, trainer.shares[::7], np.nextafter(trainer.shares[::7], 0), [0, 3 - 2**-52]])
+    drawn = drawn[drawn < 3]
+    assert (trainer._others(drawn) == np.minimum(np.searchsorted(trainer.shares, drawn), 3040)).all()
+
+
 def test_language_model_on_hard_rows(hard):
     small = nce_language_model.LanguageModel(words=20, classes=4, head=50)
     got = nce_language_model.language_model_scores(hard.select("doc_id", "text"), small).collect()
