@@ -224,7 +224,10 @@ def _icmp(spark, sf_dir):
     from flowloom.plans.scalars import icmp_lines
 
     lines = icmp_lines(read_packets(spark, sf_dir), "cast((us div 600000000) % 50 as string)")
-    return icmp.adopted(text.parse_icmp(lines))
+    # kept, since replies are looked for in two readings of the packets, and lines cost the most
+    folder = _folder(spark)
+    text.parse_icmp(lines).write.parquet(folder)
+    return icmp.adopted(spark.read.parquet(folder))
 
 
 @query("JOIN-8_adopted_types", with_packets(_ICMP_LINES) + "SELECT event_id, own, typecode FROM adopted")

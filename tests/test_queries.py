@@ -134,6 +134,15 @@ def test_one_key_in_many_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("name", ["JOIN-8_adopted_types", "AGG-22_icmp_type_sets", "AGG-17_icmp_groups"])
+def test_lines_are_parsed_once(spark, name):
+    """Replies are looked for in two readings of the packets, neither of which parses lines."""
+    from flowloom.plans import registry
+
+    plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "inline" not in plan and "split(" not in plan
+
+
 def test_seconds_give_the_sessions_of_packets(spark):
     """Sessions from seconds against sessions packet by packet, with gaps of just the length and ties of time."""
     from flowloom.operators import sessions
