@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ LEAKED = ("BROWSER", "CLDAP", "DHCP", "DNS", "HTTP", "ICMP", "IPv4", "LLMNR", "M
 
 def micros(time: Column) -> Column:
     """Microseconds of an epoch with six decimal places, without passing through a double."""
-    return F.regexp_replace(time, r"\.", "").try_cast("long")
+    return F.replace(time, F.lit("."), F.lit("")).try_cast("long")
 
 
 def _vlan(text: Column, keep: bool) -> Column:
@@ -41,10 +43,12 @@ def framed(lines: DataFrame, least: int = 5) -> DataFrame:
 
 
 def _parsed(lines: DataFrame, cut: Callable[[Column], Column], fits: Callable[[Column], Column], fields: Callable[[Column], list[Column]]) -> DataFrame:
-    """Fields of the parts that lines are cut into; null where parts don't fit. A line is cut and read as the one element of an array, so once: conditions on plain columns are pushed below them, where the line is made, cut and read again for each column that they name."""
-    parts = F.transform(F.array("value"), cut)
-    found = F.transform(parts, lambda x: F.when(fits(x), F.struct(*fields(x))))
-    return lines.select(F.inline_outer(found), *_others(lines))
+    """Fields of the parts that lines are cut into; of parts that don't fit, those of null. A line's fields are the one element of an array, so they are read once: conditions on plain columns are pushed below them, where the line is made, cut and read again for each column that they name. Nothing here is a function of lambdas, since Spark then compiles all of it."""
+    g, others = F.col("g"), _others(lines)
+    # what makes the lines is compiled apart from what reads them: Java only interprets methods of 8,000 bytes and more
+    apart = lines.select(F.explode_outer(F.array("value")).alias("value"), *others)
+    parts = apart.select(cut(F.col("value")).alias("g"), *others).select(F.when(fits(g), g).alias("g"), *others)
+    return parts.select(F.struct(*fields(g)).alias("g"), *others).select(F.inline_outer(F.array("g")), *others)
 
 
 def _groups(pattern: str, groups: int) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
@@ -54,11 +58,13 @@ def _groups(pattern: str, groups: int) -> tuple[Callable[[Column], Column], Call
 
 
 def _tokens(v: Column) -> Column:
-    return F.split(F.trim(v), r"\s+")
+    # lines with single spaces, as most are, need no pattern
+    mixed = reduce(or_, (v.contains(s) for s in ("  ", "\t", "\n", "\v", "\f", "\r")))
+    return F.split(F.trim(v), F.when(mixed, r"\s+").otherwise(" "))
 
 
 def _at(t: Column, i: int | Column) -> Column:
-    return F.try_element_at(t, i if isinstance(i, Column) else F.lit(i))
+    return F.try_element_at(t, i) if isinstance(i, Column) else F.get(t, F.lit(i - 1))
 
 
 def parse_tcp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
@@ -110,7 +116,7 @@ def parse_icmp(lines: DataFrame, ingest_vlan_id: bool = True) -> DataFrame:
     first = lambda c: F.substring_index(c, ",", 1)
 
     def fields(t: Column) -> list[Column]:
-        sequenced = F.exists(F.split(_at(t, 5), ","), lambda x: x.isin(*SEQUENCED))
+        sequenced = F.arrays_overlap(F.split(_at(t, 5), ","), F.array(*map(F.lit, SEQUENCED)))
         code = first(_at(t, 6))
         number = F.when(code.startswith("0x"), F.conv(F.substring(code, 3, 8), 16, 10)).otherwise(code)
         return [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import struct
 
 import pytest
@@ -246,3 +247,25 @@ def test_lines_are_cut_once(spark, parser, cut):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(cut) == 1
     assert rows.collect() == []
+
+
+@pytest.mark.parametrize("parser", [text.parse_tcp, text.parse_udp, text.parse_icmp, text.parse_other, text.parse_tcp_latency, text.parse_icmp_latency])
+def test_parsers_are_compiled(spark, parser):
+    """Nothing keeps Spark from compiling a parser, and no method, that which makes the lines neither, is so long that Java only interprets it."""
+    from conftest import SMALL
+    from flowloom.plans.scalars import icmp_lines
+    from flowloom.sources.packets import read_packets
+
+    rows = parser(icmp_lines(read_packets(spark, SMALL)))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    code = rows._jdf.queryExecution().explainString(mode)
+    assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert code.startswith("Found 1 WholeStageCodegen") and "Generate inline" in code
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+
+
+def test_white_space_of_lines(spark):
+    """Single spaces are cut without a pattern, other white space as before."""
+    line = "1700000200.422514 198.51.100.20 178 203.0.113.21 8 0 4660 (0x1234) 7"
+    got = rows(spark, text.parse_icmp, line, f"  {line}  ", line.replace(" ", "  "), *(line.replace(" ", s, 3) for s in "\t\n\v\f\r"), "\t" + line, line.replace(" ", "\xa0"), "")
+    assert len(got) == 8 and set(map(tuple, got)) == {(1700000200422514, 3325256724, 178, 3405803797, "8.0", 4660, 7)}
