@@ -13,6 +13,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from flowloom.llm import attention_quality, byte_bpe, components, cover_dedup, filter_audit, iblt_fingerprints, license_scan, nce_language_model, parity_join, piece_counts, prefix_trie, qgram_decontam, queries, secret_scan, suffix_arrays, suffix_dedup
-from flowloom.llm.common import documents
+from flowloom.llm import attention_quality, byte_bpe, components, cover_dedup, dealing, filter_audit, iblt_fingerprints, license_scan, nce_language_model, parity_join, piece_counts, prefix_trie, qgram_decontam, queries, secret_scan, suffix_arrays, suffix_dedup
+from flowloom.llm.common import documents, map_batches
 from flowloom.llm.words import windows, words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -730,6 +731,8 @@ def test_word_hashes(texts):
     words = [x for t in texts for x in WORD.findall(t.translate(LOW))]
     assert w.counts.tolist() == [len(WORD.findall(t)) for t in texts] and len(w.hashes) == len(words)
     assert len(set(w.hashes.tolist())) == len(set(words))
+    apart = [x * k for k in (1, 7, 8, 9, 16, 17, 63, 64, 65) for x in ("a", "\0", "b")] + ["a\0", "a" * 8 + "\0", "a" * 8 + "b" * 8, "b" * 8 + "a" * 8]
+    assert len(set(words_of([" ".join(apart)]).hashes.tolist())) == len(apart)
     pairs = windows(w.hashes, 2)
     assert len(set(pairs.tolist())) == len(set(zip(words, words[1:], strict=False)))
 
@@ -740,6 +743,40 @@ def _alike(n):
     return one, one.translate(str.maketrans("ab", "ba"))
 
 
+def test_places_of_a_document_cost_what_it_holds(spark):
+    """Of one bucket of 40,000 documents with 20 places each; each document's are the distinct ones, sorted."""
+    n, each = 40_000, 20
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+
+    def deal(batches):
+        for _ in batches:
+            found = np.empty(n * each, dealing.PLACE)
+            found["doc"], found["pos"] = np.arange(n * each) % n, np.arange(n * each)[::-1] // n
+            yield dealing.packed([(0, dealing.DECIDED, dealing.pack(x)) for x in (found, found[:1000])])
+
+    def work(ids, texts, of):
+        began = time.process_time()
+        sound = sum(of(i)["pos"].tolist() == list(range(each)) and set(of(i)["doc"]) == {i} for i in ids) + (len(of(n)) == 0)
+        yield pa.RecordBatch.from_arrays([pa.array([sound - 1]), pa.array([time.process_time() - began])], names=["sound", "s"])
+
+    places = spark.range(0, 1, 1, 1).transform(map_batches, deal, dealing.PACKED)
+    got = dealing.with_places(docs, places, 1, work, "sound long, s double").collect()
+    assert sum(r.sound for r in got) == n and sum(r.s for r in got) < 8
+
+
+@pytest.mark.parametrize("low", [-(2**63), 0, 7])
+def test_places_of_far_documents(low):
+    rng = np.random.default_rng(3)
+    found = np.empty(500, suffix_dedup._FOUND)
+    found["doc"] = low + rng.integers(0, 9, 500) * (2**60 - 1 if low < 0 else 1)
+    for f, most in (("pos", 5), ("end", 3), ("hash", 2), ("kind", 2)):
+        found[f] = rng.integers(0, most, 500)
+    of = dealing.by_document(found)
+    for doc in set(found["doc"].tolist()):
+        assert of(doc).tolist() == sorted({x for x in found.tolist() if x[0] == doc})
+    assert len(of(12345)) == len(dealing.by_document(found[:0])(1)) == 0
+
+
 @pytest.mark.parametrize("n", [512, 1024, 2048])
 def test_words_of_a_pattern_differ(spark, n):
     one, other = _alike(n)
