@@ -93,6 +93,40 @@ def test_positions_of_long_pieces_fit():
     assert np.frombuffer(bpe.merge([piece.encode()])[0], np.int32).tolist() == library.encode_ordinary(piece)
 
 
+def test_a_word_is_merged_once(monkeypatch):
+    """Words that batches share stay known when the tables are full of others; with a full stop or comma behind, a word is the same piece."""
+    full = byte_bpe.tokenizer(byte_bpe.RANKS)
+    bpe, merged = byte_bpe.ByteBPE(full.ranks, byte_bpe_pattern(), remember=300), collections.Counter()
+    monkeypatch.setattr(bpe, "merge", lambda pieces, inner=bpe.merge: merged.update(pieces) or inner(pieces))
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bcdfghjkqxz") for _ in range(rng.randint(5, 20)))
+    common = [word() for _ in range(40)]
+    for _ in range(12):
+        text = " ".join([*common, *(word() + rng.choice(("", ".", ",")) for _ in range(200))])
+        ids = bpe.encode_batch([text])[0]
+        assert bpe.decode(np.frombuffer(ids, np.int32).tolist()) == text.encode()
+        assert len(bpe.known) + len(bpe.spaced) < 1000
+    assert max(merged[f" {w}".encode()] for w in common) == 1
+    for end in ("", ".", ","):
+        bpe.encode_batch([f"a qzxjkqzx{end}"])
+    assert merged[b" qzxjkqzx"] == 1
+
+
+def byte_bpe_pattern():
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def test_trees_of_any_width_merge_alike():
+    bpe, rng = byte_bpe.tokenizer(byte_bpe.RANKS), random.Random(11)
+    for bits in range(1, 8):
+        low, high = (1 << bits - 1) + 1, 1 << bits
+        pieces = [" ".join(rng.choice(("the", "ing", "er", "é", "q", "日", "on")) for _ in range(high)).replace(" ", "").encode()[: rng.randint(low, high)] for _ in range(60)] + [b"a"] * (bits == 1)
+        want = [bpe._merge_one(p) for p in pieces]
+        assert bpe.merge(pieces) == bpe._merge_width(pieces, high) == bpe._merge_levels(pieces, high) == want
+
+
 @pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "a", "ab", "一二三四五六七八九十百千", "é ñ".replace(" ", "")])
 def test_unbroken_pieces(alphabet):
     """Long pieces one by one and side by side, against the library; 300,000 letters in seconds."""
